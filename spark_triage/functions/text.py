@@ -118,7 +118,7 @@ def clean_reply(text: Column) -> Column:
 
 def matches_any(text: Column, patterns: Sequence[str]) -> Column:
     """True when any pattern is found, ignoring case; NULL text counts as no match."""
-    return F.coalesce(F.rlike(text, F.lit("(?iU)" + "|".join(patterns))), F.lit(False))
+    return F.coalesce(F.rlike(text, F.lit("(?iUd)" + "|".join(patterns))), F.lit(False))
 
 
 def matched_patterns(text: Column, patterns: Sequence[str]) -> Column:

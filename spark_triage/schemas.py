@@ -6,39 +6,40 @@ from pyspark.sql import types as T
 
 from spark_triage.fixed_values import JUDGE_DIMENSIONS
 
-MESSAGES = T.StructType.fromDDL(
-    "tweet_id BIGINT, author_id STRING, inbound BOOLEAN, created_at STRING, text STRING, "
-    "in_response_to_tweet_id BIGINT"
+LONG, STRING, DOUBLE, BOOL, INT = T.LongType(), T.StringType(), T.DoubleType(), T.BooleanType(), T.IntegerType()
+
+
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in columns.items()])
+
+
+FLAG = _table(kind=STRING, detail=STRING, score=DOUBLE)
+
+MESSAGES = _table(
+    tweet_id=LONG, author_id=STRING, inbound=BOOL, created_at=STRING, text=STRING, in_response_to_tweet_id=LONG
 )
-PAIRS = T.StructType.fromDDL(
-    "customer_tweet_id BIGINT, customer_tweet STRING, customer_created_at STRING, "
-    "customer_in_response_to_tweet_id BIGINT, brand_reply_id BIGINT, brand_reply STRING, "
-    "brand_created_at STRING"
+PAIRS = _table(
+    customer_tweet_id=LONG, customer_tweet=STRING, customer_created_at=STRING, customer_in_response_to_tweet_id=LONG,
+    brand_reply_id=LONG, brand_reply=STRING, brand_created_at=STRING,
 )
 CLEAN_PAIRS = T.StructType(
-    PAIRS.fields
-    + T.StructType.fromDDL("has_link BOOLEAN, customer_tweet_clean STRING, brand_reply_clean STRING").fields
-)
-PSEUDO_LABELS = T.StructType.fromDDL(
-    "customer_tweet_id BIGINT, customer_tweet_clean STRING, predicted_intent STRING, "
-    "confidence DOUBLE, fraud_override BOOLEAN"
+    PAIRS.fields + _table(has_link=BOOL, customer_tweet_clean=STRING, brand_reply_clean=STRING).fields
 )
-RESPONSES = T.StructType.fromDDL("id BIGINT, attempt INT, raw STRING")
-FLAG = "STRUCT<kind: STRING, detail: STRING, score: DOUBLE>"
-GOLDEN = T.StructType.fromDDL(
-    "customer_tweet_id BIGINT, hard_case_category STRING, tweet_text STRING, true_intent STRING, "
-    "true_escalation_decision STRING, predicted_intent STRING, predicted_confidence DOUBLE, "
-    "drafted_reply STRING, escalation_decision STRING, escalation_reason STRING, "
-    f"validate_draft_flags ARRAY<{FLAG}>, notes STRING"
+PSEUDO_LABELS = _table(
+    customer_tweet_id=LONG, customer_tweet_clean=STRING, predicted_intent=STRING, confidence=DOUBLE, fraud_override=BOOL
 )
-JUDGE_SCORES = T.StructType.fromDDL(
-    "customer_tweet_id BIGINT, "
-    + ", ".join(f"{d}_score DOUBLE, {d}_rationale STRING" for d in JUDGE_DIMENSIONS)
+RESPONSES = _table(id=LONG, attempt=INT, raw=STRING)
+GOLDEN = _table(
+    customer_tweet_id=LONG, hard_case_category=STRING, tweet_text=STRING, true_intent=STRING,
+    true_escalation_decision=STRING, predicted_intent=STRING, predicted_confidence=DOUBLE, drafted_reply=STRING,
+    escalation_decision=STRING, escalation_reason=STRING, validate_draft_flags=T.ArrayType(FLAG), notes=STRING,
 )
-HUMAN_SCORES = T.StructType.fromDDL(
-    "customer_tweet_id BIGINT, hard_case_category STRING, tweet_text STRING, drafted_reply STRING, "
-    + ", ".join(f"{d}_score DOUBLE" for d in JUDGE_DIMENSIONS)
+JUDGE_SCORES = _table(
+    customer_tweet_id=LONG,
+    **{f"{d}_{part}": dtype for d in JUDGE_DIMENSIONS for part, dtype in (("score", DOUBLE), ("rationale", STRING))},
 )
-TAXONOMY = T.StructType.fromDDL(
-    "intent STRING, label STRING, definition STRING, examples ARRAY<STRING>"
+HUMAN_SCORES = _table(
+    customer_tweet_id=LONG, hard_case_category=STRING, tweet_text=STRING, drafted_reply=STRING,
+    **{f"{d}_score": DOUBLE for d in JUDGE_DIMENSIONS},
 )
+TAXONOMY = _table(intent=STRING, label=STRING, definition=STRING, examples=T.ArrayType(STRING))
