@@ -359,8 +359,8 @@ def lang_sql(target: str, id_col: str, text_col: str) -> str:
 
     def grams(table: str, key: str, col: str, extra: str = "") -> str:
         return (
-            f"SELECT {key}{extra}, unnest(list_transform(range(1, length(p) - 1), lambda i: substr(p, i, 3))) AS g FROM "
-            f"(SELECT {key}{extra}, ' ' || t || ' ' AS p FROM (SELECT {key}{extra}, "
+            f"SELECT {key}{extra}, unnest(list_transform(range(1, len(p) - 1), lambda i: p[i] || p[i + 1] || p[i + 2])) AS g FROM "
+            f"(SELECT {key}{extra}, string_split(' ' || t || ' ', '') AS p FROM (SELECT {key}{extra}, "
             f"trim(regexp_replace(lower({col}), '[^\\p{{L}}]+', ' ', 'g')) AS t FROM {table}) WHERE t <> '')"
         )
 

@@ -38,7 +38,7 @@ def confusion_matrix(df: DataFrame, true: str, pred: str) -> DataFrame:
 def confusion_wide(df: DataFrame, true: str, pred: str, labels: Sequence[str]) -> DataFrame:
     """One row per true label, one column per predicted label."""
     return (
-        df.groupBy(F.col(true).alias("true_label")).pivot(pred, list(labels)).agg(F.count("*")).na.fill(0)
+        df.groupBy(F.col(true).alias("true_label")).pivot(pred, list(labels)).agg(F.count(F.lit(1))).na.fill(0)
     )
 
 

@@ -23,14 +23,29 @@ def _low(score: str) -> Column:
     return F.coalesce(F.col(score) <= 2, F.lit(False))
 
 
-MISCLASSIFIED = differs("true_intent", "predicted_intent")
-MISSED = (F.col("true_escalation_decision") == "escalate") & (F.col("escalation_decision") == "auto")
-OVER = (F.col("true_escalation_decision") == "auto") & (F.col("escalation_decision") == "escalate")
-HARD_FAILED = (F.coalesce(F.col("hard_case_category"), F.lit("")) != "") & (
-    MISCLASSIFIED | differs("true_escalation_decision", "escalation_decision")
-)
-LOW_GROUNDING = _low("groundedness_score") | _low("no_hallucinated_specifics_score")
-FLAGGED = F.coalesce(F.size("validate_draft_flags"), F.lit(0)) > 0
+def is_misclassified() -> Column:
+    return differs("true_intent", "predicted_intent")
+
+
+def is_missed() -> Column:
+    return (F.col("true_escalation_decision") == "escalate") & (F.col("escalation_decision") == "auto")
+
+
+def is_over_escalated() -> Column:
+    return (F.col("true_escalation_decision") == "auto") & (F.col("escalation_decision") == "escalate")
+
+
+def is_failed_hard_case() -> Column:
+    planted = F.coalesce(F.col("hard_case_category"), F.lit("")) != ""
+    return planted & (is_misclassified() | differs("true_escalation_decision", "escalation_decision"))
+
+
+def is_low_grounding() -> Column:
+    return _low("groundedness_score") | _low("no_hallucinated_specifics_score")
+
+
+def is_flagged() -> Column:
+    return F.coalesce(F.size("validate_draft_flags"), F.lit(0)) > 0
 
 
 def listing(df: DataFrame, name: str, cond: Column, shown: list[str], limit: int | None, order: list | None = None) -> DataFrame:
@@ -49,32 +64,32 @@ def listing(df: DataFrame, name: str, cond: Column, shown: list[str], limit: int
 
 
 def misclassified(df: DataFrame, limit: int | None = 5) -> DataFrame:
-    return listing(df, "misclassified", MISCLASSIFIED, ["true_intent", "predicted_intent", "predicted_confidence"],
+    return listing(df, "misclassified", is_misclassified(), ["true_intent", "predicted_intent", "predicted_confidence"],
                    limit, [F.col("predicted_confidence").desc_nulls_last()])
 
 
 def missed_escalations(df: DataFrame) -> DataFrame:
-    return listing(df, "missed_escalations", MISSED,
+    return listing(df, "missed_escalations", is_missed(),
                    ["true_escalation_decision", "escalation_decision", "escalation_reason"], None)
 
 
 def over_escalations(df: DataFrame, limit: int | None = 2) -> DataFrame:
-    return listing(df, "over_escalations", OVER, ["escalation_reason"], limit)
+    return listing(df, "over_escalations", is_over_escalated(), ["escalation_reason"], limit)
 
 
 def hard_case_failures(df: DataFrame, limit: int | None = 5) -> DataFrame:
-    return listing(df, "hard_case_failures", HARD_FAILED,
+    return listing(df, "hard_case_failures", is_failed_hard_case(),
                    ["hard_case_category", "true_intent", "predicted_intent", "true_escalation_decision",
                     "escalation_decision"], limit)
 
 
 def low_grounding(df: DataFrame, limit: int | None = 5) -> DataFrame:
-    return listing(df, "low_grounding", LOW_GROUNDING, ["groundedness_score", "no_hallucinated_specifics_score"], limit)
+    return listing(df, "low_grounding", is_low_grounding(), ["groundedness_score", "no_hallucinated_specifics_score"], limit)
 
 
 def flagged_drafts(df: DataFrame, limit: int | None = 5) -> DataFrame:
     kinds = df.withColumn("flag_kinds", F.concat_ws(",", F.transform("validate_draft_flags", lambda f: f["kind"])))
-    return listing(kinds, "flagged_drafts", FLAGGED, ["flag_kinds"], limit)
+    return listing(kinds, "flagged_drafts", is_flagged(), ["flag_kinds"], limit)
 
 
 def failure_candidates(df: DataFrame) -> DataFrame:
@@ -87,4 +102,4 @@ def failure_candidates(df: DataFrame) -> DataFrame:
 
 def cascade_failures(df: DataFrame) -> DataFrame:
     """Messages that were both misclassified and missed."""
-    return df.filter(MISCLASSIFIED & MISSED).select(ID, "true_intent", "predicted_intent")
+    return df.filter(is_misclassified() & is_missed()).select(ID, "true_intent", "predicted_intent")

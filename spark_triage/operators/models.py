@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -23,13 +25,22 @@ from spark_triage import fixed_values as fv
 from spark_triage.operators.features import TERM, default_stop_words
 
 
+_ROWS_PER_PARTITION = 5_000
+_PARALLEL_FITS = 4
+
+
 def best_kmeans(
     df: DataFrame, k: int, vector: str = "embedding", starts: int = fv.KMEANS_STARTS, seed: int = fv.DISCOVERY_SEED
 ) -> KMeansModel:
     """The start with the lowest cost of ``starts`` seeded ones."""
     points = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features")).persist()
     try:
-        models = [KMeans(k=k, seed=seed + i, maxIter=50).fit(points) for i in range(starts)]
+        points.count()  # fill the cache once, before the starts run side by side
+        fit = inheritable_thread_target(df.sparkSession)(
+            lambda i: KMeans(k=k, seed=seed + i, maxIter=50).fit(points)
+        )
+        with ThreadPool(min(starts, _PARALLEL_FITS)) as pool:
+            models = pool.map(fit, range(starts))
         return min(models, key=lambda m: m.summary.trainingCost)
     finally:
         points.unpersist()
@@ -139,8 +150,12 @@ def train_classifier(
     scale = ElementwiseProduct(inputCol="_tf", outputCol="_scaled", scalingVec=Vectors.dense(idf.toArray() + 1.0))
     unit = Normalizer(inputCol="_scaled", outputCol="_features", p=2.0)
     index = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(rows)
-    ready = index.transform(unit.transform(scale.transform(counted)))
+    ready = index.transform(unit.transform(scale.transform(counted))).select(
+        "_features", "_label", *(["weight"] if balanced else [])
+    )
     n = ready.count()
+    # Every solver step is a job: few rows in many partitions would spend it on scheduling.
+    ready = ready.coalesce(n // _ROWS_PER_PARTITION + 1)
     lr = LogisticRegression(
         featuresCol="_features", labelCol="_label", predictionCol="_prediction", probabilityCol="probability",
         rawPredictionCol="_raw", family="multinomial", regParam=1.0 / n, elasticNetParam=0.0,
