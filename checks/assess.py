@@ -429,32 +429,32 @@ _LISTS = {
 
 @query(_GJ + " " + _LISTS["misclassified_top"])
 def misclassified_top(spark, d):
-    return fl.misclassified(_scored(spark, d))
+    return fl.named_listing(_scored(spark, d), "misclassified")
 
 
 @query(_GJ + " " + _LISTS["missed_escalations"])
 def missed_escalations(spark, d):
-    return fl.missed_escalations(_scored(spark, d))
+    return fl.named_listing(_scored(spark, d), "missed_escalations")
 
 
 @query(_GJ + " " + _LISTS["over_escalations"])
 def over_escalations(spark, d):
-    return fl.over_escalations(_scored(spark, d))
+    return fl.named_listing(_scored(spark, d), "over_escalations")
 
 
 @query(_GJ + " " + _LISTS["hard_case_failures"])
 def hard_case_failures(spark, d):
-    return fl.hard_case_failures(_scored(spark, d))
+    return fl.named_listing(_scored(spark, d), "hard_case_failures")
 
 
 @query(_GJ + " " + _LISTS["low_grounding"])
 def low_grounding(spark, d):
-    return fl.low_grounding(_scored(spark, d))
+    return fl.named_listing(_scored(spark, d), "low_grounding")
 
 
 @query(_GJ + " " + _LISTS["flagged_drafts"])
 def flagged_drafts(spark, d):
-    return fl.flagged_drafts(_scored(spark, d))
+    return fl.named_listing(_scored(spark, d), "flagged_drafts")
 
 
 @query(_GJ + " " + " UNION ALL ".join(f"({s})" for s in _LISTS.values()))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from spark_triage.operators.profile import union_all
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 ID = "customer_tweet_id"
 
@@ -48,56 +49,81 @@ def is_flagged() -> Column:
     return F.coalesce(F.size("validate_draft_flags"), F.lit(0)) > 0
 
 
-def listing(df: DataFrame, name: str, cond: Column, shown: list[str], limit: int | None, order: list | None = None) -> DataFrame:
+class Listing(NamedTuple):
+    cond: Callable[[], Column]
+    shown: tuple[str, ...]
+    limit: int | None
+
+
+LISTINGS = {
+    "misclassified": Listing(is_misclassified, ("true_intent", "predicted_intent", "predicted_confidence"), 5),
+    "missed_escalations": Listing(is_missed, ("true_escalation_decision", "escalation_decision", "escalation_reason"), None),
+    "over_escalations": Listing(is_over_escalated, ("escalation_reason",), 2),
+    "hard_case_failures": Listing(
+        is_failed_hard_case,
+        ("hard_case_category", "true_intent", "predicted_intent", "true_escalation_decision", "escalation_decision"), 5,
+    ),
+    "low_grounding": Listing(is_low_grounding, ("groundedness_score", "no_hallucinated_specifics_score"), 5),
+    "flagged_drafts": Listing(is_flagged, ("flag_kinds",), 5),
+}
+
+
+def _detail(shown: Sequence[str]) -> Column:
+    return F.concat_ws(" | ", *[
+        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("nan"))) for c in shown
+    ])
+
+
+def listing(
+    df: DataFrame, name: str, cond: Column, shown: Sequence[str], limit: int | None = None, order: Sequence = ()
+) -> DataFrame:
     """The first ``limit`` rows of a listing with its total; texts are cut as in the printed report."""
     rows = df.filter(cond)
     total = rows.agg(F.count("*").alias("n")).scalar()
     if limit is not None:
-        rows = rows.orderBy(*(order or []), ID).limit(limit)
-    detail = F.concat_ws(" | ", *[
-        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("nan"))) for c in shown
-    ])
+        rows = rows.orderBy(*order, ID).limit(limit)
     return rows.withColumn("total", total).select(
         F.lit(name).alias("listing"), "total", ID, F.substring("tweet_text", 1, 120).alias("tweet"),
-        F.substring("drafted_reply", 1, 150).alias("reply"), detail.alias("detail"),
+        F.substring("drafted_reply", 1, 150).alias("reply"), _detail(shown).alias("detail"),
     )
 
 
-def misclassified(df: DataFrame, limit: int | None = 5) -> DataFrame:
-    return listing(df, "misclassified", is_misclassified(), ["true_intent", "predicted_intent", "predicted_confidence"],
-                   limit, [F.col("predicted_confidence").desc_nulls_last()])
-
-
-def missed_escalations(df: DataFrame) -> DataFrame:
-    return listing(df, "missed_escalations", is_missed(),
-                   ["true_escalation_decision", "escalation_decision", "escalation_reason"], None)
-
-
-def over_escalations(df: DataFrame, limit: int | None = 2) -> DataFrame:
-    return listing(df, "over_escalations", is_over_escalated(), ["escalation_reason"], limit)
-
-
-def hard_case_failures(df: DataFrame, limit: int | None = 5) -> DataFrame:
-    return listing(df, "hard_case_failures", is_failed_hard_case(),
-                   ["hard_case_category", "true_intent", "predicted_intent", "true_escalation_decision",
-                    "escalation_decision"], limit)
-
-
-def low_grounding(df: DataFrame, limit: int | None = 5) -> DataFrame:
-    return listing(df, "low_grounding", is_low_grounding(), ["groundedness_score", "no_hallucinated_specifics_score"], limit)
-
-
-def flagged_drafts(df: DataFrame, limit: int | None = 5) -> DataFrame:
+def named_listing(df: DataFrame, name: str) -> DataFrame:
+    """One of ``LISTINGS`` alone."""
+    spec = LISTINGS[name]
     kinds = df.withColumn("flag_kinds", F.concat_ws(",", F.transform("validate_draft_flags", lambda f: f["kind"])))
-    return listing(kinds, "flagged_drafts", is_flagged(), ["flag_kinds"], limit)
+    order = [F.col("predicted_confidence").desc_nulls_last()] if name == "misclassified" else []
+    return listing(kinds, name, spec.cond(), spec.shown, spec.limit, order)
 
 
 def failure_candidates(df: DataFrame) -> DataFrame:
-    """All six listings in one frame."""
-    return union_all([
-        misclassified(df), missed_escalations(df), over_escalations(df), hard_case_failures(df),
-        low_grounding(df), flagged_drafts(df),
-    ])
+    """All six listings in one frame, from one tagging pass instead of a pass per listing.
+
+    The bounded listings share one ranking whose constant bound is applied before the shuffle; the missed
+    escalations are listed whole and are never ranked.
+    """
+    cut = df.select(
+        ID, F.substring("tweet_text", 1, 120).alias("tweet"), F.substring("drafted_reply", 1, 150).alias("reply"),
+        "hard_case_category", "true_intent", "predicted_intent", "predicted_confidence", "true_escalation_decision",
+        "escalation_decision", "escalation_reason", "groundedness_score", "no_hallucinated_specifics_score",
+        F.concat_ws(",", F.transform("validate_draft_flags", lambda f: f["kind"])).alias("flag_kinds"),
+        F.array_compact(F.array(*[F.when(spec.cond(), F.lit(name)) for name, spec in LISTINGS.items()])).alias("names"),
+    )
+    tagged = cut.withColumn("listing", F.explode("names")).drop("names")
+    totals = tagged.groupBy("listing").agg(F.count("*").alias("total"))  # one row per listing
+    limits = {name: spec.limit for name, spec in LISTINGS.items() if spec.limit}
+    first = F.when(F.col("listing") == "misclassified", F.col("predicted_confidence"))
+    w = Window.partitionBy("listing").orderBy(first.desc_nulls_last(), ID)
+    bounded = (
+        tagged.filter(F.col("listing").isin(*limits)).withColumn("_n", F.row_number().over(w))
+        .filter(F.col("_n") <= max(limits.values()))
+        .filter(F.coalesce(*[F.when(F.col("listing") == n, F.col("_n") <= k) for n, k in limits.items()])).drop("_n")
+    )
+    whole = tagged.filter(~F.col("listing").isin(*limits))
+    detail = F.coalesce(*[F.when(F.col("listing") == n, _detail(spec.shown)) for n, spec in LISTINGS.items()])
+    return bounded.unionByName(whole).join(F.broadcast(totals), "listing").select(
+        "listing", "total", ID, "tweet", "reply", detail.alias("detail")
+    )
 
 
 def cascade_failures(df: DataFrame) -> DataFrame:
