@@ -17,6 +17,7 @@ from spark_triage.operators import inference as inf
 from spark_triage.operators import profile as pf
 from spark_triage.operators import retrieval as rt
 from spark_triage.plans import assess, triage
+from spark_triage.session import staged
 
 QUERIES, SQL = {}, {}
 
@@ -210,7 +211,7 @@ _POINTS = ((0.0, "min"), (0.25, "q1"), (0.5, "median"), (0.75, "q3"), (1.0, "max
 def score_profile(spark, d):
     queries, corpus = b.queries_and_corpus(spark, d)
     conf = load(spark, d, "documents").select(b.hundredths(70, F.col("n_chars"), 29).alias("confidence"))
-    best = rt.max_similarity(queries, corpus, "vec_id", "vec_id")
+    best = staged(rt.max_similarity(queries, corpus, "vec_id", "vec_id"), "similarity")
     return pf.union_all([pf.score_profile(conf, ["confidence"]), pf.score_profile(best, ["max_similarity"])])
 
 

@@ -182,9 +182,9 @@ def token_overlap(spark, d):
 
 
 @query("WITH " + b.PAIRS_SQL + """, l AS (SELECT length(brand_reply) AS len FROM pairs)
-  SELECT count(*) AS n, round(avg(len), 1) AS mean, round(stddev_samp(len), 1) AS std, min(len) AS min,
-    round(quantile_cont(len, 0.25), 1) AS q1, round(quantile_cont(len, 0.5), 1) AS median,
-    round(quantile_cont(len, 0.75), 1) AS q3, max(len) AS max FROM l""")
+  SELECT count(*) AS n, round_even(avg(len), 1) AS mean, round_even(stddev_samp(len), 1) AS std, min(len) AS min,
+    round_even(quantile_cont(len, 0.25), 1) AS q1, round_even(quantile_cont(len, 0.5), 1) AS median,
+    round_even(quantile_cont(len, 0.75), 1) AS q3, max(len) AS max FROM l""")
 def reply_length_profile(spark, d):
     return pf.length_profile(b.pairs(spark, d), "brand_reply")
 

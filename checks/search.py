@@ -11,6 +11,7 @@ from spark_triage.operators import models as md
 from spark_triage.operators import retrieval as rt
 from spark_triage.operators import sampling as sm
 from spark_triage.operators import stress_set as ss
+from spark_triage.session import staged
 
 QUERIES, SQL = {}, {}
 STOP_WORDS = ("the", "and", "of", "to", "in", "is", "it", "that", "for", "was", "on", "are", "as", "with", "this", "url")
@@ -133,7 +134,7 @@ _TAKEN = " + ".join(f"(SELECT count(*) FROM t{i})" for i in range(1, 5))
        + """ SELECT *, '' AS hard_case_category FROM strat UNION ALL SELECT * FROM t1 UNION ALL SELECT * FROM t2
  UNION ALL SELECT * FROM t3 UNION ALL SELECT * FROM t4 UNION ALL SELECT * FROM t5""")
 def select_stress_set(spark, d):
-    return ss.select_stress_set(_pool(spark, d), "doc_id", "label", PLAN)
+    return ss.select_stress_set(staged(_pool(spark, d), "pool"), "doc_id", "label", PLAN)
 
 
 # ---- clusters and terms -------------------------------------------------------------------------------

@@ -30,9 +30,9 @@ def length_profile(df: DataFrame, text_col: str, by: Sequence[str] = (), digits:
     spread = F.sqrt((s2 - s1 * s1.cast("double") / total) / F.nullif(total - 1, F.lit(0)))
     q = F.percentile("len", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
     return counts.groupBy(*by).agg(
-        total.alias("n"), F.round(s1 / total, digits).alias("mean"), F.round(spread, digits).alias("std"),
-        F.min("len").alias("min"), F.round(q[0], digits).alias("q1"), F.round(q[1], digits).alias("median"),
-        F.round(q[2], digits).alias("q3"), F.max("len").alias("max"),
+        total.alias("n"), F.bround(s1 / total, digits).alias("mean"), F.bround(spread, digits).alias("std"),
+        F.min("len").alias("min"), F.bround(q[0], digits).alias("q1"), F.bround(q[1], digits).alias("median"),
+        F.bround(q[2], digits).alias("q3"), F.max("len").alias("max"),
     )
 
 
@@ -132,11 +132,16 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: i
     rows = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
     margin = 10.0 / accuracy
     ends = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
-    edges = rows.agg(
-        F.percentile_approx("v", F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("x")
+    stats = rows.agg(
+        F.struct(
+            F.percentile_approx("v", F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("edges"),
+            F.min("v").alias("min"), F.max("v").alias("max"), F.count("*").alias("n"),
+        ).alias("x")
     ).scalar()
-    low = [F.element_at(edges, 2 * i + 1) for i in range(len(probs))]
-    high = [F.element_at(edges, 2 * i + 2) for i in range(len(probs))]
+    # Below this many rows the margin is no full rank, and the whole range is the bracket.
+    few = stats["n"] * margin < 2
+    low = [F.when(few, stats["min"]).otherwise(F.element_at(stats["edges"], 2 * i + 1)) for i in range(len(probs))]
+    high = [F.when(few, stats["max"]).otherwise(F.element_at(stats["edges"], 2 * i + 2)) for i in range(len(probs))]
     below = rows.agg(
         F.array(F.count("*"), *[F.count_if(F.col("v") < lo) for lo in low]).alias("x")
     ).scalar()

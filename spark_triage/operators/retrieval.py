@@ -62,10 +62,11 @@ def top_k_similar(
     """(query_id, corpus_id, similarity, rank): the k corpus rows with the largest dot product per query."""
     q = queries.select(F.col(query_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
     c = corpus.select(F.col(corpus_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
-    size = lambda d: d.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(0))).first()
-    (n_q, dim), (n_c, _) = size(q), size(c)
+    # The ids alone are counted, so the vectors are not read for it; one row tells the width.
+    n_q, n_c = q.select("id").count(), c.select("id").count()
+    head = c.select(F.size("vec")).first()
     schema = "query_id bigint, corpus_id bigint, similarity double"
-    row_bytes = 8 * max(dim, 1)
+    row_bytes = 8 * max(head[0] if head else 0, 1)
 
     if n_c * row_bytes <= broadcast_bytes:
         small = q.sparkSession.sparkContext.broadcast(_collect_checked(c))

@@ -11,6 +11,7 @@ from spark_triage import fixed_values as fv
 from spark_triage.functions import text as tx
 from spark_triage.operators.profile import union_all
 from spark_triage.operators.sampling import hash_key, lowest, stratified_sample
+from spark_triage.session import staged
 
 
 @dataclass(frozen=True)
@@ -42,9 +43,10 @@ def select_stress_set(pool: DataFrame, id_col: str, intent: str, plan: StressPla
 
     Categories are filled in order without replacement. A category can lose at most the rows taken before
     it, so its first ``hard_total`` rows are enough; with the lowest-similarity pool that bounds the
-    candidates to a few hundred rows, on which the taking is a chain of window steps.
+    candidates to a few hundred rows, on which the taking is a chain of window steps. The pool is scanned
+    several times: give it as a table, or stage it.
     """
-    stratified = stratified_sample(pool, intent, id_col, plan.stratified, plan.stratify_seed)
+    stratified = staged(stratified_sample(pool, intent, id_col, plan.stratified, plan.stratify_seed), "stratified")
     rest = pool.join(F.broadcast(stratified.select(id_col)), id_col, "left_anti").withColumn(
         "_key", hash_key(id_col, plan.hard_seed)
     )

@@ -13,6 +13,7 @@ from spark_triage.operators import inference as inf
 from spark_triage.operators import profile as pf
 from spark_triage.operators import retrieval as rt
 from spark_triage.operators import sampling as sm
+from spark_triage.session import staged
 from spark_triage.sources.tables import remaining
 
 
@@ -54,5 +55,5 @@ def threshold_study(
 ) -> DataFrame:
     """Confidence of all pseudo-labels and top-1 similarity of a seeded sample, as (score, point, value)."""
     sample = sm.seeded_sample(pseudo, "customer_tweet_id", seed, n)
-    best = rt.max_similarity(sample, corpus, "customer_tweet_id", corpus_id, vector=vector)
+    best = staged(rt.max_similarity(sample, corpus, "customer_tweet_id", corpus_id, vector=vector), "similarity")
     return pf.union_all([pf.score_profile(pseudo, ["confidence"]), pf.score_profile(best, ["max_similarity"])])

@@ -13,6 +13,7 @@ from spark_triage.operators import language as lang
 from spark_triage.operators import pairs as pr
 from spark_triage.operators import profile as pf
 from spark_triage.operators import sampling as sm
+from spark_triage.session import staged
 
 PAIR_ID = "brand_reply_id"
 
@@ -29,13 +30,22 @@ def ingest(messages: DataFrame, brand: str, patterns: Sequence[str] = fv.DEFLECT
     }
 
 
+def _cleaned_and_detected(
+    pairs: DataFrame, profile: DataFrame, languages: Sequence[str], link_pattern: str
+) -> tuple[DataFrame, DataFrame]:
+    """Cleaned openers and (id, detected). Both are written once: the pair join and the cleaning are not
+    repeated for the language step, which then reads two columns."""
+    cleaned = staged(pr.add_clean_columns(pr.first_touch(pairs), link_pattern), "cleaned")
+    detected = lang.detect_language(cleaned, PAIR_ID, "customer_tweet_clean", profile, languages)
+    return cleaned, staged(detected, "detected")
+
+
 def clean(
     pairs: DataFrame, profile: DataFrame, languages: Sequence[str], language: str = "en",
     link_pattern: str = fv.SHORT_LINK_PATTERN, cap: int = fv.REPLY_TEMPLATE_CAP,
 ) -> DataFrame:
     """Openers, clean, language, de-duplicate, cap: the order is part of the result."""
-    cleaned = pr.add_clean_columns(pr.first_touch(pairs), link_pattern)
-    detected = lang.detect_language(cleaned, PAIR_ID, "customer_tweet_clean", profile, languages)
+    cleaned, detected = _cleaned_and_detected(pairs, profile, languages, link_pattern)
     kept = lang.language_filter(cleaned, PAIR_ID, detected, language)
     return pr.cap_templates(pr.drop_duplicates(kept), cap)
 
@@ -44,22 +54,19 @@ def cleaning_funnel(
     pairs: DataFrame, profile: DataFrame, languages: Sequence[str], language: str = "en",
     link_pattern: str = fv.SHORT_LINK_PATTERN, cap: int = fv.REPLY_TEMPLATE_CAP,
 ) -> DataFrame:
-    """Rows in, removed and kept at each step, from three counted passes."""
-    cleaned = pr.add_clean_columns(pr.first_touch(pairs), link_pattern)
-    detected = lang.detect_language(cleaned, PAIR_ID, "customer_tweet_clean", profile, languages)
+    """Rows in, removed and kept at each step."""
+    cleaned, detected = _cleaned_and_detected(pairs, profile, languages, link_pattern)
     kept = lang.language_filter(cleaned, PAIR_ID, detected, language)
     opener = F.col("customer_in_response_to_tweet_id").isNull()
-    reads = pairs.agg(F.count("*").alias("pairs"), F.count_if(opener).alias("first_touch")).unpivot(
-        [], ["pairs", "first_touch"], "step", "rows_kept"
-    )
-    spoken = detected.agg(F.count_if(F.col("detected") == language).alias("language")).unpivot(
-        [], ["language"], "step", "rows_kept"
-    )
+    reads = pairs.agg(F.count("*").alias("pairs"), F.count_if(opener).alias("first_touch"))
+    spoken = detected.agg(F.count_if(F.col("detected") == language).alias("language"))
     unique = pf.dedupe_counts(kept, cap=cap).select(
         F.col("n_deduped").alias("dedupe"), F.col("n_capped").alias("template_cap")
-    ).unpivot([], ["dedupe", "template_cap"], "step", "rows_kept")
-    order = F.array_position(F.array(*[F.lit(s) for s in ("pairs", "first_touch", "language", "dedupe", "template_cap")]), F.col("step"))
-    return pf.funnel(pf.union_all([reads, spoken, unique]).withColumn("step_no", order.cast("int")))
+    )
+    steps = ("pairs", "first_touch", "language", "dedupe", "template_cap")
+    counted = pf.union_all([d.unpivot([], d.columns, "step", "rows_kept") for d in (reads, spoken, unique)])
+    order = F.array_position(F.array(*[F.lit(s) for s in steps]), F.col("step")).cast("int")
+    return pf.funnel(counted.withColumn("step_no", order))
 
 
 def clean_and_split(

@@ -1,19 +1,29 @@
-"""What the library reads from the session."""
+"""What the library reads from the session, and tables that cut lineage."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession, default: str | None = None) -> str:
-    """The folder every executor can reach, as the cluster names it; ``default`` only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or default
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster, or pass a default")
-    return folder.rstrip("/")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
+    Only a local session, whose executors are the driver, gets a folder of its own where it is unset.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return tempfile.mkdtemp(prefix="triage-")
 
-def fresh_path(spark: SparkSession, name: str, default: str | None = None) -> str:
-    return f"{shared_folder(spark, default)}/{name}-{uuid.uuid4().hex}"
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read back, for a result that several later steps scan."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
