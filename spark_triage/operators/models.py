@@ -64,17 +64,21 @@ def silhouette(
     home = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = home.withColumnRenamed("block", "a").withColumn("b", every)
-    right = home.withColumnRenamed("block", "b").withColumn("a", every)
+    # The same rows meet themselves, so the second copy gets columns of its own.
+    right = home.select(
+        F.col("id").alias("other_id"), F.col("cluster").alias("other_cluster"), F.col("vec").alias("other_vec"),
+        F.col("block").alias("y"), every.alias("x"),
+    )
 
     def per_cell(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
             return pd.DataFrame({"id": [], "own": [], "cluster": [], "total": [], "n": []})
         p = np.stack([np.asarray(v, dtype=np.float64) for v in x["vec"]])
-        q = np.stack([np.asarray(v, dtype=np.float64) for v in y["vec"]])
+        q = np.stack([np.asarray(v, dtype=np.float64) for v in y["other_vec"]])
         square = (p * p).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2 * (p @ q.T)
         dist = np.sqrt(np.maximum(square, 0))
-        dist[x["id"].to_numpy()[:, None] == y["id"].to_numpy()[None, :]] = 0.0
-        labels, place = np.unique(y["cluster"].to_numpy(), return_inverse=True)
+        dist[x["id"].to_numpy()[:, None] == y["other_id"].to_numpy()[None, :]] = 0.0
+        labels, place = np.unique(y["other_cluster"].to_numpy(), return_inverse=True)
         member = np.eye(len(labels))[place]
         total, n = dist @ member, member.sum(0)
         m = len(labels)
@@ -86,7 +90,7 @@ def silhouette(
         )
 
     sums = (
-        left.groupBy("a", "b").cogroup(right.groupBy("a", "b"))
+        left.groupBy("a", "b").cogroup(right.groupBy("x", "y"))
         .applyInPandas(per_cell, "id bigint, own int, cluster int, total double, n bigint")
         .groupBy("id", "own", "cluster").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )
