@@ -198,6 +198,55 @@ def judge_prompt(spark, d):
     return assess.judge_prompts(rows)
 
 
+# ---- message to decision -----------------------------------------------------------------------------------
+
+_CORPUS_INTENTS = tuple(b.INTENT_OF_LANG.values())
+_TOP1_REPLY = b.sql_squeeze("coalesce(c.text, '')")
+_TRIAGE = _ROUND + ", " + b.VECTORS_SQL + f""", routed AS (
+   SELECT doc_id, text, intent, confidence, {sql_any('text', b.OVERRIDE_SQL)} AS fraud FROM documents JOIN embeddings ON vec_id = doc_id
+   JOIN rounds ON id = doc_id WHERE outcome = 'ok'),
+ near AS (SELECT query_id, corpus_id, similarity, intent = list_extract([{', '.join(quote(i) for i in _CORPUS_INTENTS)}], corpus_label % 4 + 1) AS same
+   FROM ranked JOIN routed ON doc_id = query_id WHERE rank <= 20 AND NOT fraud),
+ matched AS (SELECT *, count_if(same) OVER (PARTITION BY query_id) AS m FROM near),
+ top1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, corpus_id) AS k FROM matched
+   WHERE m < 3 OR same) WHERE k = 1),
+ drafted AS (SELECT r.*, trim(r.text) AS reply, {_TOP1_REPLY} AS top_reply, t.similarity FROM routed r LEFT JOIN top1 t ON t.query_id = r.doc_id
+   LEFT JOIN documents c ON c.doc_id = t.corpus_id),
+ named AS (SELECT *, {b.sql_overlap('reply', 'top_reply')} AS share, {b.sql_names('reply', greetings=fv.GREETINGS)} AS names FROM drafted),
+ checked AS (SELECT doc_id, intent, confidence, fraud, CASE WHEN fraud THEN 0.0 ELSE similarity END::DOUBLE AS sim,
+   CASE WHEN fraud THEN {quote(fv.HOLDING_MESSAGE)} ELSE reply END AS drafted_reply, CASE WHEN fraud THEN [] ELSE list_concat(
+     list_transform(names, lambda x: '"name used in draft: ''' || x || ''' (names are banned by policy)"'),
+     CASE WHEN share >= 0.85 THEN ['''near-verbatim: ' || round_even(share * 100, 0)::INT || '% token overlap with top-1 retrieved reply'''] ELSE [] END) END AS msgs
+   FROM named)"""
+_TD, _TR = b.sql_decide("intent", "confidence", "fraud", "sim", "len(msgs) > 0", "'[' || array_to_string(msgs, ', ') || ']'",
+                        ("account_access",), 0.75, 0.3)
+
+
+@query(_TRIAGE + f""" SELECT doc_id AS customer_tweet_id, intent AS predicted_intent, confidence AS predicted_confidence, drafted_reply,
+  len(msgs)::INT AS n_flags, {_TD} AS escalation_decision, {_TR} AS escalation_reason FROM checked""")
+def triage_decisions(spark, d):
+    """Documents as messages: classified by the response table, routed, matched with examples, checked and decided."""
+    queries, corpus = b.queries_and_corpus(spark, d)
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    rows = queries.join(docs, docs["doc_id"] == queries["vec_id"]).select(
+        F.col("doc_id").alias(triage.ID), F.col("text").alias(triage.TEXT), "embedding"
+    )
+    intents = F.array(*[F.lit(i) for i in _CORPUS_INTENTS])
+    replies = corpus.join(docs, docs["doc_id"] == corpus["vec_id"], "left").select(
+        "vec_id", "embedding", F.element_at(intents, (F.col("label") % 4 + 1).cast("int")).alias("predicted_intent"),
+        F.col("text").alias(triage.TEXT), tx.squeeze(F.coalesce("text", F.lit(""))).alias("brand_reply_clean"),
+    )
+    labels = triage.pseudo_labels(rows, b.responses(spark, d), patterns=b.OVERRIDE_PATTERNS)
+    routed = staged(triage.route(rows, labels), "routed")
+    examples = staged(triage.examples_for(routed, replies, "vec_id"), "examples")
+    drafts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("reply"))
+    out = triage.triage(routed, examples, drafts, ("account_access",), b.ALLOWED_NAMES, 0.75, 0.3)
+    return out.select(
+        triage.ID, "predicted_intent", "predicted_confidence", "drafted_reply", F.size("validate_draft_flags").alias("n_flags"),
+        "escalation_decision", "escalation_reason",
+    )
+
+
 # ---- scores -----------------------------------------------------------------------------------------------
 
 _POINTS = ((0.0, "min"), (0.25, "q1"), (0.5, "median"), (0.75, "q3"), (1.0, "max"))

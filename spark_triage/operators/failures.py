@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spark_triage.session import broadcast_up_to
+
 ID = "customer_tweet_id"
 
 
@@ -121,7 +123,7 @@ def failure_candidates(df: DataFrame) -> DataFrame:
     )
     whole = tagged.filter(~F.col("listing").isin(*limits))
     detail = F.coalesce(*[F.when(F.col("listing") == n, _detail(spec.shown)) for n, spec in LISTINGS.items()])
-    return bounded.unionByName(whole).join(F.broadcast(totals), "listing").select(
+    return bounded.unionByName(whole).join(broadcast_up_to(totals, len(LISTINGS)), "listing").select(
         "listing", "total", ID, "tweet", "reply", detail.alias("detail")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
 from spark_triage.functions.text import WORD
+from spark_triage.session import broadcast_up_to
 
 TERM = rf"[{WORD}]{{2,}}"
 
@@ -39,7 +40,7 @@ def tfidf(
     )
     n_groups = df.agg(F.count_distinct(group).alias("n")).scalar()
     idf = F.ln((F.lit(1.0) + F.col("n_groups")) / (F.lit(1.0) + F.col("df"))) + 1
-    weighted = counts.join(F.broadcast(vocabulary), "term").withColumn("n_groups", n_groups).withColumn("w", F.col("tf") * idf)
+    weighted = counts.join(broadcast_up_to(vocabulary, max_terms), "term").withColumn("n_groups", n_groups).withColumn("w", F.col("tf") * idf)
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(group)))
     return weighted.select(group, "term", "tf", (F.col("w") / norm).alias("weight"))
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spark_triage.session import broadcast_up_to
+
 TRIGRAMS_PER_LANGUAGE = 1000
 
 
@@ -42,7 +44,8 @@ def language_profile(
 
 
 def detect_language(
-    df: DataFrame, id_col: str, text_col: str, profile: DataFrame, languages: Sequence[str]
+    df: DataFrame, id_col: str, text_col: str, profile: DataFrame, languages: Sequence[str],
+    per_language: int = TRIGRAMS_PER_LANGUAGE,
 ) -> DataFrame:
     """(id, detected); NULL where the text has no known trigram.
 
@@ -52,7 +55,7 @@ def detect_language(
     grams = df.select(F.col(id_col), trigrams(F.col(text_col)).alias("grams")).select(
         id_col, F.size("grams").alias("n"), F.explode_outer("grams").alias("gram")
     )
-    hit = grams.join(F.broadcast(profile), "gram", "left")
+    hit = grams.join(broadcast_up_to(profile, per_language * len(languages)), "gram", "left")
     sums = hit.groupBy(id_col).agg(
         F.max("n").alias("n"),
         *[F.sum(F.coalesce(f"w_{x}", F.lit(0.0))).alias(f"s_{x}") for x in languages],

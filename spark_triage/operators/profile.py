@@ -125,7 +125,7 @@ def brand_volume(messages: DataFrame, top: int) -> DataFrame:
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = 100_000) -> DataFrame:
     """Exact linear-interpolated quantiles of a numeric column, as (prob, value).
 
-    A mergeable sketch brackets each wanted rank within ten times its error bound. Rows below a bracket
+    The rows are read three times, so give a table or a staged frame. A mergeable sketch brackets each wanted rank within ten times its error bound. Rows below a bracket
     are only counted; those inside it, collapsed to one row per value, are ordered. A rank outside its
     bracket raises instead of giving a wrong value.
     """

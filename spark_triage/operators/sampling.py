@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
+from spark_triage.session import broadcast_up_to
 
 _GROUP_LIMIT = 1000  # constant bounds up to this size are applied before the shuffle
+_BUCKETS = 60 * 1024 + 1
 
 
 def hash_key(id_col: str, seed: int) -> Column:
@@ -34,7 +36,7 @@ def ranked_sample(df: DataFrame, id_col: str, seed: int, n: int, rank_col: str =
     )
     inside = Window.partitionBy("_bucket").orderBy("_key", id_col)
     return (
-        keyed.join(F.broadcast(buckets), "_bucket")
+        keyed.join(broadcast_up_to(buckets, _BUCKETS), "_bucket")
         .withColumn(rank_col, (F.col("_before") + F.row_number().over(inside)).cast("int"))
         .filter(F.col(rank_col) <= n)
         .drop("_key", "_bucket", "_before")
@@ -101,7 +103,7 @@ def stratified_sample(
 ) -> DataFrame:
     """Seeded sample with equal quotas per group. A group smaller than its quota gives all its rows; the
     shortfall is not handed to other groups."""
-    wanted = df.join(F.broadcast(group_quotas(df, group, n_total, places)), group)
+    wanted = df.join(broadcast_up_to(group_quotas(df, group, n_total, places), n_total), group)
     order = [hash_key(id_col, seed), F.col(id_col)]
     return (
         top_per_group(wanted, group, order, n_total, id_col)

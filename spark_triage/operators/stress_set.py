@@ -11,7 +11,7 @@ from spark_triage import fixed_values as fv
 from spark_triage.functions import text as tx
 from spark_triage.operators.profile import union_all
 from spark_triage.operators.sampling import hash_key, lowest, stratified_sample
-from spark_triage.session import staged
+from spark_triage.session import broadcast_up_to, staged
 
 
 @dataclass(frozen=True)
@@ -47,7 +47,7 @@ def select_stress_set(pool: DataFrame, id_col: str, intent: str, plan: StressPla
     several times: give it as a table, or stage it.
     """
     stratified = staged(stratified_sample(pool, intent, id_col, plan.stratified, plan.stratify_seed), "stratified")
-    rest = pool.join(F.broadcast(stratified.select(id_col)), id_col, "left_anti").withColumn(
+    rest = pool.join(broadcast_up_to(stratified.select(id_col), plan.stratified), id_col, "left_anti").withColumn(
         "_key", hash_key(id_col, plan.hard_seed)
     )
     named = {

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,6 +22,15 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="triage-")
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, known to hold at most ``rows`` rows, marked for broadcast if that is few; else left to the
+    optimizer, which joins it by shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once and read back, for a result that several later steps scan."""
     spark = df.sparkSession
