@@ -37,7 +37,7 @@ _GJ = _G + ", " + b.JUDGE_SQL + ", gj AS (SELECT * FROM golden LEFT JOIN judge U
 
 
 def _scored(spark, d):
-    return fl.golden_with_scores(b.golden(spark, d), b.judge(spark, d))
+    return fl.golden_with_scores(staged(b.golden(spark, d), "golden"), b.judge(spark, d))
 
 
 # ---- responses ------------------------------------------------------------------------------------------
@@ -227,7 +227,7 @@ _TD, _TR = b.sql_decide("intent", "confidence", "fraud", "sim", "len(msgs) > 0",
 def triage_decisions(spark, d):
     """Documents as messages: classified by the response table, routed, matched with examples, checked and decided."""
     queries, corpus = b.queries_and_corpus(spark, d)
-    docs = load(spark, d, "documents").select("doc_id", "text")
+    docs = texts(spark, d, "documents").select("doc_id", "text")
     rows = queries.join(docs, docs["doc_id"] == queries["vec_id"]).select(
         F.col("doc_id").alias(triage.ID), F.col("text").alias(triage.TEXT), "embedding"
     )
@@ -522,4 +522,4 @@ def failure_listing(spark, d):
 
 @query(_G + f" SELECT customer_tweet_id, true_intent, predicted_intent FROM golden WHERE {_MIS} AND {_MISSED}")
 def cascade_failures(spark, d):
-    return fl.cascade_failures(b.golden(spark, d))
+    return fl.cascade_failures(staged(b.golden(spark, d), "golden"))

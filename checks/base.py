@@ -206,9 +206,9 @@ def sql_any(text: str, patterns) -> str:
 
 def sql_unescape(text: str) -> str:
     """The entities the pages hold; the ampersand comes last."""
-    for name, char in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+    for name, char in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·")):
         text = f"replace({text}, {quote(name)}, {quote(char)})"
-    return text
+    return f"regexp_replace({text}, '&amp;?', '&', 'g')"
 
 
 def sql_redact(text: str) -> str:

@@ -24,7 +24,9 @@ def default_stop_words() -> list[str]:
 def term_counts(df: DataFrame, group: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
     """(group, term, tf). Counted in the task that reads the text before anything moves."""
     terms = df.select(group, F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))).alias("term"))
-    return terms.filter(~F.col("term").isin(*stop_words)).groupBy(group, "term").agg(F.count("*").alias("tf"))
+    # The join on terms needs this filter; stated here, both uses of the counts share one shuffle.
+    kept = terms.filter(F.col("term").isNotNull() & ~F.col("term").isin(*stop_words))
+    return kept.groupBy(group, "term").agg(F.count("*").alias("tf"))
 
 
 def tfidf(

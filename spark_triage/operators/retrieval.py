@@ -51,8 +51,10 @@ def _slices(n: int) -> Iterator[slice]:
 
 
 def _collect_checked(df: DataFrame):
-    rows = df.select("id", "vec").toPandas()
-    return rows["id"].to_numpy(), _matrix(rows["vec"]) if len(rows) else np.zeros((0, 0))
+    """(ids, matrix) of a side whose bytes have been checked."""
+    rows = df.select("id", F.col("vec").cast("array<double>").alias("vec")).toArrow()
+    flat = rows["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return rows["id"].to_numpy(), flat.reshape(rows.num_rows, -1) if rows.num_rows else np.zeros((0, 0))
 
 
 def top_k_similar(
@@ -60,8 +62,8 @@ def top_k_similar(
     vector: str = "embedding", broadcast_bytes: int = BROADCAST_BYTES, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(query_id, corpus_id, similarity, rank): the k corpus rows with the largest dot product per query."""
-    q = queries.select(F.col(query_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
-    c = corpus.select(F.col(corpus_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
+    q = queries.filter(F.col(vector).isNotNull()).select(F.col(query_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
+    c = corpus.filter(F.col(vector).isNotNull()).select(F.col(corpus_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
     # The ids alone are counted, so the vectors are not read for it; one row tells the width.
     n_q, n_c = q.select("id").count(), c.select("id").count()
     head = c.select(F.size("vec")).first()

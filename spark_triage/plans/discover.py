@@ -12,6 +12,7 @@ from spark_triage.operators import features as ft
 from spark_triage.operators import models as md
 from spark_triage.operators import profile as pf
 from spark_triage.operators import sampling as sm
+from spark_triage.session import staged
 
 
 def cluster_examples(
@@ -47,7 +48,7 @@ def discover(
     stop_words: Sequence[str] | None = None, starts: int = fv.KMEANS_STARTS,
 ) -> dict[str, DataFrame]:
     """``rows`` carry their vectors. Gives the silhouette per candidate k, the labels for ``k`` and a report."""
-    drawn = sm.seeded_sample(rows, id_col, seed, sample).persist()
+    drawn = staged(sm.seeded_sample(rows, id_col, seed, sample), "discovery")
     labelled = md.assign_clusters(drawn, md.best_kmeans(drawn, k, vector, starts), vector)
     words = ft.default_stop_words() if stop_words is None else stop_words
     return {

@@ -39,3 +39,21 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_query_without_sql_gives_rows(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
+
+
+def test_python_tasks_run_from_another_folder(tmp_path):
+    """The tasks must not need the repository on the workers' import path."""
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "import __spark_entry__ as e\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        f"print('rows', e.queries()['max_similarity'](s, {SF!r}).count())\n"
+    )
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 500" in out.stdout, out.stderr[-2000:]
