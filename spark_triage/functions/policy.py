@@ -79,14 +79,17 @@ def decide(
 ) -> Column:
     """STRUCT<decision, reason>: override, then high risk, then flags, then the two score floors."""
     similarity = F.coalesce(similarity, F.lit(0.0))
-    conf2, sim2 = F.format_string("%.2f", confidence), F.format_string("%.2f", similarity)
-    low_conf, low_sim = confidence < min_confidence, similarity < min_similarity
+    conf2 = F.when(confidence.isNull(), F.lit("missing")).otherwise(F.format_string("%.2f", confidence))
+    sim2 = F.format_string("%.2f", similarity)
+    # A missing confidence is a low one: nothing is handled automatically for want of a value.
+    low_conf, low_sim = F.coalesce(confidence < min_confidence, F.lit(True)), similarity < min_similarity
     failed = F.concat_ws(
         "; ",
         F.when(low_conf, F.concat(F.lit("confidence "), conf2, F.lit(f" < {min_confidence}"))),
         F.when(low_sim, F.concat(F.lit("retrieval_top1_similarity "), sim2, F.lit(f" < {min_similarity}"))),
     )
-    risky = intent.isin(*high_risk)
+    override = F.coalesce(override, F.lit(False))
+    risky = F.coalesce(intent.isin(*high_risk), F.lit(False))
     flagged = F.coalesce(F.size(flags), F.lit(0)) > 0
     escalate = override | risky | flagged | low_conf | low_sim
     reason = (

@@ -52,7 +52,7 @@ def assign_clusters(df: DataFrame, model: KMeansModel, vector: str = "embedding"
 
 
 def silhouette(
-    df: DataFrame, id_col: str, cluster: str, vector: str = "embedding", block_rows: int = 2048
+    df: DataFrame, id_col: str, cluster: str, vector: str = "embedding", block_rows: int = 16_384
 ) -> DataFrame:
     """(id, cluster, silhouette) with exact Euclidean distances.
 
@@ -75,13 +75,15 @@ def silhouette(
             return pd.DataFrame({"id": [], "own": [], "cluster": [], "total": [], "n": []})
         p = np.stack([np.asarray(v, dtype=np.float64) for v in x["vec"]])
         q = np.stack([np.asarray(v, dtype=np.float64) for v in y["other_vec"]])
-        square = (p * p).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2 * (p @ q.T)
-        dist = np.sqrt(np.maximum(square, 0))
-        dist[x["id"].to_numpy()[:, None] == y["other_id"].to_numpy()[None, :]] = 0.0
         labels, place = np.unique(y["other_cluster"].to_numpy(), return_inverse=True)
-        member = np.eye(len(labels))[place]
-        total, n = dist @ member, member.sum(0)
-        m = len(labels)
+        member, ids, others = np.eye(len(labels))[place], x["id"].to_numpy(), y["other_id"].to_numpy()
+        total, n, m = np.empty((len(x), len(labels))), member.sum(0), len(labels)
+        for at in range(0, len(x), 1024):  # a slice of the distance matrix at a time
+            s = slice(at, at + 1024)
+            square = (p[s] * p[s]).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2 * (p[s] @ q.T)
+            dist = np.sqrt(np.maximum(square, 0))
+            dist[ids[s][:, None] == others[None, :]] = 0.0
+            total[s] = dist @ member
         return pd.DataFrame(
             {
                 "id": np.repeat(x["id"].to_numpy(), m), "own": np.repeat(x["cluster"].to_numpy(), m),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from spark_triage import fixed_values as fv
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+BLOCK_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 4096
 DECIMALS = 9  # similarities are ranked at this precision, so block shapes cannot change an order
 
@@ -27,18 +28,23 @@ def _matrix(vectors) -> np.ndarray:
 
 
 def _block_top_k(q_ids, q, c_ids, c, k: int) -> pd.DataFrame:
-    """The k best corpus rows of each query in one block, ties by corpus id."""
-    parts = []
-    for at in range(0, len(c_ids), BLOCK_ROWS):
-        ids = c_ids[at:at + BLOCK_ROWS]
-        sims = np.round(q @ c[at:at + BLOCK_ROWS].T, DECIMALS) + 0.0
-        if sims.shape[1] > k:
-            floor = np.partition(sims, sims.shape[1] - k, axis=1)[:, -k]
-            row, col = np.nonzero(sims >= floor[:, None])
-        else:
-            row, col = (x.ravel() for x in np.indices(sims.shape))
-        parts.append(_best(pd.DataFrame({"query_id": q_ids[row], "corpus_id": ids[col], "similarity": sims[row, col]}), k))
-    return _best(pd.concat(parts), k) if len(parts) > 1 else parts[0]
+    """The k best corpus rows of each query in one pair of blocks, ties by corpus id. Both sides are taken in
+    slices, so the similarity matrix stays small whatever the block sizes are."""
+    done = []
+    for rows in _slices(len(q_ids)):
+        best = None
+        for cols in _slices(len(c_ids)):
+            ids = c_ids[cols]
+            sims = np.round(q[rows] @ c[cols].T, DECIMALS) + 0.0
+            if sims.shape[1] > k:
+                floor = np.partition(sims, sims.shape[1] - k, axis=1)[:, -k]
+                row, col = np.nonzero(sims >= floor[:, None])
+            else:
+                row, col = (x.ravel() for x in np.indices(sims.shape))
+            new = pd.DataFrame({"query_id": q_ids[rows][row], "corpus_id": ids[col], "similarity": sims[row, col]})
+            best = _best(new if best is None else pd.concat([best, new]), k)
+        done.append(best)
+    return pd.concat(done)
 
 
 def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -59,7 +65,7 @@ def _collect_checked(df: DataFrame):
 
 def top_k_similar(
     queries: DataFrame, corpus: DataFrame, k: int, query_id: str, corpus_id: str,
-    vector: str = "embedding", broadcast_bytes: int = BROADCAST_BYTES, block_rows: int = BLOCK_ROWS,
+    vector: str = "embedding", broadcast_bytes: int = BROADCAST_BYTES, block_rows: int | None = None,
 ) -> DataFrame:
     """(query_id, corpus_id, similarity, rank): the k corpus rows with the largest dot product per query."""
     q = queries.filter(F.col(vector).isNotNull()).select(F.col(query_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
@@ -77,8 +83,7 @@ def top_k_similar(
             ids, mat = small.value
             for pdf in batches:
                 if len(pdf) and len(ids):
-                    for s in _slices(len(pdf)):
-                        yield _block_top_k(pdf["id"].to_numpy()[s], _matrix(pdf["vec"][s]), ids, mat, k)
+                    yield _block_top_k(pdf["id"].to_numpy(), _matrix(pdf["vec"]), ids, mat, k)
 
         found = q.mapInPandas(per_query, schema)
     elif n_q * row_bytes <= broadcast_bytes:
@@ -90,15 +95,16 @@ def top_k_similar(
             for pdf in batches:
                 if not len(pdf) or not len(ids):
                     continue
-                c_ids, c_mat = pdf["id"].to_numpy(), _matrix(pdf["vec"])
-                new = pd.concat([_block_top_k(ids[s], mat[s], c_ids, c_mat, k) for s in _slices(len(ids))])
+                new = _block_top_k(ids, mat, pdf["id"].to_numpy(), _matrix(pdf["vec"]), k)
                 best = new if best is None else _best(pd.concat([best, new]), k)
             if best is not None:
                 yield best
 
         found = c.mapInPandas(per_corpus, schema)
     else:
-        n_qb, n_cb = math.ceil(n_q / block_rows), math.ceil(n_c / block_rows)
+        # A row is copied once per block of the other side: blocks as large as a task can hold keep that low.
+        size = block_rows or max(BLOCK_ROWS, BLOCK_BYTES // row_bytes)
+        n_qb, n_cb = math.ceil(n_q / size), math.ceil(n_c / size)
         spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
         qb = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_qb)).cast("int")).withColumn("cb", spread(n_cb))
         cb = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(n_cb)).cast("int")).withColumn("qb", spread(n_qb))

@@ -103,6 +103,7 @@ def test_validate_draft(spark):
      ("escalate", "generated reply failed automated safety validation: [\"name used in draft: 'Bob' (names are banned by policy)\"]")),
     (("positive_feedback", 0.5, False, 0.1, []), ("escalate", "confidence 0.50 < 0.9; retrieval_top1_similarity 0.10 < 0.74")),
     (("positive_feedback", 0.95, False, None, []), ("escalate", "retrieval_top1_similarity 0.00 < 0.74")),
+    (("positive_feedback", None, None, 0.8, []), ("escalate", "confidence missing < 0.9")),
     (("positive_feedback", 0.90, False, 0.74, []), ("auto", "confidence 0.90 >= 0.9 and similarity 0.74 >= 0.74")),
 ])
 def test_decide(spark, args, want):
