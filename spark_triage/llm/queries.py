@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spark_triage.llm import neardup
+from spark_triage.llm import neardup, substring
 from spark_triage.llm.common import load
 
 
@@ -14,8 +14,13 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(substring.without_repeats(load(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_substring_dedup": op3_substring_dedup,
 }
 
 SQL: dict[str, str] = {}
