@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spark_triage.llm import neardup, substring
+from spark_triage.llm import counts, neardup, packing, substring
+from spark_triage.llm import tokens as tk
 from spark_triage.llm.common import load
 
 
+def byte_vocabulary() -> str:
+    import public_tokenizers
+
+    return tk.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(load(spark, sf_dir, "documents"))
 
@@ -18,9 +25,19 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.without_repeats(load(spark, sf_dir, "documents")))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"), byte_vocabulary())
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(load(spark, sf_dir, "documents"), byte_vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_substring_dedup": op3_substring_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_token_counts": op8_token_counts,
 }
 
 SQL: dict[str, str] = {}
