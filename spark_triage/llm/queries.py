@@ -6,15 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spark_triage.llm import counts, neardup, packing, substring
+from spark_triage.llm import counts, idfiles, neardup, packing, substring
 from spark_triage.llm import tokens as tk
 from spark_triage.llm.common import load
 
 
-def byte_vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return tk.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    return tk.read_vocabulary(public_tokenizers.path(name))
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,17 +25,22 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.without_repeats(load(spark, sf_dir, "documents")))
 
 
+def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idfiles.round_trip(load(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(load(spark, sf_dir, "documents"), byte_vocabulary())
+    return packing.pack(load(spark, sf_dir, "documents"), vocabulary())
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.token_counts(load(spark, sf_dir, "documents"), byte_vocabulary())
+    return counts.token_counts(load(spark, sf_dir, "documents"), vocabulary())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_substring_dedup": op3_substring_dedup,
+    "op6_id_files": op6_id_files,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_counts": op8_token_counts,
 }
