@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spark_triage.llm import counts, idfiles, neardup, packing, substring
+from spark_triage.llm import counts, idfiles, neardup, packing, substring, wordtable
 from spark_triage.llm import tokens as tk
 from spark_triage.llm.common import load
 
@@ -25,6 +25,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.without_repeats(load(spark, sf_dir, "documents")))
 
 
+def op4_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordtable.encoded(load(spark, sf_dir, "documents"), vocabulary(), digest=True)
+
+
 def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.round_trip(load(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -40,6 +44,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_word_table": op4_word_table,
     "op6_id_files": op6_id_files,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_counts": op8_token_counts,
