@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spark_triage.llm import counts, idfiles, neardup, packing, substring, wordtable
+from spark_triage.llm import counts, idfiles, neardup, packing, quality, sharding, substring, wordtable
 from spark_triage.llm import tokens as tk
 from spark_triage.llm.common import load
 
@@ -17,6 +17,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return tk.read_vocabulary(public_tokenizers.path(name))
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(load(spark, sf_dir, "documents")).drop("host_rejected")
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(load(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op4_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordtable.encoded(load(spark, sf_dir, "documents"), vocabulary(), digest=True)
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(load(spark, sf_dir, "documents"))
+
+
 def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.round_trip(load(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -42,9 +50,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_word_table": op4_word_table,
+    "op5_sharding": op5_sharding,
     "op6_id_files": op6_id_files,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_counts": op8_token_counts,
