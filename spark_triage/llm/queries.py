@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_triage.llm import counts, idfiles, neardup, packing, quality, sharding, substring, topk, wordtable
+from spark_triage.llm import counts, idfiles, neardup, packing, pii, quality, sharding, substring, topk, wordtable
 from spark_triage.llm import tokens as tk
 from spark_triage.llm.common import load
 
@@ -50,6 +50,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(load(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(load(spark, sf_dir, "documents")).drop("all_spans")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_id_files": op6_id_files,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_personal_data": op9_personal_data,
     "op10_exact_top_k": op10_exact_top_k,
 }
 
