@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from spark_triage.llm import counts, idfiles, neardup, packing, pii, quality, sharding, substring, topk, wordtable
 from spark_triage.llm import tokens as tk
 from spark_triage.llm.common import load
+from spark_triage.llm.sql import SQL
+
+__all__ = ["QUERIES", "SQL", "vocabulary"]
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -70,5 +73,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_exact_top_k": op10_exact_top_k,
 }
-
-SQL: dict[str, str] = {}

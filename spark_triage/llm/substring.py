@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from spark_triage.llm import wordhash as wh
-from spark_triage.llm.common import map_batches, staged, strip
+from spark_triage.llm.common import map_batches, staged
 
 WIDTH = 35
 ANCHOR = 12
@@ -115,10 +116,12 @@ def _grouped(rows: DataFrame, keys: list[str], decide, schema: str) -> DataFrame
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, did, h, text): did and h tell rows apart that share an id but not a text."""
-    return strip(docs, id_col, text_col).select(
-        "doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), F.coalesce("text", F.lit("")).alias("text")
+def _texts(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """(doc_id, did, h, text, row): did and h tell rows apart that share an id but not a text."""
+    doc_id = F.col(id_col).cast("long")
+    return docs.select(
+        doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(-(1 << 63))).alias("did"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *[F.struct(*keep).alias("row")][: len(keep)]
     ).withColumn("h", (F.crc32(F.encode("text", "UTF-8")) - F.lit(1 << 31)).cast("int"))
 
 
@@ -236,21 +239,22 @@ def repeated_windows(texts: DataFrame, spans: DataFrame, width: int) -> DataFram
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                    gram: int = ANCHOR) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_text), one row per row of ``docs``.
+                    gram: int = ANCHOR, keep: tuple[str, ...] = (), as_is: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_text), one row per row of ``docs``, and ``row``, a struct of the columns
+    ``keep``, if there are any.
 
     A word goes if a window of ``width`` words that covers it occurs elsewhere, in any document, its own included,
-    judged on the input. The kept words are joined by one space. Null and empty texts have no words and an empty kept
+    judged on the input. The kept words are joined by one space; with ``as_is`` a text that loses none stays as it was. Null and empty texts have no words and an empty kept
     text. Rows that are copies of each other, ids included, are two occurrences each. Needs 2 <= gram < width < 86.
     """
     if not 2 <= gram < width or width - gram >= 63:
         raise ValueError("needs 2 <= gram < width and width - gram < 63")
-    texts = _texts(docs, id_col, text_col)
+    texts = _texts(docs, id_col, text_col, keep)
     spans = staged(repeated_spans(texts, width, gram), "substring-spans")
     flags = repeated_windows(texts, spans, width).unionByName(spans.filter(F.col("state") != PARTIAL).drop("state"))
     flags = flags.groupBy("did", "h").agg(F.collect_list(F.struct("at", "n")).alias("flags"))
 
-    def keep(batch):
+    def cut(batch):
         lists = batch.column("flags")
         flat = lists.flatten()
         at, n = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2))
@@ -269,11 +273,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 gone = int(len(words) - stay.sum())
             words_of.append(len(words))
             removed.append(gone)
-            kept.append(b" ".join(compress(words, stay.tolist()) if gone else words).decode())
-        return {"doc_id": batch.column("doc_id"), "n_words": words_of, "n_removed": removed, "kept_text": kept}
+            same = as_is and not gone
+            kept.append(text if same else b" ".join(compress(words, stay.tolist()) if gone else words).decode())
+        out = {"doc_id": batch.column("doc_id"), "n_words": words_of, "n_removed": removed, "kept_text": kept}
+        return out | ({"row": batch.column("row")} if keep else {})
 
-    return map_batches(texts.join(flags, ["did", "h"], "left"), keep,
-                       "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+    schema = StructType.fromDDL("doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+    if keep:
+        schema = schema.add(texts.schema["row"])
+
+    return map_batches(texts.join(flags, ["did", "h"], "left"), cut, schema)
 
 
 def digest(kept: DataFrame) -> DataFrame:
