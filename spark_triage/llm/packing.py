@@ -20,7 +20,7 @@ from spark_triage.llm import tokens as tk
 from spark_triage.llm.common import bucket_ranks, map_batches, staged, strip
 
 SIZE = 1024
-RANKED_ROWS = 50_000
+RANKED_ROWS = 8192
 
 
 def pieces(docs: DataFrame, spec: str, end_id: int, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -39,7 +39,7 @@ def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: int =
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     flat = column.combine_chunks()
     flat = flat.flatten() if isinstance(flat, pa.ListArray) else pa.concat_arrays([c.flatten() for c in flat.chunks])
-    return flat.to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, width)
+    return flat.to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), width)
 
 
 def _neighbours(x: np.ndarray) -> np.ndarray:
