@@ -365,8 +365,7 @@ def lang_sql(target: str, id_col: str, text_col: str) -> str:
         )
 
     return f"""train AS ({grams('documents', 'doc_id', 'text', ', lang')}),
-top AS (SELECT lang, g, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, g) AS r
-        FROM (SELECT lang, g, count(*) AS n FROM train GROUP BY lang, g)) WHERE r <= 1000),
+top AS (SELECT lang, g, count(*) AS n FROM train GROUP BY lang, g),
 z AS (SELECT lang, ln((sum(n) + (SELECT count(DISTINCT g) FROM top))::DOUBLE) AS z FROM top GROUP BY lang),
 seen AS ({grams(target, id_col, text_col)}),
 sizes AS (SELECT {id_col}, count(*) AS n_grams FROM seen GROUP BY 1),

@@ -219,7 +219,7 @@ def template_count(spark, d):
 def _detected_documents(spark, d):
     docs = texts(spark, d, "documents")
     profile = lg.language_profile(docs, "text", "lang", b.LANGUAGES)
-    return docs, lg.detect_language(docs, "doc_id", "text", profile, b.LANGUAGES)
+    return lg.detect_language(docs, "text", profile, b.LANGUAGES)
 
 
 _DOC_LANG = "WITH " + b.lang_sql("documents", "doc_id", "text")
@@ -227,19 +227,18 @@ _DOC_LANG = "WITH " + b.lang_sql("documents", "doc_id", "text")
 
 @query(_DOC_LANG + " SELECT doc_id, detected FROM detected")
 def detect_language(spark, d):
-    return _detected_documents(spark, d)[1]
+    return _detected_documents(spark, d).select("doc_id", "detected")
 
 
 @query(_DOC_LANG + " SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM detected WHERE detected = 'en')")
 def language_filter(spark, d):
-    docs, found = _detected_documents(spark, d)
-    return lg.language_filter(docs, "doc_id", found).select("doc_id", "text")
+    return lg.language_filter(_detected_documents(spark, d)).select("doc_id", "text")
 
 
 @query(_DOC_LANG + """ SELECT count_if(detected IS NULL)::BIGINT AS n_errored, count_if(detected <> 'en')::BIGINT AS n_other,
   count_if(detected = 'en')::BIGINT AS n_kept FROM detected""")
 def language_outcomes(spark, d):
-    return pf.language_outcomes(_detected_documents(spark, d)[1])
+    return pf.language_outcomes(_detected_documents(spark, d))
 
 
 def _profile(spark, d):

@@ -1,76 +1,89 @@
-"""Language identification of a column: character-trigram naive Bayes, trained and scored as joins."""
+"""Language identification of a column: character-trigram naive Bayes, trained by grouping, scored row by row."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spark_triage.session import broadcast_up_to
 
-TRIGRAMS_PER_LANGUAGE = 1000
+def _letters(text: Column) -> Column:
+    """The lower-cased letters, words parted and enclosed by single spaces; NULL without a letter."""
+    letters = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "))
+    return F.when(letters != "", F.concat(F.lit(" "), letters, F.lit(" ")))
 
 
 def trigrams(text: Column) -> Column:
-    """Overlapping code-point trigrams of the lower-cased letters, words parted by single spaces."""
-    letters = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "))
-    padded = F.concat(F.lit(" "), letters, F.lit(" "))
-    return F.when(letters != "", F.regexp_extract_all(padded, F.lit("(?s)(?=(...))."), F.lit(1)))
+    """Overlapping code-point trigrams of ``_letters``."""
+    return F.regexp_extract_all(_letters(text), F.lit("(?s)(?=(...))."), F.lit(1))
 
 
-def language_profile(
-    labelled: DataFrame, text_col: str, lang_col: str, languages: Sequence[str],
-    per_language: int = TRIGRAMS_PER_LANGUAGE,
-) -> DataFrame:
+def language_profile(labelled: DataFrame, text_col: str, lang_col: str, languages: Sequence[str]) -> DataFrame:
     """(gram, w_<lang>.., z_<lang>..): w = ln(count + 1), z = ln(total + vocabulary), add-one smoothed.
 
-    At most ``per_language`` trigrams per language are kept, so the profile has a fixed size.
+    Every trigram of every labelled row counts. The profile is as large as the labelled rows' distinct trigrams, which
+    the number of labelled rows bounds; give a bounded set of them.
     """
     counts = (
         labelled.filter(F.col(lang_col).isin(*languages))
         .select(F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
-        .groupBy("lang", "gram").agg(F.count("*").alias("n"))
+        .groupBy("gram").agg(*[F.count_if(F.col("lang") == x).alias(x) for x in languages])
     )
-    best = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    top = counts.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= per_language)
-    wide = top.groupBy("gram").pivot("lang", list(languages)).agg(F.first("n")).na.fill(0, list(languages))
     whole = Window.partitionBy()
-    return wide.select(
+    return counts.select(
         "gram",
         *[F.ln(F.col(x) + 1).alias(f"w_{x}") for x in languages],
         *[F.ln((F.sum(x).over(whole) + F.count("*").over(whole)).cast("double")).alias(f"z_{x}") for x in languages],
     )
 
 
+def _keys(codes: np.ndarray) -> np.ndarray:
+    """Trigrams of code points (21 bits each) as numbers."""
+    return codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+
+
 def detect_language(
-    df: DataFrame, id_col: str, text_col: str, profile: DataFrame, languages: Sequence[str],
-    per_language: int = TRIGRAMS_PER_LANGUAGE,
+    df: DataFrame, text_col: str, profile: DataFrame, languages: Sequence[str], out: str = "detected"
 ) -> DataFrame:
-    """(id, detected); NULL where the text has no known trigram.
+    """``df`` with ``out``, the language of each row's text; NULL where the text has no known trigram.
 
-    The profile is broadcast (its size is fixed), so trigrams are never shuffled: scores are summed in
-    the task that holds the text, and one row per text and task moves.
+    The profile goes to every task as one sorted array, and a text is scored where it stands: nothing is grouped or
+    shuffled, and rows do not depend on each other. Equal scores take the first language by name.
     """
-    grams = df.select(F.col(id_col), trigrams(F.col(text_col)).alias("grams")).select(
-        id_col, F.size("grams").alias("n"), F.explode_outer("grams").alias("gram")
-    )
-    hit = grams.join(broadcast_up_to(profile, per_language * len(languages)), "gram", "left")
-    sums = hit.groupBy(id_col).agg(
-        F.max("n").alias("n"),
-        *[F.sum(F.coalesce(f"w_{x}", F.lit(0.0))).alias(f"s_{x}") for x in languages],
-        *[F.max(f"z_{x}").alias(f"z_{x}") for x in languages],
-    )
-    # Equal scores take the first language by name.
-    scored = [
-        F.struct((F.col(f"s_{x}") - F.col("n") * F.col(f"z_{x}")).alias("score"), F.lit(-i).alias("rank"), F.lit(x).alias("lang"))
-        for i, x in enumerate(sorted(languages))
-    ]
-    return sums.select(
-        id_col, F.when(F.col(f"z_{languages[0]}").isNotNull(), F.greatest(*scored)["lang"]).alias("detected")
-    )
+    names = sorted(languages)
+    table = profile.toArrow()  # as large as the profile
+    keys = np.concatenate([_keys(_code_points(g)) for g in table.column("gram").to_pylist()] or [np.zeros(0, np.int64)])
+    order = np.argsort(keys)
+    weights = np.stack([table.column(f"w_{x}").to_numpy() for x in names], 1)[order]
+    z = np.array([table.column(f"z_{x}")[0].as_py() if len(keys) else 0.0 for x in names])
+    held = df.sparkSession.sparkContext.broadcast((keys[order], weights, z))
+
+    def score(texts: pd.Series) -> pd.Series:
+        keys, weights, z = held.value
+
+        def best(text: str | None) -> str | None:
+            if text is None or not len(keys):
+                return None
+            grams = _keys(_code_points(text))
+            at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+            known = keys[at] == grams
+            if not known.any():
+                return None
+            return names[int(np.argmax(weights[at[known]].sum(0) - len(grams) * z))]
+
+        return texts.map(best, na_action=None).astype(object)
+
+    detect = F.pandas_udf(score, "string")
+    return df.withColumn(out, detect(_letters(F.col(text_col))))
 
 
-def language_filter(df: DataFrame, id_col: str, detected: DataFrame, language: str = "en") -> DataFrame:
+def language_filter(df: DataFrame, detected_col: str = "detected", language: str = "en") -> DataFrame:
     """Rows detected as ``language``; undetected ones are dropped too."""
-    return df.join(detected.filter(F.col("detected") == language).select(id_col), id_col, "left_semi")
+    return df.filter(F.col(detected_col) == language)

@@ -13,7 +13,6 @@ from spark_triage.operators import language as lang
 from spark_triage.operators import pairs as pr
 from spark_triage.operators import profile as pf
 from spark_triage.operators import sampling as sm
-from spark_triage.session import staged
 
 PAIR_ID = "brand_reply_id"
 
@@ -30,14 +29,11 @@ def ingest(messages: DataFrame, brand: str, patterns: Sequence[str] = fv.DEFLECT
     }
 
 
-def _cleaned_and_detected(
+def _cleaned(
     pairs: DataFrame, profile: DataFrame, languages: Sequence[str], link_pattern: str
-) -> tuple[DataFrame, DataFrame]:
-    """Cleaned openers and (id, detected). Both are written once: the pair join and the cleaning are not
-    repeated for the language step, which then reads two columns."""
-    cleaned = staged(pr.add_clean_columns(pr.first_touch(pairs), link_pattern), "cleaned")
-    detected = lang.detect_language(cleaned, PAIR_ID, "customer_tweet_clean", profile, languages)
-    return cleaned, staged(detected, "detected")
+) -> DataFrame:
+    """Cleaned pairs with the language of the customer's message (``detected``)."""
+    return lang.detect_language(pr.add_clean_columns(pairs, link_pattern), "customer_tweet_clean", profile, languages)
 
 
 def clean(
@@ -45,28 +41,36 @@ def clean(
     link_pattern: str = fv.SHORT_LINK_PATTERN, cap: int = fv.REPLY_TEMPLATE_CAP,
 ) -> DataFrame:
     """Openers, clean, language, de-duplicate, cap: the order is part of the result."""
-    cleaned, detected = _cleaned_and_detected(pairs, profile, languages, link_pattern)
-    kept = lang.language_filter(cleaned, PAIR_ID, detected, language)
-    return pr.cap_templates(pr.drop_duplicates(kept), cap)
+    spoken = lang.language_filter(_cleaned(pr.first_touch(pairs), profile, languages, link_pattern), language=language)
+    return pr.cap_templates(pr.drop_duplicates(spoken.drop("detected")), cap)
 
 
 def cleaning_funnel(
     pairs: DataFrame, profile: DataFrame, languages: Sequence[str], language: str = "en",
     link_pattern: str = fv.SHORT_LINK_PATTERN, cap: int = fv.REPLY_TEMPLATE_CAP,
 ) -> DataFrame:
-    """Rows in, removed and kept at each step."""
-    cleaned, detected = _cleaned_and_detected(pairs, profile, languages, link_pattern)
-    kept = lang.language_filter(cleaned, PAIR_ID, detected, language)
+    """Rows in, removed and kept at each step, from one pass over the pairs and their texts."""
     opener = F.col("customer_in_response_to_tweet_id").isNull()
-    reads = pairs.agg(F.count("*").alias("pairs"), F.count_if(opener).alias("first_touch"))
-    spoken = detected.agg(F.count_if(F.col("detected") == language).alias("language"))
-    unique = pf.dedupe_counts(kept, cap=cap).select(
-        F.col("n_deduped").alias("dedupe"), F.col("n_capped").alias("template_cap")
-    )
+    # the language of other rows is not asked for
+    asked = pairs.withColumn("opener", opener).withColumn("customer_tweet", F.when(opener, F.col("customer_tweet")))
+    tagged = _cleaned(asked, profile, languages, link_pattern).select(
+        "opener", (F.col("opener") & F.col("detected").eqNullSafe(language)).alias("spoken"), "customer_tweet_clean",
+        "brand_reply_clean", PAIR_ID)
+    # one row for each distinct message, with the reply that stays and how many rows there were
+    kept = F.when(F.col("spoken"), F.col("customer_tweet_clean"))
+    unique = tagged.groupBy(F.col("spoken"), kept.alias("message")).agg(
+        F.count("*").alias("pairs"), F.count_if("opener").alias("openers"),
+        F.min_by("brand_reply_clean", F.when(F.col("spoken"), F.col(PAIR_ID))).alias("reply"))
+    by_reply = unique.groupBy("spoken", "reply").agg(
+        F.sum("pairs").alias("pairs"), F.sum("openers").alias("openers"), F.count("*").alias("messages"))
+    spoken = lambda c: F.coalesce(F.sum(F.when(F.col("spoken"), c)), F.lit(0))
+    totals = by_reply.agg(
+        F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum("openers"), F.lit(0)).alias("first_touch"),
+        spoken(F.col("pairs")).alias("language"), spoken(F.col("messages")).alias("dedupe"),
+        spoken(F.least("messages", F.lit(cap))).alias("template_cap"))
     steps = ("pairs", "first_touch", "language", "dedupe", "template_cap")
-    counted = pf.union_all([d.unpivot([], d.columns, "step", "rows_kept") for d in (reads, spoken, unique)])
     order = F.array_position(F.array(*[F.lit(s) for s in steps]), F.col("step")).cast("int")
-    return pf.funnel(counted.withColumn("step_no", order))
+    return pf.funnel(totals.unpivot([], list(steps), "step", "rows_kept").withColumn("step_no", order))
 
 
 def clean_and_split(
