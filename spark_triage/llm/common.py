@@ -26,15 +26,18 @@ def strip(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str | StructType) -> DataFrame:
-    """``fn`` applied to every Arrow batch of a task; it gives the columns of ``schema`` by name, or nothing."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str | StructType,
+                slice_bytes: int | None = None) -> DataFrame:
+    """``fn`` applied to every Arrow batch of a task; it gives the columns of ``schema`` by name, or nothing.
+    ``slice_bytes`` cuts a larger batch into slices of about that size first."""
     arrow = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     target = to_arrow_schema(arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
+            step = max(1, batch.num_rows * (slice_bytes or batch.nbytes) // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                out = fn(batch.slice(at, step))
                 if out is not None:
                     yield pa.RecordBatch.from_arrays(
                         [x if isinstance(x, pa.Array) else pa.array(x, f.type) for f, x in

@@ -10,6 +10,7 @@ goes to the library whole.
 from __future__ import annotations
 
 import json
+import os
 import re
 import sys
 import types
@@ -21,7 +22,8 @@ import pyarrow as pa
 
 from spark_triage.llm import wordhash as wh
 
-CACHE = 1_000_000
+CACHE = 600_000  # units
+SLICE_BYTES = 4 << 20  # of an Arrow batch
 _ODD_SPACE = rb"\x1c|\x1d|\x1e|\x1f|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 
 
@@ -101,18 +103,24 @@ def blocks(column: pa.Array, spaces: bool, specials: list[str]):
         yield Block(p.rows, code, ends, distinct, odd)
 
 
-def gather(values: np.ndarray, offsets: np.ndarray, code: np.ndarray, ends: np.ndarray):
-    """(values of the units in turn, where each text's begin) for units ``code`` into ``values[offsets[c]:..]``."""
-    size = np.diff(offsets)[code]
-    total = np.concatenate([[0], np.cumsum(size)])
-    at = np.repeat(offsets[:-1][code] - total[:-1], size) + np.arange(total[-1])
+def gather_at(values: np.ndarray, begin: np.ndarray, size: np.ndarray, code: np.ndarray, ends: np.ndarray):
+    """(values of the units in turn, where each text's begin): unit c has ``size[c]`` values from ``begin[c]``."""
+    own = size[code]
+    total = np.concatenate([[0], np.cumsum(own, dtype=np.int64)])
+    at = np.repeat(begin[code] - total[:-1], own) + np.arange(total[-1])
     return values[at], total[ends]
 
 
+def gather(values: np.ndarray, offsets: np.ndarray, code: np.ndarray, ends: np.ndarray):
+    """``gather_at`` for units that stand one after the other."""
+    return gather_at(values, offsets[:-1], np.diff(offsets), code, ends)
+
+
 class Encoder:
     """Ids of whole columns. Results for units are kept up to a bound, then forgotten."""
 
     def __init__(self, spec: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.spaces, self.specials = keeps_spaces(spec), special_strings(spec)
