@@ -198,6 +198,31 @@ def judge_prompt(spark, d):
     return assess.judge_prompts(rows)
 
 
+def _judged(spark, d):
+    return load(spark, d, "documents").select(
+        F.col("doc_id").alias("customer_tweet_id"), F.col("text").alias("tweet_text"), F.col("text").alias("drafted_reply"))
+
+
+def _judge_answers(spark, d):
+    """First answers, and a second one, as bad as the first, for every fourth document."""
+    first = b.judge_responses(spark, d)
+    again = first.filter("id % 4 = 0").withColumn("attempt", F.lit(2))
+    return first.unionByName(again)
+
+
+@query(f"""SELECT doc_id AS id, {quote(fv.JUDGE_INSTRUCTION + chr(10) * 2 + 'CUSTOMER TWEET: "')} || text
+  || {quote('"' + chr(10) * 2 + 'AGENT REPLY: "')} || text || {quote('"' + chr(10) * 2 + fv.JUDGE_FORMAT + fv.JUDGE_RETRY)} AS prompt
+  FROM documents WHERE NOT ({_JUDGE_OK}) AND doc_id % 4 <> 0""")
+def judge_retry_prompts(spark, d):
+    return assess.judge_retry_prompts(_judged(spark, d), _judge_answers(spark, d))
+
+
+@query(f"""SELECT doc_id AS customer_tweet_id, CASE WHEN doc_id % 4 = 0 THEN 'dead' ELSE 'retry' END AS reason
+  FROM documents WHERE NOT ({_JUDGE_OK})""")
+def judge_dead_letters(spark, d):
+    return assess.judge_dead_letters(_judged(spark, d), _judge_answers(spark, d))
+
+
 # ---- message to decision -----------------------------------------------------------------------------------
 
 _CORPUS_INTENTS = tuple(b.INTENT_OF_LANG.values())
@@ -247,6 +272,20 @@ def triage_decisions(spark, d):
     )
 
 
+@query(_ROUND + f""", seen AS (SELECT doc_id, n_chars, outcome, {sql_any('text', b.OVERRIDE_SQL)} AS fraud FROM documents LEFT JOIN rounds ON id = doc_id)
+ SELECT doc_id AS customer_tweet_id, CASE WHEN outcome = 'ok' THEN 'draft' ELSE 'classify' END AS stage,
+  CASE WHEN outcome = 'ok' THEN 'missing' ELSE coalesce(outcome, 'missing') END AS reason
+ FROM seen WHERE outcome IS DISTINCT FROM 'ok' OR (NOT fraud AND n_chars % 5 = 0)""")
+def triage_dead_letters(spark, d):
+    """Documents as messages that end without a decision; every fifth has no drafted reply."""
+    docs = texts(spark, d, "documents")
+    rows = docs.select(F.col("doc_id").alias(triage.ID), F.col("text").alias(triage.TEXT))
+    answers = b.responses(spark, d)
+    labels = triage.pseudo_labels(rows, answers, patterns=b.OVERRIDE_PATTERNS)
+    drafts = docs.filter("n_chars % 5 <> 0").select(F.col("doc_id").alias("id"), F.col("text").alias("reply"))
+    return triage.triage_dead_letters(rows, labels, answers, drafts)
+
+
 # ---- scores -----------------------------------------------------------------------------------------------
 
 _POINTS = ((0.0, "min"), (0.25, "q1"), (0.5, "median"), (0.75, "q3"), (1.0, "max"))
@@ -297,16 +336,16 @@ _PAIRED = " UNION ALL ".join(
  r AS (SELECT *, rank() OVER (PARTITION BY dimension ORDER BY h) + (count(*) OVER (PARTITION BY dimension, h) - 1) / 2 AS rh,
    rank() OVER (PARTITION BY dimension ORDER BY l) + (count(*) OVER (PARTITION BY dimension, l) - 1) / 2 AS rl FROM p),
  s AS (SELECT dimension, count(*) AS n, corr(rh, rl) AS rho, avg((abs(h - l) <= 1)::INT)::DOUBLE AS adjacent_rate FROM r GROUP BY 1),
- k AS (SELECT *, n - 2 AS df, abs(rho) AS a, 1 - rho * rho AS c2 FROM s),
+ k AS (SELECT *, n - 2 AS df, least(abs(rho), 1) AS a, greatest(1 - rho * rho, 0) AS c2 FROM s),
  j AS (SELECT dimension, df, a, c2, unnest(generate_series(1, CASE WHEN df % 2 = 0 THEN (df - 2) // 2 ELSE (df - 3) // 2 END)) AS j FROM k),
  t AS (SELECT dimension, exp(sum(ln(CASE WHEN df % 2 = 0 THEN (2 * j - 1) / (2 * j) ELSE 2 * j / (2 * j + 1) END)) OVER (PARTITION BY dimension ORDER BY j))
    * power(c2, j) AS term FROM j),
  q AS (SELECT dimension, 1 + sum(term) AS series FROM t GROUP BY 1)
- SELECT dimension, n, rho AS spearman_rho, 1 - CASE WHEN df % 2 = 0 THEN a * series ELSE (asin(a) + a * sqrt(c2) * series) * 2 / pi() END AS spearman_p, adjacent_rate
+ SELECT dimension, n, greatest(least(rho, 1), -1) AS spearman_rho, CASE WHEN a >= 1 THEN 0 ELSE 1 - CASE WHEN df % 2 = 0 THEN a * series ELSE (asin(a) + a * sqrt(c2) * series) * 2 / pi() END END AS spearman_p, adjacent_rate
  FROM k JOIN q USING (dimension)""")
 def judge_agreement(spark, d):
     scored = ev.score_pairs(b.human(spark, d), b.judge(spark, d), "customer_tweet_id")
-    return ev.judge_agreement(scored.filter("human IS NOT NULL AND judge IS NOT NULL"))
+    return ev.judge_agreement(scored)
 
 
 _STRATA = """g AS (SELECT hard_case_category, row_number() OVER (ORDER BY hard_case_category) - 1 AS i FROM golden GROUP BY 1),

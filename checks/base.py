@@ -47,11 +47,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are costly to process. A source of fewer pieces than cores is spread out first;
-    at scale it has many more, and nothing is moved."""
-    df = load(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A table whose rows are costly to process, as its files give it."""
+    return load(spark, sf_dir, name)
 
 
 # ---- frames ---------------------------------------------------------------------------------------
@@ -127,7 +124,7 @@ def human(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1 + (n + F.col("toxic")) % 5).cast("double").alias("relevance_score"),
         (1 + n % 5).cast("double").alias("groundedness_score"),
         (1 + F.col("doc_id") % 5).cast("double").alias("tone_match_score"),
-        (1 + (n + F.col("doc_id")) % 4).cast("double").alias("no_hallucinated_specifics_score"),
+        (1 + (n + F.col("doc_id") % 3) % 4).cast("double").alias("no_hallucinated_specifics_score"),
         F.when(F.col("lang") == "fr", F.lit(None)).otherwise(1 + (n + F.col("doc_id") % 2) % 4).cast("double")
         .alias("actionability_score"),
     )
@@ -250,10 +247,10 @@ def sql_overlap(a: str, b: str) -> str:
 
 
 MESSAGES_SQL = """messages AS (
-  SELECT conv_id * 1000 + turn AS tweet_id,
+  SELECT conv_id * 4294967296 + turn AS tweet_id,
          CASE WHEN role = 'assistant' THEN 'brand' ELSE 'cust' || conv_id END AS author_id,
          role = 'user' AS inbound, NULL::VARCHAR AS created_at, text,
-         lag(conv_id * 1000 + turn) OVER (PARTITION BY conv_id ORDER BY turn) AS in_response_to_tweet_id
+         lag(conv_id * 4294967296 + turn) OVER (PARTITION BY conv_id ORDER BY turn) AS in_response_to_tweet_id
   FROM conversations WHERE role <> 'system')"""
 
 PAIRS_SQL = MESSAGES_SQL + """, pairs AS (
@@ -318,7 +315,7 @@ JUDGE_SQL = """judge AS (
 HUMAN_SQL = """human AS (
   SELECT doc_id AS customer_tweet_id, (1 + (n_chars + toxic) % 5)::DOUBLE AS relevance_score,
          (1 + n_chars % 5)::DOUBLE AS groundedness_score, (1 + doc_id % 5)::DOUBLE AS tone_match_score,
-         (1 + (n_chars + doc_id) % 4)::DOUBLE AS no_hallucinated_specifics_score,
+         (1 + (n_chars + doc_id % 3) % 4)::DOUBLE AS no_hallucinated_specifics_score,
          CASE WHEN lang = 'fr' THEN NULL ELSE 1 + (n_chars + doc_id % 2) % 4 END::DOUBLE AS actionability_score
   FROM documents JOIN labels USING (doc_id))"""
 

@@ -78,9 +78,9 @@ def retrieve_examples(spark, d):
 
 
 @query("WITH " + b.CLEAN_SQL + """ SELECT brand_reply_id, brand_reply_clean, len(embedding)::INT AS dims FROM clean_pairs
-  JOIN embeddings ON vec_id = brand_reply_id // 1000 WHERE NOT has_link AND length(brand_reply_clean) >= 40""")
+  JOIN embeddings ON vec_id = brand_reply_id >> 32 WHERE NOT has_link AND length(brand_reply_clean) >= 40""")
 def build_corpus(spark, d):
-    pairs = b.clean_pairs(spark, d).withColumn("vec_id", F.expr("brand_reply_id div 1000"))
+    pairs = b.clean_pairs(spark, d).withColumn("vec_id", F.shiftright("brand_reply_id", 32))
     return rt.build_corpus(pairs, b.vectors(spark, d), "vec_id").select(
         "brand_reply_id", "brand_reply_clean", F.size("embedding").alias("dims")
     )

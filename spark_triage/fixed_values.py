@@ -67,6 +67,7 @@ DISCOVERY_SAMPLE = 1_500
 DISCOVERY_SEED = 42
 K_CANDIDATES = (5, 6, 7, 8, 9, 10)
 KMEANS_STARTS = 10
+KMEANS_MAX_ITER = 300
 TERMS_PER_CLUSTER = 15
 EXAMPLES_PER_CLUSTER = 8
 MAX_TERMS = 5_000

@@ -18,11 +18,13 @@ def validate_draft(
     top1_reply: Column | None = None,
     allowlist: Sequence[str] = fv.NAME_ALLOWLIST,
     near_verbatim: float = fv.NEAR_VERBATIM_THRESHOLD,
+    brand: str | None = None,
+    greetings: Sequence[str] = fv.GREETINGS,
 ) -> Column:
     """Flags of a drafted reply as ``array<struct<kind, detail, score>>``, empty when clean.
 
     ``top1_reply`` is the best retrieved reply, cleaned here; leave it out (or NULL) when nothing was
-    retrieved.
+    retrieved. ``brand`` is the handle that may stand in a reply like an allowed name.
     """
     null_score = F.lit(None).cast("double")
 
@@ -33,7 +35,7 @@ def validate_draft(
         F.regexp_extract_all(reply, F.lit("(?U)" + fv.SIGNATURE_PATTERN), F.lit(0)),
         lambda s: flag("signature", s, null_score),
     )
-    names = F.transform(tx.name_leaks(reply, allowlist), lambda n: flag("name", n, null_score))
+    names = F.transform(tx.name_leaks(reply, allowlist, greetings, brand), lambda n: flag("name", n, null_score))
     parts = [F.coalesce(signatures.cast(_FLAGS), F.array().cast(_FLAGS)),
              F.coalesce(names.cast(_FLAGS), F.array().cast(_FLAGS))]
     if top1_reply is not None:

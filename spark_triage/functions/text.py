@@ -167,9 +167,11 @@ def token_overlap(left: Column, right: Column) -> Column:
 
 
 def name_leaks(
-    text: Column, allowlist: Sequence[str] = fv.NAME_ALLOWLIST, greetings: Sequence[str] = fv.GREETINGS
+    text: Column, allowlist: Sequence[str] = fv.NAME_ALLOWLIST, greetings: Sequence[str] = fv.GREETINGS,
+    brand: str | None = None,
 ) -> Column:
-    """Sorted distinct capitalised words after a greeting, or before ``,``/``!`` inside a sentence."""
+    """Sorted distinct capitalised words after a greeting, or before ``,``/``!`` inside a sentence, without the
+    allowed ones and the ``brand``'s own handle."""
     flat = F.regexp_replace(text, rf"[{SPACE}]+", " ")
     greeted = F.regexp_extract_all(
         flat, F.lit(rf"(?U)\b(?:{'|'.join(greetings)})\b,? ([A-Z][a-zA-Z]+)"), F.lit(1)
@@ -177,5 +179,5 @@ def name_leaks(
     inside = F.regexp_extract_all(
         flat, F.lit(r"""(?U)(?:(?<=[^.!?"' ] )|(?<=[^.!?"' ]))\b([A-Z][a-zA-Z]+)[,!]"""), F.lit(1)
     )
-    allowed = F.array(*[F.lit(w) for w in allowlist]).cast("array<string>")
+    allowed = F.array(*[F.lit(w) for w in (*allowlist, *([brand] if brand else []))]).cast("array<string>")
     return F.array_sort(F.array_except(F.array_union(greeted, inside), allowed))

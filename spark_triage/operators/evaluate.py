@@ -125,39 +125,48 @@ def comparison_lines(compared: DataFrame) -> DataFrame:
     )
 
 
-def two_sided_p(rho: Column, n: Column) -> Column:
-    """p-value of a rank correlation under the t distribution with n - 2 degrees of freedom.
+_FRACTION_STEPS = 60
 
-    Up to 5,000 degrees the distribution is a finite sum (even and odd degrees have their own); above
-    that a normal deviate is used, off by less than 1e-6.
-    """
-    df = n - 2
-    r = F.least(F.abs(rho), F.lit(1.0))
-    c2 = F.lit(1.0) - r * r
-    steps = lambda upto: F.filter(F.sequence(F.lit(0), F.greatest(upto, F.lit(0)).cast("int")), lambda j: (j > 0) & (j <= upto))
 
-    def series(first: Column, upto: Column, step) -> Column:
-        start = F.struct(first.cast("double").alias("term"), first.cast("double").alias("total"))
+def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
+    """The continued fraction of the incomplete beta function, a fixed number of steps of it."""
+    first = 1 / (1 - (a + b) * x / (a + 1))
+    start = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("h"))
 
-        def add(acc, j):
-            term = acc["term"] * step(j.cast("double")) * c2
-            return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+    def turn(acc: Column, k: Column) -> Column:
+        d = 1 / (1 + k * acc["d"])
+        c = 1 + k / acc["c"]
+        return F.struct(c.alias("c"), d.alias("d"), (acc["h"] * c * d).alias("h"))
 
-        return F.aggregate(steps(upto), start, add, lambda acc: acc["total"])
+    def step(acc: Column, m: Column) -> Column:
+        m = m.cast("double")
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        return turn(turn(acc, even), odd)
 
-    even = r * series(F.lit(1.0), (df - 2) / 2, lambda j: (2 * j - 1) / (2 * j))
-    odd_sum = F.when(df == 1, F.lit(0.0)).otherwise(
-        r * series(F.sqrt(c2), (df - 3) / 2, lambda j: (2 * j) / (2 * j + 1))
-    )
-    inside = F.when(df % 2 == 0, even).otherwise((F.asin(r) + odd_sum) * (2 / math.pi))
-    z = F.sqrt(-F.ln(F.greatest(c2, F.lit(1e-300))) * df * (1 - 1 / (2 * df))) / math.sqrt(2)
-    u = 1 / (1 + 0.3275911 * z)
-    tail = u * (0.254829592 + u * (-0.284496736 + u * (1.421413741 + u * (-1.453152027 + u * 1.061405429)))) * F.exp(-z * z)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_FRACTION_STEPS)), start, step, lambda acc: acc["h"])
+
+
+def two_sided_p(rho: Column, n: Column) -> Column:
+    """p-value of a rank correlation under the t distribution with n - 2 degrees of freedom, for any n.
+
+    It is the regularised incomplete beta function of 1 - rho^2 at (n - 2) / 2 and 1 / 2, small values directly and
+    without cancellation. NULL for a missing rho or fewer than 3 rows.
+    """
+    df = n - 2
+    a, half = df / 2, F.lit(0.5)
+    r2 = F.least(rho * rho, F.lit(1.0))
+    # gamma(a + 1/2) / gamma(a): its series at a + 20, carried back
+    z = a + 20
+    series = (1 - 1 / (8 * z) + 1 / (128 * z**2) + 5 / (1024 * z**3) - 21 / (32768 * z**4) - 399 / (262144 * z**5)
+              + 869 / (4194304 * z**6))
+    back = F.aggregate(F.sequence(F.lit(0), F.lit(19)), F.lit(1.0), lambda acc, j: acc * (a + j) / (a + j + 0.5))
+    front = F.exp(a * F.log1p(-r2)) * F.sqrt(r2) * F.sqrt(z) * series * back / math.sqrt(math.pi)
     return (
         F.when(rho.isNull() | (df < 1), F.lit(None).cast("double"))
-        .when(r >= 1, F.lit(0.0))
-        .when(df <= 5000, F.greatest(1 - inside, F.lit(0.0)))
-        .otherwise(tail)
+        .when(r2 >= 1, F.lit(0.0))
+        .when(1 - r2 < (a + 1) / (a + 2.5), front * _beta_fraction(a, half, 1 - r2) / a)
+        .otherwise(1 - front * _beta_fraction(half, a, r2) / 0.5)
     )
 
 
@@ -175,10 +184,10 @@ def score_pairs(human: DataFrame, judge: DataFrame, id_col: str, dimensions: Seq
 def judge_agreement(pairs: DataFrame) -> DataFrame:
     """(dimension, n, spearman_rho, spearman_p, adjacent_rate).
 
-    Rows collapse to counted (human, judge) cells first; average ranks come from the cells, so no task
-    ranks all the rows of a dimension.
+    Rows with a blank score on either side are left out. The others collapse to counted (human, judge) cells first;
+    average ranks come from the cells, so no task ranks all the rows of a dimension.
     """
-    cells = pairs.groupBy("dimension", "human", "judge").agg(F.count("*").alias("n"))
+    cells = pairs.filter(F.col("human").isNotNull() & F.col("judge").isNotNull()).groupBy("dimension", "human", "judge").agg(F.count("*").alias("n"))
     whole = Window.partitionBy("dimension")
 
     def rank(side: str) -> Column:
@@ -193,7 +202,8 @@ def judge_agreement(pairs: DataFrame) -> DataFrame:
         F.sum(n * dj * dj).alias("jj"),
         (F.sum(F.when(F.abs(F.col("human") - F.col("judge")) <= 1, n).otherwise(0)) / F.sum(n)).alias("adjacent_rate"),
     )
-    rho = F.try_divide(F.col("hj"), F.sqrt(F.col("hh")) * F.sqrt(F.col("jj")))
+    rho = F.try_divide(F.col("hj"), F.sqrt(F.col("hh") * F.col("jj")))
+    rho = F.when(rho.isNotNull(), F.greatest(F.least(rho, F.lit(1.0)), F.lit(-1.0)))
     return sums.withColumn("spearman_rho", rho).select(
         "dimension", "n", "spearman_rho", two_sided_p(F.col("spearman_rho"), F.col("n")).alias("spearman_p"), "adjacent_rate"
     )

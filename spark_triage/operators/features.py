@@ -14,11 +14,16 @@ from spark_triage.session import broadcast_up_to
 TERM = rf"[{WORD}]{{2,}}"
 
 
-def default_stop_words() -> list[str]:
-    """Spark's own English list, and the word the URL placeholder leaves behind."""
+def english_stop_words() -> list[str]:
+    """Spark's own English list."""
     from pyspark.ml.feature import StopWordsRemover
 
-    return [*StopWordsRemover.loadDefaultStopWords("english"), "url"]
+    return list(StopWordsRemover.loadDefaultStopWords("english"))
+
+
+def default_stop_words() -> list[str]:
+    """The words left out of a cluster's terms: English ones, and what the URL placeholder leaves behind."""
+    return [*english_stop_words(), "url"]
 
 
 def term_counts(df: DataFrame, group: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:

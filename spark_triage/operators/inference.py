@@ -61,6 +61,15 @@ def judge_round(responses: DataFrame) -> DataFrame:
     return parsed.groupBy("id").agg(best.alias("x")).select("id", "x.attempt", "x.p.*")
 
 
+def judge_outcomes(responses: DataFrame) -> DataFrame:
+    """(id, outcome): ``ok``; ``retry`` when only a first, invalid answer is there; ``dead`` when the second is
+    invalid too."""
+    tried = responses.groupBy("id").agg(F.max("attempt").alias("attempts"))
+    return judge_round(responses).select("id", "valid").join(tried, "id").select(
+        "id", F.when(F.col("valid"), F.lit("ok")).when(F.col("attempts") == 1, F.lit("retry")).otherwise(F.lit("dead"))
+        .alias("outcome"))
+
+
 def response_health(parsed: DataFrame, status: Column) -> DataFrame:
     """Calls per attempt and status."""
     return parsed.groupBy("attempt", status.alias("status")).agg(F.count("*").alias("n"))

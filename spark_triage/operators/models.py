@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -22,25 +23,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
-from spark_triage.operators.features import TERM, default_stop_words
+from spark_triage.operators.features import TERM, english_stop_words
 
 
-_ROWS_PER_PARTITION = 5_000
 _PARALLEL_FITS = 4
 
 
 def best_kmeans(
-    df: DataFrame, k: int, vector: str = "embedding", starts: int = fv.KMEANS_STARTS, seed: int = fv.DISCOVERY_SEED
+    df: DataFrame, k: int, vector: str = "embedding", starts: int = fv.KMEANS_STARTS, seed: int = fv.DISCOVERY_SEED,
+    max_iter: int = fv.KMEANS_MAX_ITER,
 ) -> KMeansModel:
-    """The start with the lowest cost of ``starts`` seeded ones."""
+    """The start with the lowest cost of ``starts`` seeded ones. A start that ``max_iter`` ends before it has settled
+    is reported as a warning."""
     points = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features")).persist()
     try:
         points.count()  # fill the cache once, before the starts run side by side
         fit = inheritable_thread_target(df.sparkSession)(
-            lambda i: KMeans(k=k, seed=seed + i, maxIter=50).fit(points)
+            lambda i: KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(points)
         )
         with ThreadPool(min(starts, _PARALLEL_FITS)) as pool:
             models = pool.map(fit, range(starts))
+        open_ended = sum(m.summary.numIter >= max_iter for m in models)
+        if open_ended:
+            warnings.warn(f"{open_ended} of {starts} k-means starts did not settle in {max_iter} steps", stacklevel=2)
         return min(models, key=lambda m: m.summary.trainingCost)
     finally:
         points.unpersist()
@@ -147,7 +152,7 @@ def train_classifier(
     tokens = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TERM, gaps=False)
     kept = StopWordsRemover(
         inputCol="_tokens", outputCol="_terms",
-        stopWords=list(default_stop_words() if stop_words is None else stop_words),
+        stopWords=list(english_stop_words() if stop_words is None else stop_words),
     )
     counts = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=max_terms)
     front = Pipeline(stages=[tokens, kept, counts]).fit(rows)
@@ -159,14 +164,17 @@ def train_classifier(
     ready = index.transform(unit.transform(scale.transform(counted))).select(
         "_features", "_label", *(["weight"] if balanced else [])
     )
+    ready = ready.persist()  # every solver step reads them; how many partitions there are is the caller's choice
     n = ready.count()
-    # Every solver step is a job: few rows in many partitions would spend it on scheduling.
-    ready = ready.coalesce(n // _ROWS_PER_PARTITION + 1)
     lr = LogisticRegression(
         featuresCol="_features", labelCol="_label", predictionCol="_prediction", probabilityCol="probability",
         rawPredictionCol="_raw", family="multinomial", regParam=1.0 / n, elasticNetParam=0.0,
         standardization=False, maxIter=max_iter, tol=1e-6, **({"weightCol": "weight"} if balanced else {}),
-    ).fit(ready)
+    )
+    try:
+        lr = lr.fit(ready)
+    finally:
+        ready.unpersist()
     name = IndexToString(inputCol="_prediction", outputCol="predicted_intent", labels=index.labels)
     return PipelineModel([*front.stages, scale, unit, lr, name])
 

@@ -2,7 +2,9 @@
 
 Three layouts give the same rows. When one side is small (its bytes are checked), it is sent to the
 tasks that read the other side. When neither is, both sides are cut into blocks and every pair of
-blocks meets in one task. No layout makes pairs as rows: a task gives at most k per query.
+blocks meets in one task. No layout makes pairs as rows: a task gives at most k per query. When many tasks hold parts
+of the corpus, a query's k-th best similarity on a sixteenth of it is found first, by the same means, and only rows
+that reach this floor leave the tasks: about sixteen times k for a query, however many tasks there are.
 """
 
 from __future__ import annotations
@@ -16,10 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
+from spark_triage.session import staged
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 4096
+FIRST_ROWS = 65_536  # about as many corpus rows give the first floors
+GROWTH = 16  # each round sees so many times the rows of the last
 DECIMALS = 9  # similarities are ranked at this precision, so block shapes cannot change an order
 
 
@@ -27,20 +32,19 @@ def _matrix(vectors) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
-def _block_top_k(q_ids, q, c_ids, c, k: int) -> pd.DataFrame:
-    """The k best corpus rows of each query in one pair of blocks, ties by corpus id. Both sides are taken in
-    slices, so the similarity matrix stays small whatever the block sizes are."""
+def _block_top_k(q_ids, q, c_ids, c, k: int, floors=None) -> pd.DataFrame:
+    """The k best corpus rows of each query in one pair of blocks, ties by corpus id, without rows below the query's
+    floor. Both sides are taken in slices, so the similarity matrix stays small whatever the block sizes are."""
     done = []
     for rows in _slices(len(q_ids)):
         best = None
         for cols in _slices(len(c_ids)):
             ids = c_ids[cols]
             sims = np.round(q[rows] @ c[cols].T, DECIMALS) + 0.0
+            floor = np.full(len(sims), -np.inf) if floors is None else floors[rows]
             if sims.shape[1] > k:
-                floor = np.partition(sims, sims.shape[1] - k, axis=1)[:, -k]
-                row, col = np.nonzero(sims >= floor[:, None])
-            else:
-                row, col = (x.ravel() for x in np.indices(sims.shape))
+                floor = np.maximum(floor, np.partition(sims, sims.shape[1] - k, axis=1)[:, -k])
+            row, col = np.nonzero(sims >= floor[:, None])
             new = pd.DataFrame({"query_id": q_ids[rows][row], "corpus_id": ids[col], "similarity": sims[row, col]})
             best = _best(new if best is None else pd.concat([best, new]), k)
         done.append(best)
@@ -56,68 +60,100 @@ def _slices(n: int) -> Iterator[slice]:
     return (slice(at, at + BLOCK_ROWS) for at in range(0, n, BLOCK_ROWS))
 
 
-def _collect_checked(df: DataFrame):
-    """(ids, matrix) of a side whose bytes have been checked."""
-    rows = df.select("id", F.col("vec").cast("array<double>").alias("vec")).toArrow()
+def _collect_checked(df: DataFrame, *more: str):
+    """(ids, matrix, further columns..) of a side whose bytes have been checked."""
+    rows = df.select("id", F.col("vec").cast("array<double>").alias("vec"), *more).toArrow()
     flat = rows["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return rows["id"].to_numpy(), flat.reshape(rows.num_rows, -1) if rows.num_rows else np.zeros((0, 0))
+    matrix = flat.reshape(rows.num_rows, -1) if rows.num_rows else np.zeros((0, 0))
+    return rows["id"].to_numpy(), matrix, *[rows[m].to_numpy() for m in more]
 
 
-def top_k_similar(
-    queries: DataFrame, corpus: DataFrame, k: int, query_id: str, corpus_id: str,
-    vector: str = "embedding", broadcast_bytes: int = BROADCAST_BYTES, block_rows: int | None = None,
+_SCHEMA = "query_id bigint, corpus_id bigint, similarity double"
+
+
+def _corpus_sent(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
+    small = q.sparkSession.sparkContext.broadcast(_collect_checked(c))
+
+    def per_query(batches):
+        ids, mat = small.value
+        for pdf in batches:
+            if len(pdf) and len(ids):
+                yield _block_top_k(pdf["id"].to_numpy(), _matrix(pdf["vec"]), ids, mat, k)
+
+    return q.mapInPandas(per_query, _SCHEMA)
+
+
+def _queries_sent(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
+    small = q.sparkSession.sparkContext.broadcast(_collect_checked(q, "floor"))
+
+    def per_corpus(batches):
+        ids, mat, floors = small.value
+        best = None
+        for pdf in batches:
+            if not len(pdf) or not len(ids):
+                continue
+            new = _block_top_k(ids, mat, pdf["id"].to_numpy(), _matrix(pdf["vec"]), k, floors)
+            best = new if best is None else _best(pd.concat([best, new]), k)
+        if best is not None:
+            yield best
+
+    return c.select("id", "vec").mapInPandas(per_corpus, _SCHEMA)
+
+
+def _blocks(q: DataFrame, c: DataFrame, k: int, n_qb: int, n_cb: int) -> DataFrame:
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    place = lambda n: F.pmod(F.xxhash64("id", F.lit(1)), F.lit(n)).cast("int")
+    qb = q.select("id", "vec", "floor").withColumn("qb", place(n_qb)).withColumn("cb", spread(n_cb))
+    cb = c.select("id", "vec").withColumn("cb", place(n_cb)).withColumn("qb", spread(n_qb))
+
+    def per_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"query_id": [], "corpus_id": [], "similarity": []})
+        return _block_top_k(left["id"].to_numpy(), _matrix(left["vec"]), right["id"].to_numpy(), _matrix(right["vec"]),
+                            k, left["floor"].to_numpy())
+
+    return qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb")).applyInPandas(per_cell, _SCHEMA)
+
+
+def candidates(
+    queries: DataFrame, corpus: DataFrame, k: int, query_id: str, corpus_id: str, vector: str = "embedding",
+    broadcast_bytes: int = BROADCAST_BYTES, block_rows: int | None = None, first_rows: int = FIRST_ROWS,
 ) -> DataFrame:
-    """(query_id, corpus_id, similarity, rank): the k corpus rows with the largest dot product per query."""
+    """(query_id, corpus_id, similarity): what the tasks give, among it the k best of every query."""
     q = queries.filter(F.col(vector).isNotNull()).select(F.col(query_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
     c = corpus.filter(F.col(vector).isNotNull()).select(F.col(corpus_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
     # The ids alone are counted, so the vectors are not read for it; one row tells the width.
     n_q, n_c = q.select("id").count(), c.select("id").count()
     head = c.select(F.size("vec")).first()
-    schema = "query_id bigint, corpus_id bigint, similarity double"
     row_bytes = 8 * max(head[0] if head else 0, 1)
-
     if n_c * row_bytes <= broadcast_bytes:
-        small = q.sparkSession.sparkContext.broadcast(_collect_checked(c))
-
-        def per_query(batches):
-            ids, mat = small.value
-            for pdf in batches:
-                if len(pdf) and len(ids):
-                    yield _block_top_k(pdf["id"].to_numpy(), _matrix(pdf["vec"]), ids, mat, k)
-
-        found = q.mapInPandas(per_query, schema)
-    elif n_q * row_bytes <= broadcast_bytes:
-        small = q.sparkSession.sparkContext.broadcast(_collect_checked(q))
-
-        def per_corpus(batches):
-            ids, mat = small.value
-            best = None
-            for pdf in batches:
-                if not len(pdf) or not len(ids):
-                    continue
-                new = _block_top_k(ids, mat, pdf["id"].to_numpy(), _matrix(pdf["vec"]), k)
-                best = new if best is None else _best(pd.concat([best, new]), k)
-            if best is not None:
-                yield best
-
-        found = c.mapInPandas(per_corpus, schema)
-    else:
-        # A row is copied once per block of the other side: blocks as large as a task can hold keep that low.
-        size = block_rows or max(BLOCK_ROWS, BLOCK_BYTES // row_bytes)
-        n_qb, n_cb = math.ceil(n_q / size), math.ceil(n_c / size)
-        spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-        qb = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_qb)).cast("int")).withColumn("cb", spread(n_cb))
-        cb = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(n_cb)).cast("int")).withColumn("qb", spread(n_qb))
-
-        def per_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if not len(left) or not len(right):
-                return pd.DataFrame({"query_id": [], "corpus_id": [], "similarity": []})
-            return _block_top_k(
-                left["id"].to_numpy(), _matrix(left["vec"]), right["id"].to_numpy(), _matrix(right["vec"]), k
-            )
-
-        found = qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb")).applyInPandas(per_cell, schema)
+        return _corpus_sent(q, c, k)
+    q = q.withColumn("floor", F.lit(float("-inf")))
+    # A row is copied once per block of the other side: blocks as large as a task can hold keep that low.
+    size = block_rows or max(BLOCK_ROWS, BLOCK_BYTES // row_bytes)
+    part = GROWTH ** max(0, math.ceil(math.log(max(n_c / first_rows, 1), GROWTH)))
+    while True:
+        some = c.filter(F.pmod(F.xxhash64("id"), F.lit(part)) == 0) if part > 1 else c
+        if n_q * row_bytes <= broadcast_bytes:
+            found = _queries_sent(q, some, k)
+        else:
+            found = _blocks(q, some, k, math.ceil(n_q / size), max(1, math.ceil(n_c / part / size)))
+        if part == 1:
+            return found
+        kth = F.element_at(F.reverse(F.array_sort(F.collect_list("similarity"))), k)
+        floors = found.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count("*") >= k, kth).alias("reached"))
+        q = staged(q.join(floors, "id", "left").select(
+            "id", "vec", F.greatest("floor", F.coalesce("reached", F.lit(float("-inf")))).alias("floor")), "floors")
+        part //= GROWTH
+
 
+def top_k_similar(
+    queries: DataFrame, corpus: DataFrame, k: int, query_id: str, corpus_id: str,
+    vector: str = "embedding", broadcast_bytes: int = BROADCAST_BYTES, block_rows: int | None = None,
+    first_rows: int = FIRST_ROWS,
+) -> DataFrame:
+    """(query_id, corpus_id, similarity, rank): the k corpus rows with the largest dot product per query."""
+    found = candidates(queries, corpus, k, query_id, corpus_id, vector, broadcast_bytes, block_rows, first_rows)
     w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "corpus_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

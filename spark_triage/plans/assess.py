@@ -29,6 +29,18 @@ def judge_prompts(golden: DataFrame, done: DataFrame | None = None) -> DataFrame
     )
 
 
+def judge_retry_prompts(golden: DataFrame, responses: DataFrame) -> DataFrame:
+    """The stricter judge prompt for every row whose first answer was invalid."""
+    return inf.retry_prompts(judge_prompts(golden), inf.judge_outcomes(responses), fv.JUDGE_RETRY)
+
+
+def judge_dead_letters(golden: DataFrame, responses: DataFrame) -> DataFrame:
+    """(customer_tweet_id, reason) of rows without scores: ``dead``, ``retry``, or ``missing`` without an answer."""
+    outcomes = inf.judge_outcomes(responses).withColumnRenamed("id", "customer_tweet_id")
+    return golden.select("customer_tweet_id").join(outcomes, "customer_tweet_id", "left").select(
+        "customer_tweet_id", F.coalesce("outcome", F.lit("missing")).alias("reason")).filter("reason <> 'ok'")
+
+
 def judge_scores(responses: DataFrame) -> DataFrame:
     return inf.judge_round(responses).filter("valid").drop("valid", "attempt").withColumnRenamed("id", "customer_tweet_id")
 

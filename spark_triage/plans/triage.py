@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
@@ -60,25 +60,44 @@ def draft_prompts(routed: DataFrame, examples: DataFrame, brand: str, company: s
     )
 
 
+def _answered(reply: Column) -> Column:
+    """Whether a routed row can be decided: it is overridden or has a reply."""
+    return F.coalesce(F.col("fraud_override"), F.lit(False)) | reply.isNotNull()
+
+
+def triage_dead_letters(rows: DataFrame, labels: DataFrame, responses: DataFrame, drafts: DataFrame) -> DataFrame:
+    """(id, stage, reason) of every row that ``pseudo_labels`` or ``triage`` leaves out, each once.
+
+    stage ``classify``: the answer was unusable (``dead``), waits for its second attempt (``retry``) or never came
+    (``missing``); stage ``draft``: the label is there, but no reply (``missing``).
+    """
+    outcomes = inf.classification_round(responses).select(F.col("id").alias(ID), "outcome")
+    seen = rows.select(ID).join(labels.select(ID, "fraud_override"), ID, "left").join(outcomes, ID, "left").join(
+        drafts.select(F.col("id").alias(ID), F.col("reply").alias("_reply")), ID, "left")
+    labelled = F.col("fraud_override").isNotNull()
+    return seen.filter(~labelled | ~_answered(F.col("_reply"))).select(
+        ID, F.when(labelled, F.lit("draft")).otherwise(F.lit("classify")).alias("stage"),
+        F.when(labelled | F.col("outcome").isNull(), F.lit("missing")).otherwise(F.col("outcome")).alias("reason"))
+
+
 def triage(
     routed: DataFrame, examples: DataFrame, drafts: DataFrame, high_risk=fv.HIGH_RISK_INTENTS,
     allowlist=fv.NAME_ALLOWLIST, min_confidence: float = fv.CONFIDENCE_THRESHOLD,
-    min_similarity: float = fv.SIMILARITY_THRESHOLD,
+    min_similarity: float = fv.SIMILARITY_THRESHOLD, brand: str | None = None,
 ) -> DataFrame:
-    """Evaluation rows: reply, flags and decision. ``drafts`` is (id, reply) from the caller's model."""
+    """Evaluation rows: reply, flags and decision. ``drafts`` is (id, reply) from the caller's model. Rows without a
+    reply are in ``triage_dead_letters``."""
     top1 = examples.filter("example_no = 1").select(
         F.col("query_id").alias(ID), F.col("similarity").alias("_sim"), F.col("brand_reply_clean").alias("_top1")
     )
     replies = drafts.select(F.col("id").alias(ID), F.trim("reply").alias("_reply"))
-    joined = routed.join(top1, ID, "left").join(replies, ID, "left").filter(
-        F.col("fraud_override") | F.col("_reply").isNotNull()
-    )
+    joined = routed.join(top1, ID, "left").join(replies, ID, "left").filter(_answered(F.col("_reply")))
     filled = joined.withColumns(
         {
             "drafted_reply": F.coalesce("drafted_reply", "_reply"),
             "retrieval_top1_similarity": F.coalesce("retrieval_top1_similarity", "_sim", F.lit(0.0)),
             "validate_draft_flags": F.coalesce(
-                "validate_draft_flags", po.validate_draft(F.col("_reply"), F.col("_top1"), allowlist)
+                "validate_draft_flags", po.validate_draft(F.col("_reply"), F.col("_top1"), allowlist, brand=brand)
             ),
         }
     )

@@ -19,15 +19,17 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="triage-")
+    folder = tempfile.mkdtemp(prefix="triage-")
+    spark.conf.set("spark.checkpoint.dir", folder)  # one folder for the session
+    return folder
 
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 10_000
 
 
 def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
-    """``df``, known to hold at most ``rows`` rows, marked for broadcast if that is few; else left to the
-    optimizer, which joins it by shuffle."""
+    """``df``, known to hold at most ``rows`` short rows, marked for broadcast if those are very few; else left to
+    the optimizer, which goes by bytes."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 

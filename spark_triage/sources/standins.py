@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+TURN_BITS = 32
+
+
 def previous_in_group(
     df: DataFrame, key: str, order: str, value: str, out: str, width: int = 10_000
 ) -> DataFrame:
@@ -29,10 +32,16 @@ def previous_in_group(
 
 
 def messages_from_turns(turns: DataFrame, brand: str = "brand") -> DataFrame:
-    """(conv_id, turn, role, text) to the message schema; the parent is the previous spoken turn."""
-    spoken = turns.filter(F.col("role") != "system").withColumn(
-        "tweet_id", F.col("conv_id") * 1000 + F.col("turn")
-    )
+    """(conv_id, turn, role, text) to the message schema; the parent is the previous spoken turn.
+
+    A message id has the conversation above and the turn below its ``TURN_BITS`` low bits; numbers that do not fit
+    are refused when the row is read.
+    """
+    conv, turn = F.col("conv_id").cast("long"), F.col("turn").cast("long")
+    fits = conv.between(0, (1 << (63 - TURN_BITS)) - 1) & turn.between(0, (1 << TURN_BITS) - 1)
+    message_id = F.when(fits, F.shiftleft(conv, TURN_BITS) + turn).when(
+        conv.isNotNull() & turn.isNotNull(), F.raise_error(F.lit("conv_id or turn does not fit a message id")).cast("long"))
+    spoken = turns.filter(F.col("role") != "system").withColumn("tweet_id", message_id)
     linked = previous_in_group(spoken, "conv_id", "turn", "tweet_id", "in_response_to_tweet_id")
     return linked.select(
         "tweet_id",

@@ -90,6 +90,26 @@ def test_p_value_of_many_rows_and_limits(spark):
     assert abs(row[5] - row[6]) < 1e-3
 
 
+def test_p_values_that_are_tiny_or_of_very_many_rows(spark):
+    """Values computed beforehand with the log-gamma function and 300 steps of the fraction."""
+    t = lambda x, n: x / math.sqrt(n - 2 + x * x)
+    cases = [(0.914, 341), (t(2, 1_000_002), 1_000_002), (t(5, 1_000_002), 1_000_002), (t(1, 1_000_000_002), 1_000_000_002),
+             (t(30, 5002), 5002), (t(30, 5003), 5003)]
+    df = spark.createDataFrame([(i, r, n) for i, (r, n) in enumerate(cases)], "i int, r double, n long")
+    got = [x.p for x in df.select("i", ev.two_sided_p(F.col("r"), F.col("n")).alias("p")).orderBy("i").collect()]
+    assert 0 < got[0] < 1e-100
+    assert got[1] == pytest.approx(0.0455005338, rel=1e-8)
+    assert got[2] == pytest.approx(5.733997868e-07, rel=1e-8)
+    assert got[3] == pytest.approx(0.3173105081, rel=1e-8)
+    assert 0 < got[5] < got[4] * 1.02 and got[4] < 1e-170
+
+
+def test_agreement_leaves_blank_scores_out(spark):
+    rows = [("d", 1.0, 1.0), ("d", 2.0, 2.0), ("d", 3.0, 3.0), ("d", None, 1.0), ("d", 4.0, None), ("d", 5.0, 5.0)]
+    r = ev.judge_agreement(spark.createDataFrame(rows, "dimension string, human double, judge double")).first()
+    assert (r.n, r.spearman_rho, r.spearman_p, r.adjacent_rate) == (4, 1.0, 0.0, 1.0)
+
+
 def average_ranks(x):
     x = np.asarray(x)
     return np.array([(x < v).sum() + ((x == v).sum() + 1) / 2 for v in x])

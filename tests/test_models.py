@@ -138,6 +138,18 @@ def test_discovery_finds_the_blobs(spark):
 def test_default_stop_words(spark):
     words = ft.default_stop_words()
     assert "the" in words and words[-1] == "url"
+    assert ft.english_stop_words() == words[:-1]
+
+
+def test_the_classifier_keeps_the_word_of_the_placeholder(spark):
+    rows = [(f"url case {i}", "a") for i in range(6)] + [(f"plain thing {i}", "b") for i in range(6)]
+    model = md.train_classifier(spark.createDataFrame(rows, "t string, y string"), "t", "y")
+    assert "url" in next(s.vocabulary for s in model.stages if hasattr(s, "vocabulary"))
+
+
+def test_unsettled_starts_are_reported(spark):
+    with pytest.warns(UserWarning, match="did not settle"):
+        md.best_kmeans(blobs(spark), 3, starts=2, max_iter=1)
 
 
 def test_cluster_examples_are_seeded(spark):

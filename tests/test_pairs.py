@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from spark_triage import schemas
@@ -87,3 +88,20 @@ def test_rates_and_volume(spark):
     r = pf.deflection_rate(pairs).first()
     assert (r.n, r.n_deflected) == (3, 1) and abs(r.rate - 1 / 3) < 1e-12
     assert [tuple(x) for x in pf.brand_volume(m, 5).collect()] == [("brand", 6), ("other", 1)]
+
+
+def test_message_ids_of_long_conversations_do_not_collide(spark):
+    rows = [(1, 999, "user"), (1, 1000, "assistant"), (2, 0, "user"), (2, 1, "assistant"), (1, 1001, "user"), (3, 10**9, "assistant")]
+    turns = spark.createDataFrame([(c, t, r, "x") for c, t, r in rows], "conv_id bigint, turn bigint, role string, text string")
+    messages = standins.messages_from_turns(turns, "b").collect()
+    assert len({m.tweet_id for m in messages}) == 6
+    parent = {m.tweet_id: m.in_response_to_tweet_id for m in messages}
+    at = lambda c, t: (c << 32) + t
+    assert parent == {at(1, 999): None, at(1, 1000): at(1, 999), at(1, 1001): at(1, 1000), at(2, 0): None, at(2, 1): at(2, 0), at(3, 10**9): None}
+
+
+@pytest.mark.parametrize("conv, turn", [(1 << 31, 0), (1, 1 << 32), (-1, 0), (0, -1)])
+def test_numbers_that_do_not_fit_a_message_id_are_refused(spark, conv, turn):
+    turns = spark.createDataFrame([(conv, turn, "user", "x")], "conv_id bigint, turn bigint, role string, text string")
+    with pytest.raises(Exception, match="does not fit"):
+        standins.messages_from_turns(turns).collect()

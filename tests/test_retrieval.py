@@ -20,7 +20,9 @@ def data(spark):
     return q, c, frame(q), frame(c)
 
 
-LAYOUTS = {"corpus sent": {}, "queries sent": {"broadcast_bytes": 37 * 64}, "blocks": {"broadcast_bytes": 0, "block_rows": 20}}
+LAYOUTS = {"corpus sent": {}, "queries sent": {"broadcast_bytes": 37 * 64}, "blocks": {"broadcast_bytes": 0, "block_rows": 20},
+           "queries sent, with floors": {"broadcast_bytes": 37 * 64, "first_rows": 5},
+           "blocks, with floors": {"broadcast_bytes": 0, "block_rows": 20, "first_rows": 20}}
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
@@ -36,6 +38,20 @@ def test_top_k_matches_brute_force(data, layout, k):
     assert {(r.query_id, r.corpus_id, r["rank"]) for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("wide", [False, True])
+def test_floors_bound_what_the_tasks_give(spark, wide):
+    q, c = unit(20, 8, 3), unit(6000, 8, 4)
+    frame = lambda m, n: spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)],
+                                               "id bigint, embedding array<double>").repartition(n)
+    layout = {"broadcast_bytes": 0, "block_rows": 100} if wide else {"broadcast_bytes": 20 * 64}
+    qf, cf = frame(q, 2), frame(c, 60)
+    without = rt.candidates(qf, cf, 5, "id", "id", first_rows=10**6, **layout).count()
+    floored = rt.candidates(qf, cf, 5, "id", "id", first_rows=400, **layout)
+    assert without == 20 * 5 * 60 and floored.count() < 20 * 5 * 24
+    got = {(r.query_id, r.corpus_id) for r in rt.top_k_similar(qf, cf, 5, "id", "id", first_rows=400, **layout).collect()}
+    assert got == {(i, int(j)) for i, s in enumerate(q @ c.T) for j in np.argsort(-s)[:5]}
+
+
 def test_ties_inside_a_large_block(data, monkeypatch):
     q, c, qf, cf = data
     monkeypatch.setattr(rt, "BLOCK_ROWS", 16)

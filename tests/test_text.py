@@ -72,6 +72,12 @@ def test_vocab_overlap(apply):
         True, True, True, False, False]
 
 
+def test_the_brand_handle_is_no_name(apply):
+    text = ["Thanks for writing, AmazonHelp, we look into it", "Hi Bob, we are on it"]
+    assert apply(lambda c: tx.name_leaks(c), text, ) == [["AmazonHelp"], ["Bob"]]
+    assert apply(lambda c: tx.name_leaks(c, brand="AmazonHelp"), text) == [[], ["Bob"]]
+
+
 def test_name_leaks(apply):
     texts = [
         "so sorry for the delay, Alex. Thanks, Bob! Hi Amazon, Eve! on Diwali, ok", "Hi Hello Bob", 'Dear, Ann (Zed, "Quo! x',
