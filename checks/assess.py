@@ -332,7 +332,7 @@ _PAIRED = " UNION ALL ".join(
 )
 
 
-@query("WITH " + b.HUMAN_SQL + ", " + b.JUDGE_SQL + f""", p AS ({_PAIRED}),
+_AGREEMENT = ("WITH " + b.HUMAN_SQL + ", " + b.JUDGE_SQL + f""", p AS ({_PAIRED}),
  r AS (SELECT *, rank() OVER (PARTITION BY dimension ORDER BY h) + (count(*) OVER (PARTITION BY dimension, h) - 1) / 2 AS rh,
    rank() OVER (PARTITION BY dimension ORDER BY l) + (count(*) OVER (PARTITION BY dimension, l) - 1) / 2 AS rl FROM p),
  s AS (SELECT dimension, count(*) AS n, corr(rh, rl) AS rho, avg((abs(h - l) <= 1)::INT)::DOUBLE AS adjacent_rate FROM r GROUP BY 1),
@@ -340,14 +340,24 @@ _PAIRED = " UNION ALL ".join(
  j AS (SELECT dimension, df, a, c2, unnest(generate_series(1, CASE WHEN df % 2 = 0 THEN (df - 2) // 2 ELSE (df - 3) // 2 END)) AS j FROM k),
  t AS (SELECT dimension, exp(sum(ln(CASE WHEN df % 2 = 0 THEN (2 * j - 1) / (2 * j) ELSE 2 * j / (2 * j + 1) END)) OVER (PARTITION BY dimension ORDER BY j))
    * power(c2, j) AS term FROM j),
- q AS (SELECT dimension, 1 + sum(term) AS series FROM t GROUP BY 1)
- SELECT dimension, n, greatest(least(rho, 1), -1) AS spearman_rho, CASE WHEN a >= 1 THEN 0 ELSE 1 - CASE WHEN df % 2 = 0 THEN a * series ELSE (asin(a) + a * sqrt(c2) * series) * 2 / pi() END END AS spearman_p, adjacent_rate
- FROM k JOIN q USING (dimension)""")
+ q AS (SELECT dimension, 1 + sum(term) AS series FROM t GROUP BY 1),
+ agreement AS (SELECT dimension, n, greatest(least(rho, 1), -1) AS spearman_rho, CASE WHEN a >= 1 THEN 0 ELSE 1 - CASE WHEN df % 2 = 0 THEN a * series ELSE (asin(a) + a * sqrt(c2) * series) * 2 / pi() END END AS spearman_p, adjacent_rate
+ FROM k JOIN q USING (dimension))""")
+
+
+@query(_AGREEMENT + " SELECT * FROM agreement")
 def judge_agreement(spark, d):
     scored = ev.score_pairs(b.human(spark, d), b.judge(spark, d), "customer_tweet_id")
     return ev.judge_agreement(scored)
 
 
+@query(_AGREEMENT + """ SELECT dimension, '| ' || dimension || ' | ' || printf('%.3f', spearman_rho) || ' | ' || printf('%.3f', spearman_p)
+  || ' | ' || printf('%.1f', adjacent_rate * 100) || '% |' AS line FROM agreement""")
+def agreement_lines(spark, d):
+    """The lines of the calibration report."""
+    return ev.agreement_lines(judge_agreement(spark, d))
+
+
 _STRATA = """g AS (SELECT hard_case_category, row_number() OVER (ORDER BY hard_case_category) - 1 AS i FROM golden GROUP BY 1),
  quota AS (SELECT hard_case_category, 45 // (SELECT count(*) FROM g) + CASE WHEN i < 45 % (SELECT count(*) FROM g) THEN 1 ELSE 0 END AS q FROM g),
  picked AS (SELECT t.* FROM (SELECT *, row_number() OVER (PARTITION BY hard_case_category ORDER BY md5('33:' || customer_tweet_id), customer_tweet_id) AS k

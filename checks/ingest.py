@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import base as b
@@ -12,6 +14,7 @@ from spark_triage.operators import pairs as pr
 from spark_triage.operators import profile as pf
 from spark_triage.operators import sampling as sm
 from spark_triage.plans import discover, ingest
+from spark_triage.session import shared_folder
 from spark_triage.sources import tables
 
 QUERIES, SQL = {}, {}
@@ -42,6 +45,19 @@ def scan_messages(spark, d):
     return tables.typed_messages(raw)
 
 
+@query("WITH " + b.MESSAGES_SQL + " SELECT * FROM messages")
+def csv_messages(spark, d):
+    """The messages written as CSV files, with a column too many and parent ids like 12.0, and read back typed."""
+    rows = b.messages(spark, d).select(
+        "tweet_id", "author_id", F.initcap(F.col("inbound").cast("string")).alias("inbound"), "created_at", "text",
+        F.lit("x,y").alias("response_tweet_id"),
+        F.concat(F.col("in_response_to_tweet_id").cast("string"), F.lit(".0")).alias("in_response_to_tweet_id"),
+    )
+    path = f"{shared_folder(spark)}/messages-{uuid.uuid4().hex}"
+    rows.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return tables.read_messages_csv(spark, path)
+
+
 @query("WITH " + b.PAIRS_SQL + " SELECT * FROM pairs")
 def build_pairs(spark, d):
     return b.pairs(spark, d)

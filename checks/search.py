@@ -78,7 +78,7 @@ def retrieve_examples(spark, d):
 
 
 @query("WITH " + b.CLEAN_SQL + """ SELECT brand_reply_id, brand_reply_clean, len(embedding)::INT AS dims FROM clean_pairs
-  JOIN embeddings ON vec_id = brand_reply_id >> 32 WHERE NOT has_link AND length(brand_reply_clean) >= 40""")
+  LEFT JOIN embeddings ON vec_id = brand_reply_id >> 32 WHERE NOT has_link AND length(brand_reply_clean) >= 40""")
 def build_corpus(spark, d):
     pairs = b.clean_pairs(spark, d).withColumn("vec_id", F.shiftright("brand_reply_id", 32))
     return rt.build_corpus(pairs, b.vectors(spark, d), "vec_id").select(
@@ -88,15 +88,16 @@ def build_corpus(spark, d):
 
 # ---- evaluation set -----------------------------------------------------------------------------------
 
-_POOL = "WITH " + b.VECTORS_SQL + f""", pool AS (SELECT d.doc_id, e.label, r.similarity AS max_similarity,
+_POOL = "WITH " + b.VECTORS_SQL + f""", pool AS (SELECT d.doc_id, coalesce(e.label, -1) AS label, r.similarity AS max_similarity,
   {sql_any('d.text', b.OVERRIDE_SQL)} AS fraud_override, {sql_any('d.text', b.VOCAB_SQL)} AS pay_for_match
-  FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id JOIN ranked r ON r.query_id = d.doc_id AND r.rank = 1)"""
+  FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id LEFT JOIN ranked r ON r.query_id = d.doc_id AND r.rank = 1)"""
 
 
 def _pool(spark, d):
     queries, corpus = b.queries_and_corpus(spark, d)
     best = rt.max_similarity(queries, corpus, "vec_id", "vec_id").withColumnRenamed("query_id", "doc_id")
-    rows = load(spark, d, "documents").join(corpus.select(F.col("vec_id").alias("doc_id"), "label"), "doc_id")
+    labels = corpus.select(F.col("vec_id").alias("doc_id"), "label")
+    rows = load(spark, d, "documents").join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", F.lit(-1)))
     return ss.sampling_pool(rows, best, "doc_id", "text", b.OVERRIDE_PATTERNS, b.VOCAB_PATTERNS).select(
         "doc_id", "label", "max_similarity", "fraud_override", "pay_for_match"
     )
@@ -147,6 +148,23 @@ def kmeans_fit(spark, d):
     return md.assign_clusters(rows, model).select("vec_id", "cluster")
 
 
+@query("SELECT count(*) AS n_rows, least(count(DISTINCT embedding), 8) AS n_clusters, 0::BIGINT AS n_elsewhere FROM embeddings")
+def kmeans_invariants(spark, d):
+    """What holds for any settled fit: every row has a cluster, no cluster is empty, and no row is nearer to the mean of
+    another cluster than to its own."""
+    rows = b.vectors(spark, d)
+    model = md.best_kmeans(rows, 8, starts=2)
+    means = [[float(x) for x in c] for c in model.clusterCenters()]
+    away = lambda c: F.aggregate(
+        F.zip_with(F.transform("embedding", lambda x: x.cast("double")), F.array(*map(F.lit, c)), lambda x, y: (x - y) * (x - y)),
+        F.lit(0.0), lambda a, x: a + x)
+    far = F.array(*[away(c) for c in means])
+    own = F.element_at(far, F.col("cluster") + 1)
+    return md.assign_clusters(rows, model).agg(
+        F.count("*").alias("n_rows"), F.count_distinct("cluster").alias("n_clusters"),
+        F.count_if(own > F.array_min(far) + 1e-9).alias("n_elsewhere"))
+
+
 @query("""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
  dist AS (SELECT a.vec_id, a.label AS own, c.label AS other, list_distance(a.e, c.e) AS dist FROM v a, v c),
  s AS (SELECT vec_id, own, other, sum(dist) AS total, count(*) AS n FROM dist GROUP BY ALL),

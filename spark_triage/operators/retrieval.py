@@ -228,7 +228,7 @@ def encode_column(df: DataFrame, text_col: str, encoder, vector: str = "embeddin
 
 
 def build_corpus(pairs: DataFrame, vectors: DataFrame, id_col: str, min_length: int = fv.MIN_REPLY_LENGTH) -> DataFrame:
-    """Substantive pairs with their vector in the same row."""
+    """Substantive pairs with their vector in the same row; a pair without one stays, and the search passes it over."""
     from spark_triage.operators.pairs import substance_filter
 
-    return substance_filter(pairs, min_length).join(vectors, id_col)
+    return substance_filter(pairs, min_length).join(vectors, id_col, "left")

@@ -123,5 +123,5 @@ def forced_sample(
 
 
 def lowest(df: DataFrame, score: str, id_col: str, n: int) -> DataFrame:
-    """The ``n`` rows with the lowest score, ties by id."""
-    return df.orderBy(score, id_col).limit(n)
+    """The ``n`` rows with the lowest score, ties by id; rows without a score come last."""
+    return df.orderBy(F.col(score).asc_nulls_last(), id_col).limit(n)

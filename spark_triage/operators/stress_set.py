@@ -29,8 +29,9 @@ def sampling_pool(
     rows: DataFrame, similarity: DataFrame, id_col: str, text_col: str,
     fraud_patterns=fv.FRAUD_PATTERNS, vocab_patterns=fv.PAY_FOR_PATTERNS,
 ) -> DataFrame:
-    """Held-out rows with the features the selection needs. ``similarity`` is (id, max_similarity)."""
-    return rows.join(similarity, id_col).withColumns(
+    """Held-out rows with the features the selection needs. ``similarity`` is (id, max_similarity); a row without one
+    stays in the pool, is no near copy and comes last by similarity."""
+    return rows.join(similarity, id_col, "left").withColumns(
         {
             "fraud_override": tx.fraud_override(F.col(text_col), fraud_patterns),
             "pay_for_match": tx.vocab_overlap(F.col(text_col), vocab_patterns),
@@ -66,7 +67,7 @@ def select_stress_set(pool: DataFrame, id_col: str, intent: str, plan: StressPla
     low = lowest(rest, "max_similarity", id_col, plan.low_pool + plan.hard_total)
     candidates = picked.unionByName(low).dropDuplicates([id_col])  # a few hundred rows from here on
 
-    by_similarity = Window.orderBy("max_similarity", id_col)
+    by_similarity = Window.orderBy(F.col("max_similarity").asc_nulls_last(), id_col)
     frame = candidates.withColumn("_low", F.row_number().over(by_similarity)).withColumn(
         "_taken", F.lit(None).cast("string")
     )
