@@ -3,7 +3,8 @@
 Texts are cut into words with the space before them (``tokens``: pieces never cross such words). A block of texts
 keeps, for each word in turn, its number in the block's own list of distinct words. The lists are cut by a hash of the
 word and shuffled, so that all copies of a word meet in one task and the library sees it once there; the ids go back
-to the block, where the numbers place them. Only distinct words of blocks and the numbers travel, never word rows.
+to the block, where the numbers place them. Only the distinct words of blocks travel, never a row for each word, and
+the numbers stay in a table bucketed by block, which the ids join without moving it.
 Decoding looks every id up in the id-to-piece table, whose size is the vocabulary's.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,11 @@ from pyspark.sql import functions as F
 from spark_triage.llm import counts as ct
 from spark_triage.llm import tokens as tk
 from spark_triage.llm.common import staged, strip
+from spark_triage.session import shared_folder
 
-BLOCK_BYTES = 8 << 20
-PARTS = 256  # word lists of a block
+BLOCK_BYTES = 16 << 20
+PARTS = 64  # word lists of a block, at most 256
+PLACED_UNITS = 1 << 19  # placed at a time
 #: Fixed value: the white space of the vocabulary's word pattern.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 UNIT = f"[{SPACE}]+(?![^{SPACE}])| ?[^{SPACE}]+|[{SPACE}]"
@@ -36,6 +40,16 @@ def join_bytes(items: list[bytes]) -> bytes:
     return np.array([len(items), *map(len, items)], "<u4").tobytes() + b"".join(items)
 
 
+def packed(items: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(join_bytes(items))
+
+
+def unpacked(raw: bytes) -> list[bytes]:
+    data, at, _ = split_bytes(zstandard.ZstdDecompressor().decompress(raw))
+    data = data.tobytes()
+    return [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
 def split_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray, int]:
     """(bytes, offsets, number) of ``join_bytes``."""
     n = int(np.frombuffer(raw, "<u4", 1)[0])
@@ -69,39 +83,34 @@ def _block_rows(texts: pa.Array, ids: list, specials: list[str], parts: int, num
             sizes.append(np.diff(b.ends))
         codes.append(code)
     listed = list(words)
-    part = np.array([xxhash.xxh3_64_intdigest(u) % parts for u in listed], np.int64)
     code = np.concatenate(codes)
     often = np.bincount(code, minlength=len(listed))
-    order = np.lexsort((-often, part))  # within a part, frequent words have low numbers
-    new = np.empty(len(order), np.int64)
-    new[order] = np.arange(len(order))
-    # numbers by falling frequency compress best; the table from them to list places goes along
-    rank = np.argsort(-often, kind="stable")
-    by_rank = np.empty(len(rank), np.int64)
-    by_rank[rank] = np.arange(len(rank))
-    code = by_rank[code]
-    planes = np.stack([code & 255, code >> 8 & 255, code >> 16 & 255]).astype(np.uint8)
-    body = join_bytes([
-        planes.tobytes(), new[rank].astype("<u4").tobytes(), np.concatenate(sizes).astype("<u4").tobytes(),
-        json.dumps(ids).encode()])
-    rows = [(number, -1, zstandard.ZstdCompressor(level=1).compress(body))]
+    rank = np.argsort(-often, kind="stable")  # words are numbered by falling frequency: the numbers compress best so
+    number_of = np.empty(len(rank), np.int64)
+    number_of[rank] = np.arange(len(rank))
+    code = number_of[code]
+    listed = [listed[i] for i in rank.tolist()]
+    part = np.array([xxhash.xxh3_64_intdigest(u) % parts for u in listed], np.uint8)
+    planes = np.stack([code >> shift & 255 for shift in (0, 8, 16, 24)]).astype(np.uint8)
+    rows = [(number, -1, packed([
+        planes.tobytes(), part.tobytes(), np.concatenate(sizes).astype("<u4").tobytes(), json.dumps(ids).encode()]))]
+    order = np.argsort(part, kind="stable")
     cuts = np.searchsorted(part[order], np.arange(parts + 1))
     for p in range(parts):
         if cuts[p] < cuts[p + 1]:
-            rows.append((number, p, join_bytes([listed[i] for i in order[cuts[p] : cuts[p + 1]]])))
+            rows.append((number, p, packed([listed[i] for i in order[cuts[p] : cuts[p + 1]].tolist()])))
     return rows
 
 
-def word_blocks(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text", parts: int = PARTS,
-                block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, part, body) of all texts, a written table: a block's name and numbers must not change afterwards."""
+def word_blocks(docs: DataFrame, spec: str, buckets: int, id_col: str = "doc_id", text_col: str = "text",
+                parts: int = PARTS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(block, part, body) of all texts, a table in the shared folder, bucketed by block: a block's name and numbers must
+    not change afterwards."""
     specials = tk.special_strings(spec)
     if not tk.keeps_spaces(spec):
         raise ValueError("word blocks need a byte-level vocabulary")
 
     def run(batches):
-        import uuid
-
         for batch in batches:
             column = batch.column("text").fill_null("")
             size = np.cumsum(pa.compute.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
@@ -117,7 +126,17 @@ def word_blocks(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: st
                         ["block", "part", "body"])
                 at = to
 
-    return staged(strip(docs, id_col, text_col).mapInArrow(run, "block string, part int, body binary"), "wordtable-blocks")
+    rows = strip(docs, id_col, text_col).mapInArrow(run, "block string, part int, body binary")
+    name = f"wordtable_{uuid.uuid4().hex}"
+    rows.withColumn("words", F.col("part") >= 0).write.partitionBy("words").bucketBy(buckets, "block").option(
+        "compression", "none").option("path", f"{shared_folder(docs.sparkSession)}/{name}").saveAsTable(name)
+    return docs.sparkSession.table(name)
+
+
+def bucket_count(docs: DataFrame, text_col: str, block_bytes: int) -> int:
+    """As many buckets as shuffle partitions, or more, so that a bucket holds about four blocks at most."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string"))).alias("n")).first()["n"] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // (4 * block_bytes))
 
 
 def encode_words(blocks: DataFrame, spec: str) -> DataFrame:
@@ -129,14 +148,12 @@ def encode_words(blocks: DataFrame, spec: str) -> DataFrame:
         for batch in batches:
             out = []
             for raw in batch.column("body").to_pylist():
-                data, at, n = split_bytes(raw)
-                data = data.tobytes()
-                ids = encoder.units([data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())])
-                out.append(np.array([n, *(len(x) // 4 for x in ids)], "<u4").tobytes() + b"".join(ids))
+                ids = encoder.units(unpacked(raw))
+                out.append(packed([np.array([len(x) // 4 for x in ids], "<u4").tobytes(), b"".join(ids)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("part"), pa.array(out, pa.binary())], ["block", "part", "body"])
 
-    return blocks.filter("part >= 0").repartition("part").sortWithinPartitions("part").mapInArrow(
+    return blocks.filter("words").select("block", "part", "body").repartition("part").sortWithinPartitions("part").mapInArrow(
         run, "block string, part int, body binary")
 
 
@@ -175,45 +192,62 @@ def encoded(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str =
     Null and empty texts have no ids and an empty text. Bytes that are no UTF-8 become replacement characters, as in
     the library. Rows do not depend on each other, so repeated rows and ids are no matter.
     """
-    blocks = word_blocks(docs, spec, id_col, text_col, parts, block_bytes)
+    buckets = bucket_count(docs, text_col, block_bytes)
+    blocks = word_blocks(docs, spec, buckets, id_col, text_col, parts, block_bytes)
     held = docs.sparkSession.sparkContext.broadcast(spec)
     ids = encode_words(blocks, spec)
 
-    def place(table: pa.Table) -> pa.Table:
+    def place(text: bytes, lists: list[dict]):
         pieces = tk.per_worker(f"pieces-{hash(held.value)}", lambda: Pieces(held.value))
-        part, body = table.column("part").to_numpy(), table.column("body").to_pylist()
-        lists, text = [], b""
-        for i in np.argsort(part).tolist():
-            if part[i] < 0:
-                text = zstandard.ZstdDecompressor().decompress(body[i])
-            else:
-                n = int(np.frombuffer(body[i], "<u4", 1)[0])
-                lists.append((np.frombuffer(body[i], "<u4", n, 4), np.frombuffer(body[i], "<u4", offset=4 * (n + 1))))
-        data, at, _ = split_bytes(text)
-        planes, rank, sizes, names = (data[a:b].tobytes() for a, b in zip(at[:-1], at[1:]))
-        planes = np.frombuffer(planes, np.uint8).reshape(3, -1).astype(np.int64)
-        code = np.frombuffer(rank, "<u4")[planes[0] | planes[1] << 8 | planes[2] << 16] if planes.size else planes[0]
+        planes, part, sizes, names = unpacked(text)
+        part = np.frombuffer(part, np.uint8)
+        size, values = np.zeros(len(part), np.int64), []
+        for x in sorted(lists, key=lambda x: x["part"]):
+            own, ids = unpacked(x["body"])
+            size[part == x["part"]] = np.frombuffer(own, "<u4")
+            values.append(np.frombuffer(ids, "<u4"))
+        values = np.concatenate(values) if values else np.zeros(0, "<u4")
+        # the lists stand part by part; where each word's ids begin, by word number
+        order = np.argsort(part, kind="stable")
+        begin = np.empty(len(part), np.int64)
+        begin[order] = np.concatenate([[0], np.cumsum(size[order])])[:-1]
+        planes = np.frombuffer(planes, np.uint8).reshape(4, -1)
         ends = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, "<u4"), dtype=np.int64)])
-        size = np.concatenate([x for x, _ in lists]) if lists else np.zeros(0, "<u4")
-        values = np.concatenate([x for _, x in lists]) if lists else np.zeros(0, "<u4")
-        values, at = tk.gather(values, np.concatenate([[0], np.cumsum(size, dtype=np.int64)]), code.astype(np.int64), ends)
-        decoded, cut = pieces.decode(values, at)
-        texts = [decoded[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
-        texts = [x.decode("utf-8", "replace") for x in texts]
-        out = {"doc_id": pa.array(json.loads(names), pa.int64())}
-        if not digest:
-            return pa.table(out | {
-                "ids": pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values.astype(np.int32))),
-                "decoded": pa.array(texts, pa.string())})
-        raw = values.astype("<u4").tobytes()
-        return pa.table(out | {
-            "n_tokens": pa.array(np.diff(at)),
-            "ids_sha256": [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(at[:-1].tolist(), at[1:].tolist())],
-            "decoded_sha256": [hashlib.sha256(x.encode()).hexdigest() for x in texts]})
+        names, at = json.loads(names), 0
+        while at < len(names):  # some texts at a time
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + PLACED_UNITS, "right")) - 1)
+            cut = planes[:, ends[at] : ends[to]].astype(np.int64)
+            code = cut[0] | cut[1] << 8 | cut[2] << 16 | cut[3] << 24
+            ids, first = tk.gather_at(values, begin, size, code, ends[at : to + 1] - ends[at])
+            yield _result(names[at:to], ids, first, pieces, digest)
+            at = to
+
+    def placed(batches):
+        for batch in batches:
+            for text, lists in zip(batch.column("text"), batch.column("lists")):
+                yield from place(text.as_py(), lists.as_py() or [])
 
     schema = ("doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digest
               else "doc_id bigint, ids array<int>, decoded string")
-    return blocks.filter("part < 0").unionByName(ids).groupBy("block").applyInArrow(place, schema)
+    texts = blocks.filter("not words").select("block", F.col("body").alias("text"))
+    lists = ids.repartition(buckets, "block").groupBy("block").agg(F.collect_list(F.struct("part", "body")).alias("lists"))  # at most PARTS a block
+    return texts.join(lists, "block", "left").select("text", "lists").mapInArrow(placed, schema)
+
+
+def _result(names: list, ids: np.ndarray, first: np.ndarray, pieces: Pieces, digest: bool) -> pa.RecordBatch:
+    """The rows of some texts, whose ids stand one after the other and begin at ``first``."""
+    decoded, cut = pieces.decode(ids, first)
+    texts = [decoded[a:b].decode("utf-8", "replace") for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+    out = {"doc_id": pa.array(names, pa.int64())}
+    if not digest:
+        lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids.astype(np.int32)))
+        return pa.RecordBatch.from_pydict(out | {"ids": lists, "decoded": pa.array(texts, pa.string())})
+    raw = ids.astype("<u4").tobytes()
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    return pa.RecordBatch.from_pydict(out | {
+        "n_tokens": pa.array(np.diff(first)),
+        "ids_sha256": pa.array([sha(raw[4 * a : 4 * b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]),
+        "decoded_sha256": pa.array([sha(x.encode()) for x in texts])})
 
 
 def decode(ids: DataFrame, spec: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
