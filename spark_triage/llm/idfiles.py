@@ -39,11 +39,17 @@ def bits_for(vocabulary_size: int) -> int:
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
+    if bits % 8 == 0:  # whole bytes
+        return ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : bits // 8].tobytes()
     wide = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
     return np.packbits(wide[:, :bits].reshape(-1), bitorder="little").tobytes()
 
 
 def unpack_bits(raw: bytes, n: int, bits: int) -> np.ndarray:
+    if bits % 8 == 0:
+        out = np.zeros((n, 4), np.uint8)
+        out[:, : bits // 8] = np.frombuffer(raw, np.uint8).reshape(n, bits // 8)
+        return out.view("<u4").reshape(-1)
     wide = np.zeros((n, 32), np.uint8)
     wide[:, :bits] = np.unpackbits(np.frombuffer(raw, np.uint8), count=n * bits, bitorder="little").reshape(n, bits)
     return np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(-1)

@@ -3,7 +3,8 @@
 Pieces of the two public BPE vocabularies never cross white space, so a text is cut into *units*: each word, with the
 one space before it where the vocabulary keeps spaces, and what is left of the white space. The ids of a text are the
 ids of its units in turn. Words are found and compared by hash on whole batches (``wordhash``); the library sees each
-distinct unit. A text for which this cutting would not hold (white space beyond ASCII, or a special token's string)
+distinct unit. Full stops and the like after a letter or digit are a unit of their own, as they always begin a piece,
+and where the vocabulary folds case, A to Z are folded before units are compared. A text for which this cutting would not hold (white space beyond ASCII, or a special token's string)
 goes to the library whole.
 """
 
@@ -24,6 +25,7 @@ from spark_triage.llm import wordhash as wh
 
 CACHE = 600_000  # units
 SLICE_BYTES = 4 << 20  # of an Arrow batch
+JOINED = 256  # units in one call
 _ODD_SPACE = rb"\x1c|\x1d|\x1e|\x1f|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 
 
@@ -63,9 +65,26 @@ class Block:
     odd: np.ndarray
 
 
+_STOPS = np.zeros(256, bool)
+_STOPS[list(b".,!?;:")] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")] = True
+
+
+def _before_stops(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Where the closing stops of each word begin, if a letter or digit stands before them; else the word's end."""
+    end = stop.copy()
+    for _ in range(4):
+        back = (end - 1 > start) & _STOPS[data[end - 1]]
+        end = end - back
+    return np.where((end < stop) & _PLAIN[data[end - 1]], end, stop)
+
+
 def blocks(column: pa.Array, spaces: bool, specials: list[str]):
-    odd_at = re.compile(b"|".join([_ODD_SPACE if spaces else rb"(?!)", *(re.escape(s.encode()) for s in specials)]))
-    for p in wh.pieces(column):
+    """The units of whole texts. ``spaces``: the vocabulary keeps white space and case; without, both are dropped."""
+    odd_at = re.compile(b"|".join([_ODD_SPACE if spaces else rb"(?!)", *(re.escape(s.encode()) for s in specials)]),
+                        re.IGNORECASE)
+    for p in wh.pieces(column, lower=not spaces):
         odd = np.zeros(len(p.rows), bool)
         raw = p.data.tobytes()
         if odd_at.search(raw):
@@ -74,6 +93,9 @@ def blocks(column: pa.Array, spaces: bool, specials: list[str]):
         words = p.words
         start, stop = p.start, p.stop
         doc = np.repeat(np.arange(len(p.rows)), np.diff(words))
+        end = _before_stops(p.data, start, stop)
+        cut = np.flatnonzero(end < stop)
+        stops = end[cut], stop[cut], doc[cut]
         if spaces:
             begin = p.begin[doc]
             led = (start > begin) & (p.data[np.maximum(start, 1) - 1] == 0x20)
@@ -89,11 +111,13 @@ def blocks(column: pa.Array, spaces: bool, specials: list[str]):
             some = np.diff(words) > 0
             tail_from[some] = stop[words[1:][some] - 1]
             tail = p.end > tail_from
-            start = np.concatenate([start, last[has], gap_end[tight], tail_from[tail]])
-            stop = np.concatenate([stop, gap_end[has], gap_end[tight] + 1, p.end[tail]])
-            doc = np.concatenate([doc, doc[has], doc[tight], np.flatnonzero(tail)])
-            order = np.argsort(start, kind="stable")
-            start, stop, doc = start[order], stop[order], doc[order]
+            start = np.concatenate([start, stops[0], last[has], gap_end[tight], tail_from[tail]])
+            stop = np.concatenate([end, stops[1], gap_end[has], gap_end[tight] + 1, p.end[tail]])
+            doc = np.concatenate([doc, stops[2], doc[has], doc[tight], np.flatnonzero(tail)])
+        else:
+            start, stop, doc = (np.concatenate(x) for x in zip((start, end, doc), stops))
+        order = np.argsort(start, kind="stable")
+        start, stop, doc = start[order], stop[order], doc[order]
         if odd.any():
             keep = ~odd[doc]
             start, stop, doc = start[keep], stop[keep], doc[keep]
@@ -111,21 +135,13 @@ def gather_at(values: np.ndarray, begin: np.ndarray, size: np.ndarray, code: np.
     return values[at], total[ends]
 
 
-def gather_at(values: np.ndarray, begin: np.ndarray, size: np.ndarray, code: np.ndarray, ends: np.ndarray):
-    """(values of the units in turn, where each text's begin): unit c has ``size[c]`` values from ``begin[c]``."""
-    own = size[code]
-    total = np.concatenate([[0], np.cumsum(own, dtype=np.int64)])
-    at = np.repeat(begin[code] - total[:-1], own) + np.arange(total[-1])
-    return values[at], total[ends]
-
-
 def gather(values: np.ndarray, offsets: np.ndarray, code: np.ndarray, ends: np.ndarray):
     """``gather_at`` for units that stand one after the other."""
     return gather_at(values, offsets[:-1], np.diff(offsets), code, ends)
 
 
 class Encoder:
-    """Ids of whole columns. Results for units are kept up to a bound, then forgotten."""
+    """Ids of whole columns. Results for units are kept up to a bound, the older half is then forgotten."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -136,20 +152,47 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        # a mark that is a piece, and one id, wherever it stands between units
+        self.mark = b"\n" if self.spaces else b" \x01 "
+        self.mark_id = self.whole([self.mark.decode()])[0][0]
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _new(self, units: list[bytes]):
+        """(unit, ids) of units, many in one call with marks between them; units that hold a mark go alone."""
+        mark = self.mark.strip(b" ")
+        alone = [u for u in units if mark in u or not u.strip()]
+        joined = [u for u in units if mark not in u and u.strip()]
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        texts = [(self.mark.join(g) + self.mark).decode() for g in groups]
+        for group, ids in zip(groups, self.whole(texts)):
+            ids = np.array(ids, "<u4")
+            at = np.flatnonzero(ids == self.mark_id)
+            if len(at) != len(group):
+                alone += group
+                continue
+            raw, begin = ids.tobytes(), 0
+            for u, end in zip(group, (4 * at).tolist()):
+                yield u, raw[begin:end]
+                begin = end + 4
+        for u, ids in zip(alone, self.whole([u.decode() for u in alone])):
+            yield u, np.array(ids, "<u4").tobytes()
+
     def units(self, distinct: list[bytes]) -> list[bytes]:
         """Ids of each unit as little-endian 32-bit integers."""
-        known = self.known
-        new = [u for u in distinct if u not in known]
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = distinct
-            for u, ids in zip(new, self.whole([u.decode() for u in new])):
-                known[u] = np.array(ids, "<u4").tobytes()
+        if len(self.known) + len(distinct) > CACHE // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for u in distinct:
+            if u not in known:
+                if u in older:
+                    known[u] = older[u]
+                else:
+                    new.append(u)
+        known.update(self._new(new))
         return [known[u] for u in distinct]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -17,7 +17,8 @@ from spark_triage.llm import tokens as tk  # noqa: E402
 from tests.llm.brute import groups  # noqa: E402
 
 PARTS = ["a", "b", " ", "  ", "\n", "\t", "\xa0", "'s", "'", "é", "e", "́", "1", "23", ".", "!!", "<|endoftext|>",
-         "<|startoftext|>", "don't", "\x1c", "\x85", "　", " ", "ß", "İ", "Σ", "中文", "😀", "the", "ing", " \n ", "\r\n"]
+         "<|startoftext|>", "don't", "\x1c", "\x85", "　", " ", "ß", "İ", "Σ", "中文", "😀", "the", "ing", " \n ", "\r\n",
+         ",", "...", "?!", "Big", "THE", "<|ENDOFTEXT|>", "<|StartOfText|>", "K", "-", "…", ":;"]
 
 
 def spec_of(name):
@@ -56,7 +57,7 @@ def test_encoder_gives_the_ids_of_whole_texts(name, odd, corpus):
 
 
 def test_encoder_forgets_beyond_its_bound(byte_spec, odd, monkeypatch):
-    monkeypatch.setattr(tk, "CACHE", 50)
+    monkeypatch.setattr(tk, "CACHE", 300)
     e = tk.Encoder(byte_spec)
     for at in range(0, 600, 40):
         ids, ends = e.encode(pa.array(odd[at : at + 40]))
