@@ -13,17 +13,15 @@ from __future__ import annotations
 import json
 import os
 import re
-import sys
-import types
-from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
 from spark_triage.llm import wordhash as wh
+from spark_triage.llm.wordhash import per_worker
 
-CACHE = 600_000  # units
+CACHE = 400_000  # units
 SLICE_BYTES = 4 << 20  # of an Arrow batch
 JOINED = 256  # units in one call
 _ODD_SPACE = rb"\x1c|\x1d|\x1e|\x1f|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
@@ -45,14 +43,6 @@ def special_strings(spec: str) -> list[str]:
     return [t["content"] for t in json.loads(spec)["added_tokens"]]
 
 
-def per_worker(name: str, make: Callable):
-    """An object kept for the life of a Python worker. Functions travel by value, so their module cannot hold it."""
-    store = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state"))
-    if name not in store.__dict__:
-        store.__dict__[name] = make()
-    return store.__dict__[name]
-
-
 @dataclass
 class Block:
     """Units of some whole texts: text i has units ``ends[i]`` to ``ends[i + 1]`` of ``code``, numbers into
@@ -82,12 +72,13 @@ def _before_stops(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.n
 
 def blocks(column: pa.Array, spaces: bool, specials: list[str]):
     """The units of whole texts. ``spaces``: the vocabulary keeps white space and case; without, both are dropped."""
-    odd_at = re.compile(b"|".join([_ODD_SPACE if spaces else rb"(?!)", *(re.escape(s.encode()) for s in specials)]),
-                        re.IGNORECASE)
+    # where case is folded the strings are looked for in the folded text, so that none comes to be by folding
+    marks = [s.encode() if spaces else s.encode().lower() for s in specials]
+    odd_at = re.compile(b"|".join([*([_ODD_SPACE] if spaces else []), *map(re.escape, marks)]) or rb"(?!)")
     for p in wh.pieces(column, lower=not spaces):
         odd = np.zeros(len(p.rows), bool)
         raw = p.data.tobytes()
-        if odd_at.search(raw):
+        if (odd_at.search(raw) if spaces else any(m in raw for m in marks)):
             for i in range(len(p.rows)):
                 odd[i] = odd_at.search(raw, int(p.begin[i]), int(p.end[i])) is not None
         words = p.words
@@ -162,9 +153,9 @@ class Encoder:
 
     def _new(self, units: list[bytes]):
         """(unit, ids) of units, many in one call with marks between them; units that hold a mark go alone."""
-        mark = self.mark.strip(b" ")
-        alone = [u for u in units if mark in u or not u.strip()]
-        joined = [u for u in units if mark not in u and u.strip()]
+        mark, alone, joined = self.mark.strip(b" "), [], []
+        for u in units:
+            (alone if mark in u or u.isspace() else joined).append(u)
         groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
         texts = [(self.mark.join(g) + self.mark).decode() for g in groups]
         for group, ids in zip(groups, self.whole(texts)):
