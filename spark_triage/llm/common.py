@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from spark_triage.llm import wordhash as wh
 from spark_triage.session import staged
 
 __all__ = ["load", "map_batches", "staged", "bucket_ranks", "strip"]
 
 _HIDDEN = "__llm_"
+CACHES = ("encoder-", "counter-")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,13 +30,19 @@ def strip(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str | StructType,
-                slice_bytes: int | None = None) -> DataFrame:
+                slice_bytes: int | None = None, keeps: str = "") -> DataFrame:
     """``fn`` applied to every Arrow batch of a task; it gives the columns of ``schema`` by name, or nothing.
-    ``slice_bytes`` cuts a larger batch into slices of about that size first."""
+    ``slice_bytes`` cuts a larger batch into slices of about that size first. Unit caches that a worker still has from
+    other operators are dropped, but for those whose names begin with ``keeps``."""
     arrow = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     target = to_arrow_schema(arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name in list(wh.worker_state()):
+            if name.startswith(CACHES) and not (keeps and name.startswith(keeps)):
+                del wh.worker_state()[name]
+        gc.collect()  # what the worker's last task left, functions that came by value among it
+        pa.default_memory_pool().release_unused()
         for batch in batches:
             step = max(1, batch.num_rows * (slice_bytes or batch.nbytes) // max(1, batch.nbytes))
             for at in range(0, batch.num_rows, step):

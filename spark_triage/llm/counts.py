@@ -121,4 +121,4 @@ def token_counts(docs: DataFrame, spec: str, limit: int = 512, id_col: str = "do
         return {"doc_id": batch.column("doc_id"), "n_bytes": batch.column("size"), "n_tokens": n, "over_limit": n > limit}
 
     rows = strip(docs, id_col, text_col).withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-    return map_batches(rows, run, "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean", tk.SLICE_BYTES)
+    return map_batches(rows, run, "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean", tk.SLICE_BYTES, "counter-")

@@ -193,7 +193,7 @@ def write_ids(docs: DataFrame, spec: str, end_id: int, folder: str, id_col: str
             {"number": pa.array([number], pa.int32()), "uri": [out.uri], "n_ids": pa.array([out.n], pa.int64()),
              "n_docs": pa.array([len(out.docs)], pa.int64())})
 
-    ids = map_batches(rows, encode, "file int, doc_id bigint, ids binary", tk.SLICE_BYTES)
+    ids = map_batches(rows, encode, "file int, doc_id bigint, ids binary", tk.SLICE_BYTES, "encoder-")
     written = ids.repartitionById(files, F.col("file")).sortWithinPartitions("file", "doc_id", "ids").mapInArrow(
         write, "number int, uri string, n_ids bigint, n_docs bigint")
     return staged(written, "idfiles")

@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, spec: str, end_id: int, size: int, id_col: str = "do
         return out
 
     return map_batches(strip(docs, id_col, text_col), run,
-                       "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint", tk.SLICE_BYTES)
+                       "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint", tk.SLICE_BYTES, "encoder-")
 
 
 def _fits(gap: int, left: np.ndarray, most: int):

@@ -158,9 +158,7 @@ def repeated_spans(texts: DataFrame, width: int, gram: int) -> DataFrame:
     def estimated(batch, again, first):
         kind = (_column(batch, "pos") >> 6) & 3
         keep = (kind == FOUND) | ((kind == OPEN) & again)
-        return batch.select(["span", "did", "h", "pos"]).filter(pa.array(keep))
-
-    def combine(batch):
+        batch = batch.filter(pa.array(keep))
         span, did, h, pos = (_column(batch, c) for c in ("span", "did", "h", "pos"))
         order, new, size = _runs(span)
         span, did, h, pos = (x[order] for x in (span, did, h, pos))
@@ -168,7 +166,9 @@ def repeated_spans(texts: DataFrame, width: int, gram: int) -> DataFrame:
         shown, alone = new & (size > 1), size == 1
         kind = np.where(alone, OPEN, np.where(shown, SIGN, FOUND))
         spread = wh.mix(span.view(np.uint64) ^ at.astype(np.uint64) ^ (did.astype(np.uint64) << _U(20))).view(np.int64)
-        return {"key": np.where(kind == FOUND, spread, span), "did": did, "h": h, "pos": _pack(at, kind, n)}
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.where(kind == FOUND, spread, span)), pa.array(did), pa.array(h), pa.array(_pack(at, kind, n))],
+            ["key", "did", "h", "pos"])
 
     def exact(batch, again, first):
         pos = _column(batch, "pos")
@@ -181,8 +181,7 @@ def repeated_spans(texts: DataFrame, width: int, gram: int) -> DataFrame:
             ["did", "h", "at", "n", "state"])
 
     cells = map_batches(texts.select("did", "h", "text"), sketch, "key bigint, span bigint, did bigint, h int, pos bigint")
-    flagged = _grouped(cells, ["key"], estimated, "span bigint, did bigint, h int, pos bigint")
-    spans = map_batches(flagged, combine, "key bigint, did bigint, h int, pos bigint")
+    spans = _grouped(cells, ["key"], estimated, "key bigint, did bigint, h int, pos bigint")
     return _grouped(spans, ["key"], exact, "did bigint, h int, at int, n int, state int")
 
 

@@ -7,7 +7,9 @@ handled in pieces of about ``CHUNK`` bytes, cut between texts only; a longer tex
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,21 +41,34 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def worker_state() -> dict:
+    """What a Python worker keeps between tasks. Functions travel by value, so their module cannot hold it."""
+    return sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state")).__dict__
+
+
+def per_worker(name: str, make: Callable):
+    """An object kept for the life of a Python worker."""
+    state = worker_state()
+    if name not in state:
+        state[name] = make()
+    return state[name]
+
+
 class _Tables:
-    """Powers of a base and of its inverse modulo 2**64, grown on demand."""
+    """Powers of a base and of its inverse modulo 2**64. A worker keeps the ones for a usual piece; a longer text has
+    its own, which go with it."""
 
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
+    def __init__(self, name: str, base: int, usual: int):
+        self.name, self.base, self.inverse, self.usual = name, base, pow(base, -1, 1 << 64), usual
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, min(2 * len(self.up), 2 * CHUNK))
-            self.up, self.down = _powers(self.base, size), _powers(self.inverse, size)
-        return self.up[:n], self.down[:n]
+        if n > self.usual:
+            return _powers(self.base, n), _powers(self.inverse, n)
+        up, down = per_worker(self.name, lambda: (_powers(self.base, self.usual), _powers(self.inverse, self.usual)))
+        return up[:n], down[:n]
 
 
-_BYTES, _WORDS = _Tables(_BASE), _Tables(_STEP)
+_BYTES, _WORDS = _Tables("powers of bytes", _BASE, CHUNK + 1), _Tables("powers of words", _STEP, 1 << 18)
 
 
 @dataclass
