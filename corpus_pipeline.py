@@ -14,6 +14,14 @@ from spark_triage.llm import neardup, packing, pii, quality, substring
 from spark_triage.llm.common import load, staged
 from spark_triage.llm.queries import vocabulary
 
+#: The column that tells rows apart inside a stage.
+KEY = "__pipeline_row"
+
+
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a key of its own for every row, written once, so that a row keeps its key however often it is read."""
+    return staged(docs.withColumn(KEY, F.monotonically_increasing_id()), name)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, with a host that passes too. Documents that share an id stay only if all pass."""
@@ -22,9 +30,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one of lowest id."""
-    out = neardup.near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
-    return docs.join(staged(out, "pipeline-copies"), "doc_id", "left_anti")
+    """One row of each group of near-duplicates, the one of lowest id; of rows that share that id one stays, and a row
+    without an id stays only if none of its group has one. Rows are told apart by a key, not by their ids; it is written
+    once, so that a row keeps its key however often it is read."""
+    keyed = docs.withColumn(KEY, F.monotonically_increasing_id())
+    rows = staged(keyed, "pipeline-rows", compression="zstd")
+    groups = neardup.near_duplicates(rows, id_col=KEY).select(F.col("doc_id").alias(KEY), "component_id")
+    groups = staged(groups.join(rows.select(KEY, "doc_id"), KEY), "pipeline-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY)
+    first = groups.groupBy("component_id").agg(F.min(order).alias("first")).select(f"first.{KEY}")
+    out = groups.select(KEY).join(first, KEY, "left_anti")
+    return rows.join(staged(out, "pipeline-copies"), KEY, "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
