@@ -24,9 +24,12 @@ def _keyed(docs: DataFrame, name: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules, with a host that passes too. Documents that share an id stay only if all pass."""
-    out = quality.quality(docs).filter(~F.col("kept")).select("doc_id")
-    return docs.join(staged(out, "pipeline-rejected"), "doc_id", "left_anti")
+    """Rows that pass the rules, with a host that passes too, each by its own verdict, whatever its id. A verdict follows
+    from text and host, so it returns by 128 bits of the row, and no copy of the texts is written."""
+    own = [F.xxhash64("doc_id", "text", "source").alias(KEY), F.xxhash64(F.lit(1), "doc_id", "text", "source").alias(KEY + "_2")]
+    rows = docs.select("*", *own)
+    out = quality.quality(rows, keep=(KEY, KEY + "_2")).filter(~F.col("kept")).select("row.*")
+    return rows.join(staged(out, "pipeline-rejected"), [KEY, KEY + "_2"], "left_anti").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from spark_triage.llm import wordhash as wh
 from spark_triage.llm.common import map_batches, staged
@@ -75,17 +76,22 @@ def measure_piece(p: wh.Piece, width: int) -> dict[str, np.ndarray]:
     }
 
 
-def measures(docs: DataFrame, id_col: str, text_col: str, host_col: str, width: int = 5) -> DataFrame:
-    """(doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of whole texts."""
+def measures(docs: DataFrame, id_col: str, text_col: str, host_col: str, width: int = 5,
+             keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, row) of whole texts."""
 
     def run(batch):
         parts = [measure_piece(p, width) for p in wh.pieces(batch.column("text"))]
-        return {"doc_id": batch.column("doc_id"), "host": batch.column("host")} | {
+        out = {"doc_id": batch.column("doc_id"), "host": batch.column("host")} | {
             m: np.concatenate([x[m] for x in parts]).astype(np.int64) for m in MEASURES}
+        return out | ({"row": batch.column("row")} if keep else {})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("host"),
-                       F.col(text_col).cast("string").alias("text"))
-    return map_batches(rows, run, "doc_id bigint, host string, " + ", ".join(f"{m} bigint" for m in MEASURES))
+                       F.col(text_col).cast("string").alias("text"), *[F.struct(*keep).alias("row")][: len(keep)])
+    schema = StructType.fromDDL("doc_id bigint, host string, " + ", ".join(f"{m} bigint" for m in MEASURES))
+    if keep:
+        schema = schema.add(rows.schema["row"])
+    return map_batches(rows, run, schema)
 
 
 def prior(hosts: DataFrame, fails: str, default_strength: float = 10.0) -> tuple[float, float]:
@@ -120,9 +126,10 @@ def host_verdicts(judged: DataFrame, names: list[str], limit: float = HOST_LIMIT
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-            limit: float = HOST_LIMIT, judge: dict[str, Column] | None = None) -> DataFrame:
+            limit: float = HOST_LIMIT, judge: dict[str, Column] | None = None,
+            keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, host_rejected), one
-    row per row of ``docs``.
+    row per row of ``docs``, and ``row``, a struct of the columns ``keep``, if there are any.
 
     ``judge``: rule name -> column over the measures, by default ``rules()``. ``base_failed``: a rule fails;
     ``kept``: none does and the host is not rejected. Null and empty texts measure 0. A document without a host is
@@ -131,7 +138,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     judge = judge or rules()
     names = list(judge)
     judged = staged(
-        measures(docs, id_col, text_col, host_col).select("*", *[c.alias(r) for r, c in judge.items()]), "quality-measures")
+        measures(docs, id_col, text_col, host_col, keep=keep).select("*", *[c.alias(r) for r, c in judge.items()]), "quality-measures")
     rejected = staged(host_verdicts(judged, [*names], limit).filter("host_rejected").select("host", "host_rejected"),
                       "quality-rejected")
     failed = F.lit(False)
@@ -140,4 +147,4 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     return judged.join(rejected, "host", "left").select(
         "doc_id", *MEASURES, failed.alias("base_failed"),
         (~failed & F.col("host_rejected").isNull()).alias("kept"),
-        F.coalesce("host_rejected", F.lit(False)).alias("host_rejected"))
+        F.coalesce("host_rejected", F.lit(False)).alias("host_rejected"), *["row"][: len(keep)])

@@ -35,3 +35,13 @@ def test_one_row_of_each_group_stays(spark):
         assert df.schema == docs.schema, name
         if name != "quality rules":
             assert rows_of(df) == sorted(want, key=lambda r: (r[0] is None, r[0] or 0, r[1])), name
+
+
+def test_each_row_goes_by_its_own_verdict(spark):
+    rng = random.Random(22)
+    good, other = prose(rng, 40), prose(rng, 40)
+    repeats = "the same five words again " * 12
+    docs = frame_of(spark, [(None, "too short"), (None, repeats), (None, good), (1, "too short"), (1, good), (1, repeats), (2, other)])
+    df = STAGES["quality rules"](spark, docs, "")
+    assert df.schema == docs.schema
+    assert rows_of(df) == [(1, good), (2, other), (None, good)]
