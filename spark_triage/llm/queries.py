@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_triage.llm import counts, idfiles, neardup, packing, pii, quality, sharding, substring, topk, wordtable
+from spark_triage.llm import (
+    counts, decompose, idfiles, maxsketch, neardup, packing, pii, quality, repair, sharding, substring, topk, wordtable)
 from spark_triage.llm import tokens as tk
 from spark_triage.llm.common import load
 from spark_triage.llm.sql import SQL
@@ -61,6 +62,18 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxsketch.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_digest(load(spark, sf_dir, "conversations"))
+
+
+def op13_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decompose.digest(decompose.sequences(load(spark, sf_dir, "documents"), vocabulary()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_duplicates": op2_near_duplicates,
@@ -72,4 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_personal_data": op9_personal_data,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_max_sketch_search": op11_max_sketch_search,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_power_of_two_packing": op13_power_of_two_packing,
 }

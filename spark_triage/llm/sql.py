@@ -67,9 +67,25 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BI
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
+TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+MAX_SKETCH = f"""WITH asked AS (SELECT r, item_id, unnest(list_distinct({TERMS.format(LOWER.format('text'))})) AS term
+  FROM (SELECT *, row_number() OVER () AS r FROM benchmark)),
+cut AS (SELECT row_number() OVER () AS d, doc_id, {TERMS.format(LOWER.format('text'))} AS t FROM documents),
+lengths AS (SELECT d, doc_id, len(t)::BIGINT AS n FROM cut WHERE len(t) > 0),
+sums AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths),
+tf AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(t) AS term FROM cut) SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, sums GROUP BY term),
+scored AS (SELECT r, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, d,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN lengths USING (d), sums GROUP BY r, d),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
 SQL = {
     "op1_quality_rules": QUALITY,
     "op2_near_duplicates": NEAR_DUPLICATES,
     "op3_substring_dedup": SUBSTRING,
     "op10_exact_top_k": TOP_K,
+    "op11_max_sketch_search": MAX_SKETCH,
 }

@@ -104,8 +104,8 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
-def pieces(column: pa.Array, lower: bool = False) -> Iterator[Piece]:
-    """The texts of a column in pieces; ``lower`` folds A to Z."""
+def pieces(column: pa.Array, lower: bool = False, outside: np.ndarray = _SPACE) -> Iterator[Piece]:
+    """The texts of a column in pieces; ``lower`` folds A to Z. ``outside`` tells of each byte whether it ends a word."""
     raw, offsets = buffers(column)
     n, at = len(column), 0
     while at < n:
@@ -115,13 +115,13 @@ def pieces(column: pa.Array, lower: bool = False) -> Iterator[Piece]:
         if lower:
             data = _LOWER[data]
         ends = offsets[at : to + 1] - offsets[at]
-        yield _piece(np.arange(at, to), data, ends)
+        yield _piece(np.arange(at, to), data, ends, outside)
         at = to
 
 
-def _piece(rows: np.ndarray, data: np.ndarray, ends: np.ndarray) -> Piece:
+def _piece(rows: np.ndarray, data: np.ndarray, ends: np.ndarray, outside: np.ndarray = _SPACE) -> Piece:
     size = len(data)
-    space = _SPACE[data]
+    space = outside[data]
     cut = np.zeros(size + 1, bool)  # a text begins here
     cut[ends] = True
     before = np.ones(size + 1, bool)

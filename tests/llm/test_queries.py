@@ -12,6 +12,7 @@ import corpus_pipeline
 from checks.run import TABLES, rows_of
 from spark_triage.llm import queries
 from tests.llm import brute
+from tests.llm.test_repair import measured
 from tests.llm.test_tokens import check_packed, library, spec_of
 
 SF = "/root/testdata/sf0.001"
@@ -29,7 +30,7 @@ def result(spark, name):
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(queries.SQL) <= set(queries.QUERIES)
 
 
@@ -89,6 +90,20 @@ def test_op9(spark, docs):
         assert set(filter(None, brute.named(base).split(","))) <= set(r.spans.split(","))
 
 
+def test_op12(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert {r.conv_id: tuple(r)[1:] for r in result(spark, "op12_conversation_repair")} == measured(rows)
+
+
+def test_op13(spark, docs):
+    ids = {d: np.array([*x, 0], "<u4") for d, x in zip(docs, library(spec_of("byte_bpe_50k.json"), docs.values())[0])}
+    rows = result(spark, "op13_power_of_two_packing")
+    want = {d: [1024] * (len(x) // 1024) + [1 << k for k in range(9, -1, -1) if len(x) % 1024 >> k & 1] for d, x in ids.items()}
+    assert {d: [r.length for r in sorted(own, key=lambda r: r.start)] for d, own in brute.groups(rows, lambda r: r.doc_id).items()} == want
+    assert all(r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) and r.offset == 0 for r in rows)
+    assert all(r.doc_tokens == len(ids[r.doc_id]) for r in rows) and len({r.sequence_id for r in rows}) == len(rows)
+
+
 def test_pipeline_stages_against_their_plain_versions(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
