@@ -1,13 +1,29 @@
-"""Language identification of a column: character-trigram naive Bayes, trained by grouping, scored row by row."""
+"""Language identification of a column: character-trigram naive Bayes, trained by grouping, scored in blocks of rows.
+
+The profile is a table and stays one, however many trigrams it has. Rows are cut into blocks of bounded bytes; each block
+lists its distinct trigrams, these are joined with the profile, and the weights that a block asked for return to it.
+There its texts are scored by array operations, all rows at once.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+from spark_triage.session import staged
+
+BLOCK_BYTES = 4 << 20  # of rows in a block
+STRETCH = 1 << 20  # trigrams looked at together
+_LETTERS = "__letters"
+_CODE = (1 << 21) - 1  # a code point
 
 
 def _letters(text: Column) -> Column:
@@ -21,32 +37,76 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(_letters(text), F.lit("(?s)(?=(...))."), F.lit(1))
 
 
-def language_profile(labelled: DataFrame, text_col: str, lang_col: str, languages: Sequence[str]) -> DataFrame:
-    """(gram, w_<lang>.., z_<lang>..): w = ln(count + 1), z = ln(total + vocabulary), add-one smoothed.
+def _stretches(letters: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(trigrams as numbers, row of each) of texts in turn, some at a time, whole texts or not."""
+    letters = letters.fill_null("")
+    size = pc.utf8_length(letters).to_numpy().astype(np.int64)
+    codes = np.frombuffer("".join(letters.to_pylist()).encode("utf-32-le"), "<u4")
+    ends = np.cumsum(size)
+    for at in range(0, len(codes) - 2, STRETCH):
+        c = codes[at : at + STRETCH + 2].astype(np.int64)
+        row = np.searchsorted(ends, np.arange(at, at + len(c)), "right")
+        whole = row[:-2] == row[2:]
+        yield (c[:-2] << 42 | c[1:-1] << 21 | c[2:])[whole], row[:-2][whole]
 
-    Every trigram of every labelled row counts. The profile is as large as the labelled rows' distinct trigrams, which
-    the number of labelled rows bounds; give a bounded set of them.
-    """
-    counts = (
-        labelled.filter(F.col(lang_col).isin(*languages))
-        .select(F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
-        .groupBy("gram").agg(*[F.count_if(F.col("lang") == x).alias(x) for x in languages])
-    )
-    whole = Window.partitionBy()
-    return counts.select(
-        "gram",
-        *[F.ln(F.col(x) + 1).alias(f"w_{x}") for x in languages],
-        *[F.ln((F.sum(x).over(whole) + F.count("*").over(whole)).cast("double")).alias(f"z_{x}") for x in languages],
-    )
 
+def _as_text(keys: np.ndarray) -> list[str]:
+    points = np.stack([keys >> 42, keys >> 21 & _CODE, keys & _CODE], 1).astype("<u4")
+    joined = points.tobytes().decode("utf-32-le")
+    return [joined[i : i + 3] for i in range(0, len(joined), 3)]
 
-def _keys(codes: np.ndarray) -> np.ndarray:
-    """Trigrams of code points (21 bits each) as numbers."""
-    return codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
 
+def _as_keys(grams: list[str]) -> np.ndarray:
+    c = np.frombuffer("".join(grams).encode("utf-32-le"), "<u4").astype(np.int64).reshape(-1, 3)
+    return c[:, 0] << 42 | c[:, 1] << 21 | c[:, 2]
 
-def _code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+
+def language_profile(labelled: DataFrame, text_col: str, lang_col: str, languages: Sequence[str]) -> DataFrame:
+    """(gram, w_<lang>.., z_<lang>..): w = ln(count + 1), z = ln(total + vocabulary), add-one smoothed.
+
+    Every trigram of every labelled row counts, and there is no bound on rows or trigrams: a task counts what it sees,
+    the counts are added up by trigram and written once.
+    """
+    counted = StructType.fromDDL("gram string, " + ", ".join(f"`{x}` bigint" for x in languages))
+    target = to_arrow_schema(counted)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = np.array([languages.index(x) for x in batch.column(1).to_pylist()], np.int64)
+            for keys, row in _stretches(batch.column(0)):
+                grams, place = np.unique(keys, return_inverse=True)
+                n = np.bincount(place * len(languages) + lang[row], minlength=len(grams) * len(languages)).reshape(len(grams), -1)
+                yield pa.RecordBatch.from_arrays([pa.array(_as_text(grams)), *map(pa.array, n.T.copy())], schema=target)
+
+    rows = labelled.filter(F.col(lang_col).isin(*languages)).select(_letters(F.col(text_col)).alias("t"), F.col(lang_col).alias("l"))
+    per_task = rows.filter("t is not null").mapInArrow(count, counted)
+    counts = staged(per_task.groupBy("gram").agg(*[F.sum(x).alias(x) for x in languages]), "language-counts")
+    total = [F.ln((F.sum(x) + F.count("*")).cast("double")).alias(x) for x in languages]
+    z = counts.agg(F.struct(*total).alias("z")).scalar()
+    return counts.withColumn("z", z).select(
+        "gram", *[F.ln(F.col(x) + 1).alias(f"w_{x}") for x in languages], *[F.col("z")[x].alias(f"z_{x}") for x in languages])
+
+
+def _blocks(df: DataFrame, text_col: str) -> DataFrame:
+    """(block, grams, rows): rows of ``df`` with their letters in blocks of bounded bytes, and the distinct trigrams of
+    each block; written, so that a block keeps its name."""
+    rows = df.withColumn(_LETTERS, _letters(F.col(text_col)))
+    kind = StructType([StructField("block", StringType()), StructField("grams", ArrayType(StringType())),
+                       StructField("rows", ArrayType(rows.schema))])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, batch.num_rows * BLOCK_BYTES // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                own = batch.slice(at, step)
+                found = [np.unique(keys) for keys, _ in _stretches(own.column(own.num_columns - 1))]
+                grams = _as_text(np.unique(np.concatenate(found))) if found else []
+                packed = pa.StructArray.from_arrays(own.columns, fields=list(own.schema))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([uuid.uuid4().hex]), pa.array([grams], pa.list_(pa.string())),
+                     pa.ListArray.from_arrays(pa.array([0, own.num_rows], pa.int32()), packed)], ["block", "grams", "rows"])
+
+    return staged(rows.mapInArrow(cut, kind), "language-blocks")
 
 
 def detect_language(
@@ -54,34 +114,53 @@ def detect_language(
 ) -> DataFrame:
     """``df`` with ``out``, the language of each row's text; NULL where the text has no known trigram.
 
-    The profile goes to every task as one sorted array, and a text is scored where it stands: nothing is grouped or
-    shuffled, and rows do not depend on each other. Equal scores take the first language by name.
+    Rows travel in blocks, each as it was, so repeated rows and ids do not matter. Equal scores take the first language
+    by name.
     """
     names = sorted(languages)
-    table = profile.toArrow()  # as large as the profile
-    keys = np.concatenate([_keys(_code_points(g)) for g in table.column("gram").to_pylist()] or [np.zeros(0, np.int64)])
+    blocks = _blocks(df, text_col)
+    asked = blocks.select("block", F.explode("grams").alias("gram"))
+    weights = asked.join(profile.select("gram", F.array(*[f"w_{x}" for x in names]).alias("w")), "gram")
+    answered = weights.groupBy("block").agg(F.collect_list(F.struct("gram", "w")).alias("known"))  # at most the grams of a block
+    z = profile.agg(F.array(*[F.max(f"z_{x}") for x in names]).alias("z")).scalar()
+    schema = StructType([*(f for f in df.schema if f.name != out), StructField(out, StringType())])
+    target = to_arrow_schema(schema)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows = pa.RecordBatch.from_struct_array(batch.column("rows").slice(i, 1).flatten())
+                known, z = (batch.column(c).slice(i, 1) for c in ("known", "z"))
+                found = _best(rows.column(rows.num_columns - 1), known, z, names)
+                rows = rows.drop_columns([_LETTERS, *([out] if out in rows.schema.names else [])])
+                yield pa.RecordBatch.from_arrays([*rows.columns, found], schema=target)
+
+    joined = blocks.select("block", "rows").join(answered, "block", "left").select("rows", "known", z.alias("z"))
+    return joined.mapInArrow(score, schema)
+
+
+def _best(letters: pa.Array, known: pa.Array, z: pa.Array, names: list[str]) -> pa.Array:
+    """The best language of each text of a block, by the weights that the block was given."""
+    if known.null_count or not len(letters):
+        return pa.nulls(len(letters), pa.string())
+    own = known.flatten()
+    keys = _as_keys(own.field("gram").to_pylist())
     order = np.argsort(keys)
-    weights = np.stack([table.column(f"w_{x}").to_numpy() for x in names], 1)[order]
-    z = np.array([table.column(f"z_{x}")[0].as_py() if len(keys) else 0.0 for x in names])
-    held = df.sparkSession.sparkContext.broadcast((keys[order], weights, z))
-
-    def score(texts: pd.Series) -> pd.Series:
-        keys, weights, z = held.value
-
-        def best(text: str | None) -> str | None:
-            if text is None or not len(keys):
-                return None
-            grams = _keys(_code_points(text))
-            at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-            known = keys[at] == grams
-            if not known.any():
-                return None
-            return names[int(np.argmax(weights[at[known]].sum(0) - len(grams) * z))]
-
-        return texts.map(best, na_action=None).astype(object)
-
-    detect = F.pandas_udf(score, "string")
-    return df.withColumn(out, detect(_letters(F.col(text_col))))
+    keys, weights = keys[order], own.field("w").flatten().to_numpy().reshape(len(keys), len(names))[order]
+    total, seen = np.zeros((len(letters), len(names))), np.zeros(len(letters), bool)
+    size = np.zeros(len(letters), np.int64)
+    for grams, row in _stretches(letters):
+        if not len(grams):
+            continue
+        at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+        hit = keys[at] == grams
+        first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        here = row[first]
+        total[here] += np.add.reduceat(np.where(hit[:, None], weights[at], 0.0), first)
+        seen[here] |= np.logical_or.reduceat(hit, first)
+        size[here] += np.diff(np.append(first, len(row)))
+    best = (total - size[:, None] * z.flatten().to_numpy()).argmax(1)
+    return pa.DictionaryArray.from_arrays(pa.array(best, mask=~seen), pa.array(names)).cast(pa.string())
 
 
 def language_filter(df: DataFrame, detected_col: str = "detected", language: str = "en") -> DataFrame:
