@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -14,7 +16,7 @@ from pyspark.sql.types import StructType
 from spark_triage.llm import wordhash as wh
 from spark_triage.session import staged
 
-__all__ = ["load", "map_batches", "staged", "bucket_ranks", "strip"]
+__all__ = ["load", "lean_worker", "map_batches", "staged", "bucket_ranks", "strip"]
 
 _HIDDEN = "__llm_"
 CACHES = ("encoder-", "counter-")
@@ -29,6 +31,18 @@ def strip(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def lean_worker(keeps: str = "") -> None:
+    """Give back what a worker's last task left: unit caches but for those whose names begin with ``keeps``, functions
+    that came by value, and free memory that the allocators hold."""
+    for name in list(wh.worker_state()):
+        if name.startswith(CACHES) and not (keeps and name.startswith(keeps)):
+            del wh.worker_state()[name]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str | StructType,
                 slice_bytes: int | None = None, keeps: str = "") -> DataFrame:
     """``fn`` applied to every Arrow batch of a task; it gives the columns of ``schema`` by name, or nothing.
@@ -38,11 +52,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], sche
     target = to_arrow_schema(arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name in list(wh.worker_state()):
-            if name.startswith(CACHES) and not (keeps and name.startswith(keeps)):
-                del wh.worker_state()[name]
-        gc.collect()  # what the worker's last task left, functions that came by value among it
-        pa.default_memory_pool().release_unused()
+        lean_worker(keeps)
         for batch in batches:
             step = max(1, batch.num_rows * (slice_bytes or batch.nbytes) // max(1, batch.nbytes))
             for at in range(0, batch.num_rows, step):

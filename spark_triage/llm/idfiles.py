@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_triage.llm import tokens as tk
-from spark_triage.llm.common import map_batches, staged, strip
+from spark_triage.llm.common import lean_worker, map_batches, staged, strip
 from spark_triage.session import shared_folder
 
 MAGIC = b"TOKIDS01"
@@ -146,71 +146,69 @@ def write_ids(docs: DataFrame, spec: str, end_id: int, folder: str, id_col: str
     """(number, uri, n_ids, n_docs) of the files written to ``folder``, a written table itself.
 
     Files follow each other in ascending document id; a null id comes first, rows that share an id stand together.
-    A task that is repeated writes a file of another name, and only the one that the table names counts.
+    Texts are dealt to ranges of (id, hash of the text), so rows of one id may lie in many; a task sorts its range,
+    encodes it a few megabytes at a time and begins a new file where the next document would carry the texts of the
+    file above ``file_bytes``. A document is never cut, so a longer one is a file of its own. A task that is repeated
+    writes files of other names, and only those that the table names count.
     """
     import json
 
     rows = strip(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(LOWEST)))
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    files = max(1, -(-total // file_bytes))
-    cuts = rows.approxQuantile("doc_id", [i / files for i in range(1, files)], 0.1 / files) if files > 1 else []
-    sc = docs.sparkSession.sparkContext
-    held = sc.broadcast((spec, np.unique(np.array(cuts, np.float64))))  # a vocabulary and one bound per file
+    rows = rows.withColumn("mix", F.xxhash64("text")).withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)))
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
+    held = docs.sparkSession.sparkContext.broadcast(spec)
     model = json.loads(spec)
-    size = 1 + max([*model["model"]["vocab"].values(), *(t["id"] for t in model["added_tokens"]), end_id])
-    bits = bits_for(size)
-    kind = "<u2" if bits <= 16 else "<u4"
-
-    def encode(batch):
-        spec, cuts = held.value
-        ids, at = tk.encoder(spec).encode(batch.column("text"))
-        raw, end = ids.astype(kind).tobytes(), np.array([end_id], kind).tobytes()
-        w = len(end)
-        doc = batch.column("doc_id")
-        return {
-            "file": np.searchsorted(cuts, doc.to_numpy(), "right").astype(np.int32), "doc_id": doc,
-            "ids": [raw[a * w : b * w] + end for a, b in zip(at[:-1].tolist(), at[1:].tolist())],
-        }
-
+    bits = bits_for(1 + max([*model["model"]["vocab"].values(), *(t["id"] for t in model["added_tokens"]), end_id]))
     name = f"{folder.rstrip('/')}/ids-{uuid.uuid4().hex}"
+    end = np.array([end_id], "<u4")
 
-    def write(batches):
-        out, seen = None, None
-        for batch in batches:
-            for number, doc, ids in zip(*(batch.column(c).to_pylist() for c in ("file", "doc_id", "ids"))):
-                if number != seen:
-                    if out is not None:
-                        yield finish(out, seen)
-                    out = Writer(f"{name}/{number:08d}-{uuid.uuid4().hex}.ids", bits, block_ids)
-                    seen = number
-                out.add(doc, np.frombuffer(ids, kind).astype("<u4"))
-        if out is not None:
-            yield finish(out, seen)
-
-    def finish(out, number):
+    def finish(out, part, number):
         out.close()
         return pa.RecordBatch.from_pydict(
-            {"number": pa.array([number], pa.int32()), "uri": [out.uri], "n_ids": pa.array([out.n], pa.int64()),
+            {"number": pa.array([part << 32 | number], pa.int64()), "uri": [out.uri], "n_ids": pa.array([out.n], pa.int64()),
              "n_docs": pa.array([len(out.docs)], pa.int64())})
 
-    ids = map_batches(rows, encode, "file int, doc_id bigint, ids binary", tk.SLICE_BYTES, "encoder-")
-    written = ids.repartitionById(files, F.col("file")).sortWithinPartitions("file", "doc_id", "ids").mapInArrow(
-        write, "number int, uri string, n_ids bigint, n_docs bigint")
+    def write(batches):
+        from pyspark import TaskContext
+
+        lean_worker("encoder-")
+        encoder, part = tk.encoder(held.value), TaskContext.get().partitionId()
+        out, number, text_bytes = None, 0, 0
+        for batch in batches:
+            step = max(1, batch.num_rows * tk.SLICE_BYTES // max(1, batch.nbytes))
+            for some in (batch.slice(i, step) for i in range(0, batch.num_rows, step)):
+                ids, at = encoder.encode(some.column("text"))
+                at = at.tolist()
+                for i, (doc, size) in enumerate(zip(some.column("doc_id").to_pylist(), some.column("size").to_pylist())):
+                    if out is not None and text_bytes + size > file_bytes:
+                        yield finish(out, part, number)
+                        out, number, text_bytes = None, number + 1, 0
+                    if out is None:
+                        out = Writer(f"{name}/{part:06d}-{number:06d}-{uuid.uuid4().hex}.ids", bits, block_ids)
+                    out.add(doc, np.concatenate([ids[at[i] : at[i + 1]], end]))
+                    text_bytes += size
+        if out is not None:
+            yield finish(out, part, number)
+
+    order = ["doc_id", "mix"]
+    written = rows.repartitionByRange(max(1, -(-total // file_bytes)), *order).sortWithinPartitions(*order, "text").mapInArrow(
+        write, "number bigint, uri string, n_ids bigint, n_docs bigint")
     return staged(written, "idfiles")
 
 
 def read_ids(files: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) from the files that ``write_ids`` names; start counts the ids of all
     documents before, over all files."""
-    group = F.expr("number div 1024")
+    group = F.shiftright("number", 42)  # 1024 ranges
     sums = files.groupBy(group.alias("g")).agg(F.sum("n_ids").alias("n"))
-    upto = Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)  # one row for 1024 files
+    upto = Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)  # one row for 1024 ranges
     first = sums.select("g", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("base"))
     inside = Window.partitionBy("g").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.withColumn("g", group).join(first, "g").select(
         "uri", (F.col("base") + F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).alias("base"))
 
     def read(batches):
+        lean_worker()
         for batch in batches:
             for uri, base in zip(batch.column("uri").to_pylist(), batch.column("base").to_pylist()):
                 f = Reader(uri)

@@ -170,6 +170,22 @@ def test_id_files_with_repeated_and_null_ids(spark, word_spec):
     assert [x[0] for x in got] == [sum(y[2] for y in got[:i]) for i in range(5)]
 
 
+def test_id_files_are_bounded_in_bytes(spark, word_spec, tmp_path):
+    """Where text size follows the id, and where one id stands on many rows."""
+    rows = [(i, "word " * (i * i // 40)) for i in range(300)] + [(7, f"some text {i} " * 20) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    files = idfiles.write_ids(df, word_spec, 2, str(tmp_path), file_bytes=20000)
+    sizes = {}
+    for r in files.collect():
+        f = idfiles.Reader(r.uri)
+        sizes[r.number] = [(int(d), f.document(i).tolist()) for i, d in enumerate(f.docs)]
+    every = [d for n in sorted(sizes) for d, _ in sizes[n]]
+    assert every == sorted(every) and len(every) == len(rows)
+    text = {tuple(x): t for (_, t), x in zip(rows, library(word_spec, [t for _, t in rows])[0])}
+    assert all(len(own) == 1 or sum(len(text[tuple(ids[:-1])]) for _, ids in own) <= 20000 for own in sizes.values())
+    assert sum(any(d == 7 for d, _ in own) for own in sizes.values()) > 4
+
+
 def check_packed(rows, ids, size):
     by = groups(rows, lambda r: r.doc_id)
     for d, x in ids.items():
