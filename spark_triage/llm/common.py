@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from spark_triage.llm import wordhash as wh
 from spark_triage.session import staged
 
-__all__ = ["load", "lean_worker", "map_batches", "staged", "bucket_ranks", "strip"]
+__all__ = ["load", "lean_worker", "map_batches", "staged", "broadcast_checked", "bucket_ranks", "strip"]
 
 _HIDDEN = "__llm_"
 CACHES = ("encoder-", "counter-")
@@ -65,6 +65,12 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], sche
     return df.mapInArrow(run, arrow)
 
 
+def broadcast_checked(df: DataFrame, rows: int) -> DataFrame:
+    """A written table of short rows, marked for broadcast if it holds at most ``rows``; beyond that it is joined by a
+    shuffle like any other."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def bucket_ranks(df: DataFrame, keys: list[str], order: list[Column], spread: Column, buckets: int, name: str,
                  staged_input: bool = True) -> DataFrame:
     """``df`` with ``name``: the gapless rank of each row within its keys, from 0.

@@ -29,9 +29,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     Each round is written to the shared folder, so a lost executor repeats one round. The number of rounds grows
     with the logarithm of the longest chain. Loops and repeated edges do no harm; an empty table gives no rows.
     """
-    loops = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
-    cur = staged(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    once = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    loops = once.filter("a = b").select(F.col("a").alias("node")).distinct()
+    cur = once.filter("a <> b")
     while True:
         nxt = staged(_star(_star(cur, True), False), name)
         state = F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
@@ -39,5 +39,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         cur = nxt
         if done:
             break
-    return loops.join(cur.select(F.col("a").alias("node"), F.col("b").alias("m")), "node", "left").select(
-        "node", F.coalesce("m", "node").alias("component"))
+    # a star has one row for each node but its centre
+    stars = cur.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    alone = loops.join(stars.select("node"), "node", "left_anti").join(stars.select(F.col("component").alias("node")), "node", "left_anti")
+    centres = stars.select(F.col("component").alias("node")).distinct().unionByName(alone)
+    return stars.unionByName(centres.select("node", F.col("node").alias("component")))

@@ -246,7 +246,7 @@ def _blocked(members: DataFrame, salt: int, name: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
                     width: int = 5, positions: int = POSITIONS, distance: int = DISTANCE,
-                    errors: int = ERRORS) -> DataFrame:
+                    errors: int = ERRORS, seed: int = 7) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
     Linked are documents whose sets of ``width``-word shingles (A to Z folded) overlap with
@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     have an empty set and no link. Equal sets are one node from the start, whatever their number. Rows that share an
     id count as one document: what any of them links is linked. A null id gives null component and kept.
     """
-    sigs = staged(signatures(docs, id_col, text_col, width, positions), "neardup-signatures")
+    sigs = staged(signatures(docs, id_col, text_col, width, positions, seed), "neardup-signatures")
     classes = staged(
         sigs.filter("fp is not null and doc_id is not null").groupBy("fp").agg(
             F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")),
@@ -265,7 +265,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def full(batch):
         out = list(shingle_sets(batch.column("text"), width))
-        mult = _multipliers(positions, 7)
+        mult = _multipliers(positions, seed)
         some = [len(x) > 0 for x in out]
         keep = pa.array(some)
         return {

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spark_triage.llm import wordhash as wh
-from spark_triage.llm.common import map_batches, staged
+from spark_triage.llm.common import broadcast_checked, map_batches, staged
 
 #: Fixed value: characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -148,3 +148,24 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
         "doc_id", *MEASURES, failed.alias("base_failed"),
         (~failed & F.col("host_rejected").isNull()).alias("kept"),
         F.coalesce("host_rejected", F.lit(False)).alias("host_rejected"), *["row"][: len(keep)])
+
+
+HOSTS_SENT = 200_000  # rejected hosts that go to every task; more are joined by a shuffle
+
+
+def passing_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                 limit: float = HOST_LIMIT, judge: dict[str, Column] | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, each by its own verdict, with their columns.
+
+    The texts are measured twice: once for the counts of the hosts, and again where a row is kept or dropped, so no text
+    is written or shuffled.
+    """
+    judge = judge or rules()
+    names = list(judge)
+    judged = measures(docs, id_col, text_col, host_col).select("host", *[c.alias(r) for r, c in judge.items()])
+    rejected = staged(host_verdicts(judged, names, limit).filter("host_rejected").select("host"), "quality-rejected")
+    failed = F.lit(False)
+    for c in judge.values():
+        failed = failed | c
+    rows = measures(docs, id_col, text_col, host_col, keep=tuple(docs.columns)).filter(~failed).select("host", "row")
+    return rows.join(broadcast_checked(rejected, HOSTS_SENT), "host", "left_anti").select("row.*")

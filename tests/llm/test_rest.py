@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spark_triage.llm import common, pii, quality, sharding, topk
 from tests.llm import brute
+from tests.llm.conftest import prose
 
 
 def test_measures_and_verdicts(frame, corpus):
@@ -220,3 +221,15 @@ def test_wide_numbers_stay_exact():
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 10 == 0).collect() == []
+
+
+def test_passing_rows_are_those_that_quality_keeps(spark, frame, empty):
+    rng = random.Random(2)
+    rows = [(i % 50, prose(rng, 4 if i % 6 == 0 or 300 < i < 330 else 30), None if i % 11 == 0 else f"h{i // 30}", i) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, host int")
+    for df in (docs, frame, empty):
+        kept = quality.quality(df, keep=tuple(df.columns)).filter("kept").select("row.*")
+        got = quality.passing_rows(df)
+        assert got.columns == df.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, kept.collect()))
+    assert 0 < quality.passing_rows(docs).count() < 400
