@@ -11,25 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spark_triage.llm import neardup, packing, pii, quality, substring
-from spark_triage.llm.common import load, staged
+from spark_triage.llm.common import broadcast_checked, load, staged
 from spark_triage.llm.queries import vocabulary
 
 #: The column that tells rows apart inside a stage.
 KEY = "__pipeline_row"
-
-
-def _keyed(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a key of its own for every row, written once, so that a row keeps its key however often it is read."""
-    return staged(docs.withColumn(KEY, F.monotonically_increasing_id()), name)
+#: Keys of copies (8 bytes each) that go to every task; where there are more, rows and copies meet by a shuffle.
+COPIES_SENT = 4_000_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that pass the rules, with a host that passes too, each by its own verdict, whatever its id. A verdict follows
-    from text and host, so it returns by 128 bits of the row, and no copy of the texts is written."""
-    own = [F.xxhash64("doc_id", "text", "source").alias(KEY), F.xxhash64(F.lit(1), "doc_id", "text", "source").alias(KEY + "_2")]
-    rows = docs.select("*", *own)
-    out = quality.quality(rows, keep=(KEY, KEY + "_2")).filter(~F.col("kept")).select("row.*")
-    return rows.join(staged(out, "pipeline-rejected"), [KEY, KEY + "_2"], "left_anti").select(*docs.columns)
+    """Rows that pass the rules, with a host that passes too, each by its own verdict, whatever its id."""
+    return quality.passing_rows(docs).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +36,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY)
     first = groups.groupBy("component_id").agg(F.min(order).alias("first")).select(f"first.{KEY}")
     out = groups.select(KEY).join(first, KEY, "left_anti")
-    return rows.join(staged(out, "pipeline-copies"), KEY, "left_anti").select(*docs.columns)
+    copies = broadcast_checked(staged(out, "pipeline-copies"), COPIES_SENT)
+    return rows.join(copies, KEY, "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
