@@ -164,10 +164,10 @@ _EXAMPLES = "WITH " + b.VECTORS_SQL + f""", texts AS (SELECT doc_id, text, {b.sq
    FROM ranked JOIN texts ON doc_id = corpus_id WHERE rank <= 3 GROUP BY 1)"""
 
 
-@query(_EXAMPLES + f""" SELECT doc_id AS id, {quote(_DRAFT_HEAD)} || chr(10) || shown || chr(10) || {quote(fv.DRAFT_TWEET_HEAD)} || chr(10) || '"' || text || '"'
-  || chr(10) || {quote(fv.DRAFT_TAIL)} AS prompt FROM ex JOIN texts ON doc_id = query_id""")
+@query(_EXAMPLES + f""" SELECT doc_id AS id, {quote(_DRAFT_HEAD)} || chr(10) || coalesce(shown || chr(10), '') || {quote(fv.DRAFT_TWEET_HEAD)} || chr(10) || '"' || text || '"'
+  || chr(10) || {quote(fv.DRAFT_TAIL)} AS prompt FROM texts LEFT JOIN ex ON doc_id = query_id""")
 def draft_prompt(spark, d):
-    """A drafting prompt for every document that has a vector, with its three nearest texts as examples."""
+    """A drafting prompt for every document, with its three nearest texts as examples where it has a vector."""
     queries, corpus = b.queries_and_corpus(spark, d)
     found = rt.top_k_similar(queries, corpus, 3, "vec_id", "vec_id")
     docs = load(spark, d, "documents").select("doc_id", F.col("text").alias(triage.TEXT))
@@ -228,8 +228,8 @@ def judge_dead_letters(spark, d):
 _CORPUS_INTENTS = tuple(b.INTENT_OF_LANG.values())
 _TOP1_REPLY = b.sql_squeeze("coalesce(c.text, '')")
 _TRIAGE = _ROUND + ", " + b.VECTORS_SQL + f""", routed AS (
-   SELECT doc_id, text, intent, confidence, {sql_any('text', b.OVERRIDE_SQL)} AS fraud FROM documents JOIN embeddings ON vec_id = doc_id
-   JOIN rounds ON id = doc_id WHERE outcome = 'ok'),
+   SELECT doc_id, text, intent, confidence, {sql_any('text', b.OVERRIDE_SQL)} AS fraud FROM documents JOIN rounds ON id = doc_id
+   WHERE outcome = 'ok'),
  near AS (SELECT query_id, corpus_id, similarity, intent = list_extract([{', '.join(quote(i) for i in _CORPUS_INTENTS)}], corpus_label % 4 + 1) AS same
    FROM ranked JOIN routed ON doc_id = query_id WHERE rank <= 20 AND NOT fraud),
  matched AS (SELECT *, count_if(same) OVER (PARTITION BY query_id) AS m FROM near),
@@ -247,31 +247,60 @@ _TD, _TR = b.sql_decide("intent", "confidence", "fraud", "sim", "len(msgs) > 0",
                         ("account_access",), 0.75, 0.3)
 
 
-@query(_TRIAGE + f""" SELECT doc_id AS customer_tweet_id, intent AS predicted_intent, confidence AS predicted_confidence, drafted_reply,
-  len(msgs)::INT AS n_flags, {_TD} AS escalation_decision, {_TR} AS escalation_reason FROM checked""")
-def triage_decisions(spark, d):
-    """Documents as messages: classified by the response table, routed, matched with examples, checked and decided."""
-    queries, corpus = b.queries_and_corpus(spark, d)
+def triage_corpus(spark, d):
+    """The replies that examples are taken from."""
+    _, corpus = b.queries_and_corpus(spark, d)
     docs = texts(spark, d, "documents").select("doc_id", "text")
-    rows = queries.join(docs, docs["doc_id"] == queries["vec_id"]).select(
-        F.col("doc_id").alias(triage.ID), F.col("text").alias(triage.TEXT), "embedding"
-    )
     intents = F.array(*[F.lit(i) for i in _CORPUS_INTENTS])
-    replies = corpus.join(docs, docs["doc_id"] == corpus["vec_id"], "left").select(
+    return corpus.join(docs, docs["doc_id"] == corpus["vec_id"], "left").select(
         "vec_id", "embedding", F.element_at(intents, (F.col("label") % 4 + 1).cast("int")).alias("predicted_intent"),
         F.col("text").alias(triage.TEXT), tx.squeeze(F.coalesce("text", F.lit(""))).alias("brand_reply_clean"),
     )
+
+
+def _triaged(spark, d, drafts, chosen=None):
+    """All documents decided, or those of ``chosen`` (doc_id, hard_case_category)."""
+    queries, _ = b.queries_and_corpus(spark, d)
+    docs = texts(spark, d, "documents").select("doc_id", "text")
+    docs = docs if chosen is None else docs.join(chosen, "doc_id")
+    rows = docs.join(queries, docs["doc_id"] == queries["vec_id"], "left").select(
+        F.col("doc_id").alias(triage.ID), F.col("text").alias(triage.TEXT), "embedding", *docs.columns[2:]
+    )
     labels = triage.pseudo_labels(rows, b.responses(spark, d), patterns=b.OVERRIDE_PATTERNS)
     routed = staged(triage.route(rows, labels), "routed")
-    examples = staged(triage.examples_for(routed, replies, "vec_id"), "examples")
-    drafts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("reply"))
-    out = triage.triage(routed, examples, drafts, ("account_access",), b.ALLOWED_NAMES, 0.75, 0.3)
-    return out.select(
+    examples = staged(triage.examples_for(routed, triage_corpus(spark, d), "vec_id"), "examples")
+    return triage.triage(routed, examples, drafts, ("account_access",), b.ALLOWED_NAMES, 0.75, 0.3)
+
+
+@query(_TRIAGE + f""" SELECT doc_id AS customer_tweet_id, intent AS predicted_intent, confidence AS predicted_confidence, drafted_reply,
+  len(msgs)::INT AS n_flags, {_TD} AS escalation_decision, {_TR} AS escalation_reason FROM checked""")
+def triage_decisions(spark, d):
+    """Documents as messages: classified by the response table, routed, matched with examples, checked and decided. One
+    without a vector goes on with no examples."""
+    drafts = texts(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("reply"))
+    return _triaged(spark, d, drafts).select(
         triage.ID, "predicted_intent", "predicted_confidence", "drafted_reply", F.size("validate_draft_flags").alias("n_flags"),
         "escalation_decision", "escalation_reason",
     )
 
 
+def _some_drafts(spark, d):
+    """A drafted reply for all documents but every fifth."""
+    return texts(spark, d, "documents").filter("n_chars % 5 <> 0").select(F.col("doc_id").alias("id"), F.col("text").alias("reply"))
+
+
+@query("SELECT count(*) AS n_messages, count(*) AS n_accounted, 0::BIGINT AS n_twice, 0::BIGINT AS n_lost FROM documents")
+def triage_accounted(spark, d):
+    """Every message is decided or listed as a dead letter, and none is both."""
+    docs = texts(spark, d, "documents")
+    decided = _triaged(spark, d, _some_drafts(spark, d)).select(triage.ID, F.lit(1).alias("decided"), F.lit(0).alias("dead"))
+    dead = triage_dead_letters(spark, d).select(triage.ID, F.lit(0).alias("decided"), F.lit(1).alias("dead"))
+    ends = decided.unionByName(dead).groupBy(triage.ID).agg(F.sum("decided").alias("decided"), F.sum("dead").alias("dead"))
+    return docs.select(F.col("doc_id").alias(triage.ID)).join(ends, triage.ID, "left").agg(
+        F.count("*").alias("n_messages"), F.count("decided").alias("n_accounted"),
+        F.count_if(F.col("decided") + F.col("dead") > 1).alias("n_twice"), F.count_if(F.col("decided").isNull()).alias("n_lost"))
+
+
 @query(_ROUND + f""", seen AS (SELECT doc_id, n_chars, outcome, {sql_any('text', b.OVERRIDE_SQL)} AS fraud FROM documents LEFT JOIN rounds ON id = doc_id)
  SELECT doc_id AS customer_tweet_id, CASE WHEN outcome = 'ok' THEN 'draft' ELSE 'classify' END AS stage,
   CASE WHEN outcome = 'ok' THEN 'missing' ELSE coalesce(outcome, 'missing') END AS reason
@@ -282,8 +311,7 @@ def triage_dead_letters(spark, d):
     rows = docs.select(F.col("doc_id").alias(triage.ID), F.col("text").alias(triage.TEXT))
     answers = b.responses(spark, d)
     labels = triage.pseudo_labels(rows, answers, patterns=b.OVERRIDE_PATTERNS)
-    drafts = docs.filter("n_chars % 5 <> 0").select(F.col("doc_id").alias("id"), F.col("text").alias("reply"))
-    return triage.triage_dead_letters(rows, labels, answers, drafts)
+    return triage.triage_dead_letters(rows, labels, answers, _some_drafts(spark, d))
 
 
 # ---- scores -----------------------------------------------------------------------------------------------
@@ -300,7 +328,8 @@ def score_profile(spark, d):
     queries, corpus = b.queries_and_corpus(spark, d)
     conf = load(spark, d, "documents").select(b.hundredths(70, F.col("n_chars"), 29).alias("confidence"))
     best = staged(rt.max_similarity(queries, corpus, "vec_id", "vec_id"), "similarity")
-    return pf.union_all([pf.score_profile(conf, ["confidence"]), pf.score_profile(best, ["max_similarity"])])
+    both = conf.unionByName(best.select("max_similarity"), allowMissingColumns=True)
+    return pf.score_profile(both, ["confidence", "max_similarity"])
 
 
 @query("""WITH s AS (SELECT (70 + n_chars % 29) / 100::DOUBLE AS c, (60 + n_chars % 37) / 100::DOUBLE AS s FROM documents)
@@ -341,8 +370,13 @@ _AGREEMENT = ("WITH " + b.HUMAN_SQL + ", " + b.JUDGE_SQL + f""", p AS ({_PAIRED}
  t AS (SELECT dimension, exp(sum(ln(CASE WHEN df % 2 = 0 THEN (2 * j - 1) / (2 * j) ELSE 2 * j / (2 * j + 1) END)) OVER (PARTITION BY dimension ORDER BY j))
    * power(c2, j) AS term FROM j),
  q AS (SELECT dimension, 1 + sum(term) AS series FROM t GROUP BY 1),
- agreement AS (SELECT dimension, n, greatest(least(rho, 1), -1) AS spearman_rho, CASE WHEN a >= 1 THEN 0 ELSE 1 - CASE WHEN df % 2 = 0 THEN a * series ELSE (asin(a) + a * sqrt(c2) * series) * 2 / pi() END END AS spearman_p, adjacent_rate
- FROM k JOIN q USING (dimension))""")
+ m AS (SELECT dimension, df, c2, unnest(generate_series(0, 4000)) AS m FROM k),
+ u AS (SELECT dimension, power(c2, m) * exp(sum(CASE WHEN m = 0 THEN 0 ELSE ln((df - 1 + 2 * m) / (df + 2 * m)) END) OVER (PARTITION BY dimension ORDER BY m)) AS term FROM m),
+ v AS (SELECT dimension, sum(term) AS tail FROM u GROUP BY 1),
+ agreement AS (SELECT dimension, n, greatest(least(rho, 1), -1) AS spearman_rho, CASE WHEN a >= 1 THEN 0
+   WHEN a > 0.1 THEN exp(df / 2 * ln(c2) + ln(a) - ln(df / 2) - lgamma(df / 2) - lgamma(0.5) + lgamma(df / 2 + 0.5)) * tail
+   ELSE 1 - CASE WHEN df % 2 = 0 THEN a * series ELSE (asin(a) + a * sqrt(c2) * series) * 2 / pi() END END AS spearman_p, adjacent_rate
+ FROM k JOIN q USING (dimension) JOIN v USING (dimension))""")
 
 
 @query(_AGREEMENT + " SELECT * FROM agreement")

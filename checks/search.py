@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import base as b
 from checks.base import load, sql_any, texts
 from spark_triage.operators import features as ft
+from spark_triage.operators import kmeans as km
 from spark_triage.operators import models as md
 from spark_triage.operators import retrieval as rt
 from spark_triage.operators import sampling as sm
@@ -174,6 +175,30 @@ def silhouette(spark, d):
     return md.silhouette(b.vectors(spark, d), "vec_id", "label")
 
 
+@query("""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ dist AS (SELECT a.vec_id, a.label AS own, c.label AS other, list_sum(list_transform(list_zip(a.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+   FROM v a, v c),
+ s AS (SELECT vec_id, own, other, sum(d) AS total, count(*) AS n FROM dist GROUP BY ALL),
+ ab AS (SELECT vec_id, own, max(CASE WHEN own = other THEN total / (n - 1) END) AS a, min(CASE WHEN own <> other THEN total / n END) AS b FROM s GROUP BY ALL)
+ SELECT vec_id, own AS label, (b - a) / greatest(a, b) AS silhouette FROM ab""")
+def silhouette_linear(spark, d):
+    return km.silhouette_linear(b.vectors(spark, d), "vec_id", "label")
+
+
+@query("""SELECT k, (SELECT count(*) FROM embeddings) AS n_rows, least((SELECT count(DISTINCT embedding) FROM embeddings), k) AS n_clusters,
+   0::BIGINT AS n_elsewhere, true AS in_range, true AS best_of_starts FROM (SELECT unnest([5, 6, 7, 8, 9, 10])::INT AS k)""")
+def scan_k(spark, d):
+    """What holds for any scan of settled fits, for each k: every row has a cluster, no cluster is empty, no row is nearer
+    to the mean of another cluster, silhouettes lie between -1 and 1, and no start alone costs less than the one kept."""
+    rows = staged(b.vectors(spark, d), "scan")
+    fits = km.fit_many(rows, "vec_id", starts=4)
+    first = [x for f in fits if f.start == 0 for x in (F.lit(f.k), F.lit(f.cost))]
+    scan = km.scan_k(rows, "vec_id", fits=fits).select("k", "n_clusters", "cost", F.col("silhouette").between(-1, 1).alias("in_range"))
+    cheap = F.col("cost") <= F.element_at(F.create_map(*first), F.col("k")) * (1 + 1e-9)
+    return km.label_means(rows, km.best_of(fits)).join(scan, "k").select(
+        "k", "n_rows", F.col("n_clusters").cast("long").alias("n_clusters"), "n_elsewhere", "in_range", cheap.alias("best_of_starts"))
+
+
 def _tfidf_sql(group: str, max_terms: int) -> str:
     return f"""WITH tok AS (SELECT {group}, unnest(regexp_extract_all(lower(text), '[{b.W}]{{2,}}')) AS term FROM documents),
  tf AS (SELECT {group}, term, count(*) AS tf FROM tok WHERE term NOT IN {b.names_in(STOP_WORDS)} GROUP BY ALL),

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -17,7 +18,7 @@ from pyspark.ml.feature import (
     IDF, CountVectorizer, ElementwiseProduct, IndexToString, Normalizer, RegexTokenizer, StopWordsRemover,
     StringIndexer,
 )
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,33 +57,41 @@ def assign_clusters(df: DataFrame, model: KMeansModel, vector: str = "embedding"
     return model.setFeaturesCol("features").setPredictionCol(out).transform(with_features).drop("features")
 
 
-def silhouette(
-    df: DataFrame, id_col: str, cluster: str, vector: str = "embedding", block_rows: int = 16_384
+def silhouettes(
+    df: DataFrame, id_col: str, labels: str, vector: str = "embedding", block_rows: int = 16_384
 ) -> DataFrame:
-    """(id, cluster, silhouette) with exact Euclidean distances.
+    """(id, place, cluster, silhouette) with exact Euclidean distances, for every place of the array ``labels``.
 
-    Rows are cut into hashed blocks and every pair of blocks meets in one task, which gives one distance
-    sum per row and cluster, never one row per pair. A row alone in its cluster scores 0.
+    Rows are cut into hashed blocks and every pair of blocks meets in one task, which takes each distance once for all
+    labellings and gives one distance sum per row, place and cluster, never one row per pair. A row alone in its cluster
+    scores 0.
     """
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(cluster).cast("int").alias("cluster"), F.col(vector).alias("vec"))
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(labels).cast("array<int>").alias("labels"), F.col(vector).alias("vec"))
     blocks = max(1, math.ceil(rows.count() / block_rows))
     home = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = home.withColumnRenamed("block", "a").withColumn("b", every)
     # The same rows meet themselves, so the second copy gets columns of its own.
     right = home.select(
-        F.col("id").alias("other_id"), F.col("cluster").alias("other_cluster"), F.col("vec").alias("other_vec"),
+        F.col("id").alias("other_id"), F.col("labels").alias("other_labels"), F.col("vec").alias("other_vec"),
         F.col("block").alias("y"), every.alias("x"),
     )
 
     def per_cell(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
-            return pd.DataFrame({"id": [], "own": [], "cluster": [], "total": [], "n": []})
+            return pd.DataFrame({"id": [], "place": [], "own": [], "cluster": [], "total": [], "n": []})
         p = np.stack([np.asarray(v, dtype=np.float64) for v in x["vec"]])
         q = np.stack([np.asarray(v, dtype=np.float64) for v in y["other_vec"]])
-        labels, place = np.unique(y["other_cluster"].to_numpy(), return_inverse=True)
-        member, ids, others = np.eye(len(labels))[place], x["id"].to_numpy(), y["other_id"].to_numpy()
-        total, n, m = np.empty((len(x), len(labels))), member.sum(0), len(labels)
+        mine, theirs = np.stack(x["labels"].to_list()), np.stack(y["other_labels"].to_list())
+        places, names, members = [], [], []
+        for i in range(theirs.shape[1]):
+            found, at = np.unique(theirs[:, i], return_inverse=True)
+            places.append(np.full(len(found), i))
+            names.append(found)
+            members.append(np.eye(len(found))[at])
+        place, name, member = np.concatenate(places), np.concatenate(names), np.concatenate(members, 1)
+        ids, others = x["id"].to_numpy(), y["other_id"].to_numpy()
+        total, n, m = np.empty((len(x), len(name))), member.sum(0), len(name)
         for at in range(0, len(x), 1024):  # a slice of the distance matrix at a time
             s = slice(at, at + 1024)
             square = (p[s] * p[s]).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2 * (p[s] @ q.T)
@@ -91,42 +100,33 @@ def silhouette(
             total[s] = dist @ member
         return pd.DataFrame(
             {
-                "id": np.repeat(x["id"].to_numpy(), m), "own": np.repeat(x["cluster"].to_numpy(), m),
-                "cluster": np.tile(labels, len(x)), "total": total.ravel(), "n": np.tile(n, len(x)).astype("int64"),
+                "id": np.repeat(ids, m), "place": np.tile(place, len(x)), "own": mine[:, place].ravel(),
+                "cluster": np.tile(name, len(x)), "total": total.ravel(), "n": np.tile(n, len(x)).astype("int64"),
             }
         )
 
     sums = (
         left.groupBy("a", "b").cogroup(right.groupBy("x", "y"))
-        .applyInPandas(per_cell, "id bigint, own int, cluster int, total double, n bigint")
-        .groupBy("id", "own", "cluster").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        .applyInPandas(per_cell, "id bigint, place int, own int, cluster int, total double, n bigint")
+        .groupBy("id", "place", "own", "cluster").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )
     inside = F.col("cluster") == F.col("own")
-    per_row = sums.groupBy("id", "own").agg(
+    per_row = sums.groupBy("id", "place", "own").agg(
         F.max(F.when(inside, F.col("total") / F.nullif(F.col("n") - 1, F.lit(0)))).alias("a"),
         F.min(F.when(~inside, F.col("total") / F.col("n"))).alias("b"),
     )
     score = F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
     )
-    return per_row.select(F.col("id").alias(id_col), F.col("own").alias(cluster), score.alias("silhouette"))
+    return per_row.select(F.col("id").alias(id_col), "place", F.col("own").alias("cluster"), score.alias("silhouette"))
 
 
-def scan_k(
-    df: DataFrame, id_col: str, ks: Sequence[int] = fv.K_CANDIDATES, vector: str = "embedding",
-    starts: int = fv.KMEANS_STARTS,
+def silhouette(
+    df: DataFrame, id_col: str, cluster: str, vector: str = "embedding", block_rows: int = 16_384
 ) -> DataFrame:
-    """(k, silhouette) for every candidate k."""
-    from spark_triage.operators.profile import union_all
-
-    scored = []
-    for k in ks:
-        labelled = assign_clusters(df, best_kmeans(df, k, vector, starts), vector)
-        scored.append(
-            silhouette(labelled, id_col, "cluster", vector).agg(F.avg("silhouette").alias("silhouette"))
-            .select(F.lit(k).alias("k"), "silhouette")
-        )
-    return union_all(scored)
+    """(id, cluster, silhouette) with exact Euclidean distances, the one labelling ``cluster``."""
+    rows = df.select(id_col, F.array(F.col(cluster).cast("int")).alias("_labels"), vector)
+    return silhouettes(rows, id_col, "_labels", vector, block_rows).select(id_col, F.col("cluster").alias(cluster), "silhouette")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -179,6 +179,63 @@ def train_classifier(
     return PipelineModel([*front.stages, scale, unit, lr, name])
 
 
+def gradients(
+    df: DataFrame, model: PipelineModel, text_col: str, label: str, balanced: bool = False
+) -> DataFrame:
+    """(label, n, gradient, gradient_at_zero): the gradient of the objective that ``train_classifier`` minimises, at the
+    fitted model and at the model of nothing but zeros, as the length of its part for each label, intercept included. At
+    the optimum the first is near 0, and how near is said by the second.
+
+    A task sums residual times features over its rows, one row per label; these are added up as they stream by.
+    """
+    rows = df.select(text_col, F.col(label).alias("_true"), F.lit(1.0).alias("_one"))
+    if balanced:
+        weights = class_weights(df, label).select(F.col(label).alias("_true"), F.col("weight").alias("_one"))
+        rows = rows.drop("_one").join(weights, "_true")
+    lr = next(s for s in model.stages if hasattr(s, "coefficientMatrix"))
+    names = next(s for s in model.stages if isinstance(s, IndexToString)).getLabels()
+    scored = model.transform(rows).select(
+        F.col("_true").alias("label"), "_one", vector_to_array("_features").alias("x"), vector_to_array("probability").alias("p"))
+    held = df.sparkSession.sparkContext.broadcast((names, lr.coefficientMatrix.toArray()))  # set by labels and terms
+    regularized = lr.getRegParam()
+    kind = "label string, n bigint, rows double, now array<double>, start array<double>"
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, weights = held.value
+        k, size = len(names), weights.shape[1] + 1
+        n, total, now, start = np.zeros(k, np.int64), 0.0, np.zeros((k, size)), np.zeros((k, size))
+        for batch in batches:
+            for some in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                x, p = (some.column(c).flatten().to_numpy().reshape(some.num_rows, -1) for c in ("x", "p"))
+                x = np.concatenate([x, np.ones((len(x), 1))], 1)  # the intercept comes last
+                w = some.column("_one").to_numpy()
+                own = np.array([names.index(v) for v in some.column("label").to_pylist()])
+                is_own = np.eye(k)[own]
+                n += is_own.sum(0).astype(np.int64)
+                total += float(w.sum())
+                now += ((p - is_own) * w[:, None]).T @ x
+                start += ((1 / k - is_own) * w[:, None]).T @ x
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names), pa.array(n), pa.array([total] * k), pa.array(list(now), pa.list_(pa.float64())),
+             pa.array(list(start), pa.list_(pa.float64()))], ["label", "n", "rows", "now", "start"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, weights = held.value
+        out: dict[str, list] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                new = [r["n"], r["rows"], np.array(r["now"]), np.array(r["start"])]
+                out[r["label"]] = [a + b for a, b in zip(out[r["label"]], new)] if r["label"] in out else new
+        for name, (n, total, now, start) in out.items():
+            pull = np.append(regularized * weights[names.index(name)], 0.0)
+            yield pa.RecordBatch.from_pydict({
+                "label": [name], "n": [n], "gradient": [float(np.linalg.norm(now / total + pull))],
+                "gradient_at_zero": [float(np.linalg.norm(start / total))]})
+
+    return scored.mapInArrow(part, kind).repartition("label").mapInArrow(
+        add_up, "label string, n bigint, gradient double, gradient_at_zero double")
+
+
 def classify(df: DataFrame, model: PipelineModel, out: str = "predicted_intent") -> DataFrame:
     """Rows with the model's label; also how corpus intents are backfilled."""
     scored = model.transform(df)

@@ -123,76 +123,72 @@ def brand_volume(messages: DataFrame, top: int) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = 100_000) -> DataFrame:
-    """Exact linear-interpolated quantiles of a numeric column, as (prob, value).
+    """Exact linear-interpolated quantiles of a numeric column, as (prob, value)."""
+    return exact_quantiles_of(df, [col], probs, accuracy).select("prob", "value")
 
-    The rows are read three times, so give a table or a staged frame. A mergeable sketch brackets each wanted rank within ten times its error bound. Rows below a bracket
-    are only counted; those inside it, collapsed to one row per value, are ordered. A rank outside its
-    bracket raises instead of giving a wrong value.
+
+def exact_quantiles_of(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 100_000) -> DataFrame:
+    """Exact linear-interpolated quantiles of numeric columns, as (column, prob, value).
+
+    The rows are read three times, however many columns and probabilities there are, so give a table or a staged frame.
+    One pass sketches every column, which brackets each wanted rank within ten times the sketch's error bound; one counts
+    what lies below each bracket; one takes the values inside the (column, rank) brackets, collapsed to one row per
+    value, in order. A rank outside its bracket raises instead of giving a wrong value. NULLs take no part; a column
+    without a value gives no rows.
     """
-    rows = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
+    rows = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    every = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
     margin = 10.0 / accuracy
     ends = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
-    stats = rows.agg(
+    stats = rows.agg(F.array(*[
         F.struct(
-            F.percentile_approx("v", F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("edges"),
-            F.min("v").alias("min"), F.max("v").alias("max"), F.count("*").alias("n"),
-        ).alias("x")
-    ).scalar()
-    # Below this many rows the margin is no full rank, and the whole range is the bracket.
-    few = stats["n"] * margin < 2
-    low = [F.when(few, stats["min"]).otherwise(F.element_at(stats["edges"], 2 * i + 1)) for i in range(len(probs))]
-    high = [F.when(few, stats["max"]).otherwise(F.element_at(stats["edges"], 2 * i + 2)) for i in range(len(probs))]
-    below = rows.agg(
-        F.array(F.count("*"), *[F.count_if(F.col("v") < lo) for lo in low]).alias("x")
-    ).scalar()
-    inside = F.array_compact(
-        F.array(*[
-            F.when(F.col("v").between(lo, hi), F.struct(F.lit(float(p)).alias("prob"), F.lit(i + 2).alias("slot")))
-            for i, (p, lo, hi) in enumerate(zip(probs, low, high))
-        ])
-    )
+            F.percentile_approx(f"v{i}", F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("edges"),
+            F.min(f"v{i}").alias("min"), F.max(f"v{i}").alias("max"), F.count(f"v{i}").alias("n"))
+        for i in range(len(columns))]).alias("x")).scalar()
+
+    def bracket(i: int, j: int) -> tuple[Column, Column]:
+        own = stats[i]
+        few = own["n"] * margin < 2  # the margin is no full rank then, and the whole range is the bracket
+        return (F.when(few, own["min"]).otherwise(F.element_at(own["edges"], 2 * j + 1)),
+                F.when(few, own["max"]).otherwise(F.element_at(own["edges"], 2 * j + 2)))
+
+    below = rows.agg(F.array(*[F.count_if(F.col(f"v{i}") < bracket(i, j)[0]) for i, j in every]).alias("x")).scalar()
+    inside = F.array_compact(F.array(*[
+        F.when(F.col(f"v{i}").between(*bracket(i, j)), F.struct(F.lit(slot + 1).alias("slot"), F.col(f"v{i}").alias("v")))
+        for slot, (i, j) in enumerate(every)]))
     counts = (
-        rows.select("v", F.explode(inside).alias("b"))
-        .groupBy("b.prob", "b.slot", "v").agg(F.count("*").alias("n"))
-        .withColumn("counted", below)
+        rows.select(F.explode(inside).alias("b")).groupBy("b.slot", "b.v").agg(F.count("*").alias("n"))
+        .withColumn("below", F.element_at(below, F.col("slot")))
     )
-    upto = F.element_at("counted", F.col("slot")) + F.sum("n").over(Window.partitionBy("prob").orderBy("v"))
-    ranked = counts.withColumn("upto", upto).withColumn("pos", F.col("prob") * (F.element_at("counted", 1) - 1))
+    upto = F.col("below") + F.sum("n").over(Window.partitionBy("slot").orderBy("v"))
+    wanted = lambda values: F.element_at(F.array(*[F.lit(x) for x in values]), F.col("slot"))
+    total = F.element_at(F.array(*[stats[i]["n"] for i in range(len(columns))]), wanted([i + 1 for i, _ in every]))
+    ranked = counts.withColumn("upto", upto).withColumn("prob", wanted([float(probs[j]) for _, j in every])).withColumn(
+        "pos", F.col("prob") * (total - 1))
 
     def value_at(rank: Column) -> Column:
         hit = (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
         return F.max(F.when(hit, F.col("v")))
 
-    found = ranked.groupBy("prob", "pos").agg(
+    found = ranked.groupBy("slot", "prob", "pos").agg(
         value_at(F.floor("pos")).alias("low"), value_at(F.ceil("pos")).alias("high")
     )
     value = F.col("low") + (F.col("high") - F.col("low")) * (F.col("pos") - F.floor("pos"))
     return found.select(
-        "prob", F.coalesce(value, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")).alias("value")
+        wanted([columns[i] for i, _ in every]).alias("column"), "prob",
+        F.coalesce(value, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")).alias("value")
     )
 
 
 def score_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """min / quartiles / max per score column, long form."""
+    """min / quartiles / max per score column, long form, all columns from the same passes."""
     points = {0.0: "min", 0.25: "q1", 0.5: "median", 0.75: "q3", 1.0: "max"}
     name = F.element_at(F.create_map(*[F.lit(x) for kv in points.items() for x in kv]), F.col("prob"))
-    return union_all(
-        [
-            exact_quantiles(df, c, list(points)).select(
-                F.lit(c).alias("score"), name.alias("point"), "value"
-            )
-            for c in columns
-        ]
-    )
+    return exact_quantiles_of(df, columns, list(points)).select(F.col("column").alias("score"), name.alias("point"), "value")
 
 
 def derive_thresholds(df: DataFrame, confidence: str, similarity: str, prob: float = 0.25, digits: int = 2) -> DataFrame:
     """The lower quartile of each score, rounded, as (policy field, value)."""
-    return union_all(
-        [
-            exact_quantiles(df, c, [prob]).select(
-                F.lit(field).alias("threshold"), F.round("value", digits).alias("value")
-            )
-            for field, c in (("min_confidence", confidence), ("min_similarity", similarity))
-        ]
-    )
+    field = F.when(F.col("column") == confidence, "min_confidence").otherwise("min_similarity")
+    return exact_quantiles_of(df, [confidence, similarity], [prob]).select(
+        field.alias("threshold"), F.round("value", digits).alias("value"))

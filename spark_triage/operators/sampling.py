@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
-from spark_triage.session import broadcast_up_to
+from spark_triage.operators.pairs import GROUP_LIMIT
+from spark_triage.session import broadcast_up_to, staged
 
-_GROUP_LIMIT = 1000  # constant bounds up to this size are applied before the shuffle
 _BUCKETS = 60 * 1024 + 1
+_PARTS = 64  # that the lowest rows of all tasks are dealt to
 
 
 def hash_key(id_col: str, seed: int) -> Column:
@@ -22,21 +27,53 @@ def _hash_bucket(key: Column) -> Column:
     return F.floor(F.log2(head) * 1024).cast("int")
 
 
+def _low_rows(df: DataFrame, n: int) -> DataFrame:
+    """Rows of each task that can be among its ``n`` with the least ``_head``: all that were when they came by. Only
+    ``n`` numbers are held, never rows, and a task gives about n (1 + ln(rows / n)) of its rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least, bar = np.zeros(0, np.uint64), np.uint64(2**64 - 1)
+        for batch in batches:
+            column = batch.column("_head")
+            raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)[8 * column.offset : 8 * (column.offset + len(column))]
+            head = raw.view(">u8").astype(np.uint64)
+            low = head <= bar
+            least = np.concatenate([least, head[low]])
+            if len(least) > n:
+                least = np.partition(least, n - 1)[:n]
+                bar = least.max()
+                low &= head <= bar
+            if low.any():
+                yield batch.filter(pa.array(low))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def bottom_rows(keyed: DataFrame, n: int) -> DataFrame:
+    """At least the ``n`` rows with the least ``_key`` and few others, written, from one read of ``keyed``: each task
+    keeps its lowest, these are dealt out by key and each part keeps its lowest again."""
+    headed = keyed.withColumn("_head", F.unhex(F.substring("_key", 1, 16)))
+    salt = F.pmod(F.xxhash64("_key"), F.lit(_PARTS))
+    merged = _low_rows(_low_rows(headed, n).repartition(salt), n)
+    return staged(merged.drop("_head"), "sample")
+
+
 def ranked_sample(df: DataFrame, id_col: str, seed: int, n: int, rank_col: str = "sample_rank") -> DataFrame:
     """The first ``n`` rows in seeded order with their exact rank 1..n; ``id_col`` must be unique.
 
-    A histogram of at most 61,441 hash buckets tells where rank ``n`` falls, so hardly more than ``n``
-    rows are shuffled, and they are ranked bucket by bucket, not in one task.
+    ``df`` is read once; see ``bottom_rows``. On what is left, a histogram of at most 61,441 hash buckets tells where rank
+    ``n`` falls, and rows are ranked bucket by bucket, not in one task.
     """
-    keyed = df.withColumn("_key", hash_key(id_col, seed)).withColumn("_bucket", _hash_bucket(F.col("_key")))
+    keyed = df.withColumn("_key", hash_key(id_col, seed)).filter(F.col("_key").isNotNull())
+    low = bottom_rows(keyed, n).withColumn("_bucket", _hash_bucket(F.col("_key")))
     before = F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")
     buckets = (
-        keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))
+        low.groupBy("_bucket").agg(F.count("*").alias("_n"))
         .withColumn("_before", before).filter(F.col("_before") < n).select("_bucket", "_before")
     )
     inside = Window.partitionBy("_bucket").orderBy("_key", id_col)
     return (
-        keyed.join(broadcast_up_to(buckets, _BUCKETS), "_bucket")
+        low.join(broadcast_up_to(buckets, _BUCKETS), "_bucket")
         .withColumn(rank_col, (F.col("_before") + F.row_number().over(inside)).cast("int"))
         .filter(F.col(rank_col) <= n)
         .drop("_key", "_bucket", "_before")
@@ -71,7 +108,7 @@ def top_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of each group with their rank. Beyond the size that Spark prunes before the
     shuffle, groups are first cut into salted parts so that no task sorts a whole group."""
-    if n > _GROUP_LIMIT:
+    if n > GROUP_LIMIT:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
         part = Window.partitionBy(group, "_salt").orderBy(*order)
         df = salted.withColumn("_part", F.row_number().over(part)).filter(F.col("_part") <= n).drop("_part", "_salt")

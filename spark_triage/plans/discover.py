@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
 from spark_triage.operators import features as ft
+from spark_triage.operators import kmeans as km
 from spark_triage.operators import models as md
 from spark_triage.operators import profile as pf
 from spark_triage.operators import sampling as sm
@@ -48,11 +49,11 @@ def discover(
     stop_words: Sequence[str] | None = None, starts: int = fv.KMEANS_STARTS,
 ) -> dict[str, DataFrame]:
     """``rows`` carry their vectors. Gives the silhouette per candidate k, the labels for ``k`` and a report."""
-    drawn = staged(sm.seeded_sample(rows, id_col, seed, sample), "discovery")
+    drawn = staged(sm.seeded_sample(rows.filter(F.col(vector).isNotNull()), id_col, seed, sample), "discovery")
     labelled = md.assign_clusters(drawn, md.best_kmeans(drawn, k, vector, starts), vector)
     words = ft.default_stop_words() if stop_words is None else stop_words
     return {
-        "scan": md.scan_k(drawn, id_col, ks, vector, starts),
+        "scan": km.scan_k(drawn, id_col, ks, vector, starts, seed),
         "labelled": labelled,
         "report": cluster_report(labelled, "cluster", id_col, text_col, words),
     }

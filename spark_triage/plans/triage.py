@@ -51,11 +51,11 @@ def examples_for(routed: DataFrame, corpus: DataFrame, corpus_id: str, vector: s
 
 
 def draft_prompts(routed: DataFrame, examples: DataFrame, brand: str, company: str) -> DataFrame:
-    """(id, prompt) for rows that go to drafting; at most three examples each."""
+    """(id, prompt) for every row that goes to drafting; at most three examples each, none where nothing was found."""
     shown = examples.groupBy(F.col("query_id").alias(ID)).agg(
         F.array_sort(F.collect_list(F.struct("example_no", TEXT, "brand_reply_clean"))).alias("examples")
     )
-    return routed.filter("route = 'draft'").join(shown, ID).select(
+    return routed.filter("route = 'draft'").join(shown, ID, "left").select(
         F.col(ID).alias("id"), pm.draft_prompt(F.col(TEXT), F.col("examples"), brand, company).alias("prompt")
     )
 

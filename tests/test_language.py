@@ -61,3 +61,23 @@ def test_a_profile_of_nothing_detects_nothing(spark):
 def test_trigrams_of_supplementary_letters(spark):
     row = spark.createDataFrame([("a𝒳b",)], "t string").select(lg.trigrams(F.col("t")).alias("g")).first()
     assert row.g == [" a𝒳", "a𝒳b", "𝒳b "]
+
+
+def test_blocks_of_few_bytes_give_the_same(spark, monkeypatch):
+    """Many blocks, texts longer than a stretch, repeated rows and further columns of any kind."""
+    import random
+
+    rng = random.Random(1)
+    words = {"en": "the cat and dog are in house where order was sent".split(), "de": "der hund und die katze sind im haus wo bestellung".split()}
+    rows = [(i % 40, " ".join(rng.choice(words[x]) for _ in range(rng.choice([1, 5, 400]))), x, [i], {"k": i}) for i in range(200) for x in ("en", "de")]
+    df = spark.createDataFrame(rows, "id int, text string, lang string, detected array<int>, m map<string,int>").repartition(5)
+    profile = lg.language_profile(df, "text", "lang", ["de", "en"])
+    plain = sorted((r.id, r.text, r.lang, r.found) for r in lg.detect_language(df, "text", profile, ["de", "en"], "found").collect())
+    monkeypatch.setattr(lg, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(lg, "STRETCH", 64)
+    small = lg.detect_language(df, "text", profile, ["de", "en"], "found")
+    assert small.columns == [*df.columns, "found"]
+    assert sorted((r.id, r.text, r.lang, r.found) for r in small.collect()) == plain
+    assert sum(r[2] == r[3] for r in plain) > 0.9 * len(plain)
+    replaced = lg.detect_language(df, "text", profile, ["de", "en"])
+    assert replaced.schema["detected"].dataType.simpleString() == "string" and replaced.count() == len(rows)

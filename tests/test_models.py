@@ -7,6 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from spark_triage.operators import features as ft
+from spark_triage.operators import kmeans as km
 from spark_triage.operators import models as md
 from spark_triage.plans import discover
 
@@ -135,6 +136,71 @@ def test_discovery_finds_the_blobs(spark):
     assert sum(r.line.startswith("- ") for r in lines) == 24
 
 
+def test_all_fits_step_together(spark):
+    sc, df = spark.sparkContext, blobs(spark)
+    sc.setJobGroup("fits", "")
+    fits = km.fit_many(df, "id", (2, 3, 4), starts=5)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("fits"))
+    sc.setJobGroup("", "")
+    assert len(fits) == 15 and jobs <= 10 + 2 * max(f.steps for f in fits)
+    x = np.array([r.embedding for r in df.orderBy("id").collect()])
+    for f in fits:
+        own = km.distances(x, f.centers).argmin(1)
+        assert f.settled and f.n.tolist() == np.bincount(own, minlength=f.k).tolist()
+        assert f.cost == pytest.approx(((x - f.centers[own]) ** 2).sum())
+        assert all(np.allclose(f.centers[c], x[own == c].mean(0), atol=1e-4) for c in range(f.k))
+    best = km.best_of(fits)
+    assert [f.k for f in best] == [2, 3, 4] and all(b.cost <= f.cost for b in best for f in fits if f.k == b.k)
+
+
+def test_fits_with_few_different_points_and_none(spark):
+    df = spark.createDataFrame([(i, [float(i % 2), 0.0]) for i in range(10)] + [(99, None)], "id long, embedding array<double>")
+    fit, = km.fit_many(df, "id", (5,), starts=1)
+    assert len(fit.centers) == 2 and fit.cost == 0 and sorted(fit.n) == [5, 5]
+    assert km.fit_many(df.limit(0), "id", (2,)) == []
+    labels = {r.id: r.labels for r in km.label_many(df, [fit]).collect()}
+    assert labels[99] is None and labels[0] != labels[1] and labels[0] == labels[2]
+    with pytest.warns(UserWarning, match="did not settle"):
+        km.fit_many(blobs(spark), "id", (4,), starts=2, max_iter=1)
+
+
+def brute_linear(x, labels):
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    out = []
+    for i, c in enumerate(labels):
+        own = labels == c
+        others = [d[i][labels == o].mean() for o in set(labels) if o != c]
+        if own.sum() == 1 or not others:
+            out.append(0.0)
+            continue
+        a, b = d[i][own].sum() / (own.sum() - 1), min(others)
+        out.append((b - a) / max(a, b))
+    return out
+
+
+def test_silhouette_linear(spark):
+    rng = np.random.default_rng(3)
+    x = np.r_[rng.normal(0, 0.2, (20, 4)), rng.normal(1, 0.2, (15, 4)), [[9.0] * 4]]
+    labels = np.array([0] * 18 + [4] * 17 + [7])
+    schema = "id bigint, embedding array<double>, cluster int"
+    rows = [(i, [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, labels))]
+    df = spark.createDataFrame([*rows, (90, None, 4), (91, [0.0] * 4, None)], schema).repartition(5)
+    got = {r.id: r.silhouette for r in km.silhouette_linear(df, "id", "cluster").collect()}
+    assert len(got) == len(x) and [got[i] for i in range(len(x))] == pytest.approx(brute_linear(x, labels), abs=1e-9)
+    one = km.silhouette_linear(df.filter("cluster = 0"), "id", "cluster").collect()
+    assert {r.silhouette for r in one} == {0.0}
+
+
+def test_both_scans_find_the_blobs(spark):
+    for exact in (True, False):
+        scan = {r.k: r.silhouette for r in km.scan_k(blobs(spark), "id", (2, 3, 4), starts=3, exact=exact).collect()}
+        assert max(scan, key=scan.get) == 3
+        fits = km.best_of(km.fit_many(blobs(spark), "id", (2, 3, 4), starts=3))
+        x = np.array([r.embedding for r in blobs(spark).orderBy("id").collect()])
+        want = {f.k: np.mean((brute_silhouette if exact else brute_linear)(x, km.distances(x, f.centers).argmin(1))) for f in fits}
+        assert scan == pytest.approx(want, abs=1e-9)
+
+
 def test_default_stop_words(spark):
     words = ft.default_stop_words()
     assert "the" in words and words[-1] == "url"

@@ -105,3 +105,36 @@ def test_numbers_that_do_not_fit_a_message_id_are_refused(spark, conv, turn):
     turns = spark.createDataFrame([(conv, turn, "user", "x")], "conv_id bigint, turn bigint, role string, text string")
     with pytest.raises(Exception, match="does not fit"):
         standins.messages_from_turns(turns).collect()
+
+
+def test_a_parent_with_a_third_of_the_replies_is_split(spark):
+    """No task of the join gets more than twice the median, and the hot parent's replies all find it."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in conf}
+    n = 12_000
+    replies = spark.range(n).select(
+        (F.col("id") + 1_000_000).alias("tweet_id"), F.lit("acme").alias("author_id"), F.lit(False).alias("inbound"),
+        F.lit("r").alias("text"), F.lit("t").alias("created_at"),
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 4000).alias("in_response_to_tweet_id"))
+    parents = spark.range(4000).select(
+        F.col("id").alias("tweet_id"), F.lit("c").alias("author_id"), F.lit(True).alias("inbound"), F.lit("q").alias("text"),
+        F.lit("t").alias("created_at"), F.lit(None).cast("long").alias("in_response_to_tweet_id"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        pairs = pr.build_pairs(replies.union(parents), "acme")
+        sizes = sorted(r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == n and pairs.filter("customer_tweet_id = 5").count() > n // 3
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        assert pairs.select("brand_reply_id").distinct().count() == n
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_keep_per_key_beyond_the_bound_before_the_shuffle(spark):
+    df = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5)).alias("k"))
+    for n in (900, 1500):
+        got = {r.k: r for r in pr.keep_per_key(df, "k", ["id"], n).groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top")).collect()}
+        every = [i for i in range(9000) if i % 3 == 0]
+        assert got["hot"].n == n and got["hot"].top == every[n - 1]

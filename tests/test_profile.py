@@ -28,6 +28,25 @@ def test_quantiles_with_a_coarse_sketch(spark):
     assert [got[0.25], got[0.5]] == pytest.approx(list(np.quantile(values, [0.25, 0.5])), rel=1e-12)
 
 
+def test_quantiles_of_several_columns(spark):
+    """Columns of different sizes, with nulls, repeated values and nothing at all, from three reads."""
+    rng = np.random.default_rng(4)
+    columns = {"a": rng.normal(size=3000), "b": np.r_[np.full(2000, 0.9), np.linspace(0, 1, 500)], "c": np.array([2.0]), "d": np.array([])}
+    rows = [tuple(float(v[i]) if i < len(v) else None for v in columns.values()) for i in range(3000)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    schema = "a double, b double, c double, d double"
+    df = spark.createDataFrame(rows, schema).repartition(4).mapInArrow(count, schema)
+    got = {(r["column"], r.prob): r.value for r in pf.exact_quantiles_of(df, list(columns), PROBS).collect()}
+    assert got == {(c, p): pytest.approx(float(np.quantile(v, p)), rel=1e-12) for c, v in columns.items() if len(v) for p in PROBS}
+    assert seen.value == 3 * 3000
+
+
 def test_thresholds_and_profile(spark):
     df = spark.createDataFrame([(c, s) for c, s in zip([0.9] * 6 + [0.7, 0.95], np.linspace(0.6, 0.95, 8).tolist())],
                                "c double, s double")

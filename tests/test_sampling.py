@@ -68,3 +68,30 @@ def test_forced_sample(spark):
 def test_lowest(spark):
     df = spark.createDataFrame([(1, 0.5), (2, 0.1), (3, 0.1), (4, 0.9)], "id bigint, s double")
     assert [r.id for r in sm.lowest(df, "s", "id", 2).collect()] == [2, 3]
+
+
+@pytest.mark.parametrize("n", [5, 700])
+def test_a_sample_reads_its_input_once(spark, tmp_path, n):
+    spark.range(20_000).repartition(16).write.parquet(str(tmp_path / "t"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    counted = spark.read.parquet(str(tmp_path / "t")).mapInArrow(count, "id long")
+    got = sorted((r.sample_rank, r.id) for r in sm.ranked_sample(counted, "id", 42, n).collect())
+    assert got == list(enumerate(sorted(range(20_000), key=lambda i: key(42, i))[:n], 1))
+    assert seen.value == 20_000
+
+
+def test_few_rows_leave_the_tasks(spark):
+    keyed = spark.range(50_000).repartition(10).withColumn("_key", sm.hash_key("id", 1))
+    assert 100 <= sm.bottom_rows(keyed, 100).count() <= 5000
+
+
+def test_rows_without_an_id_are_not_drawn(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,)], "id long")
+    assert sorted(r.id for r in sm.seeded_sample(df, "id", 42, 5).collect()) == [1, 2]
+    assert sm.seeded_sample(df.limit(0), "id", 42, 5).collect() == []
