@@ -1,16 +1,20 @@
 """Removal of long passages that occur more than once, exact, behind a count-min prefilter.
 
 Every window of ``width`` words has an anchor, the ``ANCHOR``-word gram of lowest hash in it, leftmost on ties. Equal
-windows have equal anchors at equal places, so a window occurs at most as often as its anchor: the anchor counts
-overestimate the window counts and lose none. The counts are a count-min sketch of one row whose cells are the 64-bit
-gram hashes. Each Arrow batch makes its own part of the sketch, and the parts are merged cell by cell in a shuffle, so
-no machine holds the sketch whole, however large it is. Consecutive windows with the same anchor are one *span*;
-there are about ``2 / (width - ANCHOR + 2)`` spans for each window.
-
-Only spans whose anchor count is two or more go on. They are grouped exactly, first whole (a span that occurs twice
-repeats in all its windows, found by 128 bits of span and anchor hash), then window by window for the rest, the ends
-of passages, against one copy of every repeated span. In every grouping a batch first combines what it has of a key,
-so a passage shared by a third of all documents sends one row for each batch.
+windows have equal anchors at equal places, so a window occurs at most as often as its anchor. Consecutive windows with
+the same anchor are one *span*; there are about ``2 / (width - ANCHOR + 2)`` spans for each window.
+
+First pass: a count-min sketch of ``DEPTH`` rows of 2 ** bits counters counts anchors. Each Arrow batch fills a sketch of
+its own, of which only counters that are not 0 travel; the sketches are added counter by counter, a range of counters at
+a time, so no machine holds one whole. ``bits`` follows from the bytes of all texts. A counter may count several anchors,
+so it overestimates, and what it says of a window is never too low: none is lost.
+
+Second pass: spans whose anchor is estimated to occur twice in every row of the sketch go on, no others. They meet the
+ranges of counters in a shuffle, first those of one row, and what is left those of the next. The spans that go on are
+grouped exactly, first whole (a span that occurs twice repeats in all its windows, found by 96 bits), then window by
+window for the rest, the ends of passages, against one copy of every repeated span (96 bits). Spans that a batch holds
+twice itself need no estimate and are dealt out evenly, so a passage shared by a third of all documents sends one row
+for each batch.
 """
 
 from __future__ import annotations
@@ -28,6 +32,9 @@ from spark_triage.llm.common import map_batches, staged
 
 WIDTH = 35
 ANCHOR = 12
+DEPTH = 2
+RANGE_BITS = 16  # counters of a range
+BYTES_PER_COUNTER = 16  # of text; a span takes about 80
 _U = np.uint64
 
 # What a row stands for: one occurrence not decided yet; a sign that the key occurs; one already found repeated.
@@ -116,6 +123,88 @@ def _grouped(rows: DataFrame, keys: list[str], decide, schema: str) -> DataFrame
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+def sketch_bits(text_bytes: int) -> int:
+    """Counters of a row, as a power of two."""
+    return min(48, max(RANGE_BITS, (text_bytes // BYTES_PER_COUNTER).bit_length()))
+
+
+def counters(anchor: np.ndarray, row: int, bits: int) -> np.ndarray:
+    """The counter of each anchor in a row of the sketch: its highest bits, or its lowest."""
+    return (anchor >> _U(64 - bits) if row == 0 else anchor & ((_U(1) << _U(bits)) - _U(1))).astype(np.int64)
+
+
+def _range_of(row: int, bits: int):
+    """The same as a column over ``anchor``, as the number of the counter's range."""
+    anchor = F.col("anchor")
+    if row == 0:
+        return F.shiftrightunsigned(anchor, 64 - bits + RANGE_BITS) if bits > RANGE_BITS else F.lit(0).cast("long")
+    return F.shiftrightunsigned(anchor.bitwiseAND(F.lit((1 << bits) - 1)), RANGE_BITS)
+
+
+def partial_sketch(anchor: np.ndarray, bits: int):
+    """(row, range, counts: binary) of the anchors of a batch: for each counter that is not 0 its place in the range,
+    and 1 or, for more, 2 (32 bits: place * 4 + count)."""
+    rows, ranges, values, sizes = [], [], [], []
+    for row in range(DEPTH):
+        place, n = np.unique(counters(anchor, row, bits), return_counts=True)
+        where = place >> RANGE_BITS
+        first = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else np.zeros(0, np.int64)
+        rows.append(np.full(len(first), row, np.int32))
+        ranges.append(where[first])
+        sizes.append(np.diff(np.append(first, len(where))))
+        values.append(((place & ((1 << RANGE_BITS) - 1)) << 2 | np.minimum(n, 2)).astype("<u4"))
+    size, value = np.concatenate(sizes), np.concatenate(values)
+    ends = np.concatenate([[0], np.cumsum(4 * size)]).astype(np.int64)
+    body = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(value)])
+    return np.concatenate(rows), np.concatenate(ranges), body.cast(pa.binary())
+
+
+def add_sketches(batches):
+    """One row per (row, range) with ``flags``, a bit for each counter that has reached 2, of rows sorted by (row, range);
+    a range without such a counter gives none."""
+    key, total, out = None, None, []
+
+    def flagged():
+        if key is not None and (total >= 2).any():
+            out.append((*key, np.packbits(total >= 2).tobytes()))
+
+    def taken():
+        rows = list(zip(*out)) or [(), (), ()]
+        out.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], ["row", "rng", "flags"])
+
+    for batch in batches:
+        for row, rng, counts in zip(*(batch.column(c).to_pylist() for c in ("row", "rng", "counts"))):
+            if (row, rng) != key:
+                flagged()
+                key, total = (row, rng), np.zeros(1 << RANGE_BITS, np.uint8)
+            value = np.frombuffer(counts, "<u4")
+            place = value >> 2
+            total[place] = np.minimum(total[place] + (value & 3).astype(np.uint8), 2)
+        if len(out) >= 256:
+            yield taken()
+    flagged()
+    if out:
+        yield taken()
+
+
+def merged_sketch(texts: DataFrame, width: int, gram: int, bits: int) -> DataFrame:
+    """(row, rng, flags) of all texts, written."""
+
+    def part(batch):
+        found = [anchored_spans(p, width, gram)[0] for p in wh.pieces(batch.column("text"))]
+        if not any(map(len, found)):
+            return None
+        rows, ranges, counts = partial_sketch(np.concatenate(found), bits)
+        return {"row": rows, "rng": ranges, "counts": counts}
+
+    parts = map_batches(texts.select("text"), part, "row int, rng bigint, counts binary")
+    merged = parts.repartition("row", "rng").sortWithinPartitions("row", "rng").mapInArrow(
+        add_sketches, "row int, rng bigint, flags binary")
+    return staged(merged, "substring-sketch")
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
     """(doc_id, did, h, text, row): did and h tell rows apart that share an id but not a text."""
     doc_id = F.col(id_col).cast("long")
@@ -129,46 +218,85 @@ def _column(batch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False)
 
 
+_ROWS = "anchor bigint, span bigint, two int, did bigint, h int, pos bigint"
+_NAMES = ["anchor", "span", "two", "did", "h", "pos"]
+
+
+def _passing(rows: DataFrame, flags: DataFrame, row: int, bits: int) -> DataFrame:
+    """The rows whose counter in a row of the sketch has reached 2, and those that need no estimate."""
+    own = flags.filter(F.col("row") == row).select(F.col("rng"), "flags")
+    asked = rows.withColumn("rng", F.when(F.shiftright("pos", 6).bitwiseAND(F.lit(3)) == FOUND, F.col("anchor"))
+                            .otherwise(_range_of(row, bits)))
+    both = asked.unionByName(own, allowMissingColumns=True)
+
+    def run(batches):
+        rng, bit = None, None
+        for batch in batches:
+            mark = np.asarray(batch.column("flags").is_valid())
+            key = batch.column("rng").to_numpy()
+            pos = batch.column("pos").fill_null(0).to_numpy()
+            keep = ~mark & ((pos >> 6) & 3 == FOUND)
+            asks = np.flatnonzero(~keep)  # and marks, each before the rows of its range
+            anchor = batch.column("anchor").fill_null(0).to_numpy().view(np.uint64)
+            place = counters(anchor, row, bits) & ((1 << RANGE_BITS) - 1)
+            new = np.flatnonzero(np.append(True, key[asks][1:] != key[asks][:-1])) if len(asks) else []
+            for a, b in zip(new, np.append(new[1:], len(asks)) if len(asks) else []):
+                some = asks[a:b]
+                if key[some[0]] != rng:
+                    rng, bit = key[some[0]], None
+                if mark[some[0]]:
+                    bit = np.unpackbits(np.frombuffer(batch.column("flags")[int(some[0])].as_py(), np.uint8)).astype(bool)
+                    some = some[1:]
+                if bit is not None:
+                    keep[some] = bit[place[some]]
+            if keep.any():
+                yield batch.select(_NAMES).filter(pa.array(keep))
+
+    order = [F.col("rng"), F.col("flags").isNull()]
+    return both.select(*_NAMES, "rng", "flags").repartition("rng").sortWithinPartitions(*order).mapInArrow(run, _ROWS)
+
+
 def repeated_spans(texts: DataFrame, width: int, gram: int) -> DataFrame:
-    """(did, h, at, n, state): spans whose anchor repeats. PARTIAL ones occur once as a whole, FULL ones repeat, and
-    one copy of each repeated span is FULL_SHOWN."""
+    """(did, h, at, n, state): spans whose anchor is estimated to repeat. PARTIAL ones occur once as a whole, FULL ones
+    repeat, and one copy of each repeated span is FULL_SHOWN."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    bits = sketch_bits(size)
+    flags = merged_sketch(texts, width, gram, bits)
+
+    def spread_out(span, at, did):
+        return wh.mix(span ^ at.astype(np.uint64) ^ (did.astype(np.uint64) << _U(20))).view(np.int64)
 
-    def sketch(batch):
+    def asked(batch):
         did, h = _column(batch, "did"), _column(batch, "h")
         parts = []
         for p in wh.pieces(batch.column("text")):
             cell, span, text, at, n = anchored_spans(p, width, gram)
-            parts.append((cell, span, did[p.rows[text]], h[p.rows[text]], at, n))
+            second = wh.spans(wh.mix(p.hashes ^ _U(0xA5A5A5A5A5A5A5A5)), at + p.words[text], at + p.words[text] + n + width - 1) if len(at) else span
+            parts.append((cell, span, (second >> _U(32)).astype(np.uint32).view(np.int32), did[p.rows[text]], h[p.rows[text]], at, n))
         if not parts:
             return None
-        cell, span, did, h, at, n = (np.concatenate(x) for x in zip(*parts))
-        order, new, size = _runs(cell)
-        cell, span, did, h, at, n = (x[order] for x in (cell, span, did, h, at, n))
+        cell, span, two, did, h, at, n = (np.concatenate(x) for x in zip(*parts))
+        order, _, size = _runs(cell)
+        cell, span, two, did, h, at, n = (x[order] for x in (cell, span, two, did, h, at, n))
         alone = size == 1
-        key = np.where(alone, cell, wh.mix(span ^ at.astype(np.uint64) ^ (did.astype(np.uint64) << _U(20))))
-        sign = new & ~alone
-        zero = np.zeros(int(sign.sum()), np.int64)
         return {
-            "key": np.concatenate([key, cell[sign]]).view(np.int64),
-            "span": np.concatenate([span.view(np.int64), zero]),
-            "did": np.concatenate([did, zero]), "h": np.concatenate([h, zero.astype(h.dtype)]),
-            "pos": np.concatenate([_pack(at, np.where(alone, OPEN, FOUND), n), zero + _pack(0, SIGN, 0)]),
+            "anchor": np.where(alone, cell.view(np.int64), spread_out(span, at, did)), "span": span.view(np.int64), "two": two,
+            "did": did, "h": h, "pos": _pack(at, np.where(alone, OPEN, FOUND), n),
         }
 
-    def estimated(batch, again, first):
-        kind = (_column(batch, "pos") >> 6) & 3
-        keep = (kind == FOUND) | ((kind == OPEN) & again)
-        batch = batch.filter(pa.array(keep))
-        span, did, h, pos = (_column(batch, c) for c in ("span", "did", "h", "pos"))
-        order, new, size = _runs(span)
-        span, did, h, pos = (x[order] for x in (span, did, h, pos))
+    rows = map_batches(texts.select("did", "h", "text"), asked, _ROWS)
+    for row in range(DEPTH):
+        rows = _passing(rows, flags, row, bits)
+
+    def gathered(batch):
+        span, two, did, h, pos = (_column(batch, c) for c in ("span", "two", "did", "h", "pos"))
+        order, new, size = _runs(span, two)
+        span, two, did, h, pos = (x[order] for x in (span, two, did, h, pos))
         at, n = pos >> 8, pos & 63
         shown, alone = new & (size > 1), size == 1
         kind = np.where(alone, OPEN, np.where(shown, SIGN, FOUND))
-        spread = wh.mix(span.view(np.uint64) ^ at.astype(np.uint64) ^ (did.astype(np.uint64) << _U(20))).view(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.where(kind == FOUND, spread, span)), pa.array(did), pa.array(h), pa.array(_pack(at, kind, n))],
-            ["key", "did", "h", "pos"])
+        key = np.where(kind == FOUND, spread_out(span.view(np.uint64), at, did), span)
+        return {"key": key, "two": two, "did": did, "h": h, "pos": _pack(at, kind, n)}
 
     def exact(batch, again, first):
         pos = _column(batch, "pos")
@@ -180,15 +308,14 @@ def repeated_spans(texts: DataFrame, width: int, gram: int) -> DataFrame:
              pa.array((pos & 63).astype(np.int32)), pa.array(state.astype(np.int32))],
             ["did", "h", "at", "n", "state"])
 
-    cells = map_batches(texts.select("did", "h", "text"), sketch, "key bigint, span bigint, did bigint, h int, pos bigint")
-    spans = _grouped(cells, ["key"], estimated, "key bigint, did bigint, h int, pos bigint")
-    return _grouped(spans, ["key"], exact, "did bigint, h int, at int, n int, state int")
+    spans = map_batches(rows, gathered, "key bigint, two int, did bigint, h int, pos bigint")
+    return _grouped(spans, ["key", "two"], exact, "did bigint, h int, at int, n int, state int")
 
 
 def repeated_windows(texts: DataFrame, spans: DataFrame, width: int) -> DataFrame:
     """(did, h, at, n): the windows of PARTIAL spans that occur elsewhere, among the windows of ``spans``."""
     asked = spans.filter(F.col("state") != FULL).groupBy("did", "h").agg(
-        F.collect_list(F.struct("at", "n", "state")).alias("spans"))
+        F.collect_set(F.struct("at", "n", "state")).alias("spans"))  # rows equal in id and text have one list
 
     def windows(batch):
         did, h = _column(batch, "did"), _column(batch, "h")
@@ -251,7 +378,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = _texts(docs, id_col, text_col, keep)
     spans = staged(repeated_spans(texts, width, gram), "substring-spans")
     flags = repeated_windows(texts, spans, width).unionByName(spans.filter(F.col("state") != PARTIAL).drop("state"))
-    flags = flags.groupBy("did", "h").agg(F.collect_list(F.struct("at", "n")).alias("flags"))
+    flags = flags.groupBy("did", "h").agg(F.collect_set(F.struct("at", "n")).alias("flags"))
 
     def cut(batch):
         lists = batch.column("flags")

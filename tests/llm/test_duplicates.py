@@ -128,6 +128,49 @@ def test_without_repeats_of_nothing_and_bad_widths(empty):
         substring.without_repeats(empty, width=5, gram=5)
 
 
+def test_counters_overestimate_and_sketches_add_up():
+    """Any split into batches gives the flags of the whole; an anchor that occurs twice is flagged in every row, and with
+    few counters so are others."""
+    rng = np.random.default_rng(5)
+    anchor = rng.integers(0, 1 << 63, 60_000, dtype=np.uint64) * np.uint64(2)
+    anchor = np.concatenate([anchor, anchor[:5_000]])
+    rng.shuffle(anchor)
+
+    def flagged(pieces, bits):
+        parts = []
+        for a in pieces:
+            row, where, counts = substring.partial_sketch(a, bits)
+            parts += list(zip(row.tolist(), where.tolist(), counts.to_pylist()))
+        parts.sort(key=lambda x: x[:2])
+        batches = [pa.RecordBatch.from_pydict({"row": pa.array([p[0] for p in some], pa.int32()), "rng": [p[1] for p in some], "counts": pa.array([p[2] for p in some], pa.binary())})
+                   for some in (parts[i : i + 7] for i in range(0, len(parts), 7))]
+        out = {(r["row"], r["rng"]): r["flags"] for b in substring.add_sketches(iter(batches)) for r in b.to_pylist()}
+        return out
+
+    value, n = np.unique(anchor, return_counts=True)
+    for bits in (16, 20, 24):
+        whole = flagged([anchor], bits)
+        assert whole == flagged(np.array_split(anchor, 9), bits)
+        low = np.ones(len(value), bool)
+        for row in range(substring.DEPTH):
+            place = substring.counters(value, row, bits)
+            bit = [row_flags is not None and bool(row_flags[(p & 0xFFFF) >> 3] >> (7 - (p & 7)) & 1)
+                   for p in place.tolist() for row_flags in [whole.get((row, p >> substring.RANGE_BITS))]]
+            low &= np.array(bit)
+        assert low[n > 1].all()
+        share = low[n == 1].mean()
+        assert share > 0.05 if bits == 16 else share < 0.02
+
+
+def test_many_rows_equal_in_id_and_text(spark):
+    text = prose(random.Random(3), 120)
+    rows = [(None, text)] * 3000 + [(7, text + " end")] * 10 + [(8, prose(random.Random(4), 60))]
+    got = substring.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    assert len(got) == 3011
+    assert {r.n_removed for r in got if r.doc_id is None} == {120} and {r.n_removed for r in got if r.doc_id == 7} == {121}
+    assert {r.n_removed for r in got if r.doc_id == 8} == {0}
+
+
 def test_sorted_runs_over_batches():
     keys = [1, 1, 2, 3, 3, 3, 4]
     for cuts in combinations(range(1, 7), 2):
