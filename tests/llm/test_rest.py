@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
@@ -98,6 +99,64 @@ def test_shards(spark, kind):
         assert cut["cut"] <= 0.8 * cut["pairs"]
 
 
+def cut_of(sizes, whole, cut, places):
+    """(pairs cut, members by shard) of a plan, each member placed once."""
+    held, lost, seen = Counter(), 0, Counter()
+    for size, first, end, s in whole:
+        held[s] += size * (end - first)
+        seen[size] += end - first
+    for (size, _), parts in brute.groups(cut, lambda c: c[:2]).items():
+        parts.sort(key=lambda c: c[2])
+        assert [c[2] for c in parts] == [0, *(c[3] for c in parts[:-1])] and parts[-1][3] == size
+        for _, _, a, b, s in parts:
+            held[s] += b - a
+        lost += (size * size - sum((b - a) ** 2 for _, _, a, b, _ in parts)) // 2
+        seen[size] += 1
+    assert seen == Counter(sizes) and all(held[s] <= p for s, p in enumerate(places))
+    return lost
+
+
+def least_cut(groups, places):
+    """The least pairs cut by any placement, by trying all."""
+    if not groups:
+        return 0
+    size, best = groups[0], None
+    for own in product(range(size + 1), repeat=len(places)):
+        if sum(own) == size and all(n <= p for n, p in zip(own, places)):
+            rest = least_cut(groups[1:], [p - n for n, p in zip(own, places)])
+            if rest is not None:
+                lost = (size * size - sum(n * n for n in own)) // 2 + rest
+                best = lost if best is None else min(best, lost)
+    return best
+
+
+def test_start_is_near_the_least_cut():
+    rng = random.Random(6)
+    total = least = 0
+    for _ in range(60):
+        groups = [rng.randint(2, 5) for _ in range(rng.randint(1, 4))]
+        rest = rng.randint(0, 4)
+        rows = sum(groups) + rest
+        places = [rows // 3 + (s < rows % 3) for s in range(3)]
+        sizes = dict(Counter(groups))
+        total += cut_of(sizes, *sharding.plan(sizes, places), places)
+        least += least_cut(sorted(groups, reverse=True), places)
+    assert least > 0 and total <= 1.1 * least
+
+
+def test_groups_that_fit_are_hardly_cut(spark):
+    """1,000 groups of eight in 16 shards of 500, and one group of 1,200 in shards of 829."""
+    cases = [([f"t{i % 1000}" for i in range(8000)], 0.01), (["same"] * 1200 + [f"s{i}" for i in range(12064)], 0.43)]
+    for texts, share in cases:
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+        rows = sharding.shard(df).collect()
+        n = Counter(r.shard for r in rows)
+        assert len(rows) == len(texts) and max(n.values()) - min(n.values()) <= 1
+        cells = Counter((texts[r.doc_id], r.shard) for r in rows)
+        pairs = sum(c * (c - 1) // 2 for c in Counter(texts).values())
+        assert 1 - sum(c * (c - 1) // 2 for c in cells.values()) / pairs <= share
+
+
 def test_shards_of_nothing(empty):
     assert sharding.shard(empty).collect() == []
 
@@ -218,6 +277,18 @@ def test_wide_numbers_stay_exact():
     assert sorted(zip(ids.tolist(), score.tolist())) == [(0, 2**60 + 1), (1, 2**60 + 2), (2, 2**30 + 1)]
 
 
+def test_rounds_of_ranges_give_the_same(spark, monkeypatch):
+    """Hundreds of ranges, ties across them, and further columns of clashing names."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.integers(-3, 4, 4).astype(float).tolist(), 1.5, "x") for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score double, rng string").repartition(3)
+    want = plain_top([(i, v) for i, v, *_ in rows], 5, lambda i: i % 50 == 0)
+    for growth in (2, 16):
+        monkeypatch.setattr(topk, "GROWTH", growth)
+        got = topk.top_k(df, F.col("vec_id") % 50 == 0, 5, range_rows=10, query_rows=5, block=4).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 10 == 0).collect() == []
