@@ -6,16 +6,17 @@ the highest and lowest value. For a query the bound of a block is the sum of its
 are taken by falling bound, some at a time, until the next bound is below the k-th best score so far, so what is left
 out cannot enter the answer; equal bounds are still scored, for ties.
 
-First every query meets one range only, which gives a floor for its k-th score; then it meets all ranges with that
-floor, and only scores that reach it leave a task. Ranges and groups of queries are bounded in rows, so a task holds
-one of each whatever the tables' sizes.
+A query meets the ranges in rounds, one first, then in each round sixteen times as many as before. The k-th best score of
+a round is the floor of the next, and only scores that reach it leave a task, so about 16 k rows of a query come together
+in a round, however many ranges there are. Ranges and groups of queries are bounded in rows, so a task holds one of each
+whatever the tables' sizes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_triage.llm.common import staged
@@ -23,6 +24,7 @@ from spark_triage.llm.common import staged
 RANGE_ROWS = 8192
 QUERY_ROWS = 4096
 BLOCK = 64
+GROWTH = 16  # of the ranges that a query has met, from round to round
 SCALE = 256
 NOTHING = -(1 << 63)
 
@@ -111,8 +113,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
 
     Queries are the rows where ``is_query``; every row but those with the query's own id is a candidate. Vectors that
     are null or hold null or non-finite values take no part, and vectors of different lengths do not meet. A row that
-    is repeated is a candidate each time; a query that is repeated is asked once, by the smallest vector. Sums of
-    products must fit 64 bits.
+    is repeated is a candidate each time; a query that is repeated is asked once, by the smallest vector. Empty vectors
+    score 0 with each other. Sums of products must fit 64 bits. Further columns are left out.
     """
     rows = staged(integer_vectors(vectors, id_col, vec_col).withColumn("dim", F.size("v")), "topk-vectors")
     asked = staged(rows.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
@@ -120,19 +122,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     ranges = max(1, -(-rows.count() // range_rows))
     groups = max(1, -(-asked.count() // query_rows))
     spread = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     # a repeated id stands on several rows, so the place depends on a row number as well
     homed = rows.withColumn("rng", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(ranges)).cast("int"))
-    grouped = asked.withColumn("grp", spread("query_id", groups))
-    wide = homed.withColumn("grp", every(groups))
-    home = grouped.withColumn("rng", F.pmod(F.col("grp"), F.lit(ranges)).cast("int")).withColumn("floor", F.lit(NOTHING))
-    met = wide.filter(F.col("rng") == F.pmod(F.col("grp"), F.lit(ranges)))
-    floors = _met(home, met, k, block).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
-    floors = staged(floors.filter(F.col("n") >= k).select("query_id", "floor"), "topk-floors")
-    ask = grouped.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(NOTHING)))
-    hits = _met(ask.withColumn("rng", every(ranges)), wide, k, block)
-    best = hits.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(
-        F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("best"))  # at most k rows from each range
-    return best.select("query_id", F.posexplode("best").alias("at", "b")).select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"),
-        (-F.col("b.s")).alias("score"))
+    homed = staged(homed, "topk-homed")
+    grouped = staged(asked.withColumn("grp", spread("query_id", groups)), "topk-asked")
+    wide = homed.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    home = F.pmod(F.col("grp"), F.lit(ranges))  # where a group of queries begins
+    best_first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    met, upto, best = 0, 1, None
+    while True:
+        step = F.explode(F.sequence(F.lit(met), F.lit(min(upto, ranges) - 1)))
+        ask = grouped.withColumn("floor", F.lit(NOTHING))
+        if best is not None:
+            floors = best.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("reached")).filter(F.col("n") >= k)
+            ask = grouped.join(floors.drop("n"), "query_id", "left").withColumn("floor", F.coalesce("reached", F.lit(NOTHING))).drop("reached")
+        ask = ask.withColumn("step", step).withColumn("rng", F.pmod(home + F.col("step"), F.lit(ranges)).cast("int")).drop("step")
+        here = F.pmod(F.col("rng") - home, F.lit(ranges)).between(met, upto - 1)
+        hits = _met(ask, wide.filter(here), k, block)
+        hits = hits if best is None else hits.unionByName(best)
+        ranked = hits.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
+        if upto >= ranges:
+            return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        best = staged(ranked.drop("rank"), "topk-best")
+        met, upto = upto, GROWTH * upto
