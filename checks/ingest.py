@@ -14,7 +14,7 @@ from spark_triage.operators import pairs as pr
 from spark_triage.operators import profile as pf
 from spark_triage.operators import sampling as sm
 from spark_triage.plans import discover, ingest
-from spark_triage.session import shared_folder
+from spark_triage.session import shared_folder, staged
 from spark_triage.sources import tables
 
 QUERIES, SQL = {}, {}
@@ -327,7 +327,7 @@ def split_overlap(spark, d):
  SELECT set, count(*) AS n, avg(length(brand_reply_clean)) AS mean_len, median(length(brand_reply_clean)) AS median_len,
    avg(has_link::INT) AS link_rate FROM u GROUP BY set""")
 def sample_sanity(spark, d):
-    full = b.clean_pairs(spark, d)
+    full = staged(b.clean_pairs(spark, d), "population")
     return pf.sample_sanity(full, sm.seeded_sample(full, "brand_reply_id", 42, 60))
 
 

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spark_triage.session import broadcast_up_to
+from spark_triage.session import broadcast_up_to, staged
 
 ID = "customer_tweet_id"
 
@@ -101,6 +101,7 @@ def named_listing(df: DataFrame, name: str) -> DataFrame:
 def failure_candidates(df: DataFrame) -> DataFrame:
     """All six listings in one frame, from one tagging pass instead of a pass per listing.
 
+    Rows that are in a listing are written once, with texts cut, and totals, bounded and whole listings read them there.
     The bounded listings share one ranking whose constant bound is applied before the shuffle; the missed
     escalations are listed whole and are never ranked.
     """
@@ -111,7 +112,7 @@ def failure_candidates(df: DataFrame) -> DataFrame:
         F.concat_ws(",", F.transform("validate_draft_flags", lambda f: f["kind"])).alias("flag_kinds"),
         F.array_compact(F.array(*[F.when(spec.cond(), F.lit(name)) for name, spec in LISTINGS.items()])).alias("names"),
     )
-    tagged = cut.withColumn("listing", F.explode("names")).drop("names")
+    tagged = staged(cut.withColumn("listing", F.explode("names")).drop("names"), "failures")
     totals = tagged.groupBy("listing").agg(F.count("*").alias("total"))  # one row per listing
     limits = {name: spec.limit for name, spec in LISTINGS.items() if spec.limit}
     first = F.when(F.col("listing") == "misclassified", F.col("predicted_confidence"))

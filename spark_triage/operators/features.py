@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
 from spark_triage.functions.text import WORD
-from spark_triage.session import broadcast_up_to
+from spark_triage.session import broadcast_up_to, staged
 
 TERM = rf"[{WORD}]{{2,}}"
 
@@ -26,9 +26,15 @@ def default_stop_words() -> list[str]:
     return [*english_stop_words(), "url"]
 
 
-def term_counts(df: DataFrame, group: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
-    """(group, term, tf). Counted in the task that reads the text before anything moves."""
-    terms = df.select(group, F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))).alias("term"))
+def term_counts(
+    df: DataFrame, group: str, text_col: str, stop_words: Sequence[str], marked: bool = False
+) -> DataFrame:
+    """(group, term, tf). Counted in the task that reads the text before anything moves. ``marked`` adds the empty term
+    once for every row, so that groups without terms are counted in the same pass."""
+    found = F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))
+    if marked:
+        found = F.array_append(F.coalesce(found, F.array().cast("array<string>")), F.lit(""))
+    terms = df.select(group, F.explode(found).alias("term"))
     # The join on terms needs this filter; stated here, both uses of the counts share one shuffle.
     kept = terms.filter(F.col("term").isNotNull() & ~F.col("term").isin(*stop_words))
     return kept.groupBy(group, "term").agg(F.count("*").alias("tf"))
@@ -40,12 +46,13 @@ def tfidf(
     """(group, term, tf, weight): tf * (ln((1 + n) / (1 + df)) + 1), L2-normalised per group, over the
     ``max_terms`` most frequent terms. A group stands for one document, so all texts of a cluster count
     as one without being joined into a string."""
-    counts = term_counts(df, group, text_col, stop_words)
+    every = staged(term_counts(df, group, text_col, stop_words, marked=True), "term-counts")  # the texts are read once
+    counts = every.filter(F.col("term") != "")
     vocabulary = (
         counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
         .orderBy(F.col("total").desc(), "term").limit(max_terms).select("term", "df")
     )
-    n_groups = df.agg(F.count_distinct(group).alias("n")).scalar()
+    n_groups = every.filter(F.col("term") == "").agg(F.count(group).alias("n")).scalar()
     idf = F.ln((F.lit(1.0) + F.col("n_groups")) / (F.lit(1.0) + F.col("df"))) + 1
     weighted = counts.join(broadcast_up_to(vocabulary, max_terms), "term").withColumn("n_groups", n_groups).withColumn("w", F.col("tf") * idf)
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(group)))

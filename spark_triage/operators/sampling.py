@@ -122,7 +122,7 @@ def group_quotas(df: DataFrame, group: str, n_total: int, places: Column | None
 
     Only the first ``n_total`` groups can get a row, so the result never has more rows than that.
     """
-    groups = df.groupBy(group).agg(F.count("*").alias("_size"))
+    groups = staged(df.groupBy(group).agg(F.count("*").alias("_size")), "groups")
     n_groups = groups.agg(F.count("*").alias("n")).scalar()
     extra = (F.col("_i") < F.col("_places") % F.col("_groups")).cast("int")
     return (
