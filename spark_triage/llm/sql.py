@@ -82,10 +82,66 @@ scored AS (SELECT r, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
 
+#: The repair as a recursion over rows: for each state of the lattice the cheapest way (cost, audit, repaired text).
+_WAY = "{{'c': {x}.c + {c}, 'a': {x}.a || '{l}', 'r': {r}}}"
+
+
+def _way(x: str, cost: str, letter: str, line: str | None = None, when: str = "true") -> str:
+    text = f"{x}.r" if line is None else f"{x}.r || CASE WHEN {x}.r = '' THEN '' ELSE chr(10) END || {line}"
+    return f"CASE WHEN {x} IS NOT NULL AND {when} THEN {_WAY.format(x=x, c=cost, l=letter, r=text)} END"
+
+
+def _least(*ways: str) -> str:
+    return f"list_sort(list_filter([{', '.join(ways)}], lambda w: w IS NOT NULL))[1]"
+
+
+def _repair_sql() -> str:
+    kept = lambda x, c: _way(x, "e", "K", "role || ':' || text", f"stays AND c = '{c}'")
+    moved = lambda x, role: _way(x, "3 + e", "R", f"'{role}:' || text", "stays")
+    gone = lambda x: _way(x, "4", "D")
+    filled = lambda x, role: _way(x, "3", "I", f"'{role}:'")
+    before = [w for x in ("s0", "s1", "s3") for w in (kept(x, "u"), moved(x, "user"))]
+    label = "{'c': 0, 'a': '', 'r': ''}"
+    return f"""WITH RECURSIVE crc AS (SELECT list(list_reduce([i] || range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+keyed AS (SELECT *, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT) AS b FROM conversations),
+hit AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce([4294967295] || b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS k FROM keyed, crc),
+damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE k <> 0),
+named AS (SELECT conv_id, row_number() OVER () AS g FROM (SELECT DISTINCT conv_id FROM conversations)),
+rows AS (SELECT g, turn, role, text, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, md5(text)) AS i
+  FROM damaged JOIN named ON named.conv_id IS NOT DISTINCT FROM damaged.conv_id),
+told AS (SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY g ORDER BY i) AS p,
+    CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE 'none' END AS fault FROM rows),
+counts AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count_if(fault = 'blank')::BIGINT AS blank,
+    count_if(fault = 'duplicate')::BIGINT AS duplicate, count_if(fault = 'truncated')::BIGINT AS truncated,
+    count_if(p IS NOT NULL AND p || c NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal, count(*) AS n FROM told GROUP BY g),
+steps AS (SELECT g, i, role, text, c, fault NOT IN ('blank', 'duplicate') AS stays, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS e FROM told),
+ways AS (
+  SELECT g, 0::BIGINT AS i, {label} AS s0, NULL::STRUCT(c INTEGER, a VARCHAR, r VARCHAR) AS s1,
+    {{'c': 3, 'a': 'I', 'r': 'user:'}} AS s2, {{'c': 6, 'a': 'II', 'r': 'user:' || chr(10) || 'assistant:'}} AS s3 FROM counts
+  UNION ALL
+  SELECT g, i, s0, s1, s2, {_least('s3', filled('s2', 'assistant'))} FROM (
+    SELECT g, i, s0, s1, {_least('s2', filled('s0', 'user'), filled('s1', 'user'), filled('s3', 'user'))} AS s2, s3 FROM (
+      SELECT ways.g, steps.i, {gone('s0')} AS s0, {_least(gone('s1'), kept('s0', 's'))} AS s1, {_least(gone('s2'), *before)} AS s2,
+        {_least(gone('s3'), kept('s2', 'a'), moved('s2', 'assistant'))} AS s3
+      FROM ways JOIN steps ON steps.g = ways.g AND steps.i = ways.i + 1))),
+ends AS (SELECT g, {_least('s0', 's3')} AS w FROM ways JOIN counts USING (g) WHERE i = n)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(w.c, 0)::BIGINT AS cost, coalesce(w.a, '') AS audit, sha256(coalesce(w.r, '')) AS repaired_sha256
+FROM named LEFT JOIN counts USING (g) LEFT JOIN ends USING (g)"""
+
+
+REPAIR = _repair_sql()
+
 SQL = {
     "op1_quality_rules": QUALITY,
     "op2_near_duplicates": NEAR_DUPLICATES,
     "op3_substring_dedup": SUBSTRING,
     "op10_exact_top_k": TOP_K,
     "op11_max_sketch_search": MAX_SKETCH,
+    "op12_conversation_repair": REPAIR,
 }
