@@ -6,12 +6,15 @@ with probability 6e-7. The positions are split into chunks, as many as the pigeo
 ``distance`` differing positions, some chunk has at most ``errors`` of them. Every choice of ``errors`` positions of a
 chunk is left out in turn and the rest is a key, so all pairs within the distance share a key.
 
-Pairs are not written out. Sets met in a key are chained; the chains' components are cut into blocks of bounded size,
-and a task holds one block, or two, with the full sets. It takes the pairs within the distance, closest first, skips
-those already connected and confirms the others on the full sets, and gives only the links that connect something.
-Large components go through three rounds: inside blocks, among one set of each connected part, and between those
-blocks that are not yet all connected; so a tight group of any size takes linear work. A loose group, whose members
-are near in signature but not linked, is compared block by block in full, as exactness needs.
+Pairs are not written out. Signatures that meet in a key are compared there, each with those it is not connected with
+yet, and only connecting links within the distance go on; so sets that merely share some keys, as pages with one frame
+do, stay apart. A key with more than ``MEMBERS`` signatures is chained instead, which connects all of them. Components of
+these links are cut into blocks of bounded size, and a task holds one block, or two, with the full sets. It takes the
+pairs within the distance, closest first, skips those already connected and confirms the others on the full sets, and
+gives only the links that connect something. Large components go through three rounds: inside blocks, among one set of
+each connected part, and between those blocks that are not yet all connected; so a tight group of any size takes linear
+work. A loose group, whose members are near in signature but not linked, is compared block by block in full, as exactness
+needs.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from spark_triage.llm.graph import components
 POSITIONS = 64
 DISTANCE = 25
 ERRORS = 1
+MEMBERS = 4096  # signatures of a key that are compared with each other
 BLOCK_ROWS = 512
 BLOCK_BYTES = 16 << 20
 _U = np.uint64
@@ -92,9 +96,33 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        "doc_id bigint, n_shingles bigint, fp binary, sig binary")
 
 
-def _chained(nodes: DataFrame, positions: int, distance: int, errors: int) -> DataFrame:
-    """Edges (a, b) between sets that meet in a key: neighbours in the key's order. Keys met again within a batch are
-    chained there and go on once, so a key shared by very many sets sends few rows."""
+class _Sets:
+    """Union-find over the rows of a task."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        up = self.up
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def met_in_keys(nodes: DataFrame, positions: int, distance: int, errors: int) -> DataFrame:
+    """(key, a, b): sets that share a key with another. A row without ``b`` is a member of a key of at most ``MEMBERS``
+    sets; one with it is an edge of the chain through a larger key's sets, in their order.
+
+    A key that a batch holds very often is chained there and goes on once, marked, so that one shared by very many sets
+    sends few rows; a marked key is chained as a whole.
+    """
     groups = masks(positions, distance, errors)
 
     def keys(batch):
@@ -110,61 +138,108 @@ def _chained(nodes: DataFrame, positions: int, distance: int, errors: int) -> Da
         key, who = np.concatenate(cols), np.tile(node, len(groups))
         order = np.lexsort((who, key))
         key, who = key[order], who[order]
-        again = np.zeros(len(key), bool)
-        again[1:] = key[1:] == key[:-1]
-        at = np.flatnonzero(again)
-        pairs = np.unique(np.stack([who[at - 1], who[at]], 1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
-        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        first = ~again
-        n = int(first.sum())
-        spread = wh.mix(pairs.astype(np.uint64).sum(1))
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.append(begin, len(key)))
+        often = np.repeat(size > MEMBERS // 2, size)
+        at = np.flatnonzero(often[1:] & (key[1:] == key[:-1])) if len(key) else begin
+        pairs = np.unique(np.stack([who[at], who[at + 1]], 1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
+        first = ~often
+        first[begin] = True
+        marked = often & first
         return {
-            "key": np.concatenate([key[first], spread]).view(np.int64),
+            "key": np.concatenate([key[first], wh.mix(pairs.astype(np.uint64).sum(1))]).view(np.int64),
             "a": np.concatenate([who[first], pairs[:, 0]]),
-            "b": pa.array(np.concatenate([np.zeros(n, np.int64), pairs[:, 1]]),
-                          mask=np.concatenate([np.ones(n, bool), np.zeros(len(pairs), bool)])),
+            "b": pa.array(np.concatenate([who[first], pairs[:, 1]]),
+                          mask=np.concatenate([~marked[first], np.zeros(len(pairs), bool)])),
         }
 
-    def chain(batches):
-        last_key = last = None
+    def split(batches):
+        held = None  # (key, sets, chained) of the key that the last batch ended with
+
+        def told(key, who, chained):
+            """The rows of keys that are complete, given by their sorted members and whether each stands for a chain."""
+            begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+            size = np.diff(np.append(begin, len(key)))
+            large = np.repeat((size > MEMBERS) | (np.maximum.reduceat(chained, begin) if len(begin) else size > 0), size)
+            member = np.repeat(size > 1, size) & ~large
+            at = np.flatnonzero(large[1:] & (key[1:] == key[:-1]) & (who[1:] != who[:-1])) if len(key) else begin
+            n = int(member.sum())
+            out = (np.append(key[member], key[at]), np.append(who[member], who[at]), np.append(np.zeros(n, np.int64), who[at + 1] if len(at) else at))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(out[0]), pa.array(out[1]), pa.array(out[2], mask=np.append(np.ones(n, bool), np.zeros(len(at), bool)))],
+                ["key", "a", "b"])
+
         for batch in batches:
             key, a = batch.column("key").to_numpy(), batch.column("a").to_numpy()
             b = batch.column("b")
-            linked = np.asarray(b.is_valid())
-            out = [np.stack([a[linked], b.fill_null(0).to_numpy()[linked]], 1)]
-            key, a = key[~linked], a[~linked]
-            if last_key is not None:
-                key, a = np.concatenate([[last_key], key]), np.concatenate([[last], a])
-            if len(key):
-                at = np.flatnonzero((key[1:] == key[:-1]) & (a[1:] != a[:-1]))
-                out.append(np.stack([a[at], a[at + 1]], 1))
-                last_key, last = key[-1], a[-1]
-            pairs = np.concatenate(out)
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            known = np.asarray(b.is_valid())
+            b = b.fill_null(0).to_numpy()
+            edge = known & (a != b)
+            yield pa.RecordBatch.from_arrays([pa.array(x[edge]) for x in (key, a, b)], ["key", "a", "b"])
+            key, a, mark = key[~edge], a[~edge], known[~edge]
+            if held is not None:
+                key, a, mark = (np.concatenate(x) for x in zip(held, (key, a, mark)))
+            if not len(key):
+                continue
+            last = int(np.searchsorted(key, key[-1]))
+            if last:
+                yield told(key[:last], a[:last], mark[:last])
+            held = key[last:], a[last:], mark[last:]
+            if len(held[0]) > 2 * MEMBERS:  # too many to wait for the rest: chained so far, and the last set stands for them
+                mark = np.ones(len(held[0]), bool)
+                yield told(held[0], held[1], mark)
+                held = held[0][-1:], held[1][-1:], mark[-1:]
+        if held is not None:
+            yield told(*held)
 
     met = map_batches(nodes.select("node", "sig"), keys, "key bigint, a bigint, b bigint")
-    return met.repartition("key").sortWithinPartitions("key", "a").mapInArrow(chain, "a bigint, b bigint")
+    return staged(met.repartition("key").sortWithinPartitions("key", "a").mapInArrow(split, "key bigint, a bigint, b bigint"),
+                  "neardup-keys")
+
+
+def close_parts(node: np.ndarray, sig: np.ndarray, distance: int) -> tuple[list[tuple[int, int]], int]:
+    """(links that connect all signatures within ``distance`` of another, signatures compared): each signature is compared
+    with those after it that it is not connected with."""
+    parts, found, compared = np.arange(len(node)), [], 0
+    for i in range(len(node) - 1):
+        rest = i + 1 + np.flatnonzero(parts[i + 1 :] != parts[i])
+        compared += len(rest)
+        near = rest[(sig[rest] != sig[i]).sum(1) <= distance]
+        for j in near.tolist():
+            if parts[j] != parts[i]:
+                found.append((int(node[i]), int(node[j])))
+                parts[parts == parts[j]] = parts[i]
+    return found, compared
 
 
-class _Sets:
-    """Union-find over the rows of a task."""
+def near_by_signature(nodes: DataFrame, positions: int, distance: int, errors: int) -> DataFrame:
+    """Edges (a, b) that connect all sets (node, sig) within ``distance`` of each other, and such as share a very
+    frequent key."""
+    met = met_in_keys(nodes, positions, distance, errors)
+    asked = met.filter("b is null").select("key", F.col("a").alias("node")).join(nodes.select("node", "sig"), "node")
 
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        up = self.up
-        while up.setdefault(x, x) != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.root(x), self.root(y)
-        if x != y:
-            self.up[max(x, y)] = min(x, y)
-        return x != y
+    def verify(batches):
+        held, links = None, []
+        for batch in batches:
+            key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(len(node), positions)
+            if held is not None:
+                key, node, sig = (np.concatenate(x) for x in zip(held, (key, node, sig)))
+            cuts = np.append(0, np.flatnonzero(key[1:] != key[:-1]) + 1)
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                links += close_parts(node[lo:hi], sig[lo:hi], distance)[0]
+            held = key[cuts[-1] :], node[cuts[-1] :], sig[cuts[-1] :]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["a", "b"])
+                links = []
+        if held is not None:
+            links = close_parts(held[1], held[2], distance)[0]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["a", "b"])
+
+    close = asked.select("key", "node", "sig").repartition("key").sortWithinPartitions("key", "node").mapInArrow(
+        verify, "a bigint, b bigint")
+    return met.filter("b is not null").select("a", "b").unionByName(close)
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -260,7 +335,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")),
         "neardup-classes")
     nodes = classes.select("node", "sig", "n_shingles")
-    met = components(_chained(nodes, positions, distance, errors), "neardup-met").withColumnRenamed("component", "comp")
+    met = components(near_by_signature(nodes, positions, distance, errors), "neardup-met").withColumnRenamed("component", "comp")
     met = staged(met.join(nodes.groupBy("node").agg(F.sum("n_shingles").alias("n_shingles")), "node"), "neardup-met")
 
     def full(batch):

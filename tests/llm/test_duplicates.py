@@ -1,11 +1,13 @@
 """Near-duplicates, repeated passages and components against their plain versions."""
 
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from spark_triage.llm import graph, neardup, substring
 from spark_triage.llm import wordhash as wh
@@ -85,6 +87,43 @@ def test_near_duplicates_of_nothing(empty):
     assert neardup.near_duplicates(empty).collect() == []
 
 
+@pytest.mark.parametrize("members", [4, 256])
+def test_signatures_within_the_distance_are_connected(spark, monkeypatch, members):
+    """Against all pairs; with few members to a key most are chained, which may connect more, never less."""
+    monkeypatch.setattr(neardup, "MEMBERS", members)
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 16, (12, 64), dtype=np.uint16)
+    sigs = []
+    for i in range(300):
+        row = base[i % 12].copy()
+        row[rng.choice(64, rng.integers(0, 40), replace=False)] = rng.integers(0, 1 << 16, 1)
+        sigs.append(row)
+    nodes = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sigs)], "node long, sig binary").repartition(5)
+    edges = {(r.a, r.b) for r in neardup.near_by_signature(nodes, 64, 25, 1).collect()}
+    near = [(i, j) for i in range(300) for j in range(i + 1, 300) if (sigs[i] != sigs[j]).sum() <= 25]
+    want, got = brute.components(near, range(300)), brute.components(edges, range(300))
+    assert all(got[i] == got[j] for i, j in near)
+    if members == 256:
+        assert got == want and len(edges) <= 300 * 65
+    few, compared = neardup.close_parts(np.arange(300), np.stack(sigs), 25)
+    assert brute.components(few, range(300)) == want and len(few) == 300 - len(set(want.values()))
+
+
+def test_pages_with_one_frame_stay_apart(spark):
+    """Texts that share a frame of a quarter of their words, none near: they meet in keys, and no component comes of it."""
+    rng = random.Random(12)
+    frame = prose(rng, 60)
+    docs = [(i, frame + " " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(90))) for i in range(800)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    sigs = neardup.signatures(df).select(F.col("doc_id").alias("node"), "sig")
+    met = neardup.met_in_keys(sigs, 64, 25, 1).filter("b is null").count()
+    edges = neardup.near_by_signature(sigs, 64, 25, 1)
+    largest = Counter(brute.components([(r.a, r.b) for r in edges.collect()], range(800)).values()).most_common(1)[0][1]
+    assert met > 100 and largest < 10
+    got = neardup.near_duplicates(df).collect()
+    assert all(r.component_id == r.doc_id for r in got) and len(got) == 800
+
+
 def test_similarity_is_exact_at_the_threshold():
     y = np.arange(100, dtype=np.uint64)
     assert neardup.similar(y[:85], y, 85) and not neardup.similar(y[:84], y, 85)
