@@ -8,12 +8,13 @@ host whose shrunk rate of some rule passes the limit is rejected with all its do
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spark_triage.llm import wordhash as wh
-from spark_triage.llm.common import broadcast_checked, map_batches, staged
+from spark_triage.llm.common import CACHES, broadcast_checked, lean_worker, map_batches, staged
 
 #: Fixed value: characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -167,5 +168,21 @@ def passing_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     failed = F.lit(False)
     for c in judge.values():
         failed = failed | c
-    rows = measures(docs, id_col, text_col, host_col, keep=tuple(docs.columns)).filter(~failed).select("host", "row")
-    return rows.join(broadcast_checked(rejected, HOSTS_SENT), "host", "left_anti").select("row.*")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(host_col).cast("string").alias("host"),
+                       _measured()(F.col(text_col).cast("string")).alias("m"))
+    kept = rows.select("row", "host", "m.*").filter(~failed)
+    return kept.join(broadcast_checked(rejected, HOSTS_SENT), "host", "left_anti").select("row.*")
+
+
+def _measured(width: int = 5):
+    """The measures of a text column; only the texts go to Python, the rows stay where they are."""
+
+    @F.arrow_udf(", ".join(f"{m} bigint" for m in MEASURES))
+    def run(column: pa.Array) -> pa.Array:
+        if any(name.startswith(CACHES) for name in wh.worker_state()):
+            lean_worker()
+        parts = [measure_piece(p, width) for p in wh.pieces(column)]
+        return pa.StructArray.from_arrays(
+            [pa.array(np.concatenate([x[m] for x in parts]).astype(np.int64)) for m in MEASURES], list(MEASURES))
+
+    return run
