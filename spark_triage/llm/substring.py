@@ -4,14 +4,14 @@ Every window of ``width`` words has an anchor, the ``ANCHOR``-word gram of lowes
 windows have equal anchors at equal places, so a window occurs at most as often as its anchor. Consecutive windows with
 the same anchor are one *span*; there are about ``2 / (width - ANCHOR + 2)`` spans for each window.
 
-First pass: a count-min sketch of ``DEPTH`` rows of 2 ** bits counters counts anchors. Each Arrow batch fills a sketch of
-its own, of which only counters that are not 0 travel; the sketches are added counter by counter, a range of counters at
-a time, so no machine holds one whole. ``bits`` follows from the bytes of all texts. A counter may count several anchors,
-so it overestimates, and what it says of a window is never too low: none is lost.
-
-Second pass: spans whose anchor is estimated to occur twice in every row of the sketch go on, no others. They meet the
-ranges of counters in a shuffle, first those of one row, and what is left those of the next. The spans that go on are
-grouped exactly, first whole (a span that occurs twice repeats in all its windows, found by 96 bits), then window by
+First pass: a count-min sketch of ``DEPTH`` rows of 2 ** bits counters counts anchors. An anchor's counters lie in one
+range of the rows, at a place of its own in each row. Each Arrow batch fills a sketch of its own, of which only counters
+that are not 0 travel; the sketches are added counter by counter, a range at a time, so no machine holds one whole.
+``bits`` follows from the bytes of all texts. A counter may count several anchors, so it overestimates, and what it says
+of a window is never too low: none is lost.
+
+Second pass: spans whose anchor is estimated to occur twice in every row of the sketch go on, no others; they meet their
+range of counters in a shuffle. The spans that go on are grouped exactly, first whole (a span that occurs twice repeats in all its windows, found by 96 bits), then window by
 window for the rest, the ends of passages, against one copy of every repeated span (96 bits). Spans that a batch holds
 twice itself need no estimate and are dealt out evenly, so a passage shared by a third of all documents sends one row
 for each batch.
@@ -33,7 +33,7 @@ from spark_triage.llm.common import map_batches, staged
 WIDTH = 35
 ANCHOR = 12
 DEPTH = 2
-RANGE_BITS = 16  # counters of a range
+RANGE_BITS = 13  # counters of a range, in each row
 BYTES_PER_COUNTER = 16  # of text; a span takes about 80
 _U = np.uint64
 
@@ -128,61 +128,55 @@ def sketch_bits(text_bytes: int) -> int:
     return min(48, max(RANGE_BITS, (text_bytes // BYTES_PER_COUNTER).bit_length()))
 
 
-def counters(anchor: np.ndarray, row: int, bits: int) -> np.ndarray:
-    """The counter of each anchor in a row of the sketch: its highest bits, or its lowest."""
-    return (anchor >> _U(64 - bits) if row == 0 else anchor & ((_U(1) << _U(bits)) - _U(1))).astype(np.int64)
+def ranges(anchor: np.ndarray, bits: int) -> np.ndarray:
+    """The range of each anchor's counters: its highest bits."""
+    return (anchor >> _U(64 - bits + RANGE_BITS)).astype(np.int64) if bits > RANGE_BITS else np.zeros(len(anchor), np.int64)
 
 
-def _range_of(row: int, bits: int):
-    """The same as a column over ``anchor``, as the number of the counter's range."""
-    anchor = F.col("anchor")
-    if row == 0:
-        return F.shiftrightunsigned(anchor, 64 - bits + RANGE_BITS) if bits > RANGE_BITS else F.lit(0).cast("long")
-    return F.shiftrightunsigned(anchor.bitwiseAND(F.lit((1 << bits) - 1)), RANGE_BITS)
+def places(anchor: np.ndarray, row: int, bits: int) -> np.ndarray:
+    """The place of each anchor's counter in the range: for row 0 the bits below the range's, for row 1 the lowest."""
+    return ((anchor >> _U(64 - bits) if row == 0 else anchor) & _U((1 << RANGE_BITS) - 1)).astype(np.int64)
 
 
 def partial_sketch(anchor: np.ndarray, bits: int):
-    """(row, range, counts: binary) of the anchors of a batch: for each counter that is not 0 its place in the range,
-    and 1 or, for more, 2 (32 bits: place * 4 + count)."""
-    rows, ranges, values, sizes = [], [], [], []
-    for row in range(DEPTH):
-        place, n = np.unique(counters(anchor, row, bits), return_counts=True)
-        where = place >> RANGE_BITS
-        first = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else np.zeros(0, np.int64)
-        rows.append(np.full(len(first), row, np.int32))
-        ranges.append(where[first])
-        sizes.append(np.diff(np.append(first, len(where))))
-        values.append(((place & ((1 << RANGE_BITS) - 1)) << 2 | np.minimum(n, 2)).astype("<u4"))
-    size, value = np.concatenate(sizes), np.concatenate(values)
+    """(range, counts: binary) of the anchors of a batch: for each counter that is not 0 its row and place, and 1 or, for
+    more, 2 (32 bits: row, place, two bits of count)."""
+    rng = ranges(anchor, bits)
+    every = np.concatenate([(rng * DEPTH + row) << RANGE_BITS | places(anchor, row, bits) for row in range(DEPTH)])
+    counter, n = np.unique(every, return_counts=True)
+    where = counter >> RANGE_BITS
+    where //= DEPTH
+    first = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(where)))
+    value = ((counter - (where * DEPTH << RANGE_BITS)) << 2 | np.minimum(n, 2)).astype("<u4")
     ends = np.concatenate([[0], np.cumsum(4 * size)]).astype(np.int64)
     body = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(value)])
-    return np.concatenate(rows), np.concatenate(ranges), body.cast(pa.binary())
+    return where[first], body.cast(pa.binary())
 
 
 def add_sketches(batches):
-    """One row per (row, range) with ``flags``, a bit for each counter that has reached 2, of rows sorted by (row, range);
-    a range without such a counter gives none."""
+    """One row per range with ``flags``, a bit for each counter of its rows that has reached 2, of rows sorted by range; a
+    range without such a counter gives none."""
     key, total, out = None, None, []
 
     def flagged():
         if key is not None and (total >= 2).any():
-            out.append((*key, np.packbits(total >= 2).tobytes()))
+            out.append((key, np.packbits(total >= 2).tobytes()))
 
     def taken():
-        rows = list(zip(*out)) or [(), (), ()]
+        rows = list(zip(*out)) or [(), ()]
         out.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], ["row", "rng", "flags"])
+        return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary())], ["rng", "flags"])
 
     for batch in batches:
-        for row, rng, counts in zip(*(batch.column(c).to_pylist() for c in ("row", "rng", "counts"))):
-            if (row, rng) != key:
+        for rng, counts in zip(*(batch.column(c).to_pylist() for c in ("rng", "counts"))):
+            if rng != key:
                 flagged()
-                key, total = (row, rng), np.zeros(1 << RANGE_BITS, np.uint8)
+                key, total = rng, np.zeros(DEPTH << RANGE_BITS, np.uint8)
             value = np.frombuffer(counts, "<u4")
             place = value >> 2
             total[place] = np.minimum(total[place] + (value & 3).astype(np.uint8), 2)
-        if len(out) >= 256:
+        if len(out) >= 2048:
             yield taken()
     flagged()
     if out:
@@ -190,18 +184,17 @@ def add_sketches(batches):
 
 
 def merged_sketch(texts: DataFrame, width: int, gram: int, bits: int) -> DataFrame:
-    """(row, rng, flags) of all texts, written."""
+    """(rng, flags) of all texts, written."""
 
     def part(batch):
         found = [anchored_spans(p, width, gram)[0] for p in wh.pieces(batch.column("text"))]
         if not any(map(len, found)):
             return None
-        rows, ranges, counts = partial_sketch(np.concatenate(found), bits)
-        return {"row": rows, "rng": ranges, "counts": counts}
+        rng, counts = partial_sketch(np.concatenate(found), bits)
+        return {"rng": rng, "counts": counts}
 
-    parts = map_batches(texts.select("text"), part, "row int, rng bigint, counts binary")
-    merged = parts.repartition("row", "rng").sortWithinPartitions("row", "rng").mapInArrow(
-        add_sketches, "row int, rng bigint, flags binary")
+    parts = map_batches(texts.select("text"), part, "rng bigint, counts binary")
+    merged = parts.repartition("rng").sortWithinPartitions("rng").mapInArrow(add_sketches, "rng bigint, flags binary")
     return staged(merged, "substring-sketch")
 
 
@@ -218,42 +211,43 @@ def _column(batch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False)
 
 
-_ROWS = "anchor bigint, span bigint, two int, did bigint, h int, pos bigint"
-_NAMES = ["anchor", "span", "two", "did", "h", "pos"]
+_ROWS = "anchor bigint, span bigint, two bigint, did bigint, pos bigint"  # two: 32 bits of a second hash, and h
+_NAMES = ["anchor", "span", "two", "did", "pos"]
 
 
-def _passing(rows: DataFrame, flags: DataFrame, row: int, bits: int) -> DataFrame:
-    """The rows whose counter in a row of the sketch has reached 2, and those that need no estimate."""
-    own = flags.filter(F.col("row") == row).select(F.col("rng"), "flags")
-    asked = rows.withColumn("rng", F.when(F.shiftright("pos", 6).bitwiseAND(F.lit(3)) == FOUND, F.col("anchor"))
-                            .otherwise(_range_of(row, bits)))
-    both = asked.unionByName(own, allowMissingColumns=True)
+def _passing(rows: DataFrame, flags: DataFrame, bits: int) -> DataFrame:
+    """The rows whose counters have reached 2 in every row of the sketch, and those that need no estimate."""
+    low = 64 - bits + RANGE_BITS
+    # the flags of a range stand under an anchor of the range
+    own = flags.select((F.shiftleft("rng", low) if low < 64 else F.lit(0).cast("long")).alias("anchor"), "flags")
+    both = rows.unionByName(own, allowMissingColumns=True)
+    rng = F.when(F.shiftright("pos", 6).bitwiseAND(F.lit(3)) == FOUND, F.col("anchor")).otherwise(
+        F.shiftrightunsigned("anchor", low) if low < 64 else F.lit(0).cast("long"))
 
     def run(batches):
-        rng, bit = None, None
+        now, bit = None, None
         for batch in batches:
             mark = np.asarray(batch.column("flags").is_valid())
-            key = batch.column("rng").to_numpy()
             pos = batch.column("pos").fill_null(0).to_numpy()
             keep = ~mark & ((pos >> 6) & 3 == FOUND)
             asks = np.flatnonzero(~keep)  # and marks, each before the rows of its range
-            anchor = batch.column("anchor").fill_null(0).to_numpy().view(np.uint64)
-            place = counters(anchor, row, bits) & ((1 << RANGE_BITS) - 1)
-            new = np.flatnonzero(np.append(True, key[asks][1:] != key[asks][:-1])) if len(asks) else []
-            for a, b in zip(new, np.append(new[1:], len(asks)) if len(asks) else []):
-                some = asks[a:b]
-                if key[some[0]] != rng:
-                    rng, bit = key[some[0]], None
-                if mark[some[0]]:
-                    bit = np.unpackbits(np.frombuffer(batch.column("flags")[int(some[0])].as_py(), np.uint8)).astype(bool)
-                    some = some[1:]
+            anchor = batch.column("anchor").to_numpy().view(np.uint64)[asks]
+            key = ranges(anchor, bits)
+            place = np.stack([(row << RANGE_BITS) + places(anchor, row, bits) for row in range(DEPTH)])
+            new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+            for a, b in zip(new.tolist(), np.append(new[1:], len(key)).tolist()):
+                if key[a] != now:
+                    now, bit = key[a], None
+                if mark[asks[a]]:
+                    raw = batch.column("flags")[int(asks[a])].as_py()
+                    bit = np.unpackbits(np.frombuffer(raw, np.uint8)).astype(bool)
+                    a += 1
                 if bit is not None:
-                    keep[some] = bit[place[some]]
+                    keep[asks[a:b]] = bit[place[:, a:b]].all(0)
             if keep.any():
                 yield batch.select(_NAMES).filter(pa.array(keep))
 
-    order = [F.col("rng"), F.col("flags").isNull()]
-    return both.select(*_NAMES, "rng", "flags").repartition("rng").sortWithinPartitions(*order).mapInArrow(run, _ROWS)
+    return both.repartition(rng).sortWithinPartitions(rng, F.col("flags").isNull()).mapInArrow(run, _ROWS)
 
 
 def repeated_spans(texts: DataFrame, width: int, gram: int) -> DataFrame:
@@ -280,16 +274,16 @@ def repeated_spans(texts: DataFrame, width: int, gram: int) -> DataFrame:
         cell, span, two, did, h, at, n = (x[order] for x in (cell, span, two, did, h, at, n))
         alone = size == 1
         return {
-            "anchor": np.where(alone, cell.view(np.int64), spread_out(span, at, did)), "span": span.view(np.int64), "two": two,
-            "did": did, "h": h, "pos": _pack(at, np.where(alone, OPEN, FOUND), n),
+            "anchor": np.where(alone, cell.view(np.int64), spread_out(span, at, did)), "span": span.view(np.int64),
+            "two": two.astype(np.int64) << 32 | h.astype(np.int64) & 0xFFFFFFFF, "did": did, "pos": _pack(at, np.where(alone, OPEN, FOUND), n),
         }
 
     rows = map_batches(texts.select("did", "h", "text"), asked, _ROWS)
-    for row in range(DEPTH):
-        rows = _passing(rows, flags, row, bits)
+    rows = _passing(rows, flags, bits)
 
     def gathered(batch):
-        span, two, did, h, pos = (_column(batch, c) for c in ("span", "two", "did", "h", "pos"))
+        span, both, did, pos = (_column(batch, c) for c in ("span", "two", "did", "pos"))
+        two, h = (both >> 32).astype(np.int32), both.astype(np.int32)
         order, new, size = _runs(span, two)
         span, two, did, h, pos = (x[order] for x in (span, two, did, h, pos))
         at, n = pos >> 8, pos & 63
