@@ -219,6 +219,39 @@ def corpus_with_intents(spark, d):
     ).withColumn("n_labels", out["labels"].agg(F.count("*").alias("n")).scalar())
 
 
+@query(assess._ROUND + f""", drawn AS (SELECT doc_id, text FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 20)
+ SELECT count(*) AS n_rows, count_if(outcome = 'ok')::BIGINT AS n_ok, count_if(attempts = 2 OR outcome = 'retry')::BIGINT AS n_retried,
+   count_if(outcome = 'dead')::BIGINT AS n_failed, count_if({b.sql_any('text', b.OVERRIDE_SQL)})::BIGINT AS n_overridden
+ FROM drawn LEFT JOIN rounds ON id = doc_id""")
+def pilot_run(spark, d):
+    """Twenty messages classified before the whole run, and what became of them."""
+    working = texts(spark, d, "documents").select(F.col("doc_id").alias(triage.ID), F.col("text").alias(triage.TEXT))
+    return learn.pilot_run(working, b.responses(spark, d), patterns=b.OVERRIDE_PATTERNS)["counts"]
+
+
+@query(assess._METHODS + ", " + assess._six("method", "m") + " SELECT * FROM six WHERE method <> 'Simple baseline'")
+def baselines_with_model(spark, d):
+    """The comparison of methods with a fitted, stored and reloaded classifier as the simple one; its own row has no SQL."""
+    golden = b.golden(spark, d)
+    told = golden.select(F.col("tweet_text").alias(triage.TEXT), "true_intent")
+    model = learn.train_and_reload(told.withColumnRenamed("true_intent", "predicted_intent"), folder(spark, "simple"), stop_words=search.STOP_WORDS)
+    out = learn.compare_with_model(golden, golden.select("predicted_intent"), model, high_risk=b.HIGH_RISK)
+    return out["metrics"].filter("method <> 'Simple baseline'")
+
+
+@query(_LABELLED + ", " + b.CLEAN_SQL.split("WITH ")[-1] + """ SELECT brand_reply_id, vec_id IS NOT NULL AS has_vector, true AS has_known_intent FROM clean_pairs
+  LEFT JOIN embeddings ON vec_id = brand_reply_id >> 32 WHERE NOT has_link AND length(brand_reply_clean) >= 40""")
+def retrieval_corpus(spark, d):
+    """The retrieval corpus: substantive pairs with their vectors and the intents of the chain's model."""
+    working = texts(spark, d, "documents").select(F.col("doc_id").alias(triage.ID), F.col("text").alias(triage.TEXT))
+    labels = staged(learn.label_sample(working, b.responses(spark, d), patterns=b.OVERRIDE_PATTERNS), "pseudo-labels")
+    model = learn.train_and_reload(labels, folder(spark, "intents"), True, search.STOP_WORDS)
+    pairs = b.clean_pairs(spark, d).withColumn("vec_id", F.shiftright("brand_reply_id", 32))
+    known = F.broadcast(labels.select("predicted_intent").distinct().withColumn("known", F.lit(True)))  # the taxonomy
+    return learn.build_retrieval(pairs, b.vectors(spark, d), model, "vec_id").join(known, "predicted_intent", "left").select(
+        "brand_reply_id", F.col("embedding").isNotNull().alias("has_vector"), F.col("known").isNotNull().alias("has_known_intent"))
+
+
 # ---- trials --------------------------------------------------------------------------------------------------
 
 _PICKED = ", " + ingest._strata("checked", "intent", "doc_id", "15", 13)

@@ -25,6 +25,40 @@ def label_sample(
     return tr.pseudo_labels(sm.seeded_sample(working, tr.ID, seed, n), responses, intents, patterns)
 
 
+def pilot_run(
+    working: DataFrame, responses: DataFrame, n: int = fv.PILOT_ROWS, seed: int = fv.PILOT_SEED,
+    intents: Sequence[str] = fv.INTENTS, patterns: Sequence[str] = fv.FRAUD_PATTERNS,
+) -> dict[str, DataFrame]:
+    """A few messages before the whole run: ``rows`` with label, override and outcome (``missing`` without an answer), and
+    ``counts`` of what became of them."""
+    from spark_triage.functions import text as tx
+    from spark_triage.operators import inference as inf
+
+    drawn = staged(sm.seeded_sample(working, tr.ID, seed, n), "pilot")
+    rounds = inf.classification_round(responses, intents).withColumnRenamed("id", tr.ID)
+    rows = drawn.join(rounds, tr.ID, "left").select(
+        tr.ID, tr.TEXT, F.col("intent").alias("predicted_intent"), "confidence", F.coalesce("outcome", F.lit("missing")).alias("outcome"),
+        F.coalesce("attempts", F.lit(0)).alias("attempts"), tx.fraud_override(F.col(tr.TEXT), patterns).alias("fraud_override"))
+    counts = rows.agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("outcome") == "ok").alias("n_ok"),
+        F.count_if((F.col("attempts") == 2) | (F.col("outcome") == "retry")).alias("n_retried"),
+        F.count_if(F.col("outcome") == "dead").alias("n_failed"), F.count_if("fraud_override").alias("n_overridden"))
+    return {"rows": rows, "counts": counts}
+
+
+def compare_with_model(
+    golden: DataFrame, pseudo: DataFrame, model: PipelineModel, text_col: str = "tweet_text",
+    high_risk: Sequence[str] = fv.HIGH_RISK_INTENTS,
+) -> dict[str, DataFrame]:
+    """The comparison of methods with the fitted classifier as the simple one: it labels the golden texts, and the
+    majority label comes from the pseudo-labels that it was fitted to."""
+    from spark_triage.plans import assess
+
+    told = golden.drop("simple_intent").withColumnRenamed("predicted_intent", "_system").withColumn(tr.TEXT, F.col(text_col))
+    labelled = md.classify(told, model, "simple_intent").drop(tr.TEXT).withColumnRenamed("_system", "predicted_intent")
+    return assess.baselines(labelled, pseudo, "simple_intent", high_risk)
+
+
 def train_and_reload(
     labels: DataFrame, path: str, balanced: bool = False, stop_words: Sequence[str] | None = None
 ) -> PipelineModel:

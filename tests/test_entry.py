@@ -54,6 +54,18 @@ def test_query_equals_sql_on_the_driver_tables(spark, larger, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(want.columns, want.fetchall())
 
 
+@pytest.mark.parametrize("name", ["agreement_lines", "judge_agreement"])
+def test_query_equals_sql_at_any_number_of_threads(spark, name):
+    """Sums of the engine's threads come in any order; what is printed must not depend on it."""
+    df = entry.queries()[name](spark, LARGER)
+    got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    for threads in (1, 2, 3, 4, 8):
+        con = connected(LARGER)
+        con.execute(f"SET threads = {threads}")
+        want = con.sql(entry.oracle_sql()[name])
+        assert rows_of(want.columns, want.fetchall()) == got
+
+
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_query_without_sql_gives_rows(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
