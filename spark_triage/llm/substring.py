@@ -75,7 +75,7 @@ def anchored_spans(p: wh.Piece, width: int, gram: int):
     start = at[first]
     whole = wh.spans(p.hashes, start, start + count + width - 1)
     text = doc[start]
-    cell = grams[anchor[first]]
+    cell = wh.mix(grams[anchor[first]] ^ _U(0x5851F42D4C957F2D))  # lowest hashes are small; counters need all bits alike
     return cell, wh.mix(whole ^ (cell * _U(3))), text, start - p.words[text], count
 
 
