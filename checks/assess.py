@@ -238,7 +238,7 @@ _TRIAGE = _ROUND + ", " + b.VECTORS_SQL + f""", routed AS (
  drafted AS (SELECT r.*, trim(r.text) AS reply, {_TOP1_REPLY} AS top_reply, t.similarity FROM routed r LEFT JOIN top1 t ON t.query_id = r.doc_id
    LEFT JOIN documents c ON c.doc_id = t.corpus_id),
  named AS (SELECT *, {b.sql_overlap('reply', 'top_reply')} AS share, {b.sql_names('reply', greetings=fv.GREETINGS)} AS names FROM drafted),
- checked AS (SELECT doc_id, intent, confidence, fraud, CASE WHEN fraud THEN 0.0 ELSE similarity END::DOUBLE AS sim,
+ checked AS (SELECT doc_id, intent, confidence, fraud, CASE WHEN fraud THEN 0.0 ELSE coalesce(similarity, 0) END::DOUBLE AS sim,
    CASE WHEN fraud THEN {quote(fv.HOLDING_MESSAGE)} ELSE reply END AS drafted_reply, CASE WHEN fraud THEN [] ELSE list_concat(
      list_transform(names, lambda x: '"name used in draft: ''' || x || ''' (names are banned by policy)"'),
      CASE WHEN share >= 0.85 THEN ['''near-verbatim: ' || round_even(share * 100, 0)::INT || '% token overlap with top-1 retrieved reply'''] ELSE [] END) END AS msgs

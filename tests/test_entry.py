@@ -46,7 +46,8 @@ def test_query_equals_sql(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", [
-    "judge_agreement", "detect_language", "cleaning_funnel", "select_stress_set", "triage_dead_letters", "score_profile"])
+    "judge_agreement", "detect_language", "cleaning_funnel", "select_stress_set", "triage_dead_letters", "score_profile",
+    "triage_decisions", "stress_set_decisions"])
 def test_query_equals_sql_on_the_driver_tables(spark, larger, name):
     """Queries whose numbers depend on size, on the tables that the driver compares."""
     df = entry.queries()[name](spark, LARGER)
