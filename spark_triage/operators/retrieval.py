@@ -14,50 +14,72 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
 from spark_triage.session import staged
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-BLOCK_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
+BLOCK_BYTES = 16 * 1024 * 1024  # four tasks of an executor hold two blocks each, and their slices
 BLOCK_ROWS = 4096
 FIRST_ROWS = 65_536  # about as many corpus rows give the first floors
 GROWTH = 16  # each round sees so many times the rows of the last
 DECIMALS = 9  # similarities are ranked at this precision, so block shapes cannot change an order
 
 
-def _matrix(vectors) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-
-
 def _block_top_k(q_ids, q, c_ids, c, k: int, floors=None) -> pd.DataFrame:
     """The k best corpus rows of each query in one pair of blocks, ties by corpus id, without rows below the query's
-    floor. Both sides are taken in slices, so the similarity matrix stays small whatever the block sizes are."""
+    floor. Both sides are taken in slices, so the similarity matrix stays at a few megabytes whatever the block sizes
+    are, and a query's k-th best so far is the floor of its next slices."""
+    order = np.argsort(c_ids, kind="stable")  # of equals, an earlier slice has the lower ids
     done = []
-    for rows in _slices(len(q_ids)):
-        best = None
+    for rows in _slices(len(q_ids), max(1, BLOCK_ROWS // 16)):
+        found = None
+        floor = np.full(rows.stop - rows.start, -np.inf) if floors is None else floors[rows]
         for cols in _slices(len(c_ids)):
-            ids = c_ids[cols]
-            sims = np.round(q[rows] @ c[cols].T, DECIMALS) + 0.0
-            floor = np.full(len(sims), -np.inf) if floors is None else floors[rows]
-            if sims.shape[1] > k:
-                floor = np.maximum(floor, np.partition(sims, sims.shape[1] - k, axis=1)[:, -k])
-            row, col = np.nonzero(sims >= floor[:, None])
-            new = pd.DataFrame({"query_id": q_ids[rows][row], "corpus_id": ids[col], "similarity": sims[row, col]})
-            best = _best(new if best is None else pd.concat([best, new]), k)
-        done.append(best)
-    return pd.concat(done)
+            sims = q[rows] @ c[order[cols]].T
+            if found is None and sims.shape[1] > k:
+                floor = np.maximum(floor, np.round(np.partition(sims, sims.shape[1] - k, axis=1)[:, -k], DECIMALS))
+            row, col = np.nonzero(sims >= floor[:, None] - 10.0**-DECIMALS)
+            sim = np.round(sims[row, col], DECIMALS) + 0.0
+            keep = sim >= floor[row]
+            new = row[keep], order[cols][col[keep]], sim[keep]
+            if found is None or len(new[0]):
+                found = _best(*(new if found is None else map(np.concatenate, zip(found, new))), c_ids, k)
+                floor = np.maximum(floor, _kth(found[0], found[2], len(floor), k))
+        if found is not None:
+            done.append((found[0] + rows.start, *found[1:]))
+    row, col, sim = map(np.concatenate, zip(*done)) if done else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    return pd.DataFrame({"query_id": q_ids[row], "corpus_id": c_ids[col], "similarity": sim, "row": row})
+
+
+def _best(row, col, sim, ids, k: int):
+    """Of rows (row, col, similarity) the k best of each query row, ties by corpus id, by query row."""
+    at = np.lexsort((ids[col], -sim, row))
+    row = row[at]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], col[at][place < k], sim[at][place < k]
+
 
+def _kth(row, sim, n: int, k: int) -> np.ndarray:
+    """The k-th similarity of each of ``n`` query rows in what ``_best`` gives; of one with fewer, minus infinity."""
+    out = np.full(n, -np.inf)
+    last = np.arange(len(row)) - np.searchsorted(row, row) == k - 1
+    out[row[last]] = sim[last]
+    return out
 
-def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    found = found.sort_values(["query_id", "similarity", "corpus_id"], ascending=[True, False, True])
-    return found[found.groupby("query_id").cumcount() < k]
 
+def _slices(n: int, step: int | None = None) -> Iterator[slice]:
+    step = step or BLOCK_ROWS
+    return (slice(at, min(n, at + step)) for at in range(0, n, step))
 
-def _slices(n: int) -> Iterator[slice]:
-    return (slice(at, at + BLOCK_ROWS) for at in range(0, n, BLOCK_ROWS))
+
+def _side(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, matrix) of a block."""
+    flat = table["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return table["id"].to_numpy(), flat.reshape(table.num_rows, -1)
 
 
 def _collect_checked(df: DataFrame, *more: str):
@@ -69,6 +91,11 @@ def _collect_checked(df: DataFrame, *more: str):
 
 
 _SCHEMA = "query_id bigint, corpus_id bigint, similarity double"
+_ARROW = pa.schema([("query_id", pa.int64()), ("corpus_id", pa.int64()), ("similarity", pa.float64())])
+
+
+def _given(found: pd.DataFrame) -> pa.Table:
+    return pa.Table.from_pandas(found[_ARROW.names], schema=_ARROW, preserve_index=False)
 
 
 def _corpus_sent(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
@@ -76,11 +103,11 @@ def _corpus_sent(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
 
     def per_query(batches):
         ids, mat = small.value
-        for pdf in batches:
-            if len(pdf) and len(ids):
-                yield _block_top_k(pdf["id"].to_numpy(), _matrix(pdf["vec"]), ids, mat, k)
+        for batch in batches:
+            if batch.num_rows and len(ids):
+                yield from _given(_block_top_k(*_side(pa.Table.from_batches([batch])), ids, mat, k)).to_batches()
 
-    return q.mapInPandas(per_query, _SCHEMA)
+    return q.select("id", "vec").mapInArrow(per_query, _SCHEMA)
 
 
 def _queries_sent(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
@@ -88,16 +115,22 @@ def _queries_sent(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
 
     def per_corpus(batches):
         ids, mat, floors = small.value
-        best = None
-        for pdf in batches:
-            if not len(pdf) or not len(ids):
+        best, reached = None, floors
+        for batch in batches:
+            if not batch.num_rows or not len(ids):
                 continue
-            new = _block_top_k(ids, mat, pdf["id"].to_numpy(), _matrix(pdf["vec"]), k, floors)
-            best = new if best is None else _best(pd.concat([best, new]), k)
+            c_ids, c = _side(pa.Table.from_batches([batch]))
+            new = _block_top_k(ids, mat, c_ids, c, k, reached)
+            new = new["row"].to_numpy(), new["corpus_id"].to_numpy(), new["similarity"].to_numpy()
+            row, corpus_id, sim = new if best is None else map(np.concatenate, zip(best, new))
+            row, at, sim = _best(row, np.arange(len(row)), sim, corpus_id, k)
+            best = row, corpus_id[at], sim
+            reached = np.maximum(floors, _kth(row, sim, len(ids), k))  # of equals, the lower id may come later
         if best is not None:
-            yield best
+            row, corpus_id, sim = best
+            yield from _given(pd.DataFrame({"query_id": ids[row], "corpus_id": corpus_id, "similarity": sim})).to_batches()
 
-    return c.select("id", "vec").mapInPandas(per_corpus, _SCHEMA)
+    return c.select("id", "vec").mapInArrow(per_corpus, _SCHEMA)
 
 
 def _blocks(q: DataFrame, c: DataFrame, k: int, n_qb: int, n_cb: int) -> DataFrame:
@@ -106,13 +139,12 @@ def _blocks(q: DataFrame, c: DataFrame, k: int, n_qb: int, n_cb: int) -> DataFra
     qb = q.select("id", "vec", "floor").withColumn("qb", place(n_qb)).withColumn("cb", spread(n_cb))
     cb = c.select("id", "vec").withColumn("cb", place(n_cb)).withColumn("qb", spread(n_qb))
 
-    def per_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "corpus_id": [], "similarity": []})
-        return _block_top_k(left["id"].to_numpy(), _matrix(left["vec"]), right["id"].to_numpy(), _matrix(right["vec"]),
-                            k, left["floor"].to_numpy())
+    def per_cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _ARROW.empty_table()
+        return _given(_block_top_k(*_side(left), *_side(right), k, left["floor"].to_numpy()))
 
-    return qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb")).applyInPandas(per_cell, _SCHEMA)
+    return qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb")).applyInArrow(per_cell, _SCHEMA)
 
 
 def candidates(

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -59,6 +61,16 @@ def test_ties_inside_a_large_block(data, monkeypatch):
     assert best[best.query_id == 3].corpus_id.tolist() == [50, 51, 52]
 
 
+def test_a_pair_of_blocks_needs_little_memory():
+    q, c = unit(2048, 64, 5), unit(8192, 64, 6)
+    tracemalloc.start()
+    best = rt._block_top_k(np.arange(len(q)), q, np.arange(len(c)), c, 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20 and len(best) == 20 * len(q)
+    assert best[best["query_id"] == 7].corpus_id.tolist() == np.argsort(-(c @ q[7]))[:20].tolist()
+
+
 def test_max_similarity_and_empty_corpus(data):
     q, c, qf, cf = data
     got = {r.query_id: r.max_similarity for r in rt.max_similarity(qf, cf, "id", "id").collect()}
