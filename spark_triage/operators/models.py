@@ -8,7 +8,6 @@ from collections.abc import Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -28,6 +27,10 @@ from spark_triage.operators.features import TERM, english_stop_words
 
 
 _PARALLEL_FITS = 4
+_CELLS = 1 << 21  # distances that a task holds at once
+_DISTANCE_SUMS = "id bigint, place int, own int, cluster int, total double, n bigint"
+_SUMS_SCHEMA = pa.schema([("id", pa.int64()), ("place", pa.int32()), ("own", pa.int32()), ("cluster", pa.int32()),
+                          ("total", pa.float64()), ("n", pa.int64())])
 
 
 def best_kmeans(
@@ -57,6 +60,45 @@ def assign_clusters(df: DataFrame, model: KMeansModel, vector: str = "embedding"
     return model.setFeaturesCol("features").setPredictionCol(out).transform(with_features).drop("features")
 
 
+def _rows_of(column: pa.ChunkedArray) -> np.ndarray:
+    """A column of lists of one length as a matrix; NULL elements are NaN."""
+    if column.null_count:
+        raise ValueError("a row without a vector or labels has no silhouette")
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _distance_sums(x: pa.Table, y: pa.Table) -> pa.Table:
+    """Of a pair of blocks, for each row of ``x`` the sum of its distances to each cluster of ``y``."""
+    if not x.num_rows or not y.num_rows:
+        return _SUMS_SCHEMA.empty_table()
+    p, q, mine, theirs = (_rows_of(t[c]) for t, c in ((x, "vec"), (y, "other_vec"), (x, "labels"), (y, "other_labels")))
+    p, q = p.astype(np.float64), q.astype(np.float64)
+    places, names, members = [], [], []
+    for i in range(theirs.shape[1]):
+        found, at = np.unique(theirs[:, i], return_inverse=True)
+        places.append(np.full(len(found), i))
+        names.append(found)
+        members.append(np.eye(len(found))[at])
+    place, name, member = np.concatenate(places), np.concatenate(names), np.concatenate(members, 1)
+    ids, others = x["id"].to_numpy(), y["other_id"].to_numpy()
+    total, n, m = np.empty((len(p), len(name))), member.sum(0), len(name)
+    length = (q * q).sum(1)[None, :]
+    step = max(1, _CELLS // len(q))
+    for at in range(0, len(p), step):  # a slice of the distance matrix at a time
+        s = slice(at, at + step)
+        dist = p[s] @ q.T
+        dist *= -2
+        dist += (p[s] * p[s]).sum(1)[:, None]
+        dist += length
+        np.sqrt(np.maximum(dist, 0, out=dist), out=dist)
+        dist[ids[s][:, None] == others[None, :]] = 0.0
+        total[s] = dist @ member
+    columns = (np.repeat(ids, m), np.tile(place, len(p)), mine[:, place].ravel(), np.tile(name, len(p)), total.ravel(),
+               np.tile(n, len(p)))
+    return pa.Table.from_arrays(
+        [pa.array(c, f.type, from_pandas=True) for c, f in zip(columns, _SUMS_SCHEMA)], schema=_SUMS_SCHEMA)
+
+
 def silhouettes(
     df: DataFrame, id_col: str, labels: str, vector: str = "embedding", block_rows: int = 16_384
 ) -> DataFrame:
@@ -77,37 +119,9 @@ def silhouettes(
         F.col("block").alias("y"), every.alias("x"),
     )
 
-    def per_cell(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):
-            return pd.DataFrame({"id": [], "place": [], "own": [], "cluster": [], "total": [], "n": []})
-        p = np.stack([np.asarray(v, dtype=np.float64) for v in x["vec"]])
-        q = np.stack([np.asarray(v, dtype=np.float64) for v in y["other_vec"]])
-        mine, theirs = np.stack(x["labels"].to_list()), np.stack(y["other_labels"].to_list())
-        places, names, members = [], [], []
-        for i in range(theirs.shape[1]):
-            found, at = np.unique(theirs[:, i], return_inverse=True)
-            places.append(np.full(len(found), i))
-            names.append(found)
-            members.append(np.eye(len(found))[at])
-        place, name, member = np.concatenate(places), np.concatenate(names), np.concatenate(members, 1)
-        ids, others = x["id"].to_numpy(), y["other_id"].to_numpy()
-        total, n, m = np.empty((len(x), len(name))), member.sum(0), len(name)
-        for at in range(0, len(x), 1024):  # a slice of the distance matrix at a time
-            s = slice(at, at + 1024)
-            square = (p[s] * p[s]).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2 * (p[s] @ q.T)
-            dist = np.sqrt(np.maximum(square, 0))
-            dist[ids[s][:, None] == others[None, :]] = 0.0
-            total[s] = dist @ member
-        return pd.DataFrame(
-            {
-                "id": np.repeat(ids, m), "place": np.tile(place, len(x)), "own": mine[:, place].ravel(),
-                "cluster": np.tile(name, len(x)), "total": total.ravel(), "n": np.tile(n, len(x)).astype("int64"),
-            }
-        )
-
     sums = (
         left.groupBy("a", "b").cogroup(right.groupBy("x", "y"))
-        .applyInPandas(per_cell, "id bigint, place int, own int, cluster int, total double, n bigint")
+        .applyInArrow(_distance_sums, _DISTANCE_SUMS)
         .groupBy("id", "place", "own", "cluster").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )
     inside = F.col("cluster") == F.col("own")

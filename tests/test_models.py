@@ -1,7 +1,9 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -113,6 +115,19 @@ def test_silhouette(spark, block):
     assert [got[i] for i in range(len(x))] == pytest.approx(brute_silhouette(x, labels), abs=1e-9)
 
 
+def test_a_pair_of_blocks_needs_little_memory():
+    x = np.random.default_rng(4).normal(size=(8192, 16))
+    labels = np.arange(len(x)) % 3
+    side = lambda i, c, v: pa.table({i: np.arange(len(x)), c: list(labels[:, None]), v: list(x)})
+    left, right = side("id", "labels", "vec"), side("other_id", "other_labels", "other_vec")
+    tracemalloc.start()
+    got = md._distance_sums(left, right).to_pylist()[:3]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = np.linalg.norm(x - x[0], axis=1)
+    assert peak < 96 << 20 and [r["total"] for r in got] == pytest.approx([want[labels == c].sum() for c in range(3)])
+
+
 def blobs(spark):
     rng = np.random.default_rng(0)
     rows = []
