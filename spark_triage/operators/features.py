@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
@@ -26,18 +26,45 @@ def default_stop_words() -> list[str]:
     return [*english_stop_words(), "url"]
 
 
+def _found(text_col: str) -> Column:
+    return F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))
+
+
+def _exploded(df: DataFrame, group: str, found: Column, stop_words: Sequence[str]) -> DataFrame:
+    terms = df.select(group, F.explode(found).alias("term"))
+    # The join on terms needs this filter; stated here, both uses of the counts share one shuffle.
+    return terms.filter(F.col("term").isNotNull() & ~F.col("term").isin(*stop_words))
+
+
 def term_counts(
     df: DataFrame, group: str, text_col: str, stop_words: Sequence[str], marked: bool = False
 ) -> DataFrame:
     """(group, term, tf). Counted in the task that reads the text before anything moves. ``marked`` adds the empty term
     once for every row, so that groups without terms are counted in the same pass."""
-    found = F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))
+    found = _found(text_col)
     if marked:
         found = F.array_append(F.coalesce(found, F.array().cast("array<string>")), F.lit(""))
-    terms = df.select(group, F.explode(found).alias("term"))
-    # The join on terms needs this filter; stated here, both uses of the counts share one shuffle.
-    kept = terms.filter(F.col("term").isNotNull() & ~F.col("term").isin(*stop_words))
-    return kept.groupBy(group, "term").agg(F.count("*").alias("tf"))
+    return _exploded(df, group, found, stop_words).groupBy(group, "term").agg(F.count("*").alias("tf"))
+
+
+def occurrences(df: DataFrame, group: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
+    """(group, term), one row for every occurrence; nothing moves."""
+    return _exploded(df, group, _found(text_col), stop_words)
+
+
+def document_counts(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
+    """(term, df): the number of ids whose text holds the term.
+
+    A row whose id no other row has is a text of its own: its distinct terms are counted by term at once, so one row per
+    term leaves a task. Only rows that share an id, or have none, are first counted by id and term.
+    """
+    shared = staged(df.groupBy(id_col).agg(F.count("*").alias("_rows")).filter(
+        (F.col("_rows") > 1) & F.col(id_col).isNotNull()).select(id_col), "shared-ids")
+    own = df.filter(F.col(id_col).isNotNull()).join(shared, id_col, "left_anti")
+    rest = df.join(shared, id_col, "left_semi").unionByName(df.filter(F.col(id_col).isNull()))
+    single = _exploded(own, id_col, F.array_distinct(_found(text_col)), stop_words)
+    counts = [x.groupBy("term").agg(F.count("*").alias("df")) for x in (single, term_counts(rest, id_col, text_col, stop_words))]
+    return counts[0].unionByName(counts[1]).groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def tfidf(

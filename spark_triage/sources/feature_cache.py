@@ -15,11 +15,12 @@ from spark_triage.operators import features as ft
 from spark_triage.operators.retrieval import vectors_to_compute
 
 DIMENSIONS = 256
+SENT_BYTES = 64 << 20  # weights up to this size go to the tasks that read the texts
 
 
 def term_weights(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = ()) -> DataFrame:
     """(term, idf, idf_unseen): ln((1 + n) / (1 + df)) + 1 over the rows of ``df``; ``idf_unseen`` is for other terms."""
-    counts = ft.term_counts(df, id_col, text_col, stop_words).groupBy("term").agg(F.count("*").alias("df"))
+    counts = ft.document_counts(df, id_col, text_col, stop_words)
     n = df.agg(F.count_distinct(id_col).alias("n")).scalar()
     unseen = F.ln(F.lit(1.0) + F.col("n")) + 1
     return counts.withColumn("n", n).select(
@@ -28,22 +29,30 @@ def term_weights(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence
 
 def hashed_vectors(
     df: DataFrame, id_col: str, text_col: str, weights: DataFrame, dimensions: int = DIMENSIONS,
-    stop_words: Sequence[str] = (),
+    stop_words: Sequence[str] = (), sent_bytes: int = SENT_BYTES,
 ) -> DataFrame:
     """(id, embedding): terms hashed to ``dimensions`` slots with a sign, tf * idf added up, unit length.
 
     ``weights`` is ``term_weights`` of a reference table, written once, so a text has the same vector whatever rows are
     encoded with it. A text without terms has the zero vector; rows that share an id are one text. Nothing is collected:
-    terms meet their weights by a join, and a row's vector is put together from at most ``dimensions`` sums.
+    terms meet their weights by a join, and a row's vector is put together from at most ``dimensions`` sums. Where the
+    weights are few enough to be sent (their bytes are checked), every occurrence meets its weight in the task that reads
+    the text, and only these sums leave it; else terms are counted first and meet their weights by a shuffle.
     """
-    tf = ft.term_counts(df, id_col, text_col, stop_words)
     unseen = weights.agg(F.max("idf_unseen").alias("x")).scalar()
-    known = tf.join(weights.select("term", "idf"), "term", "left").withColumn("idf", F.coalesce("idf", unseen, F.lit(1.0)))
+    size = weights.agg(F.sum(F.octet_length("term") + 40).alias("x")).first()["x"] or 0
+    if size <= sent_bytes:
+        weights = F.broadcast(weights)
+        tf = ft.occurrences(df, id_col, text_col, stop_words).withColumn("tf", F.lit(1))
+    else:
+        tf = ft.term_counts(df, id_col, text_col, stop_words)
     digest = F.md5("term")
     number = lambda at, n: F.conv(F.substring(digest, at, n), 16, 10).cast("long")
-    sign = F.when(number(9, 1) % 2 == 0, 1.0).otherwise(-1.0)
-    slots = known.groupBy(id_col, (number(1, 8) % dimensions).cast("int").alias("slot")).agg(
-        F.sum(F.col("tf") * F.col("idf") * sign).alias("w"))
+    sign, slot = F.when(number(9, 1) % 2 == 0, 1.0).otherwise(-1.0), (number(1, 8) % dimensions).cast("int")
+    known = tf.join(weights.select("term", "idf", sign.alias("sign"), slot.alias("slot")), "term", "left").select(
+        id_col, "tf", F.coalesce("idf", unseen, F.lit(1.0)).alias("idf"), F.coalesce("sign", sign).alias("sign"),
+        F.coalesce("slot", slot).alias("slot"))
+    slots = known.groupBy(id_col, "slot").agg(F.sum(F.col("tf") * F.col("idf") * F.col("sign")).alias("w"))
     rows = slots.groupBy(id_col).agg(
         F.map_from_entries(F.collect_list(F.struct("slot", "w"))).alias("m"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     every = df.select(id_col).filter(F.col(id_col).isNotNull()).distinct().join(rows, id_col, "left")

@@ -1,8 +1,10 @@
 """Batches that are appended once, the feature cache, and typed re-reads."""
 
 import math
+import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,6 +85,19 @@ def test_hashed_vectors(spark):
         assert set(got) == set(want) and all(got[i] == pytest.approx(want[i]) for i in want)
 
 
+def test_weights_are_sent_or_met_by_a_shuffle(spark):
+    rows = [(1, "late parcel late"), (1, "parcel again"), (2, "money back"), (2, "money back"), (None, "late word"), (None, "word"), (3, None), (4, "x")]
+    df = spark.createDataFrame(rows, "id bigint, t string").repartition(3)
+    weights = staged(fc.term_weights(df, "id", "t"), "weights")
+    n = {"late": 2, "parcel": 1, "again": 1, "money": 1, "back": 1, "word": 1}  # rows without an id count as one text
+    assert {r.term: r.idf for r in weights.collect()} == pytest.approx({t: np.log(5 / (1 + c)) + 1 for t, c in n.items()})
+    sent, met = fc.hashed_vectors(df, "id", "t", weights, 8), fc.hashed_vectors(df, "id", "t", weights, 8, sent_bytes=0)
+    got, want = ({r.id: r.embedding for r in x.collect()} for x in (sent, met))
+    assert got.keys() == {1, 2, 3, 4} and all(got[i] == pytest.approx(want[i]) for i in got)
+    by_term = lambda x: re.search(r"hashpartitioning\(id#\d+L?, term#", x._jdf.queryExecution().executedPlan().toString())
+    assert by_term(met) and not by_term(sent)
+
+
 def test_merge_encodes_what_changed_and_repeats_without_effect(spark):
     asked = []
 
