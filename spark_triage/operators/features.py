@@ -47,9 +47,20 @@ def term_counts(
     return _exploded(df, group, found, stop_words).groupBy(group, "term").agg(F.count("*").alias("tf"))
 
 
-def occurrences(df: DataFrame, group: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
-    """(group, term), one row for every occurrence; nothing moves."""
-    return _exploded(df, group, _found(text_col), stop_words)
+def row_counts(df: DataFrame, group: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
+    """(group, term, tf) of every row for itself; nothing moves. A row's terms are sorted, and the lengths of the runs of
+    equal ones are their numbers."""
+    once = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)  # noqa: E731  # x is evaluated once
+
+    def runs(s: Column) -> Column:
+        n = F.size(s)
+        new = lambda i: (i == 1) | (F.element_at(s, i) != F.element_at(s, F.greatest(i - 1, F.lit(1))))
+        run = lambda a, b: F.struct(F.element_at(s, a).alias("term"), (b - a).alias("tf"))
+        return F.when(n > 0, once(F.filter(F.sequence(F.lit(1), n), new), lambda first: F.zip_with(
+            first, F.concat(F.slice(first, F.lit(2), n), F.array(n + 1)), run)))
+
+    rows = df.select(group, F.explode(once(F.sort_array(_found(text_col)), runs)).alias("r")).select(group, "r.term", "r.tf")
+    return rows.filter(~F.col("term").isin(*stop_words))
 
 
 def document_counts(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:

@@ -36,14 +36,14 @@ def hashed_vectors(
     ``weights`` is ``term_weights`` of a reference table, written once, so a text has the same vector whatever rows are
     encoded with it. A text without terms has the zero vector; rows that share an id are one text. Nothing is collected:
     terms meet their weights by a join, and a row's vector is put together from at most ``dimensions`` sums. Where the
-    weights are few enough to be sent (their bytes are checked), every occurrence meets its weight in the task that reads
-    the text, and only these sums leave it; else terms are counted first and meet their weights by a shuffle.
+    weights are few enough to be sent (their bytes are checked), a row's terms are counted and meet their weights in
+    the task that reads the text, and only these sums leave it; else terms are counted first and meet their weights by a shuffle.
     """
     unseen = weights.agg(F.max("idf_unseen").alias("x")).scalar()
     size = weights.agg(F.sum(F.octet_length("term") + 40).alias("x")).first()["x"] or 0
     if size <= sent_bytes:
         weights = F.broadcast(weights)
-        tf = ft.occurrences(df, id_col, text_col, stop_words).withColumn("tf", F.lit(1))
+        tf = ft.row_counts(df, id_col, text_col, stop_words)
     else:
         tf = ft.term_counts(df, id_col, text_col, stop_words)
     digest = F.md5("term")
