@@ -2,8 +2,9 @@
 
 Base spans of four kinds come from patterns and checks. Loose generators propose candidates around them, overlapping
 at will; gradient-boosted trees score each by its form and its context, and a threshold for each kind, calibrated on
-held-out rows, selects those that are added. The trees are fitted on a sample bounded for each kind and label, drawn
-from the candidates of all documents. Positive are base spans, variants of them written another way, and candidates that
+held-out rows, selects those that are added. The trees are fitted on seven tenths of the different labelled candidates of
+all documents, the thresholds on the other three, none left out; weights keep a frequent kind and label from outweighing
+the others. Positive are base spans, variants of them written another way, and candidates that
 touch none but pass the checks of their kind once rewritten and are announced as such; negative are those that follow
 an order number's word, are part of a longer name, or fail the checks; what is left open trains nothing. The fitted
 trees become one SQL expression, so scoring is a projection over the documents, without a shuffle.
@@ -49,9 +50,10 @@ OTHER = (r"(?i)(?:#|\b(?:order|invoice|ticket|ref|reference|serial|lot|sku|item|
          r"date|dated|token|key|hash|sum)\b)[\s.:=#\"'-]*$")
 DATE = r"^(?:[0-9]{4}[-.][0-9]{1,2}[-.][0-9]{1,2}|[0-9]{1,2}[-.][0-9]{1,2}[-.][0-9]{4})(?:$|[\x20.-])"
 CONTEXT = 24
-SAMPLE_ROWS = 6_000
+BALANCE_ROWS = 6_000  # as much as all kinds and labels together weigh at most when trees are fitted
 TREES, DEPTH = 12, 3
 PRECISION, LEAST_HELD = 0.98, 20
+DECIMALS = 4  # scores are compared at this precision, so a kind has at most 10,001 of them
 _FOUND = "array<struct<start:int,end:int,kind:int,m:string,before:string,after:string>>"
 
 
@@ -218,25 +220,29 @@ class Model:
         if not self.trees or not self.thresholds:
             return F.lit(False)
         least = reduce(lambda out, k: F.when(x.kind == k, F.lit(self.thresholds[k])).otherwise(out), self.thresholds, F.lit(2.0))
-        return F.round(self.score(x.kind, x.m, x.before, x.after), 9) >= least  # rounded as the thresholds are
+        return F.round(self.score(x.kind, x.m, x.before, x.after), DECIMALS) >= least  # rounded as the thresholds are
 
 
 def _threshold(rows: list, precision: float) -> float | None:
-    """The lowest score from which ``rows`` (score, label, weight) are right at ``precision``, if there is one."""
-    own, out, right, total = sorted(rows, reverse=True), None, 0.0, 0.0
-    for n, (score, positive, weight) in enumerate(own, 1):
-        right, total = right + positive * weight, total + weight
-        last = n == len(own) or own[n][0] < score
-        if last and n >= LEAST_HELD and right >= precision * total and score >= 0.5:
+    """The lowest score from which ``rows`` (score, positives, number) are right at ``precision``, if there is one."""
+    counted: dict[float, list[int]] = {}
+    for score, positives, n in rows:
+        old = counted.get(score, [0, 0])
+        counted[score] = [old[0] + positives, old[1] + n]
+    out, right, total = None, 0, 0
+    for score in sorted(counted, reverse=True):
+        right, total = right + counted[score][0], total + counted[score][1]
+        if total >= LEAST_HELD and right >= precision * total and score >= 0.5:
             out = score
     return out
 
 
-def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = TREES, depth: int = DEPTH,
+def fit(docs: DataFrame, balance_rows: int = BALANCE_ROWS, trees: int = TREES, depth: int = DEPTH,
         precision: float = PRECISION) -> Model:
-    """Trees fitted on about ``sample_rows`` of the labelled candidates of all documents, as many of each kind and label
-    as there are, up to its share, by hash; three tenths are held out for the thresholds, where a row stands for all
-    that its share was drawn from. A kind with fewer than ``LEAST_HELD`` held-out rows takes the threshold of all."""
+    """Trees fitted on the different labelled candidates of all documents. Three tenths, by hash, are held out for the
+    thresholds; all others train. A row weighs one, or less where its kind and label have more rows than an even share of
+    ``balance_rows``, so that they weigh that share together. A kind with fewer than ``LEAST_HELD`` held-out rows takes
+    the threshold of all."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
@@ -253,25 +259,25 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = TREES, dep
     there = {(r["kind"], r["label"]): r["count"] for r in pool.groupBy("kind", "label").count().collect()}  # 8 at most
     if len({side for _, side in there}) < 2:
         return Model([], [], {})
-    share = {k: min(1.0, sample_rows / (2 * len(KINDS)) / n) for k, n in there.items()}
-    part = reduce(lambda out, k: F.when((kind == k[0]) & (F.col("label") == k[1]), F.lit(share[k])).otherwise(out), share, F.lit(0.0))
-    drawn = pool.filter(F.pmod(F.xxhash64("h", F.lit(1)), F.lit(1 << 31)) < part * F.lit(1 << 31))
+    share = {k: min(1.0, balance_rows / (2 * len(KINDS)) / n) for k, n in there.items()}
+    weight = reduce(lambda out, k: F.when((kind == k[0]) & (F.col("label") == k[1]), F.lit(share[k])).otherwise(out), share, F.lit(0.0))
     columns = features(kind, m, before, after)
     names = [f"f{i}" for i in range(len(columns))]
-    sample = staged(drawn.select("kind", "m", "before", "after", "label", "h", *[c.alias(x) for c, x in zip(columns, names)])
-                    .coalesce(1).sortWithinPartitions("h", "m"), "pii-sample")
+    known = staged(pool.select("kind", "m", "before", "after", "label", "h", weight.alias("weight"),
+                               *[c.alias(x) for c, x in zip(columns, names)]).sortWithinPartitions("h", "m"), "pii-candidates")
     held = F.pmod(F.col("h"), F.lit(10)) < 3
-    sides = {r["label"] for r in sample.filter(~held).select("label").distinct().collect()}
+    sides = {r["label"] for r in known.filter(~held).select("label").distinct().collect()}
     if len(sides) < 2:
         return Model([], [], {})
-    ready = VectorAssembler(inputCols=names, outputCol="features").transform(sample.filter(~held))
-    fitted = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, featuresCol="features", labelCol="label").fit(ready)
+    ready = VectorAssembler(inputCols=names, outputCol="features").transform(known.filter(~held))
+    fitted = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, featuresCol="features", labelCol="label", weightCol="weight").fit(ready)
     model = Model([t._call_java("rootNode") for t in fitted.trees], list(fitted.treeWeights), {})
-    scored = [(r["kind"], (r["score"], r["label"], 1 / share[r["kind"], r["label"]])) for r in sample.filter(held).select(
-        "kind", "label", F.round(model.score(kind, m, before, after), 9).alias("score")).collect()]  # about sample_rows rows
+    score = F.round(model.score(kind, m, before, after), DECIMALS).alias("score")
+    scored = [(r["kind"], (r["score"], r["positives"], r["n"])) for r in known.filter(held).groupBy("kind", score).agg(
+        F.sum("label").alias("positives"), F.count("*").alias("n")).collect()]  # one row per kind and score
     for k in range(len(KINDS)):
         own = [x for kind_of, x in scored if kind_of == k]
-        least = _threshold(own if len(own) >= LEAST_HELD else [x for _, x in scored], precision)
+        least = _threshold(own if sum(n for *_, n in own) >= LEAST_HELD else [x for _, x in scored], precision)
         if least is not None:
             model.thresholds[k] = least
     return model
@@ -293,7 +299,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model:
 
     The counts and the digest are those of the base spans; ``spans`` and ``all_spans`` (array of start, end, kind)
     also hold the added ones. Places are code points, ends exclusive. Null and empty texts have none. A model that is
-    not given is fitted on ``docs``; where the sample has only one label nothing is added.
+    not given is fitted on ``docs``; where all candidates have one label nothing is added.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                        *[F.struct(*keep).alias("row")][: len(keep)])

@@ -37,3 +37,27 @@ def test_hard_spans_are_found_at_any_share(spark, share):
     missed = [t for i, t, span in rows if span and not any(a <= t.index(span) and b >= t.index(span) + len(span) for a, b in got[i])]
     wrong = [t for i, t, _ in rows if any(w in t for w in (" order ", " lot ", " date ")) and got[i]]
     assert not missed and not wrong, (missed[:5], wrong[:5])
+
+
+def test_every_labelled_candidate_trains_or_is_held_out(spark, monkeypatch):
+    """More rows of a kind and label than its even share: none is left out."""
+    from pyspark.ml.classification import GBTClassifier
+
+    texts = [f"some words order {10_000_000 + i} and +1 (555) 555-{1000 + i} more" for i in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    seen, fitted, rows = [], GBTClassifier.fit, pii.staged
+
+    def fit(self, ready, *more):
+        seen.append((ready.count(), self.getWeightCol()))
+        return fitted(self, ready, *more)
+
+    def staged(frame, name, *more):
+        out = rows(frame, name, *more)
+        if name == "pii-pool":
+            seen.append(out.filter("pmod(h, 10) >= 3").count())
+        return out
+
+    monkeypatch.setattr(GBTClassifier, "fit", fit)
+    monkeypatch.setattr(pii, "staged", staged)
+    assert pii.fit(df).trees
+    assert seen[0] > 2000 and seen[1] == (seen[0], "weight")
