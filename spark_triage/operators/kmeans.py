@@ -2,7 +2,8 @@
 
 All fits step together: a step is one pass over the points, in which every batch is compared with the centers of all
 fits by one matrix product, its rows are dealt to clusters, and the assignment matrix gives the sums of every cluster by
-another product. A task gives one row per fit, however many points it has, and these rows are added up as they stream by.
+another product. A task gives one row per fit, however many points it has, and these rows are added up as they stream by. Points
+are read in every step, so they are written once as blocks of bytes, which a task takes in as they are.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from spark_triage import fixed_values as fv
 from spark_triage.session import staged
 
 INIT_ROWS = 4096
+BLOCK_ROWS = 4096  # points in a block
 MAX_CLUSTERS = 10_000
 _SUMS = "fit int, n array<double>, sums array<double>, squares array<double>, cost double"
 
@@ -61,9 +64,33 @@ def distances(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return (points * points).sum(1)[:, None] + (centers * centers).sum(1)[None, :] - 2 * (points @ centers.T)
 
 
-def step(points: DataFrame, fits: Sequence[Fit]) -> None:
-    """One pass over ``points`` (vec): every fit gets the numbers, sums and cost of its clusters."""
-    held = points.sparkSession.sparkContext.broadcast([f.centers for f in fits])  # parameters set its size
+def packed(points: DataFrame) -> DataFrame:
+    """The vectors of ``points`` (vec) in blocks (n, vectors), an element in as many bytes as its type has; written."""
+    kind = np.float32 if points.schema["vec"].dataType.elementType.typeName() == "float" else np.float64
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(0)
+            if len(column) and pc.count_distinct(pc.list_value_length(column)).as_py() > 1:
+                raise ValueError("vectors of different lengths")
+            x = _matrix(column).astype(kind) if len(column) else np.zeros((0, 1), kind)
+            parts = [x[at : at + BLOCK_ROWS] for at in range(0, len(x), BLOCK_ROWS)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(p) for p in parts], pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["n", "vectors"])
+
+    typed = points.select(F.col("vec").cast("array<float>" if kind is np.float32 else "array<double>"))
+    return staged(typed.mapInArrow(pack, "n int, vectors binary"), "kmeans-blocks").withColumn("width", F.lit(kind().itemsize))
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for n, vectors, width in zip(*(batch.column(c) for c in ("n", "vectors", "width"))):
+        flat = np.frombuffer(vectors.as_buffer(), np.float32 if width.as_py() == 4 else np.float64)
+        yield flat.reshape(n.as_py(), -1).astype(np.float64)
+
+
+def step(blocks: DataFrame, fits: Sequence[Fit]) -> None:
+    """One pass over ``packed`` points: every fit gets the numbers, sums and cost of its clusters."""
+    held = blocks.sparkSession.sparkContext.broadcast([f.centers for f in fits])  # parameters set its size
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centers = held.value
@@ -71,8 +98,7 @@ def step(points: DataFrame, fits: Sequence[Fit]) -> None:
         ends = np.cumsum([0, *map(len, centers)])
         n, squares, cost = np.zeros(len(every)), np.zeros(len(every)), np.zeros(len(centers))
         sums = np.zeros(every.shape)
-        for batch in batches:
-            x = _matrix(batch.column(0))
+        for x in (x for batch in batches for x in _unpacked(batch)):
             far = distances(x, every)
             member = np.zeros(far.shape)
             rows = np.arange(len(x))
@@ -94,7 +120,7 @@ def step(points: DataFrame, fits: Sequence[Fit]) -> None:
         if out:
             yield _rows(out.items())
 
-    for r in points.mapInArrow(total, _SUMS).repartition("fit").mapInArrow(add_up, _SUMS).collect():  # one row per fit
+    for r in blocks.mapInArrow(total, _SUMS).repartition("fit").mapInArrow(add_up, _SUMS).collect():  # one row per fit
         f = fits[r["fit"]]
         f.n, f.squares, f.cost = np.array(r["n"]), np.array(r["squares"]), r["cost"]
         f.sums = np.array(r["sums"]).reshape(len(f.n), -1)
@@ -110,6 +136,30 @@ def _rows(items) -> pa.RecordBatch:
         ["fit", "n", "sums", "squares", "cost"])
 
 
+def moved(fit: Fit) -> np.ndarray:
+    """The means of the points that were nearest to each center; a cluster that lost all its points keeps its center."""
+    return np.where(fit.n[:, None] > 0, fit.sums / np.maximum(fit.n, 1)[:, None], fit.centers)
+
+
+def settle(blocks: DataFrame, fits: Sequence[Fit], max_iter: int, tol: float) -> None:
+    """Steps of all ``fits`` together, until no center of a fit moves by more than ``tol`` or for ``max_iter`` steps. A
+    settled fit keeps the centers that its points were dealt to; fits that did not settle are reported as a warning."""
+    for _ in range(max_iter):
+        moving = [f for f in fits if not f.settled]
+        if not moving:
+            break
+        step(blocks, moving)
+        for f in moving:
+            f.steps += 1
+            new = moved(f)
+            f.settled = bool((((new - f.centers) ** 2).sum(1) <= tol * tol).all())
+            if not f.settled:
+                f.centers = new
+    open_ended = sum(not f.settled for f in fits)
+    if open_ended:
+        warnings.warn(f"{open_ended} of {len(fits)} k-means starts did not settle in {max_iter} steps", stacklevel=3)
+
+
 def fit_many(
     df: DataFrame, id_col: str, ks: Sequence[int] = fv.K_CANDIDATES, vector: str = "embedding",
     starts: int = fv.KMEANS_STARTS, seed: int = fv.DISCOVERY_SEED, max_iter: int = fv.KMEANS_MAX_ITER,
@@ -123,27 +173,13 @@ def fit_many(
     """
     from spark_triage.operators.sampling import seeded_sample
 
-    rows = df.filter(F.col(vector).isNotNull()).select(F.col(id_col), F.col(vector).cast("array<double>").alias("vec"))
+    rows = df.filter(F.col(vector).isNotNull()).select(F.col(id_col), F.col(vector).alias("vec"))
     rows = staged(rows, "kmeans-points")
     drawn = np.array([r["vec"] for r in seeded_sample(rows, id_col, seed, init_rows).orderBy(id_col).collect()])
     if not len(drawn):
         return []
     fits = [Fit(k, s, spread_centers(drawn, k, np.random.default_rng((seed, k, s)))) for k in ks for s in range(starts)]
-    points = rows.select("vec")
-    for _ in range(max_iter):
-        moving = [f for f in fits if not f.settled]
-        if not moving:
-            break
-        step(points, moving)
-        for f in moving:
-            f.steps += 1
-            moved = np.where(f.n[:, None] > 0, f.sums / np.maximum(f.n, 1)[:, None], f.centers)
-            f.settled = bool((((moved - f.centers) ** 2).sum(1) <= tol * tol).all())
-            if not f.settled:
-                f.centers = moved
-    open_ended = sum(not f.settled for f in fits)
-    if open_ended:
-        warnings.warn(f"{open_ended} of {len(fits)} k-means starts did not settle in {max_iter} steps", stacklevel=2)
+    settle(packed(rows.select("vec")), fits, max_iter, tol)
     return fits
 
 

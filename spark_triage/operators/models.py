@@ -19,10 +19,11 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spark_triage import fixed_values as fv
+from spark_triage.operators import kmeans as km
 from spark_triage.operators.features import TERM, english_stop_words
 
 
@@ -38,21 +39,38 @@ def best_kmeans(
     max_iter: int = fv.KMEANS_MAX_ITER,
 ) -> KMeansModel:
     """The start with the lowest cost of ``starts`` seeded ones. A start that ``max_iter`` ends before it has settled
-    is reported as a warning."""
+    is reported as a warning.
+
+    Spark draws the first centers of every start (k-means||, from all points); then all starts step together, one pass
+    over the points a step for all of them. The model's summary is that of its centers, not of the points.
+    """
     points = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features")).persist()
     try:
         points.count()  # fill the cache once, before the starts run side by side
-        fit = inheritable_thread_target(df.sparkSession)(
-            lambda i: KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(points)
+        drawn = inheritable_thread_target(df.sparkSession)(
+            lambda i: np.array(KMeans(k=k, seed=seed + i, maxIter=0).fit(points).clusterCenters())
         )
         with ThreadPool(min(starts, _PARALLEL_FITS)) as pool:
-            models = pool.map(fit, range(starts))
-        open_ended = sum(m.summary.numIter >= max_iter for m in models)
-        if open_ended:
-            warnings.warn(f"{open_ended} of {starts} k-means starts did not settle in {max_iter} steps", stacklevel=2)
-        return min(models, key=lambda m: m.summary.trainingCost)
+            fits = [km.Fit(k, i, centers) for i, centers in enumerate(pool.map(drawn, range(starts)))]
     finally:
         points.unpersist()
+    km.settle(km.packed(df.select(F.col(vector).alias("vec"))), fits, max_iter, 1e-4)
+    best = min(fits, key=lambda f: f.cost)
+    return _model_of(df.sparkSession, km.moved(best))
+
+
+def _model_of(spark: SparkSession, centers: np.ndarray) -> KMeansModel:
+    """Spark's model with these ``centers`` in this order: a fit of no steps to the centers themselves. It takes all of
+    them, shuffled by its seed; the second fit gets them in the order that the first one's shuffle undoes. Of equal
+    centers, of which only the first would get points, one is kept."""
+    centers = centers[np.sort(np.unique(centers, axis=0, return_index=True)[1])]
+    frame = lambda rows: spark.createDataFrame([(Vectors.dense(c),) for c in rows], ["features"]).coalesce(1)
+    fit = lambda rows: KMeans(k=max(2, len(centers)), seed=0, initMode="random", maxIter=0).fit(frame(rows))
+    order = [int(np.abs(centers - c).sum(1).argmin()) for c in fit(centers).clusterCenters()]
+    model = fit(centers[np.argsort(order)])
+    if not np.array_equal(np.array(model.clusterCenters()), centers):
+        raise ValueError("the centers did not come back as they were given")
+    return model
 
 
 def assign_clusters(df: DataFrame, model: KMeansModel, vector: str = "embedding", out: str = "cluster") -> DataFrame:

@@ -237,3 +237,35 @@ def test_cluster_examples_are_seeded(spark):
     a = discover.cluster_examples(blobs(spark).withColumn("c", F.col("id") % 2), "c", "id", "text", 4)
     b = discover.cluster_examples(blobs(spark).repartition(3).withColumn("c", F.col("id") % 2), "c", "id", "text", 4)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() == 8
+
+
+def test_all_starts_share_their_steps(spark, monkeypatch):
+    passes, step = [], km.step
+    monkeypatch.setattr(km, "step", lambda blocks, fits: (passes.append(list(fits)), step(blocks, fits))[1])
+    model = md.best_kmeans(blobs(spark), 3, starts=4)
+    fits = passes[0]
+    assert len(fits) == 4 and len(passes) == max(f.steps for f in fits)
+    x = np.array([r.embedding for r in blobs(spark).collect()])
+    for f in fits:
+        assert f.cost == pytest.approx(km.distances(x, f.centers).min(1).sum(), abs=1e-6)
+    centers = np.array(model.clusterCenters())
+    assert km.distances(x, centers).min(1).sum() <= min(f.cost for f in fits) + 1e-6
+    got = {r.id: r.cluster for r in md.assign_clusters(blobs(spark), model).collect()}
+    assert got == {r.id: km.distances(np.array([r.embedding]), centers).argmin() for r in blobs(spark).collect()}
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_packed_points_come_back(spark, kind):
+    x = np.random.default_rng(5).normal(size=(9000, 3)).astype(np.float32 if kind == "float" else np.float64)
+    blocks = km.packed(spark.createDataFrame([(v.tolist(),) for v in x], f"vec array<{kind}>").coalesce(1))
+    got = np.concatenate([p for b in blocks.toArrow().to_batches() for p in km._unpacked(b)])
+    assert sorted(map(tuple, got)) == sorted(map(tuple, x.astype(np.float64)))
+    with pytest.raises(Exception, match="different lengths"):
+        km.packed(spark.createDataFrame([([1.0],), ([1.0, 2.0],)], f"vec array<{kind}>").coalesce(1)).count()
+
+
+def test_a_model_keeps_the_order_of_its_centers(spark):
+    for n in (1, 3, 9):
+        centers = np.random.default_rng(n).normal(size=(n, 2))
+        assert np.array_equal(md._model_of(spark, centers).clusterCenters(), centers)
+    assert np.array_equal(md._model_of(spark, np.array([[1.0], [0.0], [1.0]])).clusterCenters(), [[1.0], [0.0]])
