@@ -81,3 +81,26 @@ def test_blocks_of_few_bytes_give_the_same(spark, monkeypatch):
     assert sum(r[2] == r[3] for r in plain) > 0.9 * len(plain)
     replaced = lg.detect_language(df, "text", profile, ["de", "en"])
     assert replaced.schema["detected"].dataType.simpleString() == "string" and replaced.count() == len(rows)
+
+
+def test_letters_are_those_of_the_expressions(spark):
+    letter = lg._letter_points(spark)
+    assert [letter[ord(c)] for c in "aZé日𝒳_1 -̇"] == [True] * 5 + [False] * 5
+
+
+def test_a_small_profile_goes_to_the_tasks_and_a_large_one_does_not(spark, monkeypatch):
+    """Texts that begin and end in the middle of words, without letters, NULL, and in many scripts."""
+    train = spark.createDataFrame(TRAIN, "id int, text string, lang string")
+    texts = [t for _, t in TEXTS] + ["haus", "order", "...", "die", None, "x", "日本 der 語", "İm haus", "the", " und ", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    profile = lg.language_profile(train, "text", "lang", ["de", "en"])
+    by_blocks, blocks = {}, lg._blocks
+    made = []
+    monkeypatch.setattr(lg, "_blocks", lambda *a: (made.append(1), blocks(*a))[1])
+    sent = {r.id: r.detected for r in lg.detect_language(df, "text", profile, ["de", "en"]).collect()}
+    assert not made
+    by_blocks = {r.id: r.detected for r in lg.detect_language(df, "text", profile, ["de", "en"], sent_grams=3).collect()}
+    assert made and sent == by_blocks and len(sent) == len(texts)
+    seen = lg.language_profile(df.withColumn("lang", F.lit("de")), "text", "lang", ["de", "en"])
+    want = df.select(F.explode(lg.trigrams(F.col("text"))).alias("gram")).groupBy("gram").count().collect()
+    assert {r.gram: round(2.718281828459045 ** r.w_de - 1) for r in seen.collect()} == {r.gram: r["count"] for r in want}
