@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import (
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from spark_triage import fixed_values as fv
 from spark_triage.operators import kmeans as km
 from spark_triage.operators.features import TERM, english_stop_words
+from spark_triage.session import staged
 
 
 _PARALLEL_FITS = 4
@@ -176,7 +177,8 @@ def train_classifier(
 ) -> PipelineModel:
     """TF-IDF and multinomial logistic regression (L2, C = 1), optionally with balanced class weights.
 
-    The result is a saved-and-loaded-as-one PipelineModel giving ``predicted_intent`` and ``probability``.
+    The result is a saved-and-loaded-as-one PipelineModel giving ``predicted_intent`` and ``probability``. Texts are read
+    and cut into terms once; the terms and then their counts are written for the passes that need them.
     """
     rows = df.select(F.col(text_col), F.col(label))
     if balanced:
@@ -187,14 +189,16 @@ def train_classifier(
         stopWords=list(english_stop_words() if stop_words is None else stop_words),
     )
     counts = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=max_terms)
-    front = Pipeline(stages=[tokens, kept, counts]).fit(rows)
-    counted = front.transform(rows)
+    extra = ["weight"] if balanced else []
+    terms = staged(kept.transform(tokens.transform(rows)).select("_terms", label, *extra), "classifier-terms")
+    front = [tokens, kept, counts.fit(terms)]
+    counted = staged(front[-1].transform(terms).select("_tf", label, *extra), "classifier-counts")
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf  # at most max_terms numbers
     scale = ElementwiseProduct(inputCol="_tf", outputCol="_scaled", scalingVec=Vectors.dense(idf.toArray() + 1.0))
     unit = Normalizer(inputCol="_scaled", outputCol="_features", p=2.0)
-    index = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(rows)
+    index = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(counted)
     ready = index.transform(unit.transform(scale.transform(counted))).select(
-        "_features", "_label", *(["weight"] if balanced else [])
+        "_features", "_label", *extra
     )
     ready = ready.persist()  # every solver step reads them; how many partitions there are is the caller's choice
     n = ready.count()
@@ -208,7 +212,7 @@ def train_classifier(
     finally:
         ready.unpersist()
     name = IndexToString(inputCol="_prediction", outputCol="predicted_intent", labels=index.labels)
-    return PipelineModel([*front.stages, scale, unit, lr, name])
+    return PipelineModel([*front, scale, unit, lr, name])
 
 
 def gradients(

@@ -269,3 +269,19 @@ def test_a_model_keeps_the_order_of_its_centers(spark):
         centers = np.random.default_rng(n).normal(size=(n, 2))
         assert np.array_equal(md._model_of(spark, centers).clusterCenters(), centers)
     assert np.array_equal(md._model_of(spark, np.array([[1.0], [0.0], [1.0]])).clusterCenters(), [[1.0], [0.0]])
+
+
+@pytest.mark.parametrize("balanced", [False, True])
+def test_training_reads_its_texts_once(spark, balanced):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        read.add(1)
+        return text
+
+    rows = docs(spark).withColumn("text", F.udf(counted)("text"))
+    model = md.train_classifier(rows, "text", "intent", balanced, stop_words=STOP)
+    assert read.value == len(DOCS)
+    plain = md.train_classifier(docs(spark), "text", "intent", balanced, stop_words=STOP)
+    found, want = (dict(zip(m.stages[2].vocabulary, m.stages[5].coefficientMatrix.toArray()[0])) for m in (model, plain))
+    assert found == pytest.approx(want, abs=1e-3)
