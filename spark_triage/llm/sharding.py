@@ -1,16 +1,20 @@
 """Balanced shards by label propagation, documents of equal text linked.
 
-Groups start whole, larger ones first, in the shard with the least room that holds them; one that no shard holds is cut
-over the largest rooms. That plan is made on the number of groups of each size. In each round a group then counts its
-members by shard, and members move to the shard that holds most of the group, until none may move or two rounds change
-nothing. How many may move between two shards is a quota: exchanges in equal numbers both ways, and free places. The
-quotas come from one number per pair of shards. Documents without links fill the places that are left, so the counts end
-at most one apart whatever the groups' sizes.
+Linked rows start in the shards in equal runs of their order, so groups lie in many shards. A group's label is the shard
+of its first row; its members in a shard are votes for it. In each round labels change to the shard with most votes, or,
+where a shard has too many groups, to the shard with room that has most. How many may change between two shards is a
+quota: exchanges in equal numbers both ways, and free places. Both are counted for each size of group, as a plan on the
+number of groups of each size gives every shard its places: larger groups first, in the shard with the least room that
+holds them. Rounds end when no label may change. The members then follow their label, and groups that no shard has a
+place for are cut over the largest rooms. Documents without links fill the places that are left, so the counts end at
+most one apart whatever the groups' sizes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spark_triage.llm.common import bucket_ranks, staged
@@ -64,81 +68,110 @@ def plan(sizes: dict[int, int], places: list[int]) -> tuple[list[tuple[int, int,
     return whole, cut
 
 
-def _by_pair(values: dict[tuple[int, int], int], s: Column, t: Column, shards: int) -> Column:
-    table = [values.get((i, j), 0) for i in range(shards) for j in range(shards)]
-    return F.element_at(F.array(*[F.lit(x).cast("long") for x in table]), (s * shards + t + 1).cast("int"))
-
-
 def _held(rows: DataFrame, shards: int) -> list[int]:
     n = {r["shard"]: r["n"] for r in rows.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # one row a shard
     return [n.get(s, 0) for s in range(shards)]
 
 
-def _kept_pairs(counts: DataFrame) -> int:
-    return counts.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1)), F.lit(0)).alias("x")).first()["x"]
-
-
-def propagate(linked: DataFrame, places: list[int]) -> DataFrame:
-    """``linked`` (row, grp, shard) with shards moved towards their group, no shard above its ``places``. Rounds end when
-    nothing may move, or when two in a row keep no more pairs together than the best before; that best is the result."""
-    shards, idle, number, best_kept, best_linked, worse = len(places), 0, -1, -1, linked, 0
-    while True:
-        number += 1
-        held = _held(linked, shards)
-        counts = staged(linked.groupBy("grp", "shard").agg(F.count("*").alias("n")), "sharding-counts")
-        kept = _kept_pairs(counts)
-        worse = 0 if kept > best_kept else worse + 1
-        if kept > best_kept:
-            best_kept, best_linked = kept, linked
-        if worse == 2:
-            break
-        if number % 2:  # members that found their shard full turn to the best with room
-            room = [s for s in range(shards) if held[s] < places[s]]
-            targets = counts.filter(F.col("shard").isin(room)) if room else counts.limit(0)
-        else:
-            targets = counts
-        best = targets.groupBy("grp").agg(
-            F.max(F.struct("n", F.xxhash64("grp", "shard").alias("h"), "shard")).alias("best"))
-        moves = counts.withColumn("h", F.xxhash64("grp", "shard")).join(best, "grp").filter(
-            F.struct(F.col("best.n"), F.col("best.h")) > F.struct("n", "h")).select(
-            "grp", "shard", F.col("best.shard").alias("to"), "n")
-        moves = staged(moves, "sharding-moves")
-        wanted = {(r["shard"], r["to"]): r["n"] for r in moves.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}
-        grant = quotas(wanted, held, places)
-        idle = 0 if grant else idle + 1
-        if idle == 2:  # neither exchanges nor free places are left to use
-            break
-        if idle:
-            continue
-        asking = staged(linked.join(moves.drop("n"), ["grp", "shard"], "left"), "sharding-asking")
-        buckets = max(1, max(wanted.values()) // RANKED_ROWS)
-        ranked = bucket_ranks(asking.filter("to is not null"), ["shard", "to"], [F.col("grp"), F.col("row")],
-                              F.col("row"), buckets, "rank")
-        moved = ranked.select("row", "grp", F.when(
-            F.col("rank") < _by_pair(grant, F.col("shard"), F.col("to"), shards), F.col("to"))
-            .otherwise(F.col("shard")).alias("shard"))
-        linked = staged(asking.filter("to is null").select("row", "grp", "shard").unionByName(moved), "sharding-linked")
-    return best_linked
-
-
-def start(members: DataFrame, groups: DataFrame, places: list[int], buckets: int) -> DataFrame:
-    """(row, grp, shard) of ``members`` (row, grp), the groups (grp, n) as ``plan`` lays them; written."""
-    spark = members.sparkSession
+def _cells(spark: SparkSession, numbers: dict[tuple[int, int], int], shard: str, name: str) -> DataFrame:
+    return spark.createDataFrame([(n, s, x) for (n, s), x in numbers.items()], f"n bigint, {shard} int, {name} bigint")
+
+
+def start(rows: DataFrame, shards: int) -> DataFrame:
+    """``rows`` with ``shard``: dealt in equal runs of their order by ``row``, a monotonically_increasing_id, which has
+    the partition from bit 33 on and the place in it below."""
+    part = F.shiftright("row", 33)
+    counts = {r["part"]: r["n"] for r in rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}  # one row a partition of the input
+    first, total = [], 0
+    for p in sorted(counts):
+        first.append((p, total))
+        total += counts[p]
+    runs = rows.sparkSession.createDataFrame(first, "part bigint, first bigint")
+    place = F.col("first") + F.col("row") - F.shiftleft("part", 33)
+    return rows.withColumn("part", part).join(F.broadcast(runs), "part").withColumn(
+        "shard", F.floor(place * shards / max(1, total)).cast("int")).drop("part", "first")
+
+
+def _too_many(labels: DataFrame, held: dict[tuple[int, int], int], places: dict[tuple[int, int], int],
+              buckets: int) -> DataFrame:
+    """The groups of ``labels`` (grp, n, shard, votes) beyond the places that their shard has for their size; those with
+    most votes there have the places."""
+    full = {c: places.get(c, 0) for c, h in held.items() if h > places.get(c, 0)}
+    keys = ["n", "shard", "votes"]
+    rows = staged(labels.join(_cells(labels.sparkSession, full, "shard", "places"), ["n", "shard"]), "sharding-full")
+    above = Window.partitionBy("n", "shard").orderBy(F.desc("votes")).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("same"))
+    above = counts.select(*keys, F.coalesce(F.sum("same").over(above), F.lit(0)).alias("above"))
+    ranked = bucket_ranks(rows, keys, [F.col("grp")], F.col("grp"), buckets, "rank")
+    return ranked.join(above, keys).filter(F.col("above") + F.col("rank") >= F.col("places")).select("grp", *keys)
+
+
+def propagate(linked: DataFrame, groups: DataFrame, places: list[int], buckets: int) -> DataFrame:
+    """``linked`` (row, grp, shard) with each of the ``groups`` (grp, n) in one shard, or cut as ``plan`` cuts it, no
+    shard above its ``places``; written.
+
+    Rounds turn to the most votes of all and to the most votes among shards with room by turns. Each change of the first
+    kind adds votes and none of them fills a shard beyond its places; each of the second kind takes a group out of a
+    shard with too many. So rounds end, and what then has no place is as many groups of each size as the plan cuts.
+    """
+    spark, shards = linked.sparkSession, range(len(places))
     sizes = {r["n"]: r["groups"] for r in groups.groupBy("n").agg(F.count("*").alias("groups")).collect()}  # different sizes are few
     whole, cut = plan(sizes, places)
-    ranked = bucket_ranks(groups, ["n"], [F.col("grp")], F.col("grp"), buckets, "rank")
-    runs = spark.createDataFrame(whole, "n bigint, first bigint, end bigint, shard int")
-    at = F.col("rank").between(F.col("first"), F.col("end") - 1)
-    stay = ranked.join(runs, "n").filter(at).select("grp", "shard")
-    out = members.join(stay, "grp").select("row", "grp", "shard")
-    if cut:
-        parts = spark.createDataFrame(cut, "n bigint, rank bigint, first bigint, end bigint, shard int")
-        split = staged(ranked.join(parts.select("n", "rank").distinct(), ["n", "rank"]).select("grp", "n", "rank"), "sharding-cut")
-        own = staged(members.join(split, "grp").withColumnRenamed("rank", "of"), "sharding-cut-members")
-        inside = bucket_ranks(own, ["grp"], [F.col("row")], F.col("row"), buckets, "rank")
-        parts = parts.withColumnRenamed("rank", "of")
-        out = out.unionByName(inside.join(parts, ["n", "of"]).filter(at).select("row", "grp", "shard"))
-    return staged(out, "sharding-linked")
+    own = {(n, s): end - first for n, first, end, s in whole}  # places by size and shard, in groups
+    votes = staged(linked.groupBy("grp", "shard").agg(F.count("*").alias("votes"), F.min("row").alias("row")).join(
+        groups, "grp"), "sharding-votes")
+    labels = staged(votes.groupBy("grp", "n").agg(F.min(F.struct("row", "shard", "votes")).alias("x")).select(
+        "grp", "n", "x.shard", "x.votes"), "sharding-labels")
+    held = {(r["n"], r["shard"]): r["count"] for r in labels.groupBy("n", "shard").count().collect()}
+    order = [F.col("votes"), F.xxhash64("grp", "shard").alias("h"), F.col("shard")]
+    best = staged(votes.join(_cells(spark, own, "shard", "places"), ["n", "shard"]).groupBy("grp").agg(
+        F.max(F.struct(*order)).alias("x")).select("grp", F.col("x.shard").alias("to"), F.col("x.votes").alias("most")), "sharding-best")
+    number, idle = -1, 0
+    while idle < 2:  # neither exchanges nor free places are left to use
+        number, idle = number + 1, idle + 1
+        if number % 2:
+            room = {c: n - held.get(c, 0) for c, n in own.items() if n > held.get(c, 0)}
+            wanting = {n for n, _ in room}
+            crowded = {c: h for c, h in held.items() if h > own.get(c, 0) and c[0] in wanting}
+            if not crowded:
+                continue
+            offers = _too_many(labels, crowded, own, buckets).select("grp", "n", F.col("shard").alias("from")).join(
+                _cells(spark, room, "shard", "room"), "n").join(votes.select("grp", "shard", "votes"), ["grp", "shard"], "left").fillna(0, "votes")
+            asking = offers.groupBy("grp", "n", "from").agg(F.max(F.struct(*order)).alias("x")).select(
+                "grp", "n", F.col("from").alias("shard"), F.col("x.shard").alias("to"), F.col("x.votes").alias("most"))
+        else:
+            asking = labels.join(best, "grp").filter("most > votes").drop("votes")
+        asking = staged(asking, "sharding-asking")
+        wanted: dict[int, dict[tuple[int, int], int]] = {}
+        for r in asking.groupBy("n", "shard", "to").count().collect():  # at most a number for each size and pair of shards
+            wanted.setdefault(r["n"], {})[r["shard"], r["to"]] = r["count"]
+        grants = [(n, s, t, k) for n, w in wanted.items() for (s, t), k in quotas(
+            w, [held.get((n, s), 0) for s in shards], [own.get((n, s), 0) for s in shards]).items()]
+        if not grants:
+            continue
+        idle = 0
+        for n, s, t, k in grants:
+            held[n, s] = held.get((n, s), 0) - k
+            held[n, t] = held.get((n, t), 0) + k
+        granted = spark.createDataFrame(grants, "n bigint, shard int, to int, granted bigint")
+        moves = bucket_ranks(asking, ["n", "shard", "to"], [F.col("grp")], F.col("grp"), buckets, "rank").join(
+            granted, ["n", "shard", "to"]).filter("rank < granted").select("grp", "to", "most")
+        labels = staged(labels.join(moves, "grp", "left").select(
+            "grp", "n", F.coalesce("to", "shard").alias("shard"), F.coalesce("most", "votes").alias("votes")), "sharding-labels")
+    members = linked.select("row", "grp")
+    if not cut:
+        return staged(members.join(labels.select("grp", "shard"), "grp").select("row", "grp", "shard"), "sharding-linked")
+    rest = staged(_too_many(labels, held, own, buckets).select("grp", "n"), "sharding-cut")
+    split = bucket_ranks(rest, ["n"], [F.col("grp")], F.col("grp"), buckets, "of")
+    inside = bucket_ranks(staged(members.join(split, "grp"), "sharding-cut-members"), ["grp"], [F.col("row")], F.col("row"), buckets, "rank")
+    uncut = Counter()
+    for n, first, end, _ in whole:
+        uncut[n] += end - first
+    parts = spark.createDataFrame([(n, of - uncut[n], first, end, s) for n, of, first, end, s in cut],
+                                  "n bigint, of bigint, first bigint, end bigint, shard int")
+    return staged(members.join(labels.join(rest, "grp", "left_anti").select("grp", "shard"), "grp").select("row", "grp", "shard").unionByName(
+        inside.join(parts, ["n", "of"]).filter(F.col("rank").between(F.col("first"), F.col("end") - 1)).select("row", "grp", "shard")),
+        "sharding-linked")
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,7 +197,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
         "row", F.when(F.col("n").isNotNull(), F.col("grp")).alias("grp"), F.col("n").isNotNull().alias("linked")),
         "sharding-split")
     dealt = staged(bucket_ranks(split, ["linked"], order, F.col("row"), buckets, "rank"), "sharding-dealt")
-    linked = propagate(start(dealt.filter("linked").select("row", "grp"), groups, places, buckets), places)
+    linked = propagate(staged(start(split, shards).filter("linked").select("row", "grp", "shard"), "sharding-start"), groups, places, buckets)
     held = _held(linked, shards)
     place, upto = F.lit(0), 0
     for s in range(shards):  # singles in rank order fill what is left, shard after shard

@@ -157,6 +157,61 @@ def test_groups_that_fit_are_hardly_cut(spark):
         assert 1 - sum(c * (c - 1) // 2 for c in cells.values()) / pairs <= share
 
 
+def by_group(linked):
+    return {g: Counter(r.shard for r in some) for g, some in brute.groups(linked.collect(), lambda r: r.grp).items()}
+
+
+@pytest.mark.parametrize("kind", ["all linked", "many sizes", "larger than shards", "first shard full"])
+def test_rounds_gather_what_the_start_deals(spark, kind):
+    """No shard above its places, no more pairs cut than by the plan, groups where most of their members start."""
+    rng = random.Random(8)
+    grps = {
+        "all linked": [f"g{i % 200}" for i in range(1600)],
+        "many sizes": [f"g{min(int(rng.paretovariate(0.7)), 150)}" for _ in range(1500)] + [f"s{i}" for i in range(700)],
+        "larger than shards": ["a"] * 300 + ["b"] * 170 + ["c", "d", "e"] * 20 + [f"s{i}" for i in range(400)],
+        "first shard full": [f"g{i // 6}" for i in range(600)] + [f"g{i // 2}" for i in range(600)] + [f"s{i}" for i in range(400)],
+    }[kind]
+    if kind != "first shard full":
+        rng.shuffle(grps)
+    sizes = {g: n for g, n in Counter(grps).items() if n > 1}
+    df = spark.createDataFrame([(g,) for g in grps], "grp string").coalesce(1).withColumn("row", F.monotonically_increasing_id())
+    dealt = common.staged(sharding.start(df, 16).filter(F.col("grp").isin(list(sizes))).select("row", "grp", "shard"), "test")
+    places = [len(grps) // 16 + (s < len(grps) % 16) for s in range(16)]
+    groups = common.staged(spark.createDataFrame(list(sizes.items()), "grp string, n long"), "test")
+    before = by_group(dealt)
+    runs = [int(r.row) * 16 // len(grps) == r.shard for r in dealt.collect()]
+    assert all(runs) and len(runs) == sum(sizes.values())
+    linked = sharding.propagate(dealt, groups, places, 3)
+    assert sorted(r.row for r in linked.collect()) == sorted(r.row for r in dealt.collect())
+    after, held = by_group(linked), Counter()
+    for c in after.values():
+        held.update(c)
+    assert {g: sum(c.values()) for g, c in after.items()} == sizes and all(held[s] <= p for s, p in enumerate(places))
+    lost = sum((sizes[g] ** 2 - sum(n * n for n in c.values())) // 2 for g, c in after.items())
+    counts = dict(Counter(sizes.values()))
+    assert lost == cut_of(counts, *sharding.plan(counts, places), places)
+    assert sum((sizes[g] ** 2 - sum(n * n for n in c.values())) // 2 for g, c in before.items()) > lost
+    there = sum(n for g, c in after.items() for s, n in c.items() if len(c) == 1 and before[g][s] == max(before[g].values()))
+    assert kind not in ("all linked", "first shard full") or there > 0.5 * sum(sizes.values())
+
+
+def test_copies_gather_where_most_of_them_lie(spark):
+    """Forty groups of nine in sixteen shards of fifty: five or more of each lie in one run of rows, the others far off."""
+    texts = [f"s{i}" for i in range(800)]
+    for g in range(40):
+        at = [g % 16 * 50 + g // 16 * 9 + i for i in range(6)] + [(g + 5 + k) % 16 * 50 + 40 + g // 16 * 3 + k for k in range(3)]
+        for i in at:
+            texts[i] = f"g{g}"
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = sharding.shard(df).collect()
+    assert set(Counter(r.shard for r in rows).values()) == {50}
+    homes = {f"g{g}": Counter(i // 50 for i, t in enumerate(texts) if t == f"g{g}").most_common(1)[0] for g in range(40)}
+    assert all(n >= 5 for _, n in homes.values())
+    placed = brute.groups([r for r in rows if texts[r.doc_id] in homes], lambda r: texts[r.doc_id])
+    assert all(len({r.shard for r in some}) == 1 for some in placed.values())
+    assert sum(some[0].shard == homes[g][0] for g, some in placed.items()) >= 20
+
+
 def test_shards_of_nothing(empty):
     assert sharding.shard(empty).collect() == []
 
