@@ -16,7 +16,7 @@ from spark_triage.functions import prompts as pm
 from spark_triage.operators import models as md
 from spark_triage.operators import retrieval as rt
 from spark_triage.plans import discover, learn, triage
-from spark_triage.session import shared_folder, staged
+from spark_triage.session import fits, shared_folder, staged
 from spark_triage.sources import batches, feature_cache as fc, typed
 
 QUERIES, SQL = {}, {}
@@ -104,8 +104,10 @@ def embedding_cache_merge(spark, d):
     docs = texts(spark, d, "documents").select("doc_id", "text", "lang")
     weights = _weights(spark, d)
     encode = lambda rows: fc.hashed_vectors(rows, "doc_id", "text", weights, SLOTS)
-    old = docs.join(load(spark, d, "labels").filter("quality = 1"), "doc_id").withColumn(
-        "text", F.when(F.col("lang") == "fr", F.concat("text", F.lit("?"))).otherwise(F.col("text")))
+    good = staged(load(spark, d, "labels").filter("quality = 1").select("doc_id"), "good-labels")
+    good = F.broadcast(good) if fits(good, "doc_id", fc.SENT_BYTES) else good  # else the texts move
+    old = staged(docs.join(good, "doc_id").withColumn(
+        "text", F.when(F.col("lang") == "fr", F.concat("text", F.lit("?"))).otherwise(F.col("text"))), "old-texts", "zstd")
     cache = staged(fc.merge_cache(fc.empty_cache(docs, "doc_id"), old, "doc_id", "text", "m1", 1, encode), "cache")
     cache = staged(fc.merge_cache(cache, docs, "doc_id", "text", "m1", 2, encode), "cache")
     again = fc.merge_cache(cache, docs, "doc_id", "text", "m1", 3, encode)

@@ -26,7 +26,8 @@ def default_stop_words() -> list[str]:
     return [*english_stop_words(), "url"]
 
 
-def _found(text_col: str) -> Column:
+def found_terms(text_col: str) -> Column:
+    """The terms of a text in turn; NULL without a text."""
     return F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))
 
 
@@ -41,26 +42,16 @@ def term_counts(
 ) -> DataFrame:
     """(group, term, tf). Counted in the task that reads the text before anything moves. ``marked`` adds the empty term
     once for every row, so that groups without terms are counted in the same pass."""
-    found = _found(text_col)
+    found = found_terms(text_col)
     if marked:
         found = F.array_append(F.coalesce(found, F.array().cast("array<string>")), F.lit(""))
     return _exploded(df, group, found, stop_words).groupBy(group, "term").agg(F.count("*").alias("tf"))
 
 
-def row_counts(df: DataFrame, group: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
-    """(group, term, tf) of every row for itself; nothing moves. A row's terms are sorted, and the lengths of the runs of
-    equal ones are their numbers."""
-    once = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)  # noqa: E731  # x is evaluated once
-
-    def runs(s: Column) -> Column:
-        n = F.size(s)
-        new = lambda i: (i == 1) | (F.element_at(s, i) != F.element_at(s, F.greatest(i - 1, F.lit(1))))
-        run = lambda a, b: F.struct(F.element_at(s, a).alias("term"), (b - a).alias("tf"))
-        return F.when(n > 0, once(F.filter(F.sequence(F.lit(1), n), new), lambda first: F.zip_with(
-            first, F.concat(F.slice(first, F.lit(2), n), F.array(n + 1)), run)))
-
-    rows = df.select(group, F.explode(once(F.sort_array(_found(text_col)), runs)).alias("r")).select(group, "r.term", "r.tf")
-    return rows.filter(~F.col("term").isin(*stop_words))
+def shared_ids(df: DataFrame, id_col: str) -> DataFrame:
+    """The ids that more than one row has, written once."""
+    return staged(df.groupBy(id_col).agg(F.count("*").alias("_rows")).filter(
+        (F.col("_rows") > 1) & F.col(id_col).isNotNull()).select(id_col), "shared-ids")
 
 
 def document_counts(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
@@ -69,11 +60,10 @@ def document_counts(df: DataFrame, id_col: str, text_col: str, stop_words: Seque
     A row whose id no other row has is a text of its own: its distinct terms are counted by term at once, so one row per
     term leaves a task. Only rows that share an id, or have none, are first counted by id and term.
     """
-    shared = staged(df.groupBy(id_col).agg(F.count("*").alias("_rows")).filter(
-        (F.col("_rows") > 1) & F.col(id_col).isNotNull()).select(id_col), "shared-ids")
+    shared = shared_ids(df, id_col)
     own = df.filter(F.col(id_col).isNotNull()).join(shared, id_col, "left_anti")
     rest = df.join(shared, id_col, "left_semi").unionByName(df.filter(F.col(id_col).isNull()))
-    single = _exploded(own, id_col, F.array_distinct(_found(text_col)), stop_words)
+    single = _exploded(own, id_col, F.array_distinct(found_terms(text_col)), stop_words)
     counts = [x.groupBy("term").agg(F.count("*").alias("df")) for x in (single, term_counts(rest, id_col, text_col, stop_words))]
     return counts[0].unionByName(counts[1]).groupBy("term").agg(F.sum("df").alias("df"))
 

@@ -33,6 +33,12 @@ def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def fits(df: DataFrame, column: str, most: int) -> bool:
+    """Whether the rows of ``df``, each taken as the bytes of ``column`` and forty more, are at most ``most`` bytes."""
+    size = df.agg(F.sum(F.octet_length(F.col(column).cast("string")) + 40).alias("x")).first()["x"]
+    return (size or 0) <= most
+
+
 def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written once and read back, for a result that several later steps scan."""
     spark = df.sparkSession

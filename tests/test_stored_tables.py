@@ -1,15 +1,17 @@
 """Batches that are appended once, the feature cache, and typed re-reads."""
 
+import hashlib
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spark_triage.session import staged
+from spark_triage.session import shared_folder, staged
 from spark_triage.sources import batches, feature_cache as fc, typed
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType())])
@@ -98,6 +100,79 @@ def test_weights_are_sent_or_met_by_a_shuffle(spark):
     assert by_term(met) and not by_term(sent)
 
 
+def test_only_rare_terms_move_where_the_vocabulary_is_too_large_to_send(spark):
+    rows = [(i, f"common common often{i % 3} rare{i}") for i in range(30)] + [(1, "again rare1"), (40, None), (None, "lost")]
+    df = spark.createDataFrame(rows, "id bigint, t string").repartition(3)
+    weights = staged(fc.term_weights(df, "id", "t"), "weights")
+    weights_of = {r.term: r.idf for r in weights.collect()}
+    few = sum(len(t) + 40 for t in ("common", "often0", "often1", "often2"))
+    written = lambda: {str(x) for x in Path(shared_folder(spark)).glob("slot-sums-*")}
+    before = written()
+    got = {r.id: r.embedding for r in fc.hashed_vectors(df, "id", "t", weights, 8, sent_bytes=few + 9).collect()}
+    moved = spark.read.parquet(*(written() - before)).filter("term is not null")
+    assert {r.term for r in moved.collect()} == {"again", *(f"rare{i}" for i in range(30))}
+    want = {r.id: r.embedding for r in fc.hashed_vectors(df, "id", "t", weights, 8).collect()}
+    assert got.keys() == want.keys() == {*range(30), 40} and all(got[i] == pytest.approx(want[i]) for i in want)
+    v = [0.0] * 8
+    for x, n in {"common": 2, "often1": 1, "rare1": 2, "again": 1}.items():
+        h = hashlib.md5(x.encode()).hexdigest()
+        v[int(h[:8], 16) % 8] += n * weights_of[x] * (1 if int(h[8], 16) % 2 == 0 else -1)
+    assert got[1] == pytest.approx([x / math.sqrt(sum(y * y for y in v)) for x in v]) and got[40] == [0.0] * 8
+
+
+def test_equal_weights_of_opposite_sign_cancel_in_any_order(spark):
+    found = {1: [], -1: []}
+    for i in range(400):
+        h = hashlib.md5(f"w{i}".encode()).hexdigest()
+        if int(h[:8], 16) % 8 == 0:
+            found[1 if int(h[8], 16) % 2 == 0 else -1].append(f"w{i}")
+    (a, b, c), (x, y, z) = found[1][:3], found[-1][:3]
+    rows = [(1, f"{a} {b} {c} {x} {y} {z}"), (2, f"{z} {a} {y} {c} {x} {b}"), (3, f"{a} {a} {a} {y} {x} {z}"), (4, f"{a} {b} {x}")]
+    weights = spark.createDataFrame([(t, w, 9.0) for t, w in zip((a, x, b, y, c, z), (1.1, 1.1, 2.3, 2.3, 3.7, 3.7))], "term string, idf double, idf_unseen double")
+    for df in (spark.createDataFrame(rows, "id bigint, t string"), spark.createDataFrame(rows[::-1], "id bigint, t string").repartition(3)):
+        got = {r.id: r.embedding for r in fc.hashed_vectors(df, "id", "t", weights, 8).collect()}
+        assert got == {1: [0.0] * 8, 2: [0.0] * 8, 3: [-1.0] + [0.0] * 7, 4: [1.0] + [0.0] * 7}
+
+
+def test_a_merge_sends_ids_and_leaves_texts_where_they_are(spark):
+    named = staged(spark.createDataFrame([(i, f"t{i}") for i in range(40)], "id bigint, t string"), "named")
+    shuffled = lambda df: "hashpartitioning(id" in df._jdf.queryExecution().executedPlan().toString()
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for ids in (range(3), range(2, 40), range(40), ()):
+            todo = staged(spark.createDataFrame([(i,) for i in ids], "id bigint"), "todo")
+            few = fc._chosen(named, todo, "id", 42 * 5)  # the ids of five rows at most are sent
+            moved = fc._chosen(named, todo, "id", -1)
+            assert not shuffled(few) and shuffled(moved)
+            assert sorted(map(tuple, few.collect())) == sorted(map(tuple, moved.collect())) == [(i, f"t{i}") for i in ids]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
+def test_an_id_of_several_rows_has_its_greatest_text(spark):
+    rows = [(1, "a"), (2, "b"), (2, "c"), (2, None), (3, None), (4, None), (4, None), (None, "x"), (5, "d"), (5, "d")]
+    df = spark.createDataFrame(rows, "id bigint, t string").repartition(3)
+    for most in (fc.SENT_BYTES, 0):
+        got = fc._one_text(df, "id", "t", most).collect()
+        assert sorted((r.id, r.t or "") for r in got) == [(1, "a"), (2, "c"), (3, ""), (4, ""), (5, "d")]
+
+
+def test_a_merge_does_not_shuffle_texts_of_ids_that_come_once(spark):
+    asked = []
+
+    def encode(rows):
+        asked.append(rows)
+        return rows.select("id", F.array(F.length("t").cast("double")).alias("embedding"))
+
+    df = staged(spark.createDataFrame([(i, f"t{i}") for i in range(40)], "id bigint, t string"), "rows")
+    cache = staged(fc.merge_cache(fc.empty_cache(df, "id"), df, "id", "t", "m", 1, encode), "cache")
+    assert sorted(r.id for r in fc.merge_cache(cache, df, "id", "t", "m", 2, encode).collect()) == list(range(40))
+    plan = asked[0]._jdf.queryExecution().optimizedPlan().toString()
+    first = plan.index("LeftAnti")  # ids that come once: no aggregate above, no exchange below
+    assert "Aggregate" not in plan[:first] and asked[0].count() == 40 and asked[1].count() == 0
+
+
 def test_merge_encodes_what_changed_and_repeats_without_effect(spark):
     asked = []
 
