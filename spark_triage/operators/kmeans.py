@@ -175,7 +175,7 @@ def fit_many(
 
     rows = df.filter(F.col(vector).isNotNull()).select(F.col(id_col), F.col(vector).alias("vec"))
     rows = staged(rows, "kmeans-points")
-    drawn = np.array([r["vec"] for r in seeded_sample(rows, id_col, seed, init_rows).orderBy(id_col).collect()])
+    drawn = np.array([r["vec"] for r in seeded_sample(rows, id_col, seed, init_rows).repartition(1).sortWithinPartitions(id_col).collect()])
     if not len(drawn):
         return []
     fits = [Fit(k, s, spread_centers(drawn, k, np.random.default_rng((seed, k, s)))) for k in ks for s in range(starts)]
